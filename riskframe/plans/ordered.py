@@ -72,17 +72,23 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, sums: Seque
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                    weight: str | None = None, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                    weight: str | None = None, rows_per_task: int = ROWS_PER_TASK,
+                    distinct: bool = False) -> DataFrame:
     """Linear-interpolated quantiles per group; one column per entry of ``probs``.
 
     Works from counts of distinct values, so no task ever holds a whole group.
-    ``weight`` names an existing count column when ``df`` is pre-aggregated.
+    ``weight`` names an existing count column when ``df`` is pre-aggregated;
+    ``distinct`` says that ``df`` is such a table, already stored, with one row
+    per value.
     """
     by = list(by)
-    n = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = (df.filter(F.col(value).isNotNull())
-              .groupBy(*by, F.col(value).cast("double").alias("_v")).agg(n.alias("_n")))
-    runs = running_totals(counts, by, "_v", ["_n"], rows_per_task)
+    present = df.filter(F.col(value).isNotNull())
+    if distinct:
+        counts = present.select(*by, F.col(value).alias("_v"), F.col(weight).alias("_n"))
+    else:
+        n = F.sum(weight) if weight else F.count(F.lit(1))
+        counts = present.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(n.alias("_n"))
+    runs = running_totals(counts, by, "_v", ["_n"], rows_per_task, stored=distinct)
     wanted = []
     for name, q in probs.items():
         spot = (F.col("_n_all") - 1) * F.lit(float(q))
