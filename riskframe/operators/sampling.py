@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskframe.functions.hashing import keyed_hash
+from riskframe.functions.hashing import keyed_hash, keyed_uniform
+from riskframe.plans.neighbours import nearest_neighbours
 from riskframe.plans.ordered import at_or_before, class_sizes, rank_cutoffs
+from riskframe.plans.storage import store
 
 
-def _hashed(df: DataFrame, key: str, salt: str) -> DataFrame:
+def _hashed(df: DataFrame, key: str, salt: str | Column) -> DataFrame:
     return df.withColumn("_h", keyed_hash(salt, F.col(key)))
 
 
@@ -57,9 +59,12 @@ def stratified_split(df: DataFrame, key: str, by: Sequence[str], test_fraction:
 
 
 def stratified_folds(df: DataFrame, key: str, by: Sequence[str], folds: int = 5,
-                     salt: str = "fold", column: str = "fold") -> DataFrame:
+                     salt: str | Column = "fold", column: str = "fold") -> DataFrame:
     """Exact stratified k-fold assignment (E1): fold = floor(rank * k / n) in hash order.
 
+    ``salt`` may be a column that is also part of ``by``, to draw several
+    assignments at once.
+
     Fold sizes differ by at most one within a class. Only the k - 1 cut points
     per class are looked up; the rows themselves are assigned in place.
     """
@@ -151,45 +156,34 @@ def capped_folds(df: DataFrame, key: str, by: Sequence[str], floor_rows: int = 5
 
 
 def smote(df: DataFrame, key: str, target: str, vector: str, minority, draws: int | None = None,
-          k: int = 5, salt: str = "smote", max_broadcast_rows: int = 50_000,
-          bucket_length: float | None = None) -> DataFrame:
+          k: int = 5, salt: str = "smote") -> DataFrame:
     """Synthetic minority rows on segments to one of the k nearest minority neighbours.
 
-    ``draws`` defaults to what balances the two classes. Neighbours come from
-    ``nearest_neighbours``: exact against a broadcast of the minority rows while
-    these number at most ``max_broadcast_rows``, by random-projection LSH above.
-    Only minority rows that are drawn (at most ``draws`` of them) are looked up.
+    ``draws`` defaults to what balances the class against the rest. Draws are
+    dealt evenly over the minority rows, the remainder by hash order; neighbour
+    and step come from keyed hashes of (row, draw).
     """
-    from riskframe.plans.neighbours import nearest_neighbours
-
-    minor = df.filter(F.col(target) == minority).select(key, vector)
-    n_minor, n_all = (df.agg(F.count_if(F.col(target) == minority), F.count(F.lit(1))).first())
-    if draws is None:
-        draws = max(0, n_all - 2 * n_minor)
-    if n_minor < 2 or draws == 0:
-        return df.sparkSession.createDataFrame([], f"draw long, base_id {dict(df.dtypes)[key]}, "
-                                                   f"neighbour_id {dict(df.dtypes)[key]}, {vector} array<double>")
-    # Deal the draws over the rows exactly, as over_sample does: floor(draws / n) each,
-    # and one more for the first rows in hash order.
+    n_minor, n_all = df.agg(F.count_if(F.col(target) == minority), F.count(F.lit(1))).first()
+    draws = max(0, n_all - 2 * n_minor) if draws is None else draws
+    if n_minor < 2:
+        raise ValueError("interpolation needs at least two minority rows")
+    k = min(k, n_minor - 1)
+    minor = store(df.filter(F.col(target) == minority).select(key, vector), "minority")
     each, rest = divmod(draws, n_minor)
     dealt = take_per_class(minor.withColumn("_one", F.lit(0)), key, ["_one"], salt,
                            lambda s: s.withColumn("want", F.lit(rest).cast("long")))
     times = F.lit(each) + F.col("_taken").cast("int")
+    draw_key = F.concat_ws("/", "base_id", "draw")
     dealt = (dealt.filter(times > 0)
              .select(F.col(key).alias("base_id"), F.col(vector).alias("_from"),
-                     F.explode(F.sequence(F.lit(1), times)).alias("draw")))
-    near = (nearest_neighbours(minor, minor, key, vector, min(k, n_minor - 1), n_minor,
-                               max_broadcast_rows, bucket_length)
-            .groupBy("base_id")
-            .agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour_id", "neighbour"))).alias("_near")))
-    draw_key = F.concat_ws("/", "base_id", "draw")
-    pick = (keyed_hash(f"{salt}-pick", draw_key) % F.size("_near")).cast("int")
-    step = keyed_hash(f"{salt}-step", draw_key) / F.lit(4294967296.0)
-    return (dealt.join(near, "base_id")
-            .withColumn("_to", F.get("_near", pick)).withColumn("_u", step)
-            .select("draw", "base_id", F.col("_to.neighbour_id").alias("neighbour_id"),
-                    F.zip_with("_from", "_to.neighbour",
-                               lambda a, b: a + F.col("_u") * (b - a)).alias(vector)))
+                     F.explode(F.sequence(F.lit(1), times)).alias("draw"))
+             .withColumn("rank", (keyed_hash(f"{salt}-pick", draw_key) % k + 1).cast("int"))
+             .withColumn("_u", keyed_uniform(f"{salt}-step", draw_key)))
+    near = nearest_neighbours(minor, minor, key, vector, k).drop("distance")
+    ends = minor.select(F.col(key).alias("neighbour_id"), F.col(vector).alias("_to"))
+    return (dealt.join(near, ["base_id", "rank"]).join(ends, "neighbour_id")
+            .select("base_id", "draw", "neighbour_id",
+                    F.zip_with("_from", "_to", lambda a, b: a + F.col("_u") * (b - a)).alias(vector)))
 
 
 def size_and_mix(df: DataFrame, by: Sequence[str], target: str) -> DataFrame:
