@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["fairness", "evaluation", "quality", "profile", "sampling"]
+MODULES = ["fairness", "evaluation", "quality", "profile", "sampling", "features", "training", "sources"]
 
 
 def _gather(attribute: str) -> dict:

@@ -80,3 +80,36 @@ def _signal() -> Column:
 
 def _logistic(z: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-z))
+
+
+def feature_spec():
+    """Roles of the survey columns in the modelling table."""
+    from riskframe.operators.features import FeatureSpec
+
+    return FeatureSpec(
+        numeric=["acctbal", "totalprice", "n_lines", "qty_sum", "disc_sum"],
+        ordinal={"priority": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]},
+        one_hot=["segment", "status", "region_name"],
+        interactions={"qty_x_priority": ("qty_sum", "priority")},
+        fill={"n_lines": 0, "qty_sum": 100, "disc_sum": 0})
+
+
+def modelling_table(spark: SparkSession, folder: str):
+    """(table laid out by split and fold with a ``features`` vector, fitted preparation)."""
+    from riskframe.operators.features import fit_features
+
+    rows = store(sampled_orders(spark, folder), "survey", ("split",))
+    fitted = fit_features(rows.filter("split = 'train'"), feature_spec())
+    prepared = fitted.transform(rows).select("id", "y", "split", "fold", "features")
+    return store(prepared, "model", ("split", "fold")), fitted
+
+
+def fold_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """(model, id, fold, y, pred, score) of three scored models over the five folds."""
+    rows = sampled_orders(spark, folder)
+    both = F.round((F.col("score_a") + F.col("score_b")) / 2, 6)
+    models = F.array(
+        F.struct(F.lit("model_a").alias("model"), F.col("pred_a").alias("pred"), F.col("score_a").alias("score")),
+        F.struct(F.lit("model_b").alias("model"), F.col("pred_b").alias("pred"), F.col("score_b").alias("score")),
+        F.struct(F.lit("model_c").alias("model"), (both >= 0.5).cast("int").alias("pred"), both.alias("score")))
+    return rows.select("id", "fold", "y", F.inline(models))

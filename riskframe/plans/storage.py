@@ -32,9 +32,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/riskframe/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of the written table."""
+def store(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` to the shared folder and return a reader of the written table.
+
+    ``partition_by`` lays the table out by low-cardinality columns (a fold, a
+    split), so that readers of some of their values skip the other files.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
