@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["fairness", "evaluation", "quality", "profile", "sampling", "features", "training", "sources"]
+MODULES = ["fairness", "evaluation", "quality", "profile", "sampling", "features", "training", "significance",
+           "explanation", "sources"]
 
 
 def _gather(attribute: str) -> dict:

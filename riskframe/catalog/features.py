@@ -67,7 +67,8 @@ def fe_chi2_topk(spark, sf):
 
 
 def fe_covariance(spark, sf):
-    return fe.covariance_matrix(order_survey(spark, sf).dropna(subset=COV), COV)
+    df = order_survey(spark, sf).dropna(subset=COV)
+    return fe.covariance_matrix(df.withColumns({c: F.col(c) / 1000 for c in ("acctbal", "totalprice")}), COV)
 
 
 def fe_rfe(spark, sf):
@@ -155,6 +156,10 @@ def _chi2(name: str, x: str) -> str:
         from rows0, (values (0),(1)) k(c) group by c)"""
 
 
+def _kilo(c: str) -> str:
+    return f"{c}::DOUBLE/1000" if c in ("acctbal", "totalprice") else f"{c}::DOUBLE"
+
+
 _SCALE = "({c}-(select min({c}) from rows0))/(select (max({c})-min({c}))::DOUBLE from rows0)"
 
 ORACLE = {
@@ -183,6 +188,6 @@ ORACLE = {
         select feature, chi2, cast(row_number() over (order by chi2 desc, feature) as int) as place,
           row_number() over (order by chi2 desc, feature) <= 4 as kept from scores"""),
     "fe_covariance": survey(" union all ".join(
-        f"select '{a}' as a, '{b}' as b, round(covar_samp({a}::DOUBLE,{b}::DOUBLE),6) as cov from survey "
+        f"select '{a}' as a, '{b}' as b, round(covar_samp({_kilo(a)},{_kilo(b)}),6) as cov from survey "
         "where qty_sum is not null" for i, a in enumerate(COV) for b in COV[i:])),
 }

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, SQLTransformer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_LEVELS = 1_000
@@ -251,26 +252,36 @@ def pca_project(df: DataFrame, k: int = 2, vector: str = "features", output: str
     return PCA(k=k, inputCol=vector, outputCol=output).fit(df).transform(df)
 
 
+def gram_matrix(df: DataFrame, vector: str = "features") -> np.ndarray:
+    """Sum of x x' over the rows, features x features, summed on the executors.
+
+    Put together from the mean, variance and correlation of the slots; a
+    constant slot has no covariance.
+    """
+    n, mean, var = (df.select(F.count(vector).alias("n"),
+                              Summarizer.metrics("mean", "variance").summary(F.col(vector)).alias("s"))
+                    .select("n", "s.mean", "s.variance").first())
+    mean, deviation = mean.toArray(), np.sqrt(var.toArray())
+    corr = np.nan_to_num(Correlation.corr(df, vector).first()[0].toArray())
+    return (n - 1) * corr * np.outer(deviation, deviation) + n * np.outer(mean, mean)
+
+
 def truncated_svd(df: DataFrame, vector: str = "features", k: int | None = None,
-                  output: str = "projected") -> tuple[DataFrame, list[float], object]:
+                  output: str = "projected") -> tuple[DataFrame, list[float], np.ndarray]:
     """Uncentred rank-k projection (D13): (projected rows, singular values, V).
 
-    The Gram matrix is summed on the executors by ``RowMatrix``; only V, of
-    size features x k, is held by the driver and applied as a vector slot product.
+    Only features x features numbers reach the driver, whatever the row count.
     """
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    size = len(df.select(vector).first()[0])
+    gram = gram_matrix(df, vector)
+    size = gram.shape[0]
     k = min(10, size - 1) if k is None else k
-    rows = df.select(vector).rdd.map(lambda r: OldVectors.fromML(r[0]))
-    svd = RowMatrix(rows).computeSVD(k, computeU=False)
-    v = svd.V.toArray()
-    projected = project(df, v, vector, output)
-    return projected, [float(s) for s in svd.s], v
+    squares, axes = np.linalg.eigh(gram)
+    top = np.argsort(squares)[::-1][:k]
+    v = axes[:, top]
+    return project(df, v, vector, output), [float(s) for s in np.sqrt(np.maximum(squares[top], 0.0))], v
 
 
-def project(df: DataFrame, v, vector: str = "features", output: str = "projected") -> DataFrame:
+def project(df: DataFrame, v: np.ndarray, vector: str = "features", output: str = "projected") -> DataFrame:
     """``vector`` times the features x k matrix ``v``, inside the JVM."""
     values = vector_to_array(vector)
     slots = []

@@ -17,7 +17,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
@@ -160,8 +160,9 @@ def score(model: Model, df: DataFrame) -> DataFrame:
 
 def _in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
     """Run driver-side fits side by side: each is a Spark job of its own."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return list(pool.map(lambda task: inheritable_thread_target(task)(), tasks))
+        return [f.result() for f in [pool.submit(inherit(task)) for task in tasks]]
 
 
 def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id", features: str = "features",
