@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SAMPLED, SCORED, chain, counts, metric_list, rates, scored
 from riskframe.operators import evaluation as ev
-from riskframe.plans.bindings import sampled_orders, scored_orders
+from riskframe.plans.bindings import sampled_orders, scored_orders, stored_survey
 
 FEATURES = ["acctbal", "totalprice", "n_lines", "qty_sum", "disc_sum"]
 SEGMENTS = ["segment", "priority", "status"]
@@ -68,7 +68,7 @@ def eval_error_examples(spark, sf):
 
 
 def eval_outcome_quartiles(spark, sf):
-    return ev.outcome_quartiles(scored_orders(spark, sf), FEATURES, "y", "pred_a")
+    return ev.outcome_quartiles(stored_survey(spark, sf, "y", "pred_a", *FEATURES), FEATURES, "y", "pred_a")
 
 
 def eval_final_summary(spark, sf):

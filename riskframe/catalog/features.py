@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SAMPLED, SURVEY, chain, sampled, survey
 from riskframe.operators import features as fe, training as tr
-from riskframe.plans.bindings import feature_spec, modelling_table, order_survey, sampled_orders
+from riskframe.plans.bindings import feature_spec, modelling_table, order_survey, sampled_orders, stored_survey
 from riskframe.plans.storage import store
 
 SCALED = ["acctbal", "totalprice", "qty_sum"]
@@ -34,12 +34,12 @@ def fe_interaction(spark, sf):
 
 def fe_one_hot(spark, sf):
     df = order_survey(spark, sf)
-    levels = [v for v in fe.levels_of(df, "segment") if v != "MACHINERY"]  # one category unseen at fit
+    levels = [v for v in fe.levels_of(df, ["segment"])["segment"] if v != "MACHINERY"]  # one category unseen at fit
     return fe.one_hot(df.select("id", "segment"), "segment", levels).drop("segment")
 
 
 def _fitted(spark, sf, fit):
-    rows = store(sampled_orders(spark, sf), "survey", ("split",))
+    rows = sampled_orders(spark, sf)
     return rows, fit(rows.filter("split = 'train'"), SCALED)
 
 
@@ -59,7 +59,7 @@ def fe_prepared(spark, sf):
 
 
 def fe_chi2_topk(spark, sf):
-    df = store(order_survey(spark, sf).select("y", "status", *RANKED), "rows").fillna(0)
+    df = stored_survey(spark, sf, "y", "status", *RANKED).fillna(0)
     bounds = fe.fit_min_max(df, RANKED)
     scaled = df.select("y", "status", *[fe.min_max(F.col(c), *bounds[c]).alias(c) for c in RANKED])
     hot = fe.one_hot(scaled, "status", ["F", "O", "P"])

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SAMPLED, SURVEY, chain, survey
 from riskframe.operators import profile as pr
-from riskframe.plans.bindings import order_survey, sampled_orders
+from riskframe.plans.bindings import order_survey, sampled_orders, stored_survey
 from riskframe.sources.tables import table
 
 CATS = ["segment", "priority", "status", "region_name"]
 NUMS = ["acctbal", "totalprice", "n_lines", "qty_sum", "disc_sum"]
+BINNED = ["acctbal", "qty_sum", "n_lines"]
 CORR = ["acctbal", "totalprice", "n_lines", "qty_sum", "disc_sum", "priority_ord", "y"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -28,11 +29,11 @@ def eda_cat_by_target(spark, sf):
 
 
 def eda_box_stats(spark, sf):
-    return pr.box_stats(order_survey(spark, sf), NUMS, ["y"])
+    return pr.box_stats(stored_survey(spark, sf, "y", *NUMS), NUMS, ["y"])
 
 
 def eda_histogram(spark, sf):
-    return pr.histogram(order_survey(spark, sf), ["acctbal", "qty_sum", "n_lines"], 30, ["y"])
+    return pr.histogram(stored_survey(spark, sf, "y", *BINNED), BINNED, 30, ["y"])
 
 
 def eda_histogram_all(spark, sf):
@@ -80,7 +81,7 @@ def eda_split_compare(spark, sf):
 
 
 def eda_pair_bins(spark, sf):
-    return pr.pair_bins(order_survey(spark, sf), "acctbal", "qty_sum", "y")
+    return pr.pair_bins(stored_survey(spark, sf, "y", "acctbal", "qty_sum"), "acctbal", "qty_sum", "y")
 
 
 def eda_labelled_projection(spark, sf):

@@ -59,13 +59,17 @@ def interaction(a: Column, b: Column) -> Column:
     return a * b
 
 
-def levels_of(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list[str]:
-    """Sorted categories of a column; more than ``max_levels`` is an error, not a cut."""
-    rows = (df.select(F.col(column).cast("string").alias("v")).filter("v is not null").distinct()
-            .limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"column {column} has more than {max_levels} categories")
-    return sorted(r["v"] for r in rows)
+def levels_of(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
+    """Sorted categories per column, in one pass; more than ``max_levels`` is an error, not a cut."""
+    from riskframe.operators.quality import value_counts
+
+    if not columns:
+        return {}
+    values = value_counts(df, columns).select("column", "value").limit(len(columns) * max_levels + 1).collect()
+    levels = {c: sorted(r["value"] for r in values if r["column"] == c) for c in columns}
+    if len(values) > len(columns) * max_levels or any(len(v) > max_levels for v in levels.values()):
+        raise ValueError(f"more than {max_levels} categories in one of {list(columns)}")
+    return levels
 
 
 def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str | None = None) -> DataFrame:
@@ -163,7 +167,7 @@ def fit_features(train: DataFrame, spec: FeatureSpec, output: str = "features")
     raw = ", ".join(f"{text} AS {_quote('_x_' + c)}" for c, text in encoded.items())
     crossed = ", ".join(f"{_quote('_x_' + a)} * {_quote('_x_' + b)} AS {_quote('_x_' + name)}"
                         for name, (a, b) in spec.interactions.items())
-    levels = {c: levels_of(train, c) for c in spec.one_hot}
+    levels = levels_of(train, spec.one_hot)
     hot = ", ".join(
         f"CASE WHEN CAST({_quote(c)} AS STRING) = {_text(v)} THEN 1.0D ELSE 0.0D END AS {_quote(f'_f_{c}_{v}')}"
         for c, values in levels.items() for v in values)

@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskframe.functions.bands import equal_width_bin
 from riskframe.plans.ordered import exact_quantiles
 from riskframe.plans.storage import store
 
@@ -48,42 +49,46 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), k:
               digits: int | None = 6) -> DataFrame:
     """Quartiles, fences, whiskers (extreme data inside the fences), outlier count.
 
-    The raw rows are read once, into counts per distinct value.
+    Three column-pruned passes with small aggregates; no pass shuffles the rows.
     """
     keys = ["column", *by]
-    counts = numeric_counts(df, columns, by)
-    quarts = exact_quantiles(counts, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, weight="n", distinct=True)
-    fences = (quarts.withColumn("fence_low", F.col("q1") - k * (F.col("q3") - F.col("q1")))
-              .withColumn("fence_high", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
+    long = numeric_long(df, columns, by)
+    quarts = exact_quantiles(long, keys, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    spread = F.col("q3") - F.col("q1")
+    fences = store(quarts.withColumn("fence_low", F.col("q1") - k * spread)
+                   .withColumn("fence_high", F.col("q3") + k * spread), "fences")
     value = F.col("value")
     inside = (value >= F.col("fence_low")) & (value <= F.col("fence_high"))
     names = ["q1", "median", "q3", "fence_low", "fence_high"]
-    joined = counts.withColumnRenamed("n", "_n").join(fences, keys)
-    stats = joined.groupBy(*keys, "n", *names).agg(
+    stats = long.join(fences, keys).groupBy(*keys, "n", *names).agg(
         F.min(F.when(inside, value)).alias("whisker_low"), F.max(F.when(inside, value)).alias("whisker_high"),
-        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"))
+        F.count_if(~inside).alias("outliers"))
     shown = [*names, "whisker_low", "whisker_high"]
     return stats.select(*keys, "n", *[F.col(c) if digits is None else F.round(c, digits).alias(c)
                                       for c in shown], "outliers")
 
 
+def value_ranges(long: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored (keys..., _lo, _hi, _all) of (keys..., value) rows."""
+    return store(long.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
+                                         F.count(F.lit(1)).alias("_all")), "ranges")
+
+
 def histogram(df: DataFrame, columns: Sequence[str], bins: int, by: Sequence[str] = (),
               digits: int = 9) -> DataFrame:
     """Equal-width bins over each group's own [min, max], last bin closed (C4).
 
-    ``density`` is n / (N * width). Empty bins are left out. Values are folded
-    into counts first, so ranges and bins both come from the stored counts.
+    ``density`` is n / (N * width). Empty bins are left out. ``df`` is read
+    twice: for the ranges, then for the bins.
     """
     keys = ["column", *by]
-    counts = numeric_counts(df, columns, by)
-    ranges = counts.groupBy(*keys).agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-                                       F.sum("n").alias("_all"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    slot = F.least(F.coalesce(F.floor(F.try_divide(F.col("value") - F.col("_lo"), width)),
-                              F.lit(0).cast("long")), F.lit(bins - 1).cast("long"))
-    return (counts.join(ranges, keys).groupBy(*keys, slot.alias("bin"), "_lo", "_hi", "_all")
-            .agg(F.sum("n").alias("n"))
-            .select(*keys, "bin", F.round(F.col("_lo") + F.col("bin") * width, 6).alias("bin_low"), "n",
+    long = numeric_long(df, columns, by)
+    lo, hi = F.col("_lo"), F.col("_hi")
+    width = (hi - lo) / F.lit(float(bins))
+    return (long.join(value_ranges(long, keys), keys)
+            .groupBy(*keys, equal_width_bin(F.col("value"), lo, hi, bins).alias("bin"), "_lo", "_hi", "_all")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(*keys, "bin", F.round(lo + F.col("bin") * width, 6).alias("bin_low"), "n",
                     F.round(F.try_divide(F.col("n").cast("double"), F.col("_all") * width),
                             digits).alias("density")))
 
@@ -230,51 +235,43 @@ def split_compare(df: DataFrame, columns: Sequence[str], split: str = "split", b
     The index is sum((p - q) * ln(p / q)) over equal-width bins of the joint
     range in which both sides have rows.
     """
-    counts = numeric_counts(df, columns, [split])
-    n, v = F.col("n"), F.col("value")
+    long = numeric_long(df, columns, [split])
+    v = F.col("value")
     sides = ("train", "test")
 
     def on(side: str, col: Column) -> Column:
         return F.when(F.col(split) == side, col)
 
-    means = counts.groupBy("column").agg(
+    moments = store(long.groupBy("column").agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-        *[F.sum(on(s, n)).alias(f"n_{s}") for s in sides],
-        *[F.try_divide(F.sum(on(s, n * v)), F.sum(on(s, n))).alias(f"mean_{s}") for s in sides])
-    based = counts.join(F.broadcast(means), "column")  # a row per listed column
-    spread = based.groupBy("column").agg(*[
-        F.sqrt(F.try_divide(F.sum(on(s, n * F.pow(v - F.col(f"mean_{s}"), F.lit(2.0)))),
-                            F.max(f"n_{s}") - 1)).alias(f"std_{s}") for s in sides])
-    middle = exact_quantiles(counts, ["column", split], "value", {"median": 0.5}, weight="n", distinct=True)
+        *[F.count(on(s, v)).alias(f"n_{s}") for s in sides],
+        *[F.avg(on(s, v)).alias(f"mean_{s}") for s in sides],
+        *[F.stddev_samp(on(s, v)).alias(f"std_{s}") for s in sides]), "moments")
+    middle = exact_quantiles(long, ["column", split], "value", {"median": 0.5})
     middle = middle.groupBy("column").agg(*[F.max(on(s, F.col("median"))).alias(f"median_{s}") for s in sides])
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-    slot = F.least(F.coalesce(F.floor(F.try_divide(v - F.col("_lo"), width)), F.lit(0).cast("long")),
-                   F.lit(bins - 1).cast("long"))
-    p, q = (F.sum(on(s, n)) / F.max(f"n_{s}") for s in sides)
-    binned = based.groupBy("column", slot.alias("bin")).agg(p.alias("p"), q.alias("q"))
+    p, q = (F.count(on(s, v)) / F.max(f"n_{s}") for s in sides)
+    binned = (long.join(moments, "column")
+              .groupBy("column", equal_width_bin(v, F.col("_lo"), F.col("_hi"), bins).alias("bin"))
+              .agg(p.alias("p"), q.alias("q")).filter("p > 0 and q > 0"))
     shift = binned.groupBy("column").agg(
         F.sum((F.col("p") - F.col("q")) * F.ln(F.col("p") / F.col("q"))).alias("stability_index"))
     shown = [f"{m}_{s}" for m in ("mean", "std", "median") for s in sides] + ["stability_index"]
-    return (means.join(spread, "column").join(middle, "column").join(shift, "column")
+    return (moments.join(middle, "column").join(shift, "column")
             .select("column", "n_train", "n_test", *[F.round(c, digits).alias(c) for c in shown]))
 
 
 def pair_bins(df: DataFrame, x: str, y: str, target: str, bins: int = 10) -> DataFrame:
-    """Two-dimensional bin counts per class: the data behind one pair-plot panel."""
+    """Two-dimensional bin counts per class: the data behind one pair-plot panel.
+
+    ``df`` is read twice: the four range ends come back as constants of the second pass.
+    """
     both = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"),
                      F.col(target).alias("class")).filter("_x is not null and _y is not null")
-    # Fold equal points together once; ranges and bins both come from those counts.
-    points = store(both.groupBy("_x", "_y", "class").agg(F.count(F.lit(1)).alias("_n")), "points")
-    lo_x, hi_x, lo_y, hi_y = points.agg(F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first()
-
-    def slot(col: str, lo: float | None, hi: float | None) -> Column:
-        if lo is None or hi == lo:
-            return F.lit(0).cast("long")
-        return F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit((hi - lo) / bins)),
-                       F.lit(bins - 1).cast("long"))
-
-    return (points.groupBy(slot("_x", lo_x, hi_x).alias("bin_x"), slot("_y", lo_y, hi_y).alias("bin_y"), "class")
-            .agg(F.sum("_n").alias("n")))
+    lo_x, hi_x, lo_y, hi_y = (F.lit(end) for end in both.agg(
+        F.min("_x"), F.max("_x"), F.min("_y"), F.max("_y")).first())
+    return (both.groupBy(equal_width_bin(F.col("_x"), lo_x, hi_x, bins).alias("bin_x"),
+                         equal_width_bin(F.col("_y"), lo_y, hi_y, bins).alias("bin_y"), "class")
+            .agg(F.count(F.lit(1)).alias("n")))
 
 
 def labelled_projection(df: DataFrame, features: Sequence[str], target: str,

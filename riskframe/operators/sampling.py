@@ -46,7 +46,7 @@ def take_per_class(df: DataFrame, key: str, by: Sequence[str], salt: str, wants)
     cuts = rank_cutoffs(hashed, by, "_h", key, cells, want).drop("cut")
     taken = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False))
-    return (hashed.join(F.broadcast(cuts), by, "left").withColumn("_taken", taken)
+    return (hashed.join(cuts, by, "left").withColumn("_taken", taken)
             .select(*df.columns, "_taken"))
 
 
@@ -74,11 +74,11 @@ def stratified_folds(df: DataFrame, key: str, by: Sequence[str], folds: int = 5,
     wants = (sizes.withColumn("cut", F.explode(F.sequence(F.lit(1), F.lit(folds - 1))))
              .select(*by, "cut", F.ceil(F.col("cut") * F.col("n_class") / F.lit(float(folds))).alias("want"))
              .filter("want > 0"))
-    cuts = (rank_cutoffs(hashed, by, "_h", key, cells, wants)
-            .groupBy(*by).agg(F.collect_list(F.struct("cut_hash", "cut_key")).alias("_cuts")))
+    cuts = store(rank_cutoffs(hashed, by, "_h", key, cells, wants)
+                 .groupBy(*by).agg(F.collect_list(F.struct("cut_hash", "cut_key")).alias("_cuts")), "cuts")
     past = F.filter("_cuts", lambda c: ~at_or_before(
         F.col("_h"), F.col(key), c["cut_hash"], c["cut_key"]))
-    return (hashed.join(F.broadcast(cuts), by, "left")
+    return (hashed.join(cuts, by, "left")
             .withColumn(column, F.coalesce(F.size(past), F.lit(0)))
             .select(*df.columns, column))
 
@@ -105,13 +105,12 @@ def over_sample(df: DataFrame, key: str, target: str, salt: str = "over") -> Dat
 
     hashed = _hashed(df, key, salt)
     cells, sizes = class_sizes(hashed, [target], "_h")
-    plan = wants(sizes).withColumn("_times", F.floor(F.col("_deficit") / F.col("n_class")))
+    plan = store(wants(sizes).withColumn("_times", F.floor(F.col("_deficit") / F.col("n_class"))), "plan")
     cuts = rank_cutoffs(hashed, [target], "_h", key, cells,
                         plan.select(target, F.lit(0).alias("cut"), "want")).drop("cut")
     extra = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False)).cast("long")
-    return (hashed.join(F.broadcast(plan.select(target, "_times")), target)
-            .join(F.broadcast(cuts), target, "left")
+    return (hashed.join(plan.select(target, "_times"), target).join(cuts, target, "left")
             .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") + extra)))
             .select(*df.columns, "copy"))
 
@@ -126,12 +125,12 @@ def progressive_samples(df: DataFrame, key: str, fractions: Sequence[float],
     wants = (sizes.withColumn("_s", F.explode(steps))
              .select("_all", F.col("_s.cut").alias("cut"), F.col("_s.fraction").alias("fraction"),
                      F.floor(F.round(F.col("n_class") * F.col("_s.fraction"), 6)).alias("want")))
-    cuts = (rank_cutoffs(hashed, ["_all"], "_h", key, cells, wants.drop("fraction"))
-            .groupBy("_all").agg(F.collect_list(F.struct("cut", "cut_hash", "cut_key")).alias("_cuts")))
+    cuts = store(rank_cutoffs(hashed, ["_all"], "_h", key, cells, wants.drop("fraction"))
+                 .groupBy("_all").agg(F.collect_list(F.struct("cut", "cut_hash", "cut_key")).alias("_cuts")), "cuts")
     holding = F.filter("_cuts", lambda c: at_or_before(
         F.col("_h"), F.col(key), c["cut_hash"], c["cut_key"]))
     names = F.array(*[F.lit(float(f)) for f in fractions])
-    return (hashed.join(F.broadcast(cuts), "_all")
+    return (hashed.join(cuts, "_all")
             .withColumn("_in", F.explode(holding))
             .withColumn("fraction", F.get(names, F.col("_in.cut")))
             .select(*df.columns, "fraction"))

@@ -170,7 +170,7 @@ def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id",
                 cut: Column | None = None) -> DataFrame:
     """(model, key, fold, target, pred, score): every row scored by the model that did not see it.
 
-    ``table`` should be stored, best laid out by fold. ``cut`` may restrict the
+    ``table`` should be stored. ``cut`` may restrict the
     training rows. Weights are recomputed inside every training part.
     """
     def part(learner: Learner, i: int) -> Callable[[], DataFrame]:
@@ -351,7 +351,7 @@ def learning_curve(table: DataFrame, learner: Learner, sizes: Sequence[float], k
 def progressive_fit(train: DataFrame, test: DataFrame, learner: Learner, fractions: Sequence[float],
                     key: str = "id", features: str = "features", target: str = "y") -> DataFrame:
     """Held-out F1 of models fitted on nested samples of growing size (E5)."""
-    nested = store(sampling.progressive_samples(train, key, fractions), "progressive", ("fraction",))
+    nested = store(sampling.progressive_samples(train, key, fractions), "progressive")
     models = {str(f): fit(learner, nested.filter(F.col("fraction") == F.lit(float(f))), features, target)
               for f in fractions}
     return (held_out(models, test, target).withColumn("fraction", F.col("model").cast("double"))

@@ -73,6 +73,11 @@ def vectors(spark: SparkSession, folder: str) -> DataFrame:
     return emb.withColumn("embedding", F.col("embedding").cast("array<double>"))
 
 
+def stored_survey(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    """Columns of the scored survey, written once for operators that read their input more than once."""
+    return store(scored_orders(spark, folder).select(*columns), "survey")
+
+
 def _signal() -> Column:
     return (0.9 * (F.col("priority_ord") - 3) + 0.02 * (F.coalesce("qty_sum", F.lit(100)) - 100)
             - 0.0002 * F.col("acctbal") + F.when(F.col("status") == "F", 0.8).otherwise(0.0))
@@ -95,13 +100,13 @@ def feature_spec():
 
 
 def modelling_table(spark: SparkSession, folder: str):
-    """(table laid out by split and fold with a ``features`` vector, fitted preparation)."""
+    """(stored table with a ``features`` vector, fitted preparation)."""
     from riskframe.operators.features import fit_features
 
-    rows = store(sampled_orders(spark, folder), "survey", ("split",))
+    rows = sampled_orders(spark, folder)
     fitted = fit_features(rows.filter("split = 'train'"), feature_spec())
     prepared = fitted.transform(rows).select("id", "y", "split", "fold", "features")
-    return store(prepared, "model", ("split", "fold")), fitted
+    return store(prepared, "model"), fitted
 
 
 def fold_scores(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,7 @@ from riskframe.plans.storage import store
 ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 10_000
 MAX_CLASSES = 1_000
+SKETCH_ACCURACY = 10_000
 _SHIFT = 16  # a 32-bit hash falls into 2 ** 16 cells
 
 
@@ -72,41 +73,59 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, sums: Seque
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                    weight: str | None = None, rows_per_task: int = ROWS_PER_TASK,
-                    distinct: bool = False) -> DataFrame:
-    """Linear-interpolated quantiles per group; one column per entry of ``probs``.
-
-    Works from counts of distinct values, so no task ever holds a whole group.
-    ``weight`` names an existing count column when ``df`` is pre-aggregated;
-    ``distinct`` says that ``df`` is such a table, already stored, with one row
-    per value.
+                    rows_per_task: int = ROWS_PER_TASK, bracket_above: int = ROWS_PER_TASK) -> DataFrame:
+    """Exact linear-interpolated quantiles per group: (by..., n, one column per entry of ``probs``).
+
+    Groups above ``bracket_above`` rows are narrowed first: a rank sketch with
+    error 1e-4 gives, per quantile, an interval sure to hold the wanted ranks.
+    The second pass counts the rows below it and the distinct values inside it,
+    about 4e-4 of the group, and the exact ranks are found among those. Smaller
+    groups keep all their values. ``df`` is read twice.
     """
-    by = list(by)
-    present = df.filter(F.col(value).isNotNull())
-    if distinct:
-        counts = present.select(*by, F.col(value).alias("_v"), F.col(weight).alias("_n"))
-    else:
-        n = F.sum(weight) if weight else F.count(F.lit(1))
-        counts = present.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(n.alias("_n"))
-    runs = running_totals(counts, by, "_v", ["_n"], rows_per_task, stored=distinct)
-    wanted = []
-    for name, q in probs.items():
-        spot = (F.col("_n_all") - 1) * F.lit(float(q))
-        for side, at in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            holds = (F.col("_n_upto") > at) & (F.col("_n_upto") - F.col("_n") <= at)
-            wanted.append(F.max(F.when(holds, F.col("_v"))).alias(f"_{side}_{name}"))
-        wanted.append(F.max(spot - F.floor(spot)).alias(f"_part_{name}"))
-    found = runs.groupBy(*by).agg(F.max("_n_all").alias("n"), *wanted)
-    return found.select(*by, "n", *[
-        (F.col(f"_lo_{name}") + F.col(f"_part_{name}")
-         * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))).alias(name) for name in probs])
+    by, slack = list(by), 2 / SKETCH_ACCURACY
+    if not by:
+        raise ValueError("group by at least one column, such as the name of the measured one")
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(
+        F.col("_v").isNotNull() & ~F.isnan("_v"))
+    edges = [p for q in probs.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in edges]), F.lit(SKETCH_ACCURACY))
+    narrow = F.col("n") > bracket_above
+
+    def edge(i: int, otherwise: float) -> Column:
+        return F.when(narrow, F.get("_edges", F.lit(i))).otherwise(F.lit(otherwise))
+
+    brackets = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), sketch.alias("_edges")).select(
+        *by, "n", F.array(*[F.struct(
+            F.lit(name).alias("q"), ((F.col("n") - 1) * F.lit(float(q))).alias("spot"),
+            edge(2 * i, -math.inf).alias("low"), edge(2 * i + 1, math.inf).alias("high"))
+            for i, (name, q) in enumerate(probs.items())]).alias("_brackets"))
+    brackets = store(brackets, "brackets")
+    joined = rows.join(brackets, by)
+    v = F.col("_v")
+    kept = F.filter("_brackets", lambda b: v <= b["high"])
+    inside = (joined.withColumn("_b", F.explode(kept))
+              .select(*by, F.col("_b.q").alias("_q"), F.col("_b.spot").alias("_spot"), "n",
+                      F.when(v >= F.col("_b.low"), v).otherwise(F.lit(-math.inf)).alias("_v"))
+              .groupBy(*by, "_q", "_spot", "n", "_v").agg(F.count(F.lit(1)).alias("_n")))
+    runs = running_totals(inside, [*by, "_q"], "_v", ["_n"], rows_per_task)
+
+    def at(rank: Column) -> Column:
+        holds = (F.col("_n_upto") > rank) & (F.col("_n_upto") - F.col("_n") <= rank)
+        return F.max(F.when(holds, F.col("_v")))
+
+    found = runs.groupBy(*by, "n", "_q", "_spot").agg(
+        at(F.floor("_spot")).alias("_lo"), at(F.ceil("_spot")).alias("_hi"))
+    part = F.col("_spot") - F.floor("_spot")
+    value_at = F.col("_lo") + part * (F.col("_hi") - F.col("_lo"))
+    return found.groupBy(*by, "n").agg(*[
+        F.max(F.when(F.col("_q") == name, value_at)).alias(name) for name in probs])
 
 
 def class_sizes(df: DataFrame, by: Sequence[str], hash_col: str) -> tuple[DataFrame, DataFrame]:
     """(hash cells per class, rows per class). More than MAX_CLASSES classes is an error."""
     by = list(by)
-    cells = df.groupBy(*by, F.shiftright(hash_col, _SHIFT).alias("_cell")).agg(
-        F.count(F.lit(1)).alias("_n"))
+    cells = store(df.groupBy(*by, F.shiftright(hash_col, _SHIFT).alias("_cell")).agg(
+        F.count(F.lit(1)).alias("_n")), "cells")
     every = Window.partitionBy()
     sizes = (cells.groupBy(*by).agg(F.sum("_n").alias("n_class"))
              .withColumn("_classes", F.count(F.lit(1)).over(every))
@@ -123,22 +142,24 @@ def rank_cutoffs(df: DataFrame, by: Sequence[str], hash_col: str, key: str,
     The data is counted into 2**16 hash cells per class; only the one cell in
     which a cut falls is ranked, so no sort ever sees more than 1/65536 of a
     class and the raw rows are never shuffled. ``wants`` has at most
-    MAX_CLASSES x cuts rows (``class_sizes`` checks it), hence the broadcasts.
+    MAX_CLASSES x cuts rows (``class_sizes`` checks it). The cut points are
+    stored, so they are looked up once however often the result is used.
     """
     by = list(by)
     run = Window.partitionBy(*by).orderBy("_cell").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cells = cells.withColumn("_upto", F.sum("_n").over(run))
-    edges = (cells.join(F.broadcast(wants), by)
+    edges = (cells.join(wants, by)
              .filter((F.col("want") <= F.col("_upto"))
                      & (F.col("want") > F.col("_upto") - F.col("_n")))
              .select(*by, "_cell", "cut", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")))
     inside = (df.select(*by, hash_col, key)
               .withColumn("_cell", F.shiftright(hash_col, _SHIFT))
-              .join(F.broadcast(edges), [*by, "_cell"]))
+              .join(store(edges, "edges"), [*by, "_cell"]))
     rank = F.row_number().over(Window.partitionBy(*by, "cut").orderBy(hash_col, key))
-    return (inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
-            .select(*by, "cut", F.col(hash_col).alias("cut_hash"), F.col(key).alias("cut_key")))
+    found = (inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
+             .select(*by, "cut", F.col(hash_col).alias("cut_hash"), F.col(key).alias("cut_key")))
+    return store(found, "cuts")
 
 
 def at_or_before(hash_col: Column, key: Column, cut_hash: Column, cut_key: Column) -> Column:

@@ -28,17 +28,29 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+def session_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/riskframe/{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/riskframe/{label}-{uuid.uuid4().hex}"
+    return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+def store(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written table.
 
-    ``partition_by`` lays the table out by low-cardinality columns (a fold, a
-    split), so that readers of some of their values skip the other files.
+    The size of a stored table is known to the planner. Small fitted tables
+    (cut points, ranges, fences) are therefore stored and joined without a hint:
+    Spark broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and
+    joins by shuffle above it.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete every table this session has stored; DataFrames reading them become invalid."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
