@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SAMPLED, SCORED, chain, counts, metric_list, rates, scored
 from riskframe.operators import evaluation as ev

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.catalog.base import SAMPLED, SURVEY, chain, sampled, survey
+from riskframe.catalog.base import SAMPLED, SURVEY, chain, survey
 from riskframe.operators import features as fe, training as tr
-from riskframe.plans.bindings import feature_spec, modelling_table, order_survey, sampled_orders, stored_survey
+from riskframe.plans.bindings import modelling_table, order_survey, sampled_orders, stored_survey
 from riskframe.plans.storage import store
 
 SCALED = ["acctbal", "totalprice", "qty_sum"]

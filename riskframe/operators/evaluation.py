@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.rates import CELLS, confusion_counts, metric_columns, ratio, with_metrics
 from riskframe.plans.ordered import exact_quantiles, running_totals
+from riskframe.plans.storage import store
 
 SUMMARY = ["n", "accuracy", "f1_macro", "precision_macro", "recall_macro",
            "precision_pos", "recall_pos", "f1_pos", "sensitivity", "specificity"]
@@ -68,6 +69,24 @@ def roc_auc_from_counts(counts: DataFrame, score: str, by: Sequence[str] = (),
     return runs.groupBy(*by).agg(_rounded(auc, digits).alias("roc_auc"))
 
 
+def grouped_metrics(df: DataFrame, by: Sequence[str], names: Sequence[str], y: str = "y", pred: str = "pred",
+                    score: str | None = None, digits: int | None = 6) -> DataFrame:
+    """Metrics per group, with AUC if there is a score, from one reading of ``df``.
+
+    With a score the confusion counts are kept per distinct score and stored;
+    the rates are sums of that table and the AUC a running total over it.
+    """
+    by = list(by)
+    if not score:
+        return with_metrics(df.groupBy(*by).agg(*confusion_counts(y, pred)), list(names), digits).drop(*CELLS)
+    cells = store(df.groupBy(*by, score).agg(*confusion_counts(y, pred)), "cells")
+    sums = cells.groupBy(*by).agg(*[F.sum(c).alias(c) for c in CELLS])
+    rates = with_metrics(sums, list(names), digits).drop(*CELLS)
+    classes = cells.filter(F.col(score).isNotNull()).select(
+        *by, score, (F.col("tp") + F.col("fn")).alias("pos"), (F.col("fp") + F.col("tn")).alias("neg"))
+    return rates.join(roc_auc_from_counts(classes, score, by, digits, stored=True), by, "left")
+
+
 def roc_auc(df: DataFrame, y: str = "y", score: str = "score", by: Sequence[str] = (),
             digits: int | None = 6) -> DataFrame:
     """Area under the ROC curve with exact tie handling; null if one class is absent."""
@@ -268,8 +287,8 @@ def final_summary(df: DataFrame, y: str = "y", pred: str = "pred", score: str =
     cv = folds.agg(_rounded(F.avg("f1_macro"), digits).alias("cv_f1_mean"),
                    _rounded(F.stddev_pop("f1_macro"), digits).alias("cv_f1_std"),
                    F.sum("n").alias("n_train"))
-    # Each side is a single row.
+    # Every part is one row: stack them and keep the one value of each column.
     out = held.withColumnRenamed("n", "n_test")
     for part in (ranked, best, cv):
-        out = out.join(F.broadcast(part))
-    return out
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
-from riskframe.operators.evaluation import roc_auc_from_counts
-from riskframe.plans.storage import store
+from riskframe.operators.evaluation import grouped_metrics
 
 OVERALL = ("Overall", "All")
 METRICS = ["n", "prevalence", "accuracy", "f1_macro", "f1_pos", "precision_pos", "recall_pos"]
@@ -31,18 +29,9 @@ def subgroup_metrics(df: DataFrame, dimensions: dict[str, Column], y: str = "y",
     score and stored; rates and AUC both come from that table, so the input is
     read once.
     """
-    if not score:
-        counts = (_in_groups(df, dimensions, [y, pred]).groupBy("subgroup", "group")
-                  .agg(*confusion_counts(y, pred)))
-        return with_metrics(counts, METRICS, digits).drop(*CELLS).filter(F.col("n") >= min_n)
-    per_score = store(_in_groups(df, dimensions, [y, pred, score])
-                      .groupBy("subgroup", "group", score).agg(*confusion_counts(y, pred)), "subgroups")
-    counts = per_score.groupBy("subgroup", "group").agg(*[F.sum(c).alias(c) for c in CELLS])
-    rows = with_metrics(counts, METRICS, digits).drop(*CELLS).filter(F.col("n") >= min_n)
-    classes = per_score.select("subgroup", "group", score, (F.col("tp") + F.col("fn")).alias("pos"),
-                               (F.col("fp") + F.col("tn")).alias("neg"))
-    auc = roc_auc_from_counts(classes, score, ["subgroup", "group"], digits, stored=True)
-    return rows.join(auc, ["subgroup", "group"], "left")
+    members = _in_groups(df, dimensions, [y, pred] + ([score] if score else []))
+    return (grouped_metrics(members, ["subgroup", "group"], METRICS, y, pred, score, digits)
+            .filter(F.col("n") >= min_n))
 
 
 def predicate_metrics(df: DataFrame, predicates: dict[str, Column], y: str = "y", pred: str = "pred",
@@ -51,9 +40,8 @@ def predicate_metrics(df: DataFrame, predicates: dict[str, Column], y: str = "y"
     sets = F.filter(F.array(*[F.when(p, F.lit(name)) for name, p in predicates.items()]),
                     lambda s: s.isNotNull())
     members = df.select(y, pred, F.explode(sets).alias("subgroup"))
-    counts = members.groupBy("subgroup").agg(*confusion_counts(y, pred))
-    return (with_metrics(counts, ["n", "f1_macro", "recall_pos"], digits)
-            .drop(*CELLS).filter(F.col("n") >= min_n))
+    return (grouped_metrics(members, ["subgroup"], ["n", "f1_macro", "recall_pos"], y, pred, digits=digits)
+            .filter(F.col("n") >= min_n))
 
 
 def gap_report(metrics: DataFrame, digits: int = 4) -> DataFrame:
@@ -66,9 +54,9 @@ def gap_report(metrics: DataFrame, digits: int = 4) -> DataFrame:
 
 def flagged_groups(metrics: DataFrame, tolerance: float = 0.05) -> DataFrame:
     """Per dimension, groups whose recall is more than ``tolerance`` below overall (H5)."""
-    overall = metrics.filter(F.col("subgroup") == OVERALL[0]).select(
-        F.col("recall_pos").alias("_overall"))
-    groups = metrics.filter(F.col("subgroup") != OVERALL[0]).join(F.broadcast(overall))
+    # ``metrics`` has a row per group, so a window over all of it is small.
+    overall = F.max(F.when(F.col("subgroup") == OVERALL[0], F.col("recall_pos"))).over(Window.partitionBy())
+    groups = metrics.withColumn("_overall", overall).filter(F.col("subgroup") != OVERALL[0])
     low = F.col("recall_pos") < F.col("_overall") - tolerance
     return groups.groupBy("subgroup").agg(
         F.concat_ws(", ", F.array_sort(F.collect_list(F.when(low, F.col("group"))))).alias("flagged"),

@@ -43,7 +43,7 @@ def take_per_class(df: DataFrame, key: str, by: Sequence[str], salt: str, wants)
     hashed = _hashed(df, key, salt)
     cells, sizes = class_sizes(hashed, by, "_h")
     want = wants(sizes).select(*by, F.lit(0).alias("cut"), "want")
-    cuts = rank_cutoffs(hashed, by, "_h", key, cells, want).drop("cut")
+    cuts = store(rank_cutoffs(hashed, by, "_h", key, cells, want).drop("cut"), "cuts")
     taken = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False))
     return (hashed.join(cuts, by, "left").withColumn("_taken", taken)
@@ -106,8 +106,8 @@ def over_sample(df: DataFrame, key: str, target: str, salt: str = "over") -> Dat
     hashed = _hashed(df, key, salt)
     cells, sizes = class_sizes(hashed, [target], "_h")
     plan = store(wants(sizes).withColumn("_times", F.floor(F.col("_deficit") / F.col("n_class"))), "plan")
-    cuts = rank_cutoffs(hashed, [target], "_h", key, cells,
-                        plan.select(target, F.lit(0).alias("cut"), "want")).drop("cut")
+    cuts = store(rank_cutoffs(hashed, [target], "_h", key, cells,
+                              plan.select(target, F.lit(0).alias("cut"), "want")).drop("cut"), "cuts")
     extra = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False)).cast("long")
     return (hashed.join(plan.select(target, "_times"), target).join(cuts, target, "left")

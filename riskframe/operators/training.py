@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
 from riskframe.operators import sampling
-from riskframe.operators.evaluation import roc_auc
+from riskframe.operators.evaluation import grouped_metrics
 from riskframe.plans.storage import store
 
 FOLD_METRICS = ["f1_macro", "accuracy", "precision_macro", "recall_macro"]
@@ -191,12 +191,8 @@ def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id",
 def fold_metrics(scored: DataFrame, by: Sequence[str] = ("model",), target: str = "y", fold: str = "fold",
                  with_auc: bool = True) -> DataFrame:
     """The five fold metrics per (by..., fold), unrounded."""
-    keys = [*by, fold]
-    counts = scored.groupBy(*keys).agg(*confusion_counts(target, "pred"))
-    rows = with_metrics(counts, FOLD_METRICS).drop(*CELLS)
-    if not with_auc:
-        return rows
-    return rows.join(roc_auc(scored, target, "score", keys, None), keys, "left")
+    return grouped_metrics(scored, [*by, fold], FOLD_METRICS, target, "pred",
+                           "score" if with_auc else None, digits=None)
 
 
 def summarise_folds(folds: DataFrame, by: Sequence[str] = ("model",), metrics: Sequence[str] | None = None,
@@ -273,10 +269,8 @@ def held_out(models: Mapping[str, Model], test: DataFrame, target: str = "y") ->
     for name, model in models.items():
         rows = score(model, test).select(F.lit(name).alias("model"), target, "pred", "score")
         scored = rows if scored is None else scored.unionByName(rows)
-    scored = store(scored, "heldout")
-    rates = with_metrics(scored.groupBy("model").agg(*confusion_counts(target, "pred")),
-                         ["n", "accuracy", "f1_macro", "recall_pos"]).drop(*CELLS)
-    return rates.join(roc_auc(scored, target, "score", ["model"], None), "model", "left")
+    return grouped_metrics(scored, ["model"], ["n", "accuracy", "f1_macro", "recall_pos"], target, "pred",
+                           "score", digits=None)
 
 
 def stack(table: DataFrame, test: DataFrame, learners: Sequence[Learner], key: str = "id",
@@ -307,10 +301,7 @@ def stack(table: DataFrame, test: DataFrame, learners: Sequence[Learner], key: s
     stacked = score(meta, widened(test.select(key, target, features), base_scores).select(key, target, "_stacked"))
     every = base_scores.unionByName(stacked.select(
         key, target, F.lit("Stacking").alias("model"), "pred", "score"))
-    every = store(every, "stacked")
-    rates = with_metrics(every.groupBy("model").agg(*confusion_counts(target, "pred")),
-                         ["n", "f1_macro"]).drop(*CELLS)
-    out = rates.join(roc_auc(every, target, "score", ["model"], None), "model", "left")
+    out = grouped_metrics(every, ["model"], ["n", "f1_macro"], target, "pred", "score", digits=None)
     best_base = F.max(F.when(F.col("model") != "Stacking", F.col("f1_macro"))).over(Window.partitionBy())
     return out.withColumn("delta", F.when(F.col("model") == "Stacking", F.col("f1_macro") - best_base))
 

@@ -38,7 +38,10 @@ def order_survey(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderpriority").alias("priority"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("priority_ord"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("totalprice"))
-    joined = orders.join(customer, "o_custkey").join(lines, "id", "left")
+    # The lines are aggregated by order. The explicit repartition is the exchange
+    # a sort-merge join with them needs anyway; where the lines are small enough
+    # to be broadcast it keeps the orders, not the customers, spread over the tasks.
+    joined = orders.join(customer, "o_custkey").repartition("id").join(lines, "id", "left")
     return (joined.withColumn("_z", _signal())
             .withColumn("y", (keyed_uniform("y", F.col("id")) < _logistic(F.col("_z"))).cast("int"))
             .select("id", "segment", "priority", "priority_ord", "status", "region_name",

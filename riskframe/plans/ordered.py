@@ -19,6 +19,7 @@ ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 10_000
 MAX_CLASSES = 1_000
 SKETCH_ACCURACY = 10_000
+NARROW_ABOVE_BYTES = 256 * 1024 * 1024
 _SHIFT = 16  # a 32-bit hash falls into 2 ** 16 cells
 
 
@@ -72,53 +73,74 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, sums: Seque
                     *[f"{s}_all" for s in sums]))
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate; no job runs. Only ever used to choose between equal results."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                    rows_per_task: int = ROWS_PER_TASK, bracket_above: int = ROWS_PER_TASK) -> DataFrame:
+                    rows_per_task: int = ROWS_PER_TASK, narrow_above_bytes: int = NARROW_ABOVE_BYTES,
+                    narrow_above_rows: int = ROWS_PER_TASK) -> DataFrame:
     """Exact linear-interpolated quantiles per group: (by..., n, one column per entry of ``probs``).
 
-    Groups above ``bracket_above`` rows are narrowed first: a rank sketch with
-    error 1e-4 gives, per quantile, an interval sure to hold the wanted ranks.
-    The second pass counts the rows below it and the distinct values inside it,
-    about 4e-4 of the group, and the exact ranks are found among those. Smaller
-    groups keep all their values. ``df`` is read twice.
+    Small inputs are folded to counts of distinct values. Above
+    ``narrow_above_bytes`` groups of more than ``narrow_above_rows`` rows are
+    narrowed first: a rank sketch with error 1e-4 gives, per quantile, an
+    interval sure to hold the wanted ranks. The second pass then counts the rows
+    below it and the distinct values inside it, about 4e-4 of the group.
     """
-    by, slack = list(by), 2 / SKETCH_ACCURACY
+    by = list(by)
     if not by:
         raise ValueError("group by at least one column, such as the name of the measured one")
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if planned_bytes(df) > narrow_above_bytes:
+        counts = _narrowed_counts(rows, by, probs, narrow_above_rows)
+    else:
+        counts = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_q", F.lit(_EVERY))
+    runs = running_totals(counts, [*by, "_q"], "_v", ["_n"], rows_per_task)
+
+    def at(name: str, rank: Column) -> Column:
+        serves = F.col("_q").isin(name, _EVERY)
+        holds = (F.col("_n_upto") > rank) & (F.col("_n_upto") - F.col("_n") <= rank)
+        return F.max(F.when(serves & holds, F.col("_v")))
+
+    found = []
+    for name, q in probs.items():
+        spot = _spot(F.col("n"), q)
+        found += [at(name, F.floor(spot)).alias(f"_lo_{name}"), at(name, F.ceil(spot)).alias(f"_hi_{name}")]
+    if "n" not in runs.columns:
+        runs = runs.withColumn("n", F.col("_n_all"))
+    rows = runs.groupBy(*by, "n").agg(*found)
+    return rows.select(*by, "n", *[
+        (F.col(f"_lo_{name}") + (_spot(F.col("n"), q) - F.floor(_spot(F.col("n"), q)))
+         * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))).alias(name) for name, q in probs.items()])
+
+
+_EVERY = "*"  # marks counts that hold all values of a group and so serve every quantile
+
+
+def _spot(n: Column, q: float) -> Column:
+    return (n - 1) * F.lit(float(q))
+
+
+def _narrowed_counts(rows: DataFrame, by: list[str], probs: dict[str, float], above: int) -> DataFrame:
+    """(by..., n, _q, _v, _n): value counts inside the interval of each quantile, rows below at -infinity."""
+    slack = 2 / SKETCH_ACCURACY
     edges = [p for q in probs.values() for p in (max(0.0, q - slack), min(1.0, q + slack))]
     sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in edges]), F.lit(SKETCH_ACCURACY))
-    narrow = F.col("n") > bracket_above
-
-    def edge(i: int, otherwise: float) -> Column:
-        return F.when(narrow, F.get("_edges", F.lit(i))).otherwise(F.lit(otherwise))
-
-    brackets = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), sketch.alias("_edges")).select(
-        *by, "n", F.array(*[F.struct(
-            F.lit(name).alias("q"), ((F.col("n") - 1) * F.lit(float(q))).alias("spot"),
-            edge(2 * i, -math.inf).alias("low"), edge(2 * i + 1, math.inf).alias("high"))
-            for i, (name, q) in enumerate(probs.items())]).alias("_brackets"))
-    brackets = store(brackets, "brackets")
-    joined = rows.join(brackets, by)
+    whole = F.array(F.struct(F.lit(_EVERY).alias("q"), F.lit(-math.inf).alias("low"), F.lit(math.inf).alias("high")))
+    parts = F.array(*[F.struct(F.lit(name).alias("q"), F.get("_edges", F.lit(2 * i)).alias("low"),
+                               F.get("_edges", F.lit(2 * i + 1)).alias("high"))
+                      for i, name in enumerate(probs)])
+    brackets = store(
+        rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), sketch.alias("_edges"))
+        .select(*by, "n", F.when(F.col("n") > above, parts).otherwise(whole).alias("_brackets")), "brackets")
     v = F.col("_v")
-    kept = F.filter("_brackets", lambda b: v <= b["high"])
-    inside = (joined.withColumn("_b", F.explode(kept))
-              .select(*by, F.col("_b.q").alias("_q"), F.col("_b.spot").alias("_spot"), "n",
-                      F.when(v >= F.col("_b.low"), v).otherwise(F.lit(-math.inf)).alias("_v"))
-              .groupBy(*by, "_q", "_spot", "n", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    runs = running_totals(inside, [*by, "_q"], "_v", ["_n"], rows_per_task)
-
-    def at(rank: Column) -> Column:
-        holds = (F.col("_n_upto") > rank) & (F.col("_n_upto") - F.col("_n") <= rank)
-        return F.max(F.when(holds, F.col("_v")))
-
-    found = runs.groupBy(*by, "n", "_q", "_spot").agg(
-        at(F.floor("_spot")).alias("_lo"), at(F.ceil("_spot")).alias("_hi"))
-    part = F.col("_spot") - F.floor("_spot")
-    value_at = F.col("_lo") + part * (F.col("_hi") - F.col("_lo"))
-    return found.groupBy(*by, "n").agg(*[
-        F.max(F.when(F.col("_q") == name, value_at)).alias(name) for name in probs])
+    return (rows.join(brackets, by).withColumn("_b", F.explode(F.filter("_brackets", lambda b: v <= b["high"])))
+            .select(*by, "n", F.col("_b.q").alias("_q"),
+                    F.when(v >= F.col("_b.low"), v).otherwise(F.lit(-math.inf)).alias("_v"))
+            .groupBy(*by, "n", "_q", "_v").agg(F.count(F.lit(1)).alias("_n")))
 
 
 def class_sizes(df: DataFrame, by: Sequence[str], hash_col: str) -> tuple[DataFrame, DataFrame]:
@@ -142,8 +164,8 @@ def rank_cutoffs(df: DataFrame, by: Sequence[str], hash_col: str, key: str,
     The data is counted into 2**16 hash cells per class; only the one cell in
     which a cut falls is ranked, so no sort ever sees more than 1/65536 of a
     class and the raw rows are never shuffled. ``wants`` has at most
-    MAX_CLASSES x cuts rows (``class_sizes`` checks it). The cut points are
-    stored, so they are looked up once however often the result is used.
+    MAX_CLASSES x cuts rows (``class_sizes`` checks it), which bounds the
+    broadcast. Callers store the cut points, so they are looked up once.
     """
     by = list(by)
     run = Window.partitionBy(*by).orderBy("_cell").rowsBetween(
@@ -155,11 +177,10 @@ def rank_cutoffs(df: DataFrame, by: Sequence[str], hash_col: str, key: str,
              .select(*by, "_cell", "cut", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")))
     inside = (df.select(*by, hash_col, key)
               .withColumn("_cell", F.shiftright(hash_col, _SHIFT))
-              .join(store(edges, "edges"), [*by, "_cell"]))
+              .join(F.broadcast(edges), [*by, "_cell"]))
     rank = F.row_number().over(Window.partitionBy(*by, "cut").orderBy(hash_col, key))
-    found = (inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
-             .select(*by, "cut", F.col(hash_col).alias("cut_hash"), F.col(key).alias("cut_key")))
-    return store(found, "cuts")
+    return (inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
+            .select(*by, "cut", F.col(hash_col).alias("cut_hash"), F.col(key).alias("cut_key")))
 
 
 def at_or_before(hash_col: Column, key: Column, cut_hash: Column, cut_key: Column) -> Column:

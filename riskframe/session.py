@@ -13,6 +13,7 @@ def local_session(cores: int | str = 8, app: str = "riskframe", **conf: str) ->
         .config("spark.sql.shuffle.partitions", str(cores if cores != "*" else 8))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
