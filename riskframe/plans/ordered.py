@@ -48,11 +48,12 @@ def running_totals(counts: DataFrame, by: Sequence[str], order: str, sums: Seque
                              *[F.sum(s).over(whole).alias(f"{s}_all") for s in sums])
 
     ranges = min(MAX_RANGES, math.ceil(n / rows_per_task))
-    cuts = counts.select(F.col(order).cast("double").alias("v")).approxQuantile(
-        "v", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    ranged = (Bucketizer(splits=splits, inputCol="_v", outputCol="_range")
-              .transform(counts.withColumn("_v", F.col(order).cast("double"))).drop("_v"))
+    axis = counts.withColumn("_axis", F.col(order).cast("double"))
+    cuts = axis.approxQuantile("_axis", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))
+    splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)}), math.inf]
+    if len(splits) == 2:
+        splits.insert(1, 0.0)
+    ranged = Bucketizer(splits=splits, inputCol="_axis", outputCol="_range").transform(axis).drop("_axis")
     totals = ranged.groupBy(*by, "_range").agg(
         *[F.sum(s).alias(f"_{s}") for s in sums],
         F.max_by(F.struct(*sums), order).alias("_last"))
