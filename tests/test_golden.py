@@ -128,8 +128,8 @@ def test_quantiles_agree_with_numpy_when_narrowed_and_split(spark):
               "few": np.array([3.0, 1.0, 2.0])}
     df = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values], "g string, v double")
     probs = {"q1": 0.25, "mid": 0.5, "q9": 0.9}
-    for kwargs in ({}, {"narrow_above_bytes": 0, "narrow_above_rows": 50}, {"rows_per_task": 100},
-                   {"narrow_above_bytes": 0, "narrow_above_rows": 50, "rows_per_task": 10}):
+    for kwargs in ({}, {"narrow_above_bytes": 0, "narrow_above_rows": 50}, {"rows_per_task": 700},
+                   {"narrow_above_bytes": 0, "narrow_above_rows": 50, "rows_per_task": 60}):
         got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", probs, **kwargs).collect()}
         for g, values in groups.items():
             assert got[g]["n"] == len(values)
