@@ -39,7 +39,7 @@ def fe_one_hot(spark, sf):
 
 
 def _fitted(spark, sf, fit):
-    rows = sampled_orders(spark, sf)
+    rows = sampled_orders(spark, sf, folds=False)
     return rows, fit(rows.filter("split = 'train'"), SCALED)
 
 

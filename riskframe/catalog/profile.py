@@ -77,7 +77,7 @@ def eda_group_cube(spark, sf):
 
 
 def eda_split_compare(spark, sf):
-    return pr.split_compare(sampled_orders(spark, sf), NUMS)
+    return pr.split_compare(sampled_orders(spark, sf, folds=False), NUMS)
 
 
 def eda_pair_bins(spark, sf):

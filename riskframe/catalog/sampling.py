@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SCORED, chain, hash_sql, sampled, scored
 from riskframe.operators import sampling as sm
-from riskframe.plans.bindings import sampled_orders, scored_orders, vectors
+from riskframe.plans.bindings import scored_orders, vectors
 from riskframe.plans.storage import store
 
 FRACTIONS = [0.2, 0.4, 0.6, 0.8, 1.0]
@@ -18,11 +18,11 @@ def _rows(spark, sf):
 
 
 def sample_kfold(spark, sf):
-    return sampled_orders(spark, sf).select("id", "y", "fold")
+    return sm.stratified_folds(_rows(spark, sf), "id", ["y"])
 
 
 def split_stratified(spark, sf):
-    return sampled_orders(spark, sf).select("id", "y", "split")
+    return sm.stratified_split(_rows(spark, sf), "id", ["y"])
 
 
 def sample_under(spark, sf):

@@ -49,7 +49,7 @@ def run_log(spark, sf):
 def model_reload(spark, sf):
     from riskframe.operators.features import fit_features
 
-    rows = sampled_orders(spark, sf)
+    rows = sampled_orders(spark, sf, folds=False)
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     prepared = fit_features(train, feature_spec())
     model = tr.fit(tr.lr(), store(prepared.transform(train).select("y", "features"), "train"))

@@ -56,7 +56,7 @@ def score_risk_bands(spark, sf):
 
 
 def score_profile_batch(spark, sf):
-    rows = sampled_orders(spark, sf)
+    rows = sampled_orders(spark, sf, folds=False)
     from riskframe.operators.features import fit_features
 
     prepared = fit_features(rows.filter("split = 'train'"), feature_spec())

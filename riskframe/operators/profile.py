@@ -166,31 +166,37 @@ def encode_for_correlation(df: DataFrame, numeric: Sequence[str], ordinal: Mappi
     return df.select(*out)
 
 
-def _pair_corr(a: Column, b: Column) -> Column:
-    """Pearson r on rows where both are present; null if either is constant there."""
-    both = a.isNotNull() & b.isNotNull()
-    left, right = F.when(both, a.cast("double")), F.when(both, b.cast("double"))
-    flat = (F.min(left) == F.max(left)) | (F.min(right) == F.max(right))
-    r = F.try_divide(F.covar_samp(left, right), F.stddev_samp(left) * F.stddev_samp(right))
-    return F.when(flat, F.lit(None).cast("double")).otherwise(r)
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(pair, r) for every pair, on rows where both are present; r is null if either is constant there.
+
+    The pairs go to rows of one narrow aggregate: it keeps to generated code
+    however many pairs there are, which an aggregate as wide as the pairs does not.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
+                               F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
+    rows = df.select(F.inline(cells)).filter("x is not null and y is not null")
+    flat = (F.min("x") == F.max("x")) | (F.min("y") == F.max("y"))
+    r = F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y"))
+    found = rows.groupBy("pair").agg(F.when(~flat, r).alias("r"))
+    return (df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
+            .join(found, "pair", "left"))
 
 
 def guarded_corr(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]] | None = None,
                  digits: int = 6) -> DataFrame:
-    """Pairwise-complete correlations in long form (a, b, r), all pairs in one aggregate."""
-    pairs = list(pairs if pairs is not None else combinations(columns, 2))
-    wide = df.agg(*[_pair_corr(F.col(a), F.col(b)).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(min(a, b)).alias("a"), F.lit(max(a, b)).alias("b"),
-                 F.round(F.col(f"_r{i}"), digits).alias("r")) for i, (a, b) in enumerate(pairs)])))
+    """Pairwise-complete correlations in long form (a, b, r)."""
+    pairs = [(min(p), max(p)) for p in (pairs if pairs is not None else combinations(columns, 2))]
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    return (_pair_correlations(df, pairs).withColumn("_p", F.get(names, F.col("pair")))
+            .select("_p.a", "_p.b", F.round("r", digits).alias("r")))
 
 
 def point_biserial(df: DataFrame, features: Sequence[str], target: str, digits: int = 6) -> DataFrame:
     """|r(feature, target)|, strongest first, constant features left out."""
-    wide = df.agg(*[_pair_corr(F.col(f), F.col(target)).alias(f"_r{i}") for i, f in enumerate(features)])
-    rows = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.round(F.abs(F.col(f"_r{i}")), digits).alias("abs_r"))
-        for i, f in enumerate(features)]))).filter(F.col("abs_r").isNotNull())
+    names = F.array(*[F.lit(f) for f in features])
+    rows = (_pair_correlations(df, [(f, target) for f in features])
+            .select(F.get(names, F.col("pair")).alias("feature"), F.round(F.abs("r"), digits).alias("abs_r"))
+            .filter(F.col("abs_r").isNotNull()))
     place = F.row_number().over(Window.orderBy(F.col("abs_r").desc(), "feature"))  # a row per feature
     return rows.withColumn("place", place)
 

@@ -59,12 +59,13 @@ def scored_orders(spark: SparkSession, folder: str) -> DataFrame:
             .drop("_z"))
 
 
-def sampled_orders(spark: SparkSession, folder: str) -> DataFrame:
+def sampled_orders(spark: SparkSession, folder: str, folds: bool = True, split: bool = True) -> DataFrame:
     from riskframe.operators.sampling import stratified_folds, stratified_split
 
-    base = store(scored_orders(spark, folder), "scored")
-    folded = stratified_folds(base, "id", ["y"], folds=5, salt="fold")
-    return stratified_split(folded, "id", ["y"], test_fraction=0.2, salt="split")
+    rows = store(scored_orders(spark, folder), "scored")
+    if folds:
+        rows = stratified_folds(rows, "id", ["y"], folds=5, salt="fold")
+    return stratified_split(rows, "id", ["y"], test_fraction=0.2, salt="split") if split else rows
 
 
 def doc_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,7 +115,7 @@ def modelling_table(spark: SparkSession, folder: str):
 
 def fold_scores(spark: SparkSession, folder: str) -> DataFrame:
     """(model, id, fold, y, pred, score) of three scored models over the five folds."""
-    rows = sampled_orders(spark, folder)
+    rows = sampled_orders(spark, folder, split=False)
     both = F.round((F.col("score_a") + F.col("score_b")) / 2, 6)
     models = F.array(
         F.struct(F.lit("model_a").alias("model"), F.col("pred_a").alias("pred"), F.col("score_a").alias("score")),
