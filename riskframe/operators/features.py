@@ -231,11 +231,11 @@ def chi2_ranking(df: DataFrame, features: Sequence[str], target: str, classes: S
 def covariance_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Sample covariances in long form, a <= b in list order."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_c{i}")
-                    for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(F.col(f"_c{i}"), digits).alias("cov"))
-        for i, (a, b) in enumerate(pairs)])))
+    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
+                               F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    return (df.select(F.inline(cells)).groupBy("pair").agg(F.covar_samp("x", "y").alias("c"))
+            .withColumn("_p", F.get(names, F.col("pair"))).select("_p.a", "_p.b", F.round("c", digits).alias("cov")))
 
 
 def pca_variance(df: DataFrame, vector: str = "features", goal: float = 0.95) -> DataFrame:

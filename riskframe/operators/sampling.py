@@ -12,6 +12,10 @@ from riskframe.plans.ordered import at_or_before, class_sizes, rank_cutoffs
 from riskframe.plans.storage import store
 
 
+COPIES_PER_STEP = 10_000
+TOP_K_ROWS = 10_000
+
+
 def _hashed(df: DataFrame, key: str, salt: str | Column) -> DataFrame:
     return df.withColumn("_h", keyed_hash(salt, F.col(key)))
 
@@ -83,6 +87,23 @@ def stratified_folds(df: DataFrame, key: str, by: Sequence[str], folds: int = 5,
             .select(*df.columns, column))
 
 
+def repeat_rows(df: DataFrame, key: str, times: Column, most: int, column: str) -> DataFrame:
+    """Every row ``times`` times, numbered from 0 in ``column``; ``most`` is an upper bound of ``times``.
+
+    A row repeated more than COPIES_PER_STEP times is dealt out in steps over
+    the cluster, so a tiny class filled up to a huge one is not one task's work.
+    """
+    rows = df.withColumn("_times", times.cast("long")).filter("_times > 0")
+    if most > COPIES_PER_STEP:
+        steps = F.sequence(F.lit(0).cast("long"), F.floor((F.col("_times") - 1) / F.lit(float(COPIES_PER_STEP))))
+        rows = rows.withColumn("_step", F.explode(steps)).repartition(key, "_step")
+    else:
+        rows = rows.withColumn("_step", F.lit(0).cast("long"))
+    first = F.col("_step") * COPIES_PER_STEP
+    last = F.least(F.col("_times"), first + COPIES_PER_STEP) - 1
+    return rows.withColumn(column, F.explode(F.sequence(first, last))).drop("_times", "_step")
+
+
 def under_sample(df: DataFrame, key: str, target: str, salt: str = "under") -> DataFrame:
     """Every class cut down to the smallest one, without replacement."""
     def wants(sizes: DataFrame) -> DataFrame:
@@ -110,8 +131,9 @@ def over_sample(df: DataFrame, key: str, target: str, salt: str = "over") -> Dat
                               plan.select(target, F.lit(0).alias("cut"), "want")).drop("cut"), "cuts")
     extra = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False)).cast("long")
-    return (hashed.join(plan.select(target, "_times"), target).join(cuts, target, "left")
-            .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times") + extra)))
+    most = plan.agg(F.max("_times")).first()[0] + 2
+    joined = hashed.join(plan.select(target, F.col("_times").alias("_full")), target).join(cuts, target, "left")
+    return (repeat_rows(joined, key, F.lit(1) + F.col("_full") + extra, most, "copy")
             .select(*df.columns, "copy"))
 
 
@@ -137,8 +159,16 @@ def progressive_samples(df: DataFrame, key: str, fractions: Sequence[float],
 
 
 def fixed_sample(df: DataFrame, key: str, size: int, salt: str = "fixed") -> DataFrame:
-    """Exactly ``size`` rows without replacement (E7): a top-k by hash, no full sort."""
-    return (_hashed(df, key, salt).orderBy("_h", key).limit(size).drop("_h"))
+    """Exactly ``size`` rows without replacement, the first in hash order.
+
+    Picture-sized samples are a top-k, with no full sort; larger ones go by cut
+    point, which neither sorts nor gathers the rows.
+    """
+    if size <= TOP_K_ROWS:
+        return _hashed(df, key, salt).orderBy("_h", key).limit(size).drop("_h")
+    marked = take_per_class(df.withColumn("_one", F.lit(0)), key, ["_one"], salt,
+                            lambda s: s.withColumn("want", F.least("n_class", F.lit(size).cast("long"))))
+    return marked.filter("_taken").select(*df.columns)
 
 
 def capped_folds(df: DataFrame, key: str, by: Sequence[str], floor_rows: int = 5000,
@@ -173,9 +203,9 @@ def smote(df: DataFrame, key: str, target: str, vector: str, minority, draws: in
                            lambda s: s.withColumn("want", F.lit(rest).cast("long")))
     times = F.lit(each) + F.col("_taken").cast("int")
     draw_key = F.concat_ws("/", "base_id", "draw")
-    dealt = (dealt.filter(times > 0)
+    dealt = (repeat_rows(dealt, key, times, each + 1, "_copy")
              .select(F.col(key).alias("base_id"), F.col(vector).alias("_from"),
-                     F.explode(F.sequence(F.lit(1), times)).alias("draw"))
+                     (F.col("_copy") + 1).cast("int").alias("draw"))
              .withColumn("rank", (keyed_hash(f"{salt}-pick", draw_key) % k + 1).cast("int"))
              .withColumn("_u", keyed_uniform(f"{salt}-step", draw_key)))
     near = nearest_neighbours(minor, minor, key, vector, k).drop("distance")

@@ -88,6 +88,21 @@ def test_resampled_sizes(spark, labelled):
     assert max(r["d"] for r in copies.collect()) <= 1
 
 
+def test_heavy_repeats_are_dealt_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(sm, "COPIES_PER_STEP", 7)
+    df = store(spark.range(300).select("id", (F.col("id") < 4).cast("int").alias("y")))
+    over = sm.over_sample(df, "id", "y")
+    assert {r["y"]: r["count"] for r in over.groupBy("y").count().collect()} == {0: 296, 1: 296}
+    assert over.select("id", "copy").distinct().count() == 592
+
+
+def test_large_fixed_samples_go_by_cut_point(spark, labelled, monkeypatch):
+    small = sm.fixed_sample(labelled, "id", 500).collect()
+    monkeypatch.setattr(sm, "TOP_K_ROWS", 10)
+    assert sorted(sm.fixed_sample(labelled, "id", 500).collect()) == sorted(small)
+    assert sm.fixed_sample(labelled, "id", 9999).count() == 3001
+
+
 def test_progressive_samples_nest(spark, labelled):
     rows = sm.progressive_samples(labelled, "id", [0.2, 0.5, 1.0])
     sizes = {r["fraction"]: r["count"] for r in rows.groupBy("fraction").count().collect()}
