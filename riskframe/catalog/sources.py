@@ -6,7 +6,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from riskframe.catalog.base import survey
+from riskframe.catalog.base import SAMPLED, chain, survey
+from riskframe.catalog.training import FOLDS
 from riskframe.operators import training as tr
 from riskframe.plans.bindings import feature_spec, fold_scores, order_survey, sampled_orders
 from riskframe.plans.storage import fresh_path, store
@@ -65,6 +66,10 @@ def model_reload(spark, sf):
 QUERIES = {f.__name__: f for f in (scan_roundtrip, scan_inferred, run_log, model_reload)}
 
 ORACLE = {
+    "run_log": chain(SAMPLED, FOLDS, " union all ".join(
+        f"select model as run_name, '2024-01-02' as day, '{m}_{kind}' as metric, round({fn}({m}),6) as \"value\" "
+        "from fm where fold<4 group by model" for m in tr.FOLD_METRICS
+        for kind, fn in (("mean", "avg"), ("std", "stddev_pop")))),
     "scan_roundtrip": survey("""select segment, status, count(*) as n, count(qty_sum) as with_quantity,
         sum(qty_sum)::BIGINT as quantity, sum(cast(round(acctbal*100) as bigint))::BIGINT as cents,
         sum(y)::BIGINT as positives from survey group by segment, status"""),

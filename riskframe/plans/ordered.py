@@ -95,7 +95,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
         raise ValueError("group by at least one column, such as the name of the measured one")
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if planned_bytes(df) > narrow_above_bytes:
+    narrowed = planned_bytes(df) > narrow_above_bytes
+    if narrowed:
         counts = _narrowed_counts(rows, by, probs, narrow_above_rows)
     else:
         counts = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_q", F.lit(_EVERY))
@@ -112,8 +113,15 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: dict[st
         found += [at(name, F.floor(spot)).alias(f"_lo_{name}"), at(name, F.ceil(spot)).alias(f"_hi_{name}")]
     if "n" not in runs.columns:
         runs = runs.withColumn("n", F.col("_n_all"))
-    rows = runs.groupBy(*by, "n").agg(*found)
-    return rows.select(*by, "n", *[
+    ends = runs.groupBy(*by, "n").agg(*found)
+    if narrowed:
+        ends = store(ends, "ranks")
+        missed = F.lit(False)
+        for c in ends.columns[len(by) + 1:]:
+            missed = missed | F.col(c).isNull() | (F.col(c) == -math.inf)
+        if not ends.filter(missed).isEmpty():  # an interval missed its rank: keep all values instead
+            return exact_quantiles(df, by, value, probs, rows_per_task, narrow_above_bytes=planned_bytes(df))
+    return ends.select(*by, "n", *[
         (F.col(f"_lo_{name}") + (_spot(F.col("n"), q) - F.floor(_spot(F.col("n"), q)))
          * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))).alias(name) for name, q in probs.items()])
 

@@ -135,3 +135,12 @@ def test_quantiles_agree_with_numpy_when_narrowed_and_split(spark):
             assert got[g]["n"] == len(values)
             for name, q in probs.items():
                 assert got[g][name] == pytest.approx(np.quantile(values, q), abs=1e-12), (kwargs, g, name)
+
+
+def test_quantiles_fall_back_when_an_interval_misses(spark, monkeypatch):
+    from riskframe.plans import ordered
+
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", 10 ** 9)  # no slack, so neighbours of a rank lie outside
+    df = spark.createDataFrame([("g", float(i * i)) for i in range(2000)], "g string, v double")
+    got = exact_quantiles(df, ["g"], "v", {"a": 0.3333}, narrow_above_bytes=0, narrow_above_rows=10).first()
+    assert got["a"] == pytest.approx(666 ** 2 + (0.3333 * 1999 - 666) * (667 ** 2 - 666 ** 2))
