@@ -5,11 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm import packing, token_files
+from riskframe.llm import byte_bpe, ngram_join, packing, token_counts, token_files, top_k, url_rules, vector_dedup
+from riskframe.llm.url_rules import GlobRule, HostRule
 from riskframe.plans.storage import fresh_path
 from riskframe.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
+MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
+
+# The rules of the contract.
+HOST_RULES = [
+    HostRule("allow", "com", "/"),
+    HostRule("block", "example.com", "/en/"),
+    HostRule("allow", "www.example.com", "/en/"),
+    HostRule("block", "net", "/es/"),
+    HostRule("block", "net", "/fr/"),
+]
+#: What is judged beyond them: gambling hosts, programs for download, log-in pages.
+GLOB_RULES = [GlobRule("block", "*casino-**"), GlobRule("block", "**.exe"), GlobRule("block", "**/login**")]
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +32,37 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, GLOB_RULES)
+
+
+OP3_SQL = r"""
+with parts as (
+  select page_id,
+    case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+split as (
+  select page_id, regexp_extract(rest, '^([^/?#]*)', 1) as raw_host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from parts),
+named as (
+  select page_id, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from split),
+rules(verdict, host, path) as (
+  values ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits as (
+  select n.page_id, n.host as h, n.path as p, r.host || r.path as rule, r.verdict,
+    row_number() over (partition by n.page_id, n.host, n.path order by length(r.host || r.path) desc) as k
+  from named n join rules r on (n.host = r.host or ends_with(n.host, '.' || r.host)) and starts_with(n.path, r.path)),
+globs as (
+  select *, case when ends_with(host || path, '.exe') then '**.exe' end as g1,
+    case when contains(host, 'casino-') then '*casino-**' end as g2,
+    case when contains(host || path, '/login') then '**/login**' end as g3 from named)
+select g.page_id, g.host, g.path, f.rule,
+  coalesce(f.verdict, case when coalesce(g1, g2, g3) is not null then 'block' else 'allow' end) as verdict,
+  case when f.rule is null then coalesce(g2, g3, g1) end as glob
+from globs g left join (select * from fits where k = 1) f on f.page_id = g.page_id and f.h = g.host and f.p = g.path"""
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids to packed files and digest what is read back."""
     folder = fresh_path(spark, "token-files")
@@ -28,5 +73,91 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_packing": op1_packing, "op4_token_files": op4_token_files}
-ORACLE: dict[str, str] = {}
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best candidates of every fiftieth vector."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+OP5_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) as q from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::INTEGER as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5"""
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document and whether they are more than 2048."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), limit=2_048)
+
+
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of every vector at a cosine of 0.98."""
+    return vector_dedup.dedup_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP7_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::DOUBLE[] as e from embeddings
+  where embedding is not null and label is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+least as (select a, min(b) as m from reach group by a),
+degree as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(d.n, 0)::BIGINT as n_links, least(e.vec_id, coalesce(l.m, e.vec_id)) as component_id,
+  e.vec_id = least(e.vec_id, coalesce(l.m, e.vec_id)) as kept
+from embeddings e left join degree d on d.a = e.vec_id left join least l on l.a = e.vec_id"""
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9."""
+    return ngram_join.ngram_jaccard(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+OP9_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as w from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s
+  from words),
+sizes as (select doc_id, len(s)::BIGINT as n from sets),
+shingles as (select doc_id, unnest(s) as g from sets),
+common as (select x.doc_id as a, y.doc_id as b, count(*) as k from shingles x join shingles y
+           on x.g = y.g and x.doc_id <> y.doc_id group by all),
+links as (select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+          where 100 * k >= 90 * (p.n + q.n - k)),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on l.a = r.b),
+least as (select a, min(b) as m from reach group by a)
+select s.doc_id, s.n as n_shingles, least(s.doc_id, coalesce(l.m, s.doc_id)) as component_id
+from sizes s left join least l on l.a = s.doc_id"""
+
+
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every document, decode the ids, digest both."""
+    ranks = public_tokenizers.path(MULTI_BPE)
+    encoded = byte_bpe.encode_corpus(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decode_corpus(encoded, ranks))
+
+
+QUERIES = {
+    "op1_packing": op1_packing,
+    "op3_url_rules": op3_url_rules,
+    "op4_token_files": op4_token_files,
+    "op5_top_k": op5_top_k,
+    "op6_token_counts": op6_token_counts,
+    "op7_vector_dedup": op7_vector_dedup,
+    "op9_ngram_join": op9_ngram_join,
+    "op10_byte_bpe": op10_byte_bpe,
+}
+ORACLE = {"op3_url_rules": OP3_SQL, "op5_top_k": OP5_SQL, "op7_vector_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL}
