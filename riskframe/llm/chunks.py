@@ -21,7 +21,8 @@ from riskframe.llm.tokens import slices
 from riskframe.llm.workers import ready, shuffle_width, task_number
 from riskframe.plans.storage import fresh_path
 
-_CHUNK = pa.schema([("chunk", pa.int64()), ("payload", pa.binary()), ("terms", pa.list_(pa.string()))])
+_CHUNK = pa.schema([("chunk", pa.int64()), ("payload", pa.binary()), ("terms", pa.list_(pa.string())),
+                    ("counts", pa.list_(pa.int64()))])
 _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
 
@@ -36,11 +37,11 @@ def from_bytes(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all().combine_chunks()
 
 
-def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple[pa.Table, pa.Array]], label: str,
-            size: int) -> DataFrame:
-    """(chunk, payload, terms) of chunks with about ``size`` bytes of text, written as a table bucketed by chunk.
+def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple], label: str, size: int) -> DataFrame:
+    """(chunk, payload, terms, counts) of chunks with about ``size`` bytes of text, as a table bucketed by chunk.
 
-    ``build`` gets the rows of a chunk and returns its payload and its distinct terms.
+    ``build`` gets the rows of a chunk and returns its payload, its distinct terms and, if it counts them, an array of
+    counts beside the terms.
     """
     spark = ready(docs.sparkSession)
 
@@ -48,10 +49,11 @@ def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple[pa.Tab
         number, held, weight = task_number() << 24, [], 0
 
         def close() -> pa.RecordBatch:
-            payload, terms = build(pa.Table.from_batches(held).combine_chunks())
-            lists = pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms)
+            payload, terms, *counts = build(pa.Table.from_batches(held).combine_chunks())
+            ends = pa.array([0, len(terms)], pa.int32())
+            counted = pa.ListArray.from_arrays(ends, counts[0]) if counts else pa.array([None], pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([to_bytes(payload)], pa.binary()),
-                                               lists], schema=_CHUNK)
+                                               pa.ListArray.from_arrays(ends, terms), counted], schema=_CHUNK)
         for rows in slices(batches, text, max(1, size // 4)):
             held.append(rows)
             weight += pc.sum(pc.binary_length(rows.column(text))).as_py() or 0
@@ -62,7 +64,7 @@ def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple[pa.Tab
             yield close()
 
     name = f"{label}_{uuid.uuid4().hex}"
-    (docs.mapInArrow(gather, "chunk long, payload binary, terms array<string>")
+    (docs.mapInArrow(gather, "chunk long, payload binary, terms array<string>, counts array<bigint>")
      .write.option("path", fresh_path(spark, label)).option("compression", "zstd")
      .bucketBy(shuffle_width(spark), "chunk").saveAsTable(name))
     return spark.table(name)
@@ -131,7 +133,7 @@ def finish(chunks: DataFrame, found: DataFrame, make: Callable[[pa.Table, pa.Arr
                  for name in right.column_names if name not in ("chunk", "pos")}
         return make(from_bytes(left["payload"][0].as_py()), terms, lists)
 
-    return chunks.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(one, kind)
+    return chunks.select("chunk", "payload", "terms").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(one, kind)
 
 
 def frequency_codes(flat: pa.Array) -> tuple[np.ndarray, pa.Array]:

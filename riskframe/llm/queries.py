@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskframe.llm import byte_bpe, ngram_join, packing, token_counts, token_files, top_k, url_rules, vector_dedup
+from riskframe.llm import byte_bpe, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
 from riskframe.llm.url_rules import GlobRule, HostRule
 from riskframe.plans.storage import fresh_path
 from riskframe.sources.tables import table
@@ -32,6 +32,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("ids")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: the patterns' and those that the network adds."""
+    docs = table(spark, sf_dir, "documents")
+    spans = F.col("spans")
+
+    def joined(chosen: Column) -> Column:
+        return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter(spans, lambda s: s["kind"].isin(*secret_scan.KINDS))
+    return secret_scan.scan(docs, secret_scan.learn(docs)).select(
+        "doc_id", *map(count, secret_scan.KINDS), F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(spans).alias("spans"))
+
+
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), HOST_RULES, GLOB_RULES)
@@ -117,6 +133,11 @@ select e.vec_id, coalesce(d.n, 0)::BIGINT as n_links, least(e.vec_id, coalesce(l
 from embeddings e left join degree d on d.a = e.vec_id left join least l on l.a = e.vec_id"""
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and decision for every document."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_key")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles have a Jaccard similarity of 0.9."""
     return ngram_join.ngram_jaccard(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
@@ -152,11 +173,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_secret_scan": op2_secret_scan,
     "op3_url_rules": op3_url_rules,
     "op4_token_files": op4_token_files,
     "op5_top_k": op5_top_k,
     "op6_token_counts": op6_token_counts,
     "op7_vector_dedup": op7_vector_dedup,
+    "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
 }

@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def folders(spark, tmp_path_factory):
+    """Stored tables of these tests go where pytest keeps its files."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('stored')}")
