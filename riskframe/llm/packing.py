@@ -3,7 +3,7 @@
 Every partition keeps a fixed number of open windows. A document is encoded and closed by an end id; whole windows are
 cut off a long one, and the rest goes to the open window it fills best. Where it fits none and no further window may
 be opened, the fullest is emitted, topped up from the front of the document if both parts stay long enough. What is
-open at the end of the partitions is merged: their pieces are packed again, 64 partitions at a time, and the emptiest
+open at the end of the partitions is merged: their pieces are packed again, 16 partitions at a time, and the emptiest
 windows poured into the fullest.
 """
 
@@ -155,7 +155,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
         made = [(_MERGED | group << 32 | i, w) for i, w in enumerate(closed)]
         return pa.Table.from_batches([_rows(made, group, False, with_ids)])
 
-    merged = (placed.filter("open").withColumn("group", F.expr("part div 64"))
+    merged = (placed.filter("open").withColumn("group", F.expr("part div 16"))
               .groupBy("group").applyInArrow(merge, _KIND))
     return (placed.filter("not open").union(merged)
             .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"))

@@ -23,6 +23,8 @@ _KEPT: dict[tuple, object] = {}
 _SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0  -     　"
 _ODD = f"^[{_SPACE}]|[{_SPACE}]$|[{_SPACE}] | [{_SPACE}]"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Letters or digits, and what follows from the first other sign on: there a new match starts as well.
+_HEAD = re.compile(r"([^\W_]++)([^\w\s].*)", re.S)
 
 
 def kept(key: tuple, make: Callable[[], object]) -> object:
@@ -82,32 +84,48 @@ def stretches(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 class StretchEncoder:
     """ids of texts.
 
-    ``encode_many(strings)`` gives the ids of each string; it is called for stretches that are not kept. At most
-    ``most`` stretches are kept in a worker; beyond, the cache starts anew, which costs time and nothing else.
+    ``encode_many(strings)`` gives the ids of each string; it is called for what is not kept. A stretch is a head of
+    letters and digits and a tail from the first other sign on, each kept by itself unless ``with_tails`` is false. At
+    most ``most`` heads are kept in a worker; beyond, the cache starts anew, which costs time and nothing else.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]], most: int = 1_000_000):
-        self.encode_many, self.most = encode_many, most
-        self.known: dict[str, bytes] = {}
+    def __init__(self, encode_many: Callable[[list[str]], Iterable[list[int]]], most: int = 800_000,
+                 with_tails: bool = True):
+        self.encode_many, self.most, self.with_tails = encode_many, most, with_tails
+        self.heads: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _bytes(self, many: list[str]) -> list[bytes]:
+        return [array.array("I", ids).tobytes() for ids in self.encode_many(many)]
+
+    def _known(self, cache: dict[str, bytes], wanted: list[str], prefix: str) -> dict[str, bytes]:
+        unknown = [one for one in dict.fromkeys(wanted) if one not in cache]
+        if len(cache) + len(unknown) > self.most:
+            cache.clear()
+            unknown = list(dict.fromkeys(wanted))
+        cache.update(zip(unknown, self._bytes([prefix + one for one in unknown])))
+        return cache
+
+    def _after_space(self, many: list[str]) -> list[bytes]:
+        if not self.with_tails:
+            return list(map(self._known(self.heads, many, " ").__getitem__, many))
+        split = _HEAD.fullmatch
+        cut = [None if one.isalpha() else split(one) for one in many]
+        heads = self._known(self.heads, [m[1] if m else one for m, one in zip(cut, many)], " ")
+        tails = self._known(self.tails, [m[2] for m in cut if m], "")
+        return [heads[m[1]] + tails[m[2]] if m else heads[one] for m, one in zip(cut, many)]
+
+    def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in order, where each text's begin); ``end`` is put after every text."""
         collecting = gc.isenabled()
         gc.disable()  # millions of short lists would start the collector again and again
         try:
-            return [array.array("I", ids).tobytes() for ids in self.encode_many(many)]
+            return self._encode(texts, end)
         finally:
             if collecting:
                 gc.enable()
 
-    def _after_space(self, many: list[str]) -> list[bytes]:
-        unknown = [one for one in many if one not in self.known]
-        if len(self.known) + len(unknown) > self.most:
-            self.known, unknown = {}, many
-        self.known.update(zip(unknown, self._bytes([" " + one for one in unknown])))
-        return list(map(self.known.__getitem__, many))
-
-    def __call__(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in order, where each text's begin); ``end`` is put after every text."""
+    def _encode(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         parts, offsets = stretches(texts)
         coded = parts.dictionary_encode()
         codes = coded.indices.to_numpy().astype(np.int64)
@@ -140,5 +158,8 @@ def library_encoder(path: str) -> StretchEncoder:
     """The encoder of a ``tokenizers`` file, without begin, end or other added special tokens."""
     def make() -> StretchEncoder:
         tokenizer = load_tokenizer(path)
-        return StretchEncoder(lambda many: (e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)))
+        # A special string must not be cut; one that starts with a letter could be.
+        added = tokenizer.get_added_tokens_decoder().values()
+        return StretchEncoder(lambda many: (e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)),
+                              with_tails=not any(t.content[:1].isalnum() for t in added))
     return kept(("stretches", path), make)
