@@ -1,12 +1,14 @@
-"""Byte-level BPE encoding and decoding of a corpus by merge replay.
+"""Byte-level BPE encoding and decoding by merge replay.
 
-A text is cut into stretches (see ``tokens``). The distinct stretches of the corpus are gathered, split into the
-vocabulary's words, and the distinct words are merged together, block by block, by replaying all merges in rank order
-(see ``merges``). Every chunk of documents then gets the ids of its stretches and lays out those of its documents.
+A task takes its share of the corpus in large slices. The texts of a slice are cut into stretches (see ``tokens``), the
+distinct ones are split into the vocabulary's words, and all distinct words are merged together by replaying the merges
+in rank order (see ``merges``); the ids of the slice's documents are then laid out from the words'. Nothing is shuffled
+or kept: a dictionary of the whole corpus' words, joined back to the documents, moved more bytes than the texts have.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from itertools import chain
@@ -15,10 +17,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from riskframe.llm.chunks import by_distinct_term, chunked, finish, frequency_codes, from_bytes, joined, planes, term_rows, to_bytes
 from riskframe.llm.merges import MergeTable, load_ranks, replay
-from riskframe.llm.tokens import kept, lay_out, stretches, text_array
-from riskframe.llm.workers import ready
+from riskframe.llm.tokens import kept, lay_out, slices, stretches, text_array
+from riskframe.llm.workers import batch, ready
+
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+_DIGEST = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+                     ("decoded_sha256", pa.string())])
 
 
 def _ranks(path: str) -> MergeTable:
@@ -28,81 +33,86 @@ def _ranks(path: str) -> MergeTable:
 def encode_stretches(terms: list[str], table: MergeTable, pattern: str) -> list[bytes]:
     """The ids of every string as little-endian unsigned 32-bit bytes, each match of the pattern by itself."""
     import regex
-    cut = kept(("pattern", pattern), lambda: regex.compile(pattern))
-    matches = [cut.findall(term) for term in terms]
+    cut = kept(("pattern", pattern), lambda: regex.compile(pattern)).findall
+    matches = [cut(term) for term in terms]
     words = list(dict.fromkeys(chain.from_iterable(matches)))
-    ids = {word: one.astype("<u4").tobytes() for word, one in zip(words, replay([w.encode() for w in words], table))}
-    return [b"".join(map(ids.__getitem__, found)) for found in matches]
+    ids = dict(zip(words, replay([w.encode() for w in words], table)))
+    return [ids[found[0]] if len(found) == 1 else b"".join(map(ids.__getitem__, found)) for found in matches]
+
+
+def encode_texts(texts: pa.Array, table: MergeTable, pattern: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in order, where each text's begin)."""
+    collecting = gc.isenabled()
+    gc.disable()  # many short lists, no cycles
+    try:
+        return _encode_texts(texts, table, pattern)
+    finally:
+        if collecting:
+            gc.enable()
 
 
-def _sequences(rows: pa.Table) -> tuple[pa.Table, pa.Array]:
-    """Per document its stretches in order; a text's first is marked by an escape, since no space is before it."""
-    texts = text_array(rows["text"].combine_chunks())
+def _encode_texts(texts: pa.Array, table: MergeTable, pattern: str) -> tuple[np.ndarray, np.ndarray]:
     parts, offsets = stretches(texts)
-    first = np.zeros(len(parts), bool)
-    first[offsets[:-1]] = True
-    codes, words = frequency_codes(parts)
-    # A stretch may come first in one text and later in another: these are two terms.
-    both, terms_at = np.unique(codes * 2 + first, return_inverse=True)
-    plain = words.take(pa.array(both // 2))
-    spaced = pa.array([w if own else " " + w for w, own in zip(plain.to_pylist(), (both % 2).tolist())], pa.string())
-    inner = pa.table(planes(terms_at))
-    sizes = np.diff(offsets)
-    return pa.table({"doc_id": rows["doc_id"], "parts": pa.array(sizes),
-                     "inner": pa.array([to_bytes(inner)] + [None] * (len(texts) - 1), pa.binary())}), spaced
+    coded = parts.dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64) * 2
+    codes[offsets[:-1]] += 1  # no space stands before a text's first stretch
+    used, codes = np.unique(codes, return_inverse=True)
+    plain = coded.dictionary.take(pa.array(used // 2)).to_pylist()
+    terms = [w if own else " " + w for w, own in zip(plain, (used % 2).tolist())]
+    return lay_out(encode_stretches(terms, table, pattern), codes, offsets)
+
+
+def decode_ids(ids: np.ndarray, table: MergeTable) -> bytes:
+    """The bytes behind the ids; an unknown id is an error."""
+    return b"".join(map(table.bytes_of.__getitem__, ids.tolist()))
 
 
 def encode_corpus(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-                  chunk_bytes: int = 16_000_000) -> DataFrame:
+                  slice_bytes: int = 4_000_000) -> DataFrame:
     """(doc_id, ids) of every row; ``ids`` are little-endian unsigned 32-bit integers, without special tokens.
 
     A null or empty text has no ids. Null and repeated ids are kept, every row is encoded by itself; a text of any
-    length is in one chunk; an empty table gives no rows.
+    length is in one slice; an empty table gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    chunks = chunked(rows, 1, _sequences, "byte_bpe", chunk_bytes)
-    found = by_distinct_term(term_rows(chunks), lambda terms: encode_stretches(terms, _ranks(ranks), pattern),
-                             pa.binary(), "binary")
+    ready(docs.sparkSession)
 
-    def lay(payload: pa.Table, terms: pa.Array, values: dict[str, pa.Array]) -> pa.Table:
-        sizes = payload["parts"].to_numpy()
-        offsets = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(sizes, out=offsets[1:])
-        ids, ends = lay_out(values["values"].to_pylist(), joined(from_bytes(payload["inner"][0].as_py())), offsets)
-        made = [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        return pa.table({"doc_id": payload["doc_id"], "ids": pa.array(made, pa.binary())})
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in slices(batches, 1, slice_bytes):
+            ids, ends = encode_texts(text_array(rows.column(1)), _ranks(ranks), pattern)
+            yield batch(_ENCODED, rows.column(0),
+                        [ids[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())])
 
-    return finish(chunks, found, lay, "doc_id long, ids binary")
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInArrow(encode, "doc_id long, ids binary"))
 
 
 def decode_corpus(encoded: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
-    """The rows with ``decoded``, the bytes behind the ids; null ids decode to null. An unknown id is an error."""
+    """The rows with ``decoded``, the bytes behind the ids; null ids decode to null."""
     ready(encoded.sparkSession)
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
+    at = encoded.columns.index(ids_col)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _ranks(ranks).bytes_of.__getitem__
         for rows in batches:
-            made = [None if ids is None else b"".join(map(token, np.frombuffer(ids, "<u4").tolist()))
-                    for ids in rows.column(ids_col).to_pylist()]
+            made = [None if one is None else decode_ids(np.frombuffer(one, "<u4"), _ranks(ranks))
+                    for one in rows.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(made, pa.binary())],
                                              names=[*rows.schema.names, "decoded"])
 
-    return encoded.mapInArrow(decode, schema)
+    return encoded.mapInArrow(decode, T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def digest(decoded: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): digests of the decimal ids joined by commas and of the bytes."""
-    ready(decoded.sparkSession)
+def digest(encoded: DataFrame, ranks: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): of the decimal ids joined by commas and of the decoded bytes."""
+    ready(encoded.sparkSession)
 
     def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            ids = [np.frombuffer(one, "<u4").tolist() for one in rows.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                rows.column(0), pa.array(list(map(len, ids)), pa.int64()),
-                pa.array([hashlib.sha256(",".join(map(str, one)).encode()).hexdigest() for one in ids], pa.string()),
-                pa.array([hashlib.sha256(one).hexdigest() for one in rows.column(2).to_pylist()], pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return (decoded.select("doc_id", "ids", "decoded")
+            made = []
+            for one in rows.column(1):
+                ids = np.frombuffer(one.as_py(), "<u4")
+                made.append((len(ids), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(),
+                             hashlib.sha256(decode_ids(ids, _ranks(ranks))).hexdigest()))
+            yield batch(_DIGEST, rows.column(0), *(zip(*made) if made else [[]] * 3))
+
+    return (encoded.select("doc_id", "ids")
             .mapInArrow(shorten, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"))

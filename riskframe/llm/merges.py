@@ -55,11 +55,13 @@ def load_ranks(path: str) -> MergeTable:
         return MergeTable({base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)})
 
 
-def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
-    """The ids of every word. A word that is a token is that token; every other starts from single bytes."""
-    whole = [table.ranks.get(word) for word in words]
-    open_words = [i for i, rank in enumerate(whole) if rank is None and words[i]]
-    found = [np.array([] if rank is None else [rank], np.uint32) for rank in whole]
+def replay(words: list[bytes], table: MergeTable) -> list[bytes]:
+    """The ids of every word as little-endian unsigned 32-bit bytes.
+
+    A word that is a token is that token; every other starts from single bytes.
+    """
+    found = [b"" if (rank := table.ranks.get(word)) is None else rank.to_bytes(4, "little") for word in words]
+    open_words = [i for i, word in enumerate(words) if word and not found[i]]
     if not open_words:
         return found
     data = b"".join(words[i] for i in open_words)
@@ -83,11 +85,12 @@ def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
         order = np.argsort(ranks, kind="stable")
         positions, ranks = positions[order], ranks[order]
         cuts = np.flatnonzero(np.diff(ranks)) + 1
-        for rank, group in zip(ranks[np.concatenate([[0], cuts])].tolist(), np.split(positions, cuts)):
+        edges = [0, *cuts.tolist(), len(ranks)]
+        for rank, start, end in zip(ranks[edges[:-1]].tolist(), edges, edges[1:]):
             if rank not in index:
                 index[rank] = []
                 heapq.heappush(queue, rank)
-            index[rank].append(group)
+            index[rank].append(positions[start:end])
 
     starts = np.flatnonzero(after >= 0)
     add(starts, table.rank_of(symbol[starts], symbol[starts + 1]))
@@ -125,8 +128,8 @@ def replay(words: list[bytes], table: MergeTable) -> list[np.ndarray]:
         touched = np.unique(np.concatenate([left, right])) if len(left) and len(right) else np.concatenate([left, right])
         add(touched, table.rank_of(symbol[touched], symbol[after[touched]]))
     stay = symbol >= 0
-    ids = symbol[stay].astype(np.uint32)
-    ends = np.cumsum(np.bincount(word[stay], minlength=len(open_words)))
-    for i, one in zip(open_words, np.split(ids, ends[:-1])):
-        found[i] = one
+    ids = symbol[stay].astype("<u4").tobytes()
+    ends = (np.cumsum(np.bincount(word[stay], minlength=len(open_words))) * 4).tolist()
+    for i, start, end in zip(open_words, [0, *ends], ends):
+        found[i] = ids[start:end]
     return found

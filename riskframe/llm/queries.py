@@ -168,7 +168,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document, decode the ids, digest both."""
     ranks = public_tokenizers.path(MULTI_BPE)
     encoded = byte_bpe.encode_corpus(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digest(byte_bpe.decode_corpus(encoded, ranks))
+    return byte_bpe.digest(encoded, ranks)
 
 
 QUERIES = {
