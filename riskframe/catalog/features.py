@@ -34,12 +34,12 @@ def fe_interaction(spark, sf):
 
 def fe_one_hot(spark, sf):
     df = order_survey(spark, sf)
-    levels = [v for v in fe.levels_of(df, ["segment"])["segment"] if v != "MACHINERY"]  # one category unseen at fit
+    levels = fe.levels_of(df.filter("segment <> 'MACHINERY'"), ["segment"])["segment"]  # one category is unseen at fit
     return fe.one_hot(df.select("id", "segment"), "segment", levels).drop("segment")
 
 
 def _fitted(spark, sf, fit):
-    rows = sampled_orders(spark, sf, folds=False)
+    rows = sampled_orders(spark, sf, folds=False, columns=SCALED)
     return rows, fit(rows.filter("split = 'train'"), SCALED)
 
 
@@ -54,7 +54,7 @@ def fe_standardize(spark, sf):
 
 
 def fe_prepared(spark, sf):
-    table, fitted = modelling_table(spark, sf)
+    table, fitted = modelling_table(spark, sf, folds=False)
     return fe.slot_means(table, fitted.names)
 
 
@@ -72,18 +72,18 @@ def fe_covariance(spark, sf):
 
 
 def fe_rfe(spark, sf):
-    table, fitted = modelling_table(spark, sf)
+    table, fitted = modelling_table(spark, sf, folds=False)
     train = tr.with_balanced_weights(table.filter("split = 'train'"))
     return fe.recursive_elimination(train, fitted.names, 15, weight="weight")
 
 
 def fe_pca(spark, sf):
-    table, _ = modelling_table(spark, sf)
+    table, _ = modelling_table(spark, sf, folds=False)
     return fe.pca_variance(table.filter("split = 'train'"))
 
 
 def fe_pca_project(spark, sf):
-    table, _ = modelling_table(spark, sf)
+    table, _ = modelling_table(spark, sf, folds=False)
     from pyspark.ml.functions import vector_to_array
     xy = vector_to_array("projected")
     return fe.pca_project(table, 2).select("id", "y", F.get(xy, F.lit(0)).alias("axis_1"),
@@ -91,7 +91,7 @@ def fe_pca_project(spark, sf):
 
 
 def fe_svd(spark, sf):
-    table, _ = modelling_table(spark, sf)
+    table, _ = modelling_table(spark, sf, folds=False)
     projected, _, _ = fe.truncated_svd(table.filter("split = 'train'"))
     return fe.svd_variance(projected, "features")
 
@@ -111,7 +111,7 @@ def fe_feature_ab(spark, sf):
 
 def fe_supplementary(spark, sf):
     """One F1 per preparation variant, best first (F16)."""
-    table, fitted = modelling_table(spark, sf)
+    table, fitted = modelling_table(spark, sf, folds=False)
     train, test = table.filter("split = 'train'"), table.filter("split = 'test'")
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector

@@ -53,9 +53,9 @@ def eda_corr_matrix(spark, sf):
 
 
 def eda_point_biserial(spark, sf):
-    df = order_survey(spark, sf).withColumn("flat", F.lit(1.0))
+    df = order_survey(spark, sf).withColumn("flat", F.lit(1.0)).withColumn("open", F.when(F.col("status") == "O", "yes").otherwise("no"))
     encoded = pr.encode_for_correlation(
-        df, NUMS + ["flat"], {"priority": PRIORITIES}, {"open": ["no", "yes"]} if "open" in df.columns else {},
+        df, NUMS + ["flat"], {"priority": PRIORITIES}, {"open": ["yes", "no"]},
         {"segment": SEGMENTS, "region_name": REGIONS}, keep=["y"])
     return pr.point_biserial(encoded, [c for c in encoded.columns if c != "y"], "y")
 
@@ -102,6 +102,7 @@ def _corr(a: str, b: str) -> str:
 
 
 _BISERIAL = ([(c, c) for c in NUMS] + [("priority", "priority_ord")]
+             + [("open", "case when status='O' then 1 else 0 end")]
              + [(f"segment_{s}", f"case when segment='{s}' then 1 else 0 end") for s in SEGMENTS[1:]]
              + [(f"region_name_{r}", f"case when region_name='{r}' then 1 else 0 end") for r in REGIONS[1:]])
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import SURVEY, chain, survey
 from riskframe.operators import quality as dq
 from riskframe.plans.bindings import doc_labels, order_survey
+from riskframe.plans.storage import store
 from riskframe.sources.tables import table
 
 PROFILED = ["segment", "status", "priority_ord", "acctbal", "totalprice", "n_lines", "qty_sum"]
@@ -15,11 +16,12 @@ NEAR_CONSTANT = ["status", "priority", "n_lines", "has_lines", "absent_column"]
 
 
 def dq_profile(spark, sf):
-    return dq.column_profile(order_survey(spark, sf), PROFILED)
+    return dq.column_profile(store(order_survey(spark, sf).select(*PROFILED), "survey"), PROFILED)
 
 
 def dq_shape(spark, sf):
-    return dq.table_shape(table(spark, sf, "lineitem"))
+    shape = dq.table_shape(table(spark, sf, "lineitem"))
+    return shape.select("rows", "columns", (F.col("bytes") > 0).alias("on_disk"))
 
 
 def dq_missing(spark, sf):
@@ -58,6 +60,7 @@ def dq_flag(spark, sf):
 
 def dq_rare_category(spark, sf):
     df = order_survey(spark, sf).withColumn("size", F.when(F.col("n_lines") <= 8, F.col("n_lines").cast("string")))
+    df = store(df.select("id", "status", "size"), "survey")
     return dq.drop_rare(df, ["status", "size"], 0.1).select("id", "status", "size")
 
 
@@ -135,6 +138,7 @@ def _ledger_row(i: int, name: str, flag: bool = False) -> str:
 
 
 ORACLE = {
+    "dq_shape": """select count(*) as "rows", (select count(*)::INT from (describe lineitem)) as columns, true as on_disk from lineitem""",
     "dq_profile": survey(" union all ".join(_profile_row(c) for c in PROFILED)),
     "dq_missing": survey("select * from (" + " union all ".join(
         f"select '{c}' as \"column\", count(*) filter (where {c} is null) as missing_count, "

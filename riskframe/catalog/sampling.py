@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import SCORED, chain, hash_sql, sampled, scored
 from riskframe.operators import sampling as sm
 from riskframe.plans.bindings import scored_orders, vectors
+from riskframe.plans.neighbours import nearest_neighbours
 from riskframe.plans.storage import store
 
+# The fractions of the progressive samples.
 FRACTIONS = [0.2, 0.4, 0.6, 0.8, 1.0]
 
 
@@ -52,8 +54,15 @@ def sample_smote(spark, sf):
                        F.round(total, 6).alias("total"))
 
 
+def sample_neighbours(spark, sf):
+    """Three nearest of every vector on a coarse grid, where most distances are tied."""
+    grid = vectors(spark, sf).select("vec_id", F.transform(F.slice("embedding", 1, 2), lambda x: F.floor(x * 8).cast("double")).alias("v"))
+    near = nearest_neighbours(grid, grid, "vec_id", "v", 3, block_rows=200, cells=4)
+    return near.select("base_id", "rank", "neighbour_id", F.round("distance", 6).alias("distance"))
+
+
 QUERIES = {f.__name__: f for f in (sample_kfold, split_stratified, sample_under, sample_over, sample_progressive,
-                                   sample_fixed, sample_capped_kfold, sample_smote)}
+                                   sample_fixed, sample_capped_kfold, sample_smote, sample_neighbours)}
 
 _RANKED = "rk as (select id, y, row_number() over (partition by y order by {h}, id) as r, count(*) over (partition by y) as n from scored)"
 
@@ -80,6 +89,12 @@ ORACLE = {
         cut as (select id, y from ck where r <= least(n, greatest(5000, floor(round(n*0.5::DOUBLE,6)))))""", f"""
         select id, y, cast(floor((row_number() over (partition by y order by {hash_sql('cap-fold')}, id)-1)*3.0::DOUBLE
           / count(*) over (partition by y)) as int) as fold from cut"""),
+    "sample_neighbours": """
+        with g as (select vec_id as id, floor(embedding[1]::DOUBLE*8) as x, floor(embedding[2]::DOUBLE*8) as y from embeddings),
+        d as (select a.id as base_id, b.id as neighbour_id, sqrt((a.x-b.x)*(a.x-b.x)+(a.y-b.y)*(a.y-b.y)) as d
+          from g a join g b on a.id<>b.id)
+        select base_id, "rank", neighbour_id, round(d,6) as distance from (select *,
+          cast(row_number() over (partition by base_id order by d, neighbour_id) as int) as "rank" from d) where "rank" <= 3""",
     "sample_smote": f"""
         with e as (select vec_id as id, label, embedding::DOUBLE[] as v from embeddings),
         m as (select *, row_number() over (order by {hash_sql('smote')}, id) as r from e where label=3),

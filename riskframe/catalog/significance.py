@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import SAMPLED, SCORED, chain, rates
 from riskframe.catalog.training import FOLDS
 from riskframe.operators import profile as pr, significance as sg, training as tr
-from riskframe.plans.bindings import fold_scores, scored_orders
+from riskframe.plans.bindings import fold_scores, scored_orders, stored_survey
 from riskframe.plans.storage import store
 
 
+REPLICATES = 1_000
+
+
 def _folds(spark, sf):
     """A row per (model, fold)."""
     return store(tr.fold_metrics(fold_scores(spark, sf), with_auc=False).select("model", "fold", "f1_macro"), "folds")
@@ -35,7 +38,14 @@ def sig_wilcoxon(spark, sf):
 
 def sig_bootstrap(spark, sf):
     df = scored_orders(spark, sf).select("id", "y", "pred_a")
-    return sg.confidence_interval(sg.bootstrap_replicates(df, "id", "y", "pred_a", 20))
+    return sg.confidence_interval(sg.bootstrap_replicates(df, "id", "y", "pred_a", REPLICATES))
+
+
+def sig_bootstrap_auc(spark, sf):
+    """Interval of the ranking metric, tie-exact in every replicate."""
+    df = stored_survey(spark, sf, "id", "y", "pred_a", "score_a").withColumn("score_a", F.floor(F.col("score_a") * 100))
+    drawn = sg.bootstrap_replicates(df, "id", "y", "pred_a", REPLICATES, metrics=["accuracy"], score="score_a")
+    return sg.confidence_interval(drawn, "roc_auc")
 
 
 def sig_bootstrap_multinomial(spark, sf):
@@ -46,7 +56,7 @@ def sig_fold_boxes(spark, sf):
     return pr.box_stats(_folds(spark, sf), ["f1_macro"], ["model"])
 
 
-QUERIES = {f.__name__: f for f in (sig_mcnemar, sig_model_rank, sig_paired_t, sig_wilcoxon, sig_bootstrap,
+QUERIES = {f.__name__: f for f in (sig_mcnemar, sig_model_rank, sig_paired_t, sig_wilcoxon, sig_bootstrap, sig_bootstrap_auc,
                                    sig_bootstrap_multinomial, sig_fold_boxes)}
 
 _PAIRS = FOLDS + """,
@@ -95,15 +105,24 @@ ORACLE = {
           from rr group by name_a, name_b),
         signs as (select name_a, name_b, s, sum(case when (s >> (pos-1)) & 1 = 1 then r else 0 end) as total
           from rr, range(0,32) q(s) where s < (1 << n) group by name_a, name_b, s)""", """
-        select ws.name_a, ws.name_b, w, n, round(least(1.0::DOUBLE, 2*count(*) filter (where total<=w)/pow(2.0::DOUBLE,n)),6) as p_value
+        select ws.name_a, ws.name_b, w, n, round(least(1.0::DOUBLE, 2*count(*) filter (where total<=w)/pow(2.0::DOUBLE,n)),6) as p_value,
+          'exact' as p_method
         from ws join signs on signs.name_a=ws.name_a and signs.name_b=ws.name_b group by ws.name_a, ws.name_b, w, n"""),
     "sig_bootstrap": chain(SCORED, f"""
         drawn as (select i, y, pred_a, {_poisson("('0x'||substr(md5(concat('boot:',id,'/',i)),1,8))::BIGINT/4294967296.0::DOUBLE")} as w
-          from scored, range(1,21) r(i)),
+          from scored, range(1,{REPLICATES + 1}) r(i)),
         bc as (select i, {_weighted(1, 1)} as tp, {_weighted(0, 1)} as fp, {_weighted(1, 0)} as fn, {_weighted(0, 0)} as tn from drawn group by i),
         bm as (select i, {rates()['f1_macro']} as f from bc)""", """
         select round(avg(f),6) as "mean", round(quantile_cont(f,0.025),6) as lower, round(quantile_cont(f,0.975),6) as upper,
           count(*) as n_bootstrap from bm"""),
+    "sig_bootstrap_auc": chain(SCORED, f"""
+        drawn as (select i, y, floor(score_a*100) as s, {_poisson("('0x'||substr(md5(concat('boot:',id,'/',i)),1,8))::BIGINT/4294967296.0::DOUBLE")} as w
+          from scored, range(1,{REPLICATES + 1}) r(i)),
+        sides as (select i, s, coalesce(sum(w) filter (where y=1),0) as pos, coalesce(sum(w) filter (where y=0),0) as neg from drawn group by i, s),
+        run as (select *, sum(neg) over (partition by i order by s) - neg*0.5::DOUBLE as below from sides),
+        auc as (select i, sum(pos*below)/(sum(pos)::DOUBLE*sum(neg)) as f from run group by i)""", """
+        select round(avg(f),6) as "mean", round(quantile_cont(f,0.025),6) as lower, round(quantile_cont(f,0.975),6) as upper,
+          count(*) as n_bootstrap from auc"""),
     "sig_fold_boxes": chain(SAMPLED, FOLDS, """
         select 'f1_macro' as "column", model, n, round(a,6) as q1, round(m,6) as median, round(b,6) as q3,
           round(a-1.5::DOUBLE*(b-a),6) as fence_low, round(b+1.5::DOUBLE*(b-a),6) as fence_high,

@@ -6,10 +6,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from riskframe.catalog.base import SAMPLED, chain, survey
+from riskframe.catalog.base import SAMPLED, chain, sampled, survey
 from riskframe.catalog.training import FOLDS
 from riskframe.operators import training as tr
-from riskframe.plans.bindings import feature_spec, fold_scores, order_survey, sampled_orders
+from riskframe.plans.bindings import FEATURE_COLUMNS, feature_spec, fold_scores, order_survey, sampled_orders
 from riskframe.plans.storage import fresh_path, store
 from riskframe.sources import delimited, models, runs
 
@@ -29,8 +29,11 @@ def scan_roundtrip(spark, sf):
 
 
 def scan_inferred(spark, sf):
+    """Types are found although the numeric columns hold texts for missing cells."""
     path = fresh_path(spark, "survey-csv")
-    delimited.write_delimited(order_survey(spark, sf).select(*COLUMNS), path)
+    rows = order_survey(spark, sf).withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(t))
+                                                for c, t in (("n_lines", "NA"), ("qty_sum", "NaN"))})
+    delimited.write_delimited(rows.select(*COLUMNS), path)
     back = delimited.read_delimited(spark, path)
     return back.groupBy("priority").agg(F.count("n_lines").alias("with_lines"),
                                         F.sum("n_lines").cast("long").alias("lines"))
@@ -40,17 +43,18 @@ def run_log(spark, sf):
     path = fresh_path(spark, "runs")
     folds = store(tr.fold_metrics(fold_scores(spark, sf), with_auc=False), "folds")
     for day in (1, 2):
-        summary = tr.summarise_folds(folds.filter(F.col("fold") < 2 + day), metrics=tr.FOLD_METRICS)
-        runs.log_summary(summary, path, datetime(2024, 1, day, tzinfo=timezone.utc))
+        summary = tr.summarise_folds(folds.filter(F.col("fold") < 3 + day), metrics=tr.FOLD_METRICS)
+        runs.log_summary(summary, path, datetime(2024, 1, day, tzinfo=timezone.utc),
+                         {m: {"day": day} for m in ("model_a", "model_b", "model_c")}, {"model_a": 1.5 * day})
     latest = runs.latest_runs(runs.read_runs(spark, path))
     return latest.select("run_name", F.date_format("ts", "yyyy-MM-dd").alias("day"),
-                         F.explode("metrics").alias("metric", "value"))
+                         F.col("params")["day"].alias("day_param"), "train_time_s", F.explode("metrics").alias("metric", "value"))
 
 
 def model_reload(spark, sf):
     from riskframe.operators.features import fit_features
 
-    rows = sampled_orders(spark, sf, folds=False)
+    rows = store(sampled_orders(spark, sf, folds=False, columns=FEATURE_COLUMNS), "split", ["split"])
     train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
     prepared = fit_features(train, feature_spec())
     model = tr.fit(tr.lr(), store(prepared.transform(train).select("y", "features"), "train"))
@@ -67,9 +71,11 @@ QUERIES = {f.__name__: f for f in (scan_roundtrip, scan_inferred, run_log, model
 
 ORACLE = {
     "run_log": chain(SAMPLED, FOLDS, " union all ".join(
-        f"select model as run_name, '2024-01-02' as day, '{m}_{kind}' as metric, round({fn}({m}),6) as \"value\" "
-        "from fm where fold<4 group by model" for m in tr.FOLD_METRICS
+        f"select model as run_name, '2024-01-02' as day, '2' as day_param, "
+        f"case model when 'model_a' then 3::DOUBLE end as train_time_s, '{m}_{kind}' as metric, round({fn}({m}),6) as \"value\" "
+        "from fm group by model" for m in tr.FOLD_METRICS
         for kind, fn in (("mean", "avg"), ("std", "stddev_pop")))),
+    "model_reload": sampled("select count(*) as n, 0::DOUBLE as largest_gap from sampled where split='test'"),
     "scan_roundtrip": survey("""select segment, status, count(*) as n, count(qty_sum) as with_quantity,
         sum(qty_sum)::BIGINT as quantity, sum(cast(round(acctbal*100) as bigint))::BIGINT as cents,
         sum(y)::BIGINT as positives from survey group by segment, status"""),

@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SAMPLED, chain, counts, rates, scored
-from riskframe.operators import training as tr
-from riskframe.plans.bindings import (feature_spec, fold_scores, modelling_table, order_survey, sampled_orders,
+from riskframe.operators import sampling, training as tr
+from riskframe.operators.study import run_study
+from riskframe.plans.bindings import (FEATURE_COLUMNS, feature_spec, fold_scores, modelling_table, order_survey, sampled_orders,
                                       scored_orders)
-from riskframe.plans.storage import store
+from riskframe.plans.storage import fresh_path, store
+from riskframe.sources import runs
 
 # The fold seeds of the sensitivity check.
 SEEDS = [0, 7, 21, 42, 99, 123, 256, 512, 1337, 2024]
-# Settings taken from the tuning grids for the two slow ensembles.
-FOREST = tr.forest(trees=100, depth=10)
-BOOSTED = tr.boosted(rounds=100, rate=0.1, depth=4, subsample=0.8)
+FOREST = tr.forest()
+BOOSTED = tr.boosted()
+
+
+DEFAULTS = {"segment": "BUILDING", "status": "O", "priority": "3-MEDIUM", "region_name": "ASIA",
+            "acctbal": 4500.0, "totalprice": 150000.0, "n_lines": 4, "qty_sum": 100, "disc_sum": 20}
 
 
-def _parts(spark, sf):
-    table, fitted = modelling_table(spark, sf)
+def _parts(spark, sf, folds=True):
+    table, fitted = modelling_table(spark, sf, folds)
     return table.filter("split = 'train'"), table.filter("split = 'test'"), fitted
 
 
@@ -50,6 +57,12 @@ def cv_seed_sensitivity(spark, sf):
     return tr.seed_sensitivity(rows, SEEDS, pred="pred_a")
 
 
+def cv_seed_refits(spark, sf):
+    """A logistic regression fitted anew for every seed and fold."""
+    train, _, _ = _parts(spark, sf, folds=False)
+    return tr.seed_refits(train, tr.lr(0.1), SEEDS, parallelism=8)
+
+
 def score_risk_bands(spark, sf):
     banded = tr.band_scores(scored_orders(spark, sf), "score_a")
     return banded.groupBy("label", "band").agg(F.count(F.lit(1)).alias("n"),
@@ -57,16 +70,14 @@ def score_risk_bands(spark, sf):
 
 
 def score_profile_batch(spark, sf):
-    rows = sampled_orders(spark, sf, folds=False)
     from riskframe.operators.features import fit_features
 
+    rows = store(sampled_orders(spark, sf, folds=False, columns=FEATURE_COLUMNS), "split", ["split"])
     prepared = fit_features(rows.filter("split = 'train'"), feature_spec())
     train = store(prepared.transform(rows.filter("split = 'train'")).select("y", "features"), "train")
     model = tr.fit(tr.lr(), train)
     profiles = rows.filter("split = 'test'").select("id", "segment", "status", "priority", "acctbal", "qty_sum")
-    defaults = {"segment": "BUILDING", "status": "O", "priority": "3-MEDIUM", "region_name": "ASIA",
-                "acctbal": 4500.0, "totalprice": 150000.0, "n_lines": 4, "qty_sum": 100, "disc_sum": 20}
-    return tr.score_profiles(prepared, model, profiles, defaults, ["id"])
+    return tr.score_profiles(prepared, model, profiles, DEFAULTS, ["id"])
 
 
 def model_logistic(spark, sf):
@@ -75,7 +86,7 @@ def model_logistic(spark, sf):
 
 
 def _held(spark, sf, learner):
-    train, test, _ = _parts(spark, sf)
+    train, test, _ = _parts(spark, sf, folds=False)
     return tr.held_out({learner.name: tr.fit(learner, train)}, test)
 
 
@@ -92,10 +103,10 @@ def model_boosted(spark, sf):
 
 
 def model_svm(spark, sf):
-    train, test, fitted = _parts(spark, sf)
+    train, test, fitted = _parts(spark, sf, folds=False)
     gamma = 1.0 / len(fitted.names)
     waves = store(tr.fourier_features(train, gamma).select("y", "fourier"), "fourier")
-    model = tr.fit(tr.linear_svm(max_iter=100, name="RadialSVM"), waves, "fourier")
+    model = tr.fit(tr.linear_svm(name="RadialSVM"), waves, "fourier")
     return tr.held_out({"RadialSVM": model}, tr.fourier_features(test, gamma))
 
 
@@ -105,7 +116,7 @@ def model_network(spark, sf):
 
 def model_cross_validated(spark, sf):
     train, _, _ = _parts(spark, sf)
-    scored_rows = tr.out_of_fold(train, [tr.lr(), tr.tree(), tr.linear_svm(max_iter=50)])
+    scored_rows = tr.out_of_fold(train, [tr.lr(), tr.tree(), tr.linear_svm()])
     return tr.compare_models(tr.summarise_folds(tr.fold_metrics(scored_rows)))
 
 
@@ -124,25 +135,67 @@ def model_stacking(spark, sf):
     return tr.stack(train, test, [tr.lr(0.1), FOREST, BOOSTED])
 
 
+def _study(spark, sf):
+    train, _, fitted = _parts(spark, sf)
+    learners = [tr.lr(0.1), tr.tree(), tr.linear_svm(), tr.network()]
+    grids = {"LogisticRegression": tr.grid("LogisticRegression"), "LinearSVM": tr.grid("LinearSVM")}
+    return run_study(train, fitted.names, learners, grids, fresh_path(spark, "study"),
+                     datetime(2024, 1, 1, tzinfo=timezone.utc), parallelism=8)
+
+
+def model_study(spark, sf):
+    """Learners on the selected features and their stack, cross-validated, best first."""
+    return _study(spark, sf).comparison
+
+
+def model_study_log(spark, sf):
+    """The run log of a study: settings, seconds and metrics of every model."""
+    return runs.latest_runs(runs.read_runs(spark, _study(spark, sf).log)).select(
+        "run_name", "params", "metrics", "train_time_s")
+
+
+def sig_trained_models(spark, sf):
+    """The best trained model against every other."""
+    return _study(spark, sf).significance
+
+
+def model_capped_cv(spark, sf):
+    """Cross-validated radial classifier on a bounded sample: max(5000, half the training rows), in three folds."""
+    train, _, fitted = _parts(spark, sf, folds=False)
+    sample = sampling.capped_folds(train.select("id", "y", "features"), "id", ["y"], floor_rows=5000, fraction=0.5, folds=3)
+    waves = tr.fourier_features(sample, 1.0 / len(fitted.names))
+    rows = store(waves.select("id", "y", "fourier", "fold"), "capped", ["fold"])
+    return tr.summarise_folds(tr.fold_metrics(tr.out_of_fold(rows, [tr.linear_svm(name="RadialSVM")], features="fourier", folds=3)))
+
+
+def score_profile_linear(spark, sf):
+    """Profiles with missing cells through fixed weights, with label and band."""
+    profiles = order_survey(spark, sf).select("id", "priority_ord", F.when(F.col("n_lines") > 2, F.col("qty_sum")).alias("qty_sum"))
+    filled = tr.fill_profile(profiles, {"qty_sum": 100, "acctbal": 4500.0})
+    margin = 0.9 * (F.col("priority_ord") - 3) + 0.02 * (F.col("qty_sum") - 100) - 0.0002 * F.col("acctbal")
+    return tr.band_scores(filled.withColumn("score", F.round(1 / (1 + F.exp(-margin)), 6))).select("id", "score", "label", "band")
+
+
 def sample_learning_curve(spark, sf):
     train, _, _ = _parts(spark, sf)
     return tr.learning_curve(train, tr.lr(), [i / 10 for i in range(1, 11)], parallelism=8)
 
 
 def sample_progressive_fit(spark, sf):
-    train, test, _ = _parts(spark, sf)
+    train, test, _ = _parts(spark, sf, folds=False)
     return tr.progressive_fit(train, test, tr.lr(), [0.2, 0.4, 0.6, 0.8, 1.0])
 
 
 def sample_strategies(spark, sf):
-    train, test, _ = _parts(spark, sf)
+    train, test, _ = _parts(spark, sf, folds=False)
     return tr.compare_resampling(train, test, tr.lr())
 
 
 QUERIES = {f.__name__: f for f in (
     model_class_weights, cv_fold_metrics, model_comparison, model_comparison_long, cv_seed_sensitivity,
-    score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_svm,
-    model_network, model_cross_validated, model_grid_search, model_log_uniform_search, model_stacking,
+    cv_seed_refits, score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_svm,
+    model_network, model_study, model_study_log, sig_trained_models, model_capped_cv, score_profile_linear,
+    model_cross_validated, model_grid_search, model_log_uniform_search, model_stacking,
     sample_learning_curve, sample_progressive_fit, sample_strategies)}
 
 _R = rates()
@@ -163,6 +216,12 @@ _MEANS = ", ".join(f"round(avg({m}),6) as {m}_mean, round(stddev_pop({m}),6) as
                    for m in [*tr.FOLD_METRICS, "roc_auc"])
 
 ORACLE = {
+    "score_profile_linear": scored("""
+        select id, s as score, case when s>=0.5::DOUBLE then 'High Risk' else 'Low Risk' end as label,
+          case when s>=0.75::DOUBLE then 'High risk' when s>=0.5::DOUBLE then 'Elevated risk'
+               when s>=0.25::DOUBLE then 'Moderate-low risk' else 'Low risk' end as band
+        from (select id, round(1/(1+exp(-(0.9::DOUBLE*(priority_ord-3)
+          + 0.02::DOUBLE*(coalesce(case when n_lines>2 then qty_sum end,100)-100) - 0.0002::DOUBLE*4500))),6) as s from scored)"""),
     "model_class_weights": scored("""
         select y as class, count(*) as n, round((select count(*) from scored)/(2.0::DOUBLE*count(*)),6) as balanced_weight,
           case when y=1 then round((select count(*) from scored where y=0)/count(*)::DOUBLE,6) end as positive_weight

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskframe.functions.names import named
 from riskframe.functions.rates import CELLS, confusion_counts, metric_columns, ratio, with_metrics
 from riskframe.plans.ordered import exact_quantiles, running_totals
 from riskframe.plans.storage import store
@@ -230,19 +231,19 @@ def outcome_profile(df: DataFrame, features: Sequence[str], y: str = "y", pred:
     """Mean of each feature per outcome, features as rows."""
     kinds = ["TP", "TN", "FP", "FN"]
     marked = with_outcome(df, y, pred)
-    means = marked.agg(*[F.avg(F.when(F.col("outcome") == k, F.col(f))).alias(f"{f}|{k}")
-                         for f in features for k in kinds])
+    means = marked.agg(*[F.avg(F.when(F.col("outcome") == k, named(f))).alias(f"m{i}_{k}")
+                         for i, f in enumerate(features) for k in kinds])
     rows = F.array(*[F.struct(F.lit(f).alias("feature"),
-                              *[F.round(F.col(f"`{f}|{k}`"), digits).alias(k) for k in kinds])
-                     for f in features])
+                              *[F.round(F.col(f"m{i}_{k}"), digits).alias(k) for k in kinds])
+                     for i, f in enumerate(features)])
     return means.select(F.inline(rows))
 
 
 def error_rates(df: DataFrame, segments: Sequence[str], y: str = "y", pred: str = "pred",
                 digits: int = 3) -> DataFrame:
     """Share of correct, false-negative and false-positive rows per segment value."""
-    long = (with_outcome(df, y, pred).select("outcome", *[F.col(s).cast("string").alias(s) for s in segments])
-            .unpivot(["outcome"], list(segments), "segment", "value").filter(F.col("value").isNotNull()))
+    cells = F.array(*[F.struct(F.lit(s).alias("segment"), named(s).cast("string").alias("value")) for s in segments])
+    long = with_outcome(df, y, pred).select("outcome", F.inline(cells)).filter(F.col("value").isNotNull())
 
     def share(*kinds: str) -> Column:
         return F.round(F.avg(F.col("outcome").isin(*kinds).cast("int")), digits)
@@ -267,9 +268,8 @@ def error_examples(df: DataFrame, key: str, columns: Sequence[str], y: str = "y"
 def outcome_quartiles(df: DataFrame, features: Sequence[str], y: str = "y", pred: str = "pred",
                       digits: int | None = 6) -> DataFrame:
     """Quartiles of each feature per outcome."""
-    long = (with_outcome(df, y, pred)
-            .select("outcome", *[F.col(f).cast("double").alias(f) for f in features])
-            .unpivot(["outcome"], list(features), "feature", "value"))
+    cells = F.array(*[F.struct(F.lit(f).alias("feature"), named(f).cast("double").alias("value")) for f in features])
+    long = with_outcome(df, y, pred).select("outcome", F.inline(cells))
     rows = exact_quantiles(long, ["feature", "outcome"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     return rows.select("feature", "outcome", "n", *[_rounded(F.col(c), digits).alias(c)
                                                    for c in ("q1", "median", "q3")])

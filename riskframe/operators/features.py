@@ -12,7 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_LEVELS = 1_000
+from riskframe.functions.names import named, quoted as _quote
+from riskframe.plans.pairs import pair_moments
 
 
 # --- column encoders -------------------------------------------------------------------------
@@ -21,7 +22,7 @@ def cardinality_guard(df: DataFrame, columns: Sequence[str], max_levels: int = 2
                       approx: bool = False) -> DataFrame:
     """Distinct values per column and whether it is kept."""
     if approx:
-        wide = df.agg(*[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(columns)])
+        wide = df.agg(*[F.approx_count_distinct(named(c)).alias(f"_d{i}") for i, c in enumerate(columns)])
         rows = wide.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"_d{i}").alias("levels"))
             for i, c in enumerate(columns)])))
@@ -59,30 +60,28 @@ def interaction(a: Column, b: Column) -> Column:
     return a * b
 
 
-def levels_of(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """Sorted categories per column, in one pass; more than ``max_levels`` is an error, not a cut."""
+def levels_of(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted categories per column, in one pass. Each of them becomes a column or slot, so the driver has to name them."""
     from riskframe.operators.quality import value_counts
 
-    if not columns:
-        return {}
-    values = value_counts(df, columns).select("column", "value").limit(len(columns) * max_levels + 1).collect()
-    levels = {c: sorted(r["value"] for r in values if r["column"] == c) for c in columns}
-    if len(values) > len(columns) * max_levels or any(len(v) > max_levels for v in levels.values()):
-        raise ValueError(f"more than {max_levels} categories in one of {list(columns)}")
-    return levels
+    levels: dict[str, list[str]] = {c: [] for c in columns}
+    if columns:
+        for row in value_counts(df, columns).select("column", "value").toLocalIterator():
+            levels[row["column"]].append(row["value"])
+    return {c: sorted(values) for c, values in levels.items()}
 
 
 def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str | None = None) -> DataFrame:
     """One 0/1 column per fitted category; a category not seen at fit gives zeros."""
     name = prefix or column
     return df.withColumns({
-        f"{name}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in levels})
+        f"{name}_{v}": F.coalesce((named(column) == v).cast("int"), F.lit(0)) for v in levels})
 
 
 # --- scaling: fitted on training rows, applied as column arithmetic ---------------------------------
 
 def fit_min_max(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    row = train.agg(*[f(F.col(c).cast("double")).alias(f"{p}{i}") for i, c in enumerate(columns)
+    row = train.agg(*[f(named(c).cast("double")).alias(f"{p}{i}") for i, c in enumerate(columns)
                       for p, f in (("lo", F.min), ("hi", F.max))]).first()
     return {c: (row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(columns)}
 
@@ -97,7 +96,7 @@ def min_max(col: Column, low: float | None, high: float | None) -> Column:
 
 
 def fit_standard(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    row = train.agg(*[f(F.col(c).cast("double")).alias(f"{p}{i}") for i, c in enumerate(columns)
+    row = train.agg(*[f(named(c).cast("double")).alias(f"{p}{i}") for i, c in enumerate(columns)
                       for p, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     return {c: (row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(columns)}
 
@@ -134,10 +133,6 @@ class FittedFeatures:
         return self.model.transform(df)
 
 
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _text(value: str) -> str:
     """A SQL string literal."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
@@ -164,35 +159,34 @@ def fit_features(train: DataFrame, spec: FeatureSpec, output: str = "features")
         fill = spec.fill.get(c)
         base = f"CAST({_quote(c)} AS DOUBLE)"
         encoded[c] = base if fill is None else f"COALESCE({base}, {float(fill)!r}D)"
-    raw = ", ".join(f"{text} AS {_quote('_x_' + c)}" for c, text in encoded.items())
-    crossed = ", ".join(f"{_quote('_x_' + a)} * {_quote('_x_' + b)} AS {_quote('_x_' + name)}"
-                        for name, (a, b) in spec.interactions.items())
+    # Neutral names inside: a name may hold a dot, which an assembler would read as a field.
+    inner = {c: f"_x{i}" for i, c in enumerate([*encoded, *spec.interactions])}
+    raw = ", ".join(f"{text} AS {inner[c]}" for c, text in encoded.items())
+    crossed = ", ".join(f"{inner[a]} * {inner[b]} AS {inner[name]}" for name, (a, b) in spec.interactions.items())
     levels = levels_of(train, spec.one_hot)
+    scaled, kept = [*spec.numeric, *spec.interactions], [*spec.ordinal, *spec.binary, *spec.passthrough]
+    names = [*scaled, *[f"{c}_{v}" for c, values in levels.items() for v in values], *kept]
+    slots = [f"_f{i}" for i in range(len(names))]
+    hot_slots = iter(slots[len(scaled):])
     hot = ", ".join(
-        f"CASE WHEN CAST({_quote(c)} AS STRING) = {_text(v)} THEN 1.0D ELSE 0.0D END AS {_quote(f'_f_{c}_{v}')}"
+        f"CASE WHEN CAST({_quote(c)} AS STRING) = {_text(v)} THEN 1.0D ELSE 0.0D END AS {next(hot_slots)}"
         for c, values in levels.items() for v in values)
     for extra in (raw, crossed, hot):
         if extra:
             stages.append(SQLTransformer(statement=f"SELECT *, {extra} FROM __THIS__"))
-    scaled = [*spec.numeric, *spec.interactions]
     prepared = PipelineModel(stages).transform(train)
-    bounds = fit_min_max(prepared, [f"_x_{c}" for c in scaled]) if scaled else {}
+    bounds = fit_min_max(prepared, [inner[c] for c in scaled]) if scaled else {}
     parts = []
-    for c in scaled:
-        low, high = bounds[f"_x_{c}"]
+    for slot, c in zip(slots, scaled):
+        low, high = bounds[inner[c]]
         flat = low is None or low == high
-        body = "0.0D" if flat else f"({_quote('_x_' + c)} - {low!r}D) / {high - low!r}D"
-        parts.append(f"{body} AS {_quote('_f_' + c)}")
-    kept = [*spec.ordinal, *spec.binary, *spec.passthrough]
-    parts += [f"{_quote('_x_' + c)} AS {_quote('_f_' + c)}" for c in kept]
+        body = "0.0D" if flat else f"({inner[c]} - {low!r}D) / {high - low!r}D"
+        parts.append(f"{body} AS {slot}")
+    parts += [f"{inner[c]} AS {slot}" for slot, c in zip(slots[len(slots) - len(kept):], kept)]
     if parts:
         stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"))
-    names = [*scaled, *[f"{c}_{v}" for c, values in levels.items() for v in values], *kept]
-    stages.append(VectorAssembler(inputCols=[f"_f_{n}" for n in names], outputCol=output,
-                                  handleInvalid="error"))
-    drop = [f"_x_{c}" for c in [*encoded, *spec.interactions]] + [f"_f_{n}" for n in names]
-    stages.append(SQLTransformer(
-        statement="SELECT * EXCEPT (" + ", ".join(_quote(c) for c in drop) + ") FROM __THIS__"))
+    stages.append(VectorAssembler(inputCols=slots, outputCol=output, handleInvalid="error"))
+    stages.append(SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join([*inner.values(), *slots])}) FROM __THIS__"))
     return FittedFeatures(PipelineModel(stages), names)
 
 
@@ -210,8 +204,8 @@ def slot_means(df: DataFrame, names: Sequence[str], vector: str = "features", di
 def chi2_ranking(df: DataFrame, features: Sequence[str], target: str, classes: Sequence[int] = (0, 1),
                  k: int = 10, digits: int = 6) -> DataFrame:
     """Chi-square of observed against expected feature mass per class, best ``k`` marked."""
-    sums = df.agg(*[F.count_if(F.col(target) == c).alias(f"_n{c}") for c in classes],
-                  *[F.coalesce(F.sum(F.when(F.col(target) == c, F.col(f).cast("double"))), F.lit(0.0))
+    sums = df.agg(*[F.count_if(named(target) == c).alias(f"_n{c}") for c in classes],
+                  *[F.coalesce(F.sum(F.when(named(target) == c, named(f).cast("double"))), F.lit(0.0))
                     .alias(f"_o{i}_{c}") for i, f in enumerate(features) for c in classes])
     n = sum((F.col(f"_n{c}") for c in classes), F.lit(0))
     rows = []
@@ -229,13 +223,11 @@ def chi2_ranking(df: DataFrame, features: Sequence[str], target: str, classes: S
 
 
 def covariance_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Sample covariances in long form, a <= b in list order."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
-                               F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    return (df.select(F.inline(cells)).groupBy("pair").agg(F.covar_samp("x", "y").alias("c"))
-            .withColumn("_p", F.get(names, F.col("pair"))).select("_p.a", "_p.b", F.round("c", digits).alias("cov")))
+    """Sample covariances in long form, a <= b in list order (D12); rows where both are present."""
+    table = F.array(*[F.lit(c) for c in columns])
+    return pair_moments(df, columns).select(
+        F.get(table, F.col("i")).alias("a"), F.get(table, F.col("j")).alias("b"),
+        F.round(F.try_divide(F.col("sxy"), F.col("n") - 1), digits).alias("cov"))
 
 
 def pca_variance(df: DataFrame, vector: str = "features", goal: float = 0.95) -> DataFrame:

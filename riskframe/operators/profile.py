@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.bands import equal_width_bin
+from riskframe.functions.names import named
 from riskframe.plans.ordered import exact_quantiles
+from riskframe.plans.pairs import pair_moments
 from riskframe.plans.storage import store
 
 
 def numeric_long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by..., column, value double), missing cells left out."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast("double").alias("value"))
                       for c in columns])
     return df.select(*by, F.inline(cells)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
@@ -38,9 +42,9 @@ def category_frequencies(df: DataFrame, columns: Sequence[str], digits: int = 2)
 
 def category_by_target(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Rows per category and class."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("value"))
                       for c in columns])
-    return (df.select(F.col(target).alias("_t"), F.inline(cells)).filter(F.col("value").isNotNull())
+    return (df.select(named(target).alias("_t"), F.inline(cells)).filter(F.col("value").isNotNull())
             .groupBy("column", "value").agg(F.count_if(F.col("_t") == 0).alias("n_neg"),
                                             F.count_if(F.col("_t") == 1).alias("n_pos")))
 
@@ -100,8 +104,7 @@ def kernel_density(df: DataFrame, columns: Sequence[str], by: Sequence[str], poi
 
     Bandwidth = factor * sample standard deviation of the group; the wider
     factor applies to columns with at most ``few`` distinct values. Values are
-    folded into counts, and each one reaches only the grid points within nine
-    bandwidths, beyond which its term is below 1e-17 of its peak.
+    folded into counts; every task adds up one array of grid points per group.
     """
     keys = ["column", *by]
     counts = numeric_counts(df, columns, by)
@@ -120,18 +123,28 @@ def kernel_density(df: DataFrame, columns: Sequence[str], by: Sequence[str], poi
     bands = (spread.join(F.broadcast(overall), "column")  # a row per listed column
              .withColumn("_h", F.sqrt(F.try_divide(F.col("_ss"), F.col("_all") - 1)) * F.col("_factor"))
              .filter("_h > 0").drop("_ss", "_factor"))
-    first = F.greatest(F.lit(0), F.ceil((v - 9 * F.col("_h") - F.col("_start")) / F.col("_step"))).cast("int")
-    last = F.least(F.lit(points - 1),
-                   F.floor((v + 9 * F.col("_h") - F.col("_start")) / F.col("_step"))).cast("int")
+    names, shapes = [*keys, "_all"], dict(counts.dtypes)
+
+    def curves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One array of sums per group and task."""
+        sums: dict[tuple, np.ndarray] = {}
+        for rows in batches:
+            for key, own in rows.groupby(names + ["_start", "_step", "_h"], dropna=False, sort=False):
+                start, step, h = key[-3:]
+                x = start + np.arange(points) * step
+                held = sums.setdefault(key, np.zeros(points))
+                values, weights = own["value"].to_numpy(), own["n"].to_numpy()
+                for at in range(0, len(values), 4_096):
+                    u = (x[:, None] - values[None, at:at + 4_096]) / h
+                    held += np.exp(-0.5 * u * u) @ weights[at:at + 4_096]
+        yield pd.DataFrame([(*key, held) for key, held in sums.items()], columns=[*names, "_start", "_step", "_h", "_sums"])
+
+    kind = ", ".join([*[f"`{k}` {shapes[k]}" for k in keys], "_all long", "_start double", "_step double", "_h double",
+                      "_sums array<double>"])
+    made = (counts.join(bands, keys).select(*names, "_start", "_step", "_h", "value", "n").mapInPandas(curves, kind)
+            .select(*names, "_start", "_step", "_h", F.posexplode("_sums").alias("point", "_term")))
     x = F.col("_start") + F.col("point") * F.col("_step")
-    u = (x - v) / F.col("_h")
-    terms = (counts.join(bands, keys).withColumn("point", F.explode(F.sequence(first, last)))
-             .withColumn("_term", n * F.exp(-0.5 * u * u)))
-    # Grid points no value reaches still belong to the curve.
-    grid = (bands.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-            .withColumn("_term", F.lit(0.0)))
-    return (terms.select(*grid.columns).unionByName(grid)
-            .groupBy(*keys, "point", "_start", "_step", "_h", "_all").agg(F.sum("_term").alias("_sum"))
+    return (made.groupBy(*keys, "point", "_start", "_step", "_h", "_all").agg(F.sum("_term").alias("_sum"))
             .select(*keys, "point", F.round(x, 6).alias("x"),
                     F.round(F.col("_sum") / (F.col("_all") * F.col("_h") * F.sqrt(F.lit(2.0) * F.pi())),
                             digits).alias("density")))
@@ -140,12 +153,12 @@ def kernel_density(df: DataFrame, columns: Sequence[str], by: Sequence[str], poi
 def mean_by_class(df: DataFrame, columns: Sequence[str], target: str, classes: Sequence = (0, 1),
                   digits: int = 6) -> DataFrame:
     """Mean of each column per class, columns as rows."""
-    means = df.agg(*[F.avg(F.when(F.col(target) == k, F.col(c))).alias(f"{c}|{k}")
-                     for c in columns for k in classes])
+    means = df.agg(*[F.avg(F.when(named(target) == k, named(c))).alias(f"m{i}_{j}")
+                     for i, c in enumerate(columns) for j, k in enumerate(classes)])
     return means.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"),
-                 *[F.round(F.col(f"`{c}|{k}`"), digits).alias(f"class_{k}") for k in classes])
-        for c in columns])))
+                 *[F.round(F.col(f"m{i}_{j}"), digits).alias(f"class_{k}") for j, k in enumerate(classes)])
+        for i, c in enumerate(columns)])))
 
 
 def encode_for_correlation(df: DataFrame, numeric: Sequence[str], ordinal: Mapping[str, Sequence[str]],
@@ -153,33 +166,29 @@ def encode_for_correlation(df: DataFrame, numeric: Sequence[str], ordinal: Mappi
                            keep: Sequence[str] = ()) -> DataFrame:
     """Numeric view of mixed columns (C7): ordered labels -> 1.., two-valued -> 0/1 by sorted value,
     other categories one column per value but the first."""
-    out = [F.col(c).cast("double").alias(c) for c in [*keep, *numeric]]
+    out = [named(c).cast("double").alias(c) for c in [*keep, *numeric]]
     for c, labels in ordinal.items():
         place = F.create_map(*[F.lit(x) for i, label in enumerate(labels, 1) for x in (label, float(i))])
-        out.append(F.try_element_at(place, F.col(c)).alias(c))
+        out.append(F.try_element_at(place, named(c)).alias(c))
     for c, pair in binary.items():
         low, high = sorted(pair)
-        out.append(F.when(F.col(c) == high, 1.0).when(F.col(c) == low, 0.0).alias(c))
+        out.append(F.when(named(c) == high, 1.0).when(named(c) == low, 0.0).alias(c))
     for c, values in one_hot.items():
         for value in sorted(values)[1:]:
-            out.append(F.when(F.col(c).isNotNull(), (F.col(c) == value).cast("double")).alias(f"{c}_{value}"))
+            out.append(F.when(named(c).isNotNull(), (named(c) == value).cast("double")).alias(f"{c}_{value}"))
     return df.select(*out)
 
 
 def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(pair, r) for every pair, on rows where both are present; r is null if either is constant there.
-
-    The pairs go to rows of one narrow aggregate: it keeps to generated code
-    however many pairs there are, which an aggregate as wide as the pairs does not.
-    """
-    cells = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"),
-                               F.col(b).cast("double").alias("y")) for i, (a, b) in enumerate(pairs)])
-    rows = df.select(F.inline(cells)).filter("x is not null and y is not null")
-    flat = (F.min("x") == F.max("x")) | (F.min("y") == F.max("y"))
-    r = F.try_divide(F.covar_samp("x", "y"), F.stddev_samp("x") * F.stddev_samp("y"))
-    found = rows.groupBy("pair").agg(F.when(~flat, r).alias("r"))
-    return (df.sparkSession.range(len(pairs)).select(F.col("id").cast("int").alias("pair"))
-            .join(found, "pair", "left"))
+    """(pair, r) for every pair, on rows where both are present; r is null if either is constant there."""
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    place = {c: i for i, c in enumerate(columns)}
+    wanted = F.array(*[F.struct(F.lit(n).alias("pair"), F.lit(min(place[a], place[b])).alias("i"),
+                                F.lit(max(place[a], place[b])).alias("j")) for n, (a, b) in enumerate(pairs)])
+    listed = df.sparkSession.range(1).select(F.inline(wanted))  # a row per pair
+    r = F.try_divide(F.col("sxy"), F.sqrt(F.col("sxx")) * F.sqrt(F.col("syy")))
+    found = pair_moments(df, columns).select("i", "j", F.when(~F.col("flat"), r).alias("r"))
+    return listed.join(found, ["i", "j"], "left").select("pair", "r")
 
 
 def guarded_corr(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]] | None = None,
@@ -203,9 +212,9 @@ def point_biserial(df: DataFrame, features: Sequence[str], target: str, digits:
 
 def target_rates(df: DataFrame, columns: Sequence[str], target: str, digits: int = 6) -> DataFrame:
     """Target rate per category, beside the median rate of the column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), named(c).cast("string").alias("value"))
                       for c in columns])
-    rates = store(df.select(F.col(target).alias("_t"), F.inline(cells)).filter(F.col("value").isNotNull())
+    rates = store(df.select(named(target).alias("_t"), F.inline(cells)).filter(F.col("value").isNotNull())
                   .groupBy("column", "value")
                   .agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("_t").cast("double")).alias("rate")), "rates")
     middle = exact_quantiles(rates, ["column"], "rate", {"median": 0.5}).drop("n")

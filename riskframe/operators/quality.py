@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskframe.functions.names import quoted as _quoted
 from riskframe.operators.profile import box_stats, guarded_corr
+from riskframe.plans.storage import store
 
 
 def missing(col: Column, dtype: str) -> Column:
@@ -15,10 +17,6 @@ def missing(col: Column, dtype: str) -> Column:
     return col.isNull() | F.isnan(col) if dtype in ("double", "float") else col.isNull()
 
 
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., column, value) with values as text; one pass, columns in rows."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(_quoted(c)).cast("string").alias("value"))
@@ -63,22 +61,23 @@ def column_profile(df: DataFrame, columns: Sequence[str], approx_distinct: bool
     profile = df.agg(*aggs).select(F.inline(rows))
     if approx_distinct:
         return profile
-    distinct = value_counts(df, columns).groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    # Long texts are told apart by their digests, which are what is shuffled.
+    value = F.when(F.length("value") > 64, F.sha2("value", 256)).otherwise(F.col("value"))
+    distinct = (_long(df, columns).filter(F.col("value").isNotNull()).select("column", value.alias("value")).distinct()
+                .groupBy("column").agg(F.count(F.lit(1)).alias("distinct")))
     return (profile.drop("distinct").join(distinct, "column", "left").fillna(0, ["distinct"])
             .select("column", "dtype", "rows", "non_null", "distinct", "min", "max", "mean"))
 
 
 def table_shape(df: DataFrame) -> DataFrame:
-    """One row: rows, columns and bytes on disk of the files behind the table (B1)."""
-    files = df.inputFiles()
-    shape = df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
-    if not files:
-        return shape.withColumn("bytes", F.lit(None).cast("long"))
-    folders = sorted({f.rsplit("/", 1)[0] for f in files}) if len(files) > 1000 else files
-    sizes = df.sparkSession.read.format("binaryFile").load(folders).agg(F.sum("length").alias("bytes"))
-    return (shape.withColumn("bytes", F.lit(None).cast("long"))
-            .unionByName(sizes, allowMissingColumns=True)
-            .agg(*[F.max(c).alias(c) for c in ("rows", "columns", "bytes")]))
+    """One row: rows, columns and bytes on disk of the files that hold the rows (B1).
+
+    ``df`` reads files directly; their sizes come with the rows, so no list of files is made.
+    """
+    files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("file_size").alias("bytes"))
+    return files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
+                     F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
 
 
 def missing_report(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
@@ -170,21 +169,20 @@ def drop_values(df: DataFrame, values: Mapping[str, Sequence[str]]) -> DataFrame
 def drop_rare(df: DataFrame, columns: Sequence[str], min_share: float) -> DataFrame:
     """Drop rows whose category has under ``min_share`` of the column's values; missing cells stay.
 
-    At most 1 / min_share categories of a column can be frequent, which bounds
-    the broadcast side however many categories there are.
+    ``df`` is read twice: once for the counts of all columns, once for the rows. The frequent values are stored, at most
+    1 / min_share a column; the planner joins them by their size.
     """
-    if not 0.0001 <= min_share <= 1:
-        raise ValueError("min_share must lie in [0.0001, 1]")
-    totals = df.agg(*[F.count(_quoted(c)).alias(f"_n{i}") for i, c in enumerate(columns)])
-    totals = totals.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"_n{i}").alias("total")) for i, c in enumerate(columns)])))
-    frequent = (value_counts(df, columns).join(F.broadcast(totals), "column")
-                .filter(F.col("n") >= F.col("total") * F.lit(min_share)))
+    if not 0 <= min_share <= 1:
+        raise ValueError("min_share must lie in [0, 1]")
+    counts = store(value_counts(df, columns), "categories")
+    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
+    frequent = store(counts.join(totals, "column").filter(F.col("n") >= F.col("total") * F.lit(min_share))
+                     .select("column", "value"), "frequent")
     for c in columns:
         keep = frequent.filter(F.col("column") == c).select(
             F.col("value").alias("_value"), F.lit(True).alias("_frequent"))
         col = F.col(_quoted(c))
-        df = (df.join(F.broadcast(keep), col.cast("string") == F.col("_value"), "left")
+        df = (df.join(keep, col.cast("string") == F.col("_value"), "left")
               .filter(F.col("_frequent") | col.isNull()).drop("_value", "_frequent"))
     return df
 

@@ -1,4 +1,7 @@
-"""Stratified splits, folds and re-balanced samples in keyed-hash order."""
+"""Stratified splits, folds and re-balanced samples in keyed-hash order.
+
+Rows without a class are a class of their own.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +11,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.hashing import keyed_hash, keyed_uniform
 from riskframe.plans.neighbours import nearest_neighbours
-from riskframe.plans.ordered import at_or_before, class_sizes, rank_cutoffs
+from riskframe.plans.ordered import at_or_before, class_sizes, join_null_safe, rank_cutoffs
 from riskframe.plans.storage import store
 
 
 COPIES_PER_STEP = 10_000
-TOP_K_ROWS = 10_000
 
 
 def _hashed(df: DataFrame, key: str, salt: str | Column) -> DataFrame:
@@ -23,19 +25,16 @@ def _hashed(df: DataFrame, key: str, salt: str | Column) -> DataFrame:
 def largest_remainder(sizes: DataFrame, by: Sequence[str], fraction: float) -> DataFrame:
     """Rows to take per class (``want``): ceil(fraction * n) in total, spread by largest remainder.
 
-    ``sizes`` has one row per class, so the windows here are tiny.
+    Two sums come to the driver; the classes with the largest remainders are a distributed sort with a limit.
     """
-    every = Window.partitionBy()
-    exact = F.col("n_class") * F.lit(fraction)
     # Rounding guards against 0.2 * n landing a hair above a whole number.
-    total = F.ceil(F.round(F.sum("n_class").over(every) * F.lit(fraction), 6))
-    sizes = (sizes.withColumn("_total", total)
-             .withColumn("_base", F.floor(F.round(exact, 6)))
-             .withColumn("_rest", F.round(exact, 6) - F.floor(F.round(exact, 6))))
-    order = Window.partitionBy().orderBy(F.col("_rest").desc(), *by)
-    left = F.col("_total") - F.sum("_base").over(every)
-    return (sizes.withColumn("want", F.col("_base") + (F.row_number().over(order) <= left).cast("long"))
-            .drop("_total", "_base", "_rest"))
+    exact = F.round(F.col("n_class") * F.lit(fraction), 6)
+    sizes = store(sizes.withColumn("_base", F.floor(exact)).withColumn("_rest", exact - F.floor(exact)), "sizes")
+    sums = sizes.agg(F.ceil(F.round(F.sum("n_class") * F.lit(fraction), 6)).alias("total"), F.sum("_base").alias("base")).first()
+    left = (sums["total"] or 0) - (sums["base"] or 0)
+    more = sizes.orderBy(F.col("_rest").desc(), *by).limit(left).select(*by, F.lit(1).alias("_more"))
+    return (join_null_safe(sizes, store(more, "more"), by, "left")
+            .withColumn("want", F.col("_base") + F.coalesce("_more", F.lit(0))).drop("_base", "_rest", "_more"))
 
 
 def take_per_class(df: DataFrame, key: str, by: Sequence[str], salt: str, wants) -> DataFrame:
@@ -50,7 +49,7 @@ def take_per_class(df: DataFrame, key: str, by: Sequence[str], salt: str, wants)
     cuts = store(rank_cutoffs(hashed, by, "_h", key, cells, want).drop("cut"), "cuts")
     taken = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False))
-    return (hashed.join(cuts, by, "left").withColumn("_taken", taken)
+    return (join_null_safe(hashed, cuts, by, "left").withColumn("_taken", taken)
             .select(*df.columns, "_taken"))
 
 
@@ -82,8 +81,8 @@ def stratified_folds(df: DataFrame, key: str, by: Sequence[str], folds: int = 5,
                  .groupBy(*by).agg(F.collect_list(F.struct("cut_hash", "cut_key")).alias("_cuts")), "cuts")
     past = F.filter("_cuts", lambda c: ~at_or_before(
         F.col("_h"), F.col(key), c["cut_hash"], c["cut_key"]))
-    return (hashed.join(cuts, by, "left")
-            .withColumn(column, F.coalesce(F.size(past), F.lit(0)))
+    return (join_null_safe(hashed, cuts, by, "left")
+            .withColumn(column, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(past)))
             .select(*df.columns, column))
 
 
@@ -107,7 +106,7 @@ def repeat_rows(df: DataFrame, key: str, times: Column, most: int, column: str)
 def under_sample(df: DataFrame, key: str, target: str, salt: str = "under") -> DataFrame:
     """Every class cut down to the smallest one, without replacement."""
     def wants(sizes: DataFrame) -> DataFrame:
-        return sizes.withColumn("want", F.min("n_class").over(Window.partitionBy()))
+        return sizes.withColumn("want", F.lit(sizes.agg(F.min("n_class")).first()[0]).cast("long"))
 
     return take_per_class(df, key, [target], salt, wants).filter("_taken").drop("_taken")
 
@@ -120,7 +119,7 @@ def over_sample(df: DataFrame, key: str, target: str, salt: str = "over") -> Dat
     is no draw table and no join on ranks. Adds ``copy`` (0 = the original).
     """
     def wants(sizes: DataFrame) -> DataFrame:
-        deficit = F.max("n_class").over(Window.partitionBy()) - F.col("n_class")
+        deficit = F.lit(sizes.agg(F.max("n_class")).first()[0]).cast("long") - F.col("n_class")
         return (sizes.withColumn("_deficit", deficit)
                 .withColumn("want", F.col("_deficit") % F.col("n_class")))
 
@@ -131,8 +130,9 @@ def over_sample(df: DataFrame, key: str, target: str, salt: str = "over") -> Dat
                               plan.select(target, F.lit(0).alias("cut"), "want")).drop("cut"), "cuts")
     extra = F.coalesce(at_or_before(F.col("_h"), F.col(key), F.col("cut_hash"), F.col("cut_key")),
                        F.lit(False)).cast("long")
-    most = plan.agg(F.max("_times")).first()[0] + 2
-    joined = hashed.join(plan.select(target, F.col("_times").alias("_full")), target).join(cuts, target, "left")
+    most = (plan.agg(F.max("_times")).first()[0] or 0) + 2
+    joined = join_null_safe(hashed, plan.select(target, F.col("_times").alias("_full")), [target])
+    joined = join_null_safe(joined, cuts, [target], "left")
     return (repeat_rows(joined, key, F.lit(1) + F.col("_full") + extra, most, "copy")
             .select(*df.columns, "copy"))
 
@@ -161,11 +161,8 @@ def progressive_samples(df: DataFrame, key: str, fractions: Sequence[float],
 def fixed_sample(df: DataFrame, key: str, size: int, salt: str = "fixed") -> DataFrame:
     """Exactly ``size`` rows without replacement, the first in hash order.
 
-    Picture-sized samples are a top-k, with no full sort; larger ones go by cut
-    point, which neither sorts nor gathers the rows.
+    They are found by cut point, which neither sorts nor gathers the rows.
     """
-    if size <= TOP_K_ROWS:
-        return _hashed(df, key, salt).orderBy("_h", key).limit(size).drop("_h")
     marked = take_per_class(df.withColumn("_one", F.lit(0)), key, ["_one"], salt,
                             lambda s: s.withColumn("want", F.least("n_class", F.lit(size).cast("long"))))
     return marked.filter("_taken").select(*df.columns)

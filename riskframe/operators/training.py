@@ -43,24 +43,32 @@ def class_weights(df: DataFrame, target: str, digits: int = 6) -> DataFrame:
                          .alias("positive_weight"))
 
 
-def with_balanced_weights(train: DataFrame, target: str = "y", column: str = "weight") -> DataFrame:
-    """Balanced weights of these training rows, and of no others."""
+def class_counts(train: DataFrame, target: str = "y") -> dict[int, int]:
+    """Rows of class 0 and of class 1, from one aggregate."""
     neg, pos = train.agg(F.count_if(F.col(target) == 0), F.count_if(F.col(target) == 1)).first()
-    n = neg + pos
-    weight = (F.when(F.col(target) == 1, F.lit(n / (2 * pos) if pos else 0.0))
-              .otherwise(F.lit(n / (2 * neg) if neg else 0.0)))
+    return {0: neg, 1: pos}
+
+
+def with_balanced_weights(train: DataFrame, target: str = "y", column: str = "weight",
+                          counts: Mapping[int, int] | None = None) -> DataFrame:
+    """Balanced weights of these training rows, and of no others; ``counts`` if they are known already."""
+    counts = class_counts(train, target) if counts is None else counts
+    n = sum(counts.values())
+    weight = F.when(F.col(target) == 1, F.lit(n / (2 * counts[1]) if counts[1] else 0.0)).otherwise(
+        F.lit(n / (2 * counts[0]) if counts[0] else 0.0))
     return train.withColumn(column, weight)
 
 
 # --- learners ---------------------------------------------------------------------------------------
 
 def logistic_regression(train: DataFrame, C: float = 1.0, features: str = "features", target: str = "y",
-                        weight: str | None = None, max_iter: int = 1000) -> LogisticRegression:
+                        weight: str | None = None, max_iter: int = 1000, total: float | None = None) -> LogisticRegression:
     """L2 logistic regression with inverse strength ``C`` (F2).
 
-    The loss here is a weighted mean rather than a sum, hence regParam = 1 / (C * total weight).
+    The loss here is a weighted mean rather than a sum, hence regParam = 1 / (C * total weight); ``total`` if it is known.
     """
-    total = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
+    if total is None:
+        total = train.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
     estimator = LogisticRegression(featuresCol=features, labelCol=target, regParam=1.0 / (C * float(total)),
                                    elasticNetParam=0.0, standardization=False, maxIter=max_iter)
     return estimator.setWeightCol(weight) if weight else estimator
@@ -68,28 +76,31 @@ def logistic_regression(train: DataFrame, C: float = 1.0, features: str = "featu
 
 @dataclass(frozen=True)
 class Learner:
-    """How to make an estimator for given training rows. ``build(train, features, target, weight)``."""
+    """How to make an estimator for given training rows.
+
+    ``build(train, features, target, weight, rows)``; balanced weights add up to the number of rows.
+    """
 
     name: str
-    build: Callable[[DataFrame, str, str, str | None], Estimator]
+    build: Callable[[DataFrame, str, str, str | None, int], Estimator]
     weighted: bool = True
     params: Mapping[str, object] | None = None
 
 
 def lr(C: float = 1.0, max_iter: int = 1000, name: str = "LogisticRegression") -> Learner:
-    return Learner(name, lambda t, f, y, w: logistic_regression(t, C, f, y, w, max_iter),
+    return Learner(name, lambda t, f, y, w, n: logistic_regression(t, C, f, y, w, max_iter, n),
                    params={"C": C, "max_iter": max_iter, "class_weight": "balanced"})
 
 
 def tree(depth: int = 5, name: str = "DecisionTree") -> Learner:
     """Decision tree."""
-    return Learner(name, lambda t, f, y, w: DecisionTreeClassifier(
+    return Learner(name, lambda t, f, y, w, n: DecisionTreeClassifier(
         featuresCol=f, labelCol=y, weightCol=w, maxDepth=depth, seed=SEED), params={"max_depth": depth})
 
 
 def forest(trees: int = 200, depth: int = 30, min_rows: int = 1, name: str = "RandomForest") -> Learner:
     """Random forest (F4). 30 levels is the deepest MLlib grows; it stands for unlimited."""
-    return Learner(name, lambda t, f, y, w: RandomForestClassifier(
+    return Learner(name, lambda t, f, y, w, n: RandomForestClassifier(
         featuresCol=f, labelCol=y, weightCol=w, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows,
         featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=1024),
         params={"n_estimators": trees, "max_depth": depth, "min_rows": min_rows})
@@ -98,7 +109,7 @@ def forest(trees: int = 200, depth: int = 30, min_rows: int = 1, name: str = "Ra
 def boosted(rounds: int = 200, rate: float = 0.1, depth: int = 6, subsample: float = 1.0,
             name: str = "GradientBoosting") -> Learner:
     """Boosted trees."""
-    return Learner(name, lambda t, f, y, w: GBTClassifier(
+    return Learner(name, lambda t, f, y, w, n: GBTClassifier(
         featuresCol=f, labelCol=y, weightCol=w, maxIter=rounds, stepSize=rate, maxDepth=depth,
         subsamplingRate=subsample, seed=SEED),
         params={"n_estimators": rounds, "learning_rate": rate, "max_depth": depth, "subsample": subsample})
@@ -106,15 +117,15 @@ def boosted(rounds: int = 200, rate: float = 0.1, depth: int = 6, subsample: flo
 
 def linear_svm(C: float = 1.0, max_iter: int = 200, name: str = "LinearSVM") -> Learner:
     """Max-margin classifier (F6); on Fourier features it approximates the radial kernel."""
-    def build(t: DataFrame, f: str, y: str, w: str | None) -> Estimator:
-        return LinearSVC(featuresCol=f, labelCol=y, weightCol=w, regParam=1.0 / (C * t.count()),
+    def build(t: DataFrame, f: str, y: str, w: str | None, n: int) -> Estimator:
+        return LinearSVC(featuresCol=f, labelCol=y, weightCol=w, regParam=1.0 / (C * n),
                          maxIter=max_iter, standardization=False)
     return Learner(name, build, params={"C": C})
 
 
 def network(hidden: Sequence[int] = (128, 64, 32), max_iter: int = 300, name: str = "NeuralNetwork") -> Learner:
     """Feed-forward net (F7), unweighted."""
-    def build(t: DataFrame, f: str, y: str, w: str | None) -> Estimator:
+    def build(t: DataFrame, f: str, y: str, w: str | None, n: int) -> Estimator:
         size = len(t.select(f).first()[0])
         return MultilayerPerceptronClassifier(featuresCol=f, labelCol=y, layers=[size, *hidden, 2],
                                               maxIter=max_iter, blockSize=256, seed=SEED)
@@ -141,10 +152,12 @@ def fourier_features(df: DataFrame, gamma: float, size: int = 128, vector: str =
     return df.withColumn(output, array_to_vector(waves(vector_to_array(vector))))
 
 
-def fit(learner: Learner, train: DataFrame, features: str = "features", target: str = "y") -> Model:
-    """Fit on these rows; balanced weights come from them too."""
-    rows = with_balanced_weights(train, target) if learner.weighted else train
-    return learner.build(rows, features, target, "weight" if learner.weighted else None).fit(rows)
+def fit(learner: Learner, train: DataFrame, features: str = "features", target: str = "y",
+        counts: Mapping[int, int] | None = None) -> Model:
+    """Fit on these rows; balanced weights come from them too. ``counts`` of their classes save a pass."""
+    counts = class_counts(train, target) if counts is None else counts
+    rows = with_balanced_weights(train, target, counts=counts) if learner.weighted else train
+    return learner.build(rows, features, target, "weight" if learner.weighted else None, sum(counts.values())).fit(rows)
 
 
 def score(model: Model, df: DataFrame) -> DataFrame:
@@ -165,18 +178,28 @@ def _in_parallel(tasks: Sequence[Callable], parallelism: int) -> list:
         return [f.result() for f in [pool.submit(inherit(task)) for task in tasks]]
 
 
+def fold_counts(table: DataFrame, target: str = "y", fold: str = "fold") -> dict[int, dict[int, int]]:
+    """Classes of the training rows of every fold, all from one aggregate (a row per fold and class)."""
+    rows = table.filter(F.col(target).isin(0, 1)).groupBy(fold, target).count().collect()
+    whole = {c: sum(r["count"] for r in rows if r[target] == c) for c in (0, 1)}
+    held = {(r[fold], r[target]): r["count"] for r in rows}
+    return {f: {c: whole[c] - held.get((f, c), 0) for c in (0, 1)} for f in {r[fold] for r in rows}}
+
+
 def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id", features: str = "features",
                 target: str = "y", fold: str = "fold", folds: int = 5, parallelism: int = 4,
                 cut: Column | None = None) -> DataFrame:
     """(model, key, fold, target, pred, score): every row scored by the model that did not see it.
 
-    ``table`` should be stored. ``cut`` may restrict the
-    training rows. Weights are recomputed inside every training part.
+    ``table`` should be stored, best partitioned by ``fold``: every part then reads its folds' files only. ``cut`` may
+    restrict the training rows. Weights are those of each training part, from one count of all of them.
     """
+    counts = fold_counts(table if cut is None else table.filter(cut), target, fold)
+
     def part(learner: Learner, i: int) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
             train = table.filter(F.col(fold) != i)
-            model = fit(learner, train if cut is None else train.filter(cut), features, target)
+            model = fit(learner, train if cut is None else train.filter(cut), features, target, counts.get(i))
             held = score(model, table.filter(F.col(fold) == i))
             return held.select(F.lit(learner.name).alias("model"), key, fold, target, "pred", "score")
         return run
@@ -220,7 +243,7 @@ def melt_comparison(summary: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 # --- tuning ------------------------------------------------------------------------------------------
 
-# The tuning grids.
+# The tuning grids; 30 levels stand for unlimited depth, and "min_rows" is this library's own parameter.
 GRIDS = {
     "LogisticRegression": {"C": [0.01, 0.1, 1.0, 10.0]},
     "RandomForest": {"trees": [100, 200], "depth": [30, 10, 20], "min_rows": [1, 2]},
@@ -311,18 +334,18 @@ def learning_curve(table: DataFrame, learner: Learner, sizes: Sequence[float], k
                    parallelism: int = 4) -> DataFrame:
     """Train and validation F1 by share of the training rows (E6): mean, deviation, gap per size.
 
-    The share is cut by a keyed hash of the row key, so smaller samples nest in larger ones.
+    Each training part is cut to exactly floor(size * n) rows in hash order, so smaller samples nest in larger ones.
     """
-    from riskframe.functions.hashing import keyed_uniform
-
-    draw = keyed_uniform("curve", F.col(key))
+    places = store(table.select(key, fold, target, features), "curve", [fold])
+    nested = {i: store(sampling.progressive_samples(places.filter(F.col(fold) != i).select(key, target, features), key,
+                                                    sizes, salt=f"curve-{i}"), "curve", ["fraction"]) for i in range(folds)}
 
     def part(size: float, i: int) -> Callable[[], DataFrame]:
         def run() -> DataFrame:
-            train = table.filter((F.col(fold) != i) & (draw < size))
+            train = nested[i].filter(F.col("fraction") == F.lit(float(size))).select(key, target, features)
             model = fit(learner, train, features, target)
             both = score(model, train).withColumn("part", F.lit("train")).unionByName(
-                score(model, table.filter(F.col(fold) == i)).withColumn("part", F.lit("validation")))
+                score(model, places.filter(F.col(fold) == i).select(key, target, features)).withColumn("part", F.lit("validation")))
             return both.groupBy("part").agg(*confusion_counts(target, "pred")).select(
                 F.lit(float(size)).alias("size"), F.lit(i).alias("fold"), "part", *CELLS)
         return run
@@ -372,17 +395,8 @@ def compare_resampling(train: DataFrame, test: DataFrame, learner: Learner, key:
         "f1_macro", "recall_pos")
 
 
-def seed_sensitivity(scored: DataFrame, seeds: Sequence[int], key: str = "id", target: str = "y",
-                     pred: str = "pred", folds: int = 5, digits: int = 6) -> DataFrame:
-    """Fold F1 of a fixed prediction column under several fold seeds (F13): per seed and over all.
-
-    All assignments are drawn in one pass, with the seed as the hash salt.
-    """
-    seeded = (scored.select(key, target, pred)
-              .withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds]))))
-    assigned = sampling.stratified_folds(seeded, key, ["seed", target], folds, salt=F.col("seed"))
-    counts = assigned.groupBy("seed", "fold").agg(*confusion_counts(target, pred))
-    per_fold = with_metrics(counts, ["f1_macro"])
+def seed_summary(per_fold: DataFrame, digits: int = 6) -> DataFrame:
+    """Per seed and over all, from (seed, fold, f1_macro) rows."""
     per_seed = per_fold.groupBy("seed").agg(
         F.avg("f1_macro").alias("f1_mean"), F.stddev_pop("f1_macro").alias("f1_std"),
         F.min("f1_macro").alias("f1_min"), F.max("f1_macro").alias("f1_max"))
@@ -394,6 +408,42 @@ def seed_sensitivity(scored: DataFrame, seeds: Sequence[int], key: str = "id", t
                            .alias("overall_range"))
 
 
+def _seeded(rows: DataFrame, seeds: Sequence[int], key: str, target: str, folds: int) -> DataFrame:
+    """Every row once per seed with its fold; all assignments are drawn in one pass, with the seed as the hash salt."""
+    seeded = rows.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds])))
+    return sampling.stratified_folds(seeded, key, ["seed", target], folds, salt=F.col("seed"))
+
+
+def seed_sensitivity(scored: DataFrame, seeds: Sequence[int], key: str = "id", target: str = "y",
+                     pred: str = "pred", folds: int = 5, digits: int = 6) -> DataFrame:
+    """Fold F1 of a fixed prediction column under several fold seeds: how much the cut alone moves it."""
+    assigned = _seeded(scored.select(key, target, pred), seeds, key, target, folds)
+    counts = assigned.groupBy("seed", "fold").agg(*confusion_counts(target, pred))
+    return seed_summary(with_metrics(counts, ["f1_macro"]), digits)
+
+
+def seed_refits(table: DataFrame, learner: Learner, seeds: Sequence[int], key: str = "id", features: str = "features",
+                target: str = "y", folds: int = 5, parallelism: int = 4, digits: int = 6) -> DataFrame:
+    """Fold F1 of a learner fitted anew for every seed and fold (F13): per seed and over all."""
+    cuts = store(_seeded(table.select(key, target, features), seeds, key, target, folds), "seeds", ["seed", "fold"])
+    rows = cuts.groupBy("seed", "fold", target).count().collect()  # a row per seed, fold and class
+
+    def part(seed: int, i: int) -> Callable[[], DataFrame]:
+        def run() -> DataFrame:
+            own = cuts.filter(F.col("seed") == seed)
+            counts = {c: sum(r["count"] for r in rows if r["seed"] == seed and r["fold"] != i and r[target] == c) for c in (0, 1)}
+            model = fit(learner, own.filter(F.col("fold") != i), features, target, counts)
+            return score(model, own.filter(F.col("fold") == i)).select("seed", "fold", target, "pred")
+        return run
+
+    parts = _in_parallel([part(s, i) for s in seeds for i in range(folds)], parallelism)
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    counts = out.groupBy("seed", "fold").agg(*confusion_counts(target, "pred"))
+    return seed_summary(with_metrics(counts, ["f1_macro"]), digits)
+
+
 # --- batch scoring -----------------------------------------------------------------------------------
 
 def fill_profile(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
@@ -406,6 +456,7 @@ def fill_profile(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 def band_scores(df: DataFrame, column: str = "score") -> DataFrame:
     """Label at one half, and the risk band, of every scored row."""
+    # The two labels.
     return (df.withColumn("label", F.when(F.col(column) >= 0.5, "High Risk").otherwise("Low Risk"))
             .withColumn("band", risk_band(F.col(column))))
 

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskframe.functions.hashing import keyed_uniform
@@ -59,10 +61,13 @@ def scored_orders(spark: SparkSession, folder: str) -> DataFrame:
             .drop("_z"))
 
 
-def sampled_orders(spark: SparkSession, folder: str, folds: bool = True, split: bool = True) -> DataFrame:
+def sampled_orders(spark: SparkSession, folder: str, folds: bool = True, split: bool = True,
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """``columns``: those a query needs beside the key and the class; only they are stored."""
     from riskframe.operators.sampling import stratified_folds, stratified_split
 
-    rows = store(scored_orders(spark, folder), "scored")
+    scored = scored_orders(spark, folder)
+    rows = store(scored if columns is None else scored.select(*dict.fromkeys(["id", "y", *columns])), "scored")
     if folds:
         rows = stratified_folds(rows, "id", ["y"], folds=5, salt="fold")
     return stratified_split(rows, "id", ["y"], test_fraction=0.2, salt="split") if split else rows
@@ -103,19 +108,23 @@ def feature_spec():
         fill={"n_lines": 0, "qty_sum": 100, "disc_sum": 0})
 
 
-def modelling_table(spark: SparkSession, folder: str):
-    """(stored table with a ``features`` vector, fitted preparation)."""
+FEATURE_COLUMNS = ["priority", "acctbal", "totalprice", "n_lines", "qty_sum", "disc_sum", "segment", "status", "region_name"]
+
+
+def modelling_table(spark: SparkSession, folder: str, folds: bool = True):
+    """(stored table with a ``features`` vector, fitted preparation); a folder per split and, if drawn, per fold."""
     from riskframe.operators.features import fit_features
 
-    rows = sampled_orders(spark, folder)
+    rows = store(sampled_orders(spark, folder, folds=folds, columns=FEATURE_COLUMNS), "split", ["split"])
     fitted = fit_features(rows.filter("split = 'train'"), feature_spec())
-    prepared = fitted.transform(rows).select("id", "y", "split", "fold", "features")
-    return store(prepared, "model"), fitted
+    parts = ["split", "fold"] if folds else ["split"]
+    prepared = fitted.transform(rows).select("id", "y", "features", *parts)
+    return store(prepared, "model", parts), fitted
 
 
 def fold_scores(spark: SparkSession, folder: str) -> DataFrame:
     """(model, id, fold, y, pred, score) of three scored models over the five folds."""
-    rows = sampled_orders(spark, folder, split=False)
+    rows = sampled_orders(spark, folder, split=False, columns=["score_a", "score_b", "pred_a", "pred_b"])
     both = F.round((F.col("score_a") + F.col("score_b")) / 2, 6)
     models = F.array(
         F.struct(F.lit("model_a").alias("model"), F.col("pred_a").alias("pred"), F.col("score_a").alias("score")),

@@ -1,60 +1,134 @@
-"""Exact nearest neighbours as a block join.
+"""Exact nearest neighbours as a pruned block join.
 
-Both sides are dealt into blocks by a keyed hash of their unique key, so no
-block can be hot. Each pair of blocks is one group of bounded size; a group
-emits the k best per query, never its pairs, and a second step keeps the k best
-over all blocks. Work is quadratic, memory per task is not.
+Pool rows go to the cell of their nearest pivot, large cells are dealt into blocks. A query first searches its own
+cell; the distance of its k-th find then rules out every cell whose nearest possible row is farther away (triangle
+inequality), and only the rest are searched. A group holds the queries that visit one block and that block; it emits
+the k best per query, never pairs. The answer does not depend on cells or blocks.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskframe.functions.hashing import keyed_hash
+from riskframe.plans.storage import store
+from riskframe.plans.workers import ready
+
+_EPSILON = np.finfo(np.float64).eps
 
 
 def nearest_neighbours(queries: DataFrame, pool: DataFrame, key: str, vector: str, k: int,
-                       block_rows: int = 8_192) -> DataFrame:
+                       block_rows: int = 8_192, cells: int = 256) -> DataFrame:
     """(base_id, rank, neighbour_id, distance): the k nearest pool rows of each query.
 
-    A row is not its own neighbour. Ties go to the smaller key.
+    A row is not its own neighbour. Ties go to the smaller key. Rows without a vector take no part.
     """
-    q_blocks = max(1, math.ceil(queries.count() / block_rows))
-    p_blocks = max(1, math.ceil(pool.count() / block_rows))
-
-    def dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return (df.select(F.col(key).alias("id"), F.col(vector).alias("v"))
-                .withColumn(own, (keyed_hash(own, F.col("id")) % n_own).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
-
-    left = dealt(queries, "qb", q_blocks, "pb", p_blocks)
-    right = dealt(pool, "pb", p_blocks, "qb", q_blocks)
-    id_type = dict(left.dtypes)["id"]
-
-    def best_of_block(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(q) and len(p):
-            qv, pv = np.vstack(q["v"].to_numpy()), np.vstack(p["v"].to_numpy())
-            q_ids, p_ids = q["id"].to_numpy(), p["id"].to_numpy()
-            p_norm = (pv * pv).sum(axis=1)
-            # A few spare candidates, since the fast distance is only good to rounding.
-            spare = min(len(p), k + 8)
-            for start in range(0, len(q), 512):
-                part, ids = qv[start:start + 512], q_ids[start:start + 512]
-                fast = p_norm[None, :] - 2.0 * part @ pv.T
-                near = np.argpartition(fast, spare - 1, axis=1)[:, :spare]
-                exact = np.sqrt(((part[:, None, :] - pv[near]) ** 2).sum(axis=2))
-                for row, base in enumerate(ids):
-                    ranked = sorted((d, i) for d, i in zip(exact[row], p_ids[near[row]]) if i != base)
-                    found += [(base, i, float(d)) for d, i in ranked[:k]]
-        return pd.DataFrame(found, columns=["base_id", "neighbour_id", "distance"])
-
-    candidates = (left.groupBy("qb", "pb").cogroup(right.groupBy("qb", "pb"))
-                  .applyInPandas(best_of_block, f"base_id {id_type}, neighbour_id {id_type}, distance double"))
+    def plain(df: DataFrame) -> DataFrame:
+        return df.select(F.col(key).alias("id"), F.col(vector).alias("v")).filter("v is not null")
+
+    ready(pool.sparkSession)
+    pool, queries = store(plain(pool), "pool"), store(plain(queries), "queries")
+    n, id_type = pool.count(), dict(pool.dtypes)["id"]
+    first = pool.orderBy(keyed_hash("pivot", F.col("id")), "id").limit(min(cells, max(1, math.ceil(n / block_rows))))
+    pivots = np.array([r["v"] for r in first.collect()], dtype=np.float64)  # at most ``cells``
+    if not len(pivots):
+        return queries.select(F.col("id").alias("base_id"), F.lit(1).alias("rank"), F.col("id").alias("neighbour_id"),
+                              F.lit(0.0).alias("distance")).filter("false")
+
+    def gaps(v: np.ndarray) -> np.ndarray:
+        return np.stack([np.sqrt(((v - p) ** 2).sum(axis=1)) for p in pivots], axis=1)
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                away = gaps(np.vstack(rows["v"].to_numpy()))
+                yield rows.assign(cell=away.argmin(axis=1), away=away.min(axis=1))
+
+    kind = f"id {id_type}, v array<double>, cell int"
+    settled = store(pool.mapInPandas(settle, f"{kind}, away double"), "cells")
+    asking = store(queries.mapInPandas(settle, f"{kind}, away double"), "cells").drop("away")
+    radius, blocks = np.full(len(pivots), -np.inf), [0] * len(pivots)
+    for row in settled.groupBy("cell").agg(F.max("away").alias("r"), F.count(F.lit(1)).alias("n")).collect():
+        radius[row["cell"]], blocks[row["cell"]] = row["r"], math.ceil(row["n"] / block_rows)
+    per_cell = F.array(*[F.lit(b) for b in blocks])
+
+    def block_of(salt: str) -> Column:
+        return (keyed_hash(salt, F.col("id")) % F.greatest(F.get(per_cell, F.col("cell")), F.lit(1))).cast("int")
+
+    held = settled.select("id", "v", "cell", block_of("block").alias("block")).groupBy("cell", "block")
+
+    def search(visits: DataFrame) -> DataFrame:
+        """The k best of every visited block, and of these the k best per query."""
+        each = visits.withColumn("block", F.explode(F.sequence(F.lit(0), F.get(per_cell, F.col("cell")) - 1)))
+        # Many queries of one block are dealt out too; the block is small.
+        found = (each.groupBy("cell", "block").cogroup(held)
+                 .applyInPandas(lambda q, p: _best_of_block(q, p, k),
+                                f"base_id {id_type}, neighbour_id {id_type}, distance double"))
+        return _best(found, k)
+
+    own = store(search(asking.filter(F.get(per_cell, F.col("cell")) > 0)), "near")
+    bound = own.groupBy(F.col("base_id").alias("id")).agg(
+        F.when(F.count(F.lit(1)) == k, F.max("distance")).alias("bound"))
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if not len(rows):
+                continue
+            away = gaps(np.vstack(rows["v"].to_numpy()))
+            least = away - radius[None, :]
+            least -= 1e-9 * (away + np.abs(np.where(np.isfinite(radius), radius, 0.0))[None, :])
+            limit = rows["bound"].to_numpy(dtype=np.float64)
+            need = (least <= np.where(np.isnan(limit), np.inf, limit)[:, None]) & np.isfinite(radius)[None, :]
+            need[np.arange(len(rows)), rows["cell"].to_numpy()] = False
+            row, cell = np.nonzero(need)
+            if len(row):
+                yield pd.DataFrame({"id": rows["id"].to_numpy()[row], "v": rows["v"].to_numpy()[row], "cell": cell})
+
+    further = asking.join(bound, "id", "left").select("id", "v", "cell", "bound").mapInPandas(visit, kind)
+    return _best(own.select("base_id", "neighbour_id", "distance").union(
+        search(further).select("base_id", "neighbour_id", "distance")), k)
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("base_id").orderBy("distance", "neighbour_id"))
-    return (candidates.withColumn("rank", rank).filter(F.col("rank") <= k)
+    return (found.withColumn("rank", rank).filter(F.col("rank") <= k)
             .select("base_id", "rank", "neighbour_id", "distance"))
+
+
+def _best_of_block(q: pd.DataFrame, p: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest rows of a block for every query, by (distance, key).
+
+    A product of centred vectors gives distances to rounding; every row that could be among the k nearest within that
+    error, ties included, is then measured by exact differences.
+    """
+    found: list[tuple] = []
+    if len(q) and len(p):
+        qv, pv = np.vstack(q["v"].to_numpy()).astype(np.float64), np.vstack(p["v"].to_numpy()).astype(np.float64)
+        q_ids, p_ids = q["id"].to_numpy(), p["id"].to_numpy()
+        middle = pv.mean(axis=0)
+        pc = pv - middle
+        p_norm = (pc * pc).sum(axis=1)
+        for start in range(0, len(q), 256):
+            part, ids = qv[start:start + 256], q_ids[start:start + 256]
+            qc = part - middle
+            q_norm = (qc * qc).sum(axis=1)
+            fast = q_norm[:, None] + p_norm[None, :] - 2.0 * qc @ pc.T
+            slack = 8 * _EPSILON * (pv.shape[1] + 4) * (q_norm + p_norm.max())
+            # Differences to the middle are rounded too, relative to the original values.
+            slack += 8 * _EPSILON * np.abs(pv).max() * (np.sqrt(q_norm) + math.sqrt(p_norm.max())) * pv.shape[1]
+            keep = min(len(p), k + 1)  # one more, as the query itself may be among them
+            edge = np.partition(fast, keep - 1, axis=1)[:, keep - 1]
+            for row, base in enumerate(ids):
+                near = np.flatnonzero(fast[row] <= edge[row] + 2 * slack[row])
+                near = near[p_ids[near] != base]
+                if len(near) < min(k, len(p)):  # several rows bear the query's key
+                    near = np.flatnonzero(p_ids != base)
+                exact = np.sqrt(((pv[near] - part[row]) ** 2).sum(axis=1))
+                order = np.lexsort((p_ids[near], exact))[:k]
+                found += [(base, p_ids[near[i]], float(exact[i])) for i in order]
+    return pd.DataFrame(found, columns=["base_id", "neighbour_id", "distance"])

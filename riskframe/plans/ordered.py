@@ -17,7 +17,6 @@ from riskframe.plans.storage import store
 
 ROWS_PER_TASK = 1_000_000
 MAX_RANGES = 10_000
-MAX_CLASSES = 1_000
 SKETCH_ACCURACY = 10_000
 NARROW_ABOVE_BYTES = 256 * 1024 * 1024
 _SHIFT = 16  # a 32-bit hash falls into 2 ** 16 cells
@@ -152,18 +151,19 @@ def _narrowed_counts(rows: DataFrame, by: list[str], probs: dict[str, float], ab
             .groupBy(*by, "n", "_q", "_v").agg(F.count(F.lit(1)).alias("_n")))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``by``, where a null key equals a null key; the columns of ``by`` are the left ones."""
+    names = {c: f"_by{i}" for i, c in enumerate(by)}
+    other = right.withColumnsRenamed(names)
+    return left.join(other, [left[c].eqNullSafe(other[n]) for c, n in names.items()], how).drop(*names.values())
+
+
 def class_sizes(df: DataFrame, by: Sequence[str], hash_col: str) -> tuple[DataFrame, DataFrame]:
-    """(hash cells per class, rows per class). More than MAX_CLASSES classes is an error."""
+    """(hash cells per class, rows per class). A null class is a class; there may be any number of them."""
     by = list(by)
     cells = store(df.groupBy(*by, F.shiftright(hash_col, _SHIFT).alias("_cell")).agg(
         F.count(F.lit(1)).alias("_n")), "cells")
-    every = Window.partitionBy()
-    sizes = (cells.groupBy(*by).agg(F.sum("_n").alias("n_class"))
-             .withColumn("_classes", F.count(F.lit(1)).over(every))
-             .filter(F.when(F.col("_classes") <= MAX_CLASSES, F.lit(True)).otherwise(
-                 F.raise_error(F.lit("too many classes for stratified sampling")).cast("boolean")))
-             .drop("_classes"))
-    return cells, sizes
+    return cells, cells.groupBy(*by).agg(F.sum("_n").alias("n_class"))
 
 
 def rank_cutoffs(df: DataFrame, by: Sequence[str], hash_col: str, key: str,
@@ -172,21 +172,20 @@ def rank_cutoffs(df: DataFrame, by: Sequence[str], hash_col: str, key: str,
 
     The data is counted into 2**16 hash cells per class; only the one cell in
     which a cut falls is ranked, so no sort ever sees more than 1/65536 of a
-    class and the raw rows are never shuffled. ``wants`` has at most
-    MAX_CLASSES x cuts rows (``class_sizes`` checks it), which bounds the
-    broadcast. Callers store the cut points, so they are looked up once.
+    class. The cells that hold a cut are stored, so the planner knows their size:
+    it broadcasts them if they are few, and joins by shuffle if classes are many.
+    Callers store the cut points, so they are looked up once.
     """
     by = list(by)
     run = Window.partitionBy(*by).orderBy("_cell").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     cells = cells.withColumn("_upto", F.sum("_n").over(run))
-    edges = (cells.join(wants, by)
-             .filter((F.col("want") <= F.col("_upto"))
-                     & (F.col("want") > F.col("_upto") - F.col("_n")))
-             .select(*by, "_cell", "cut", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")))
-    inside = (df.select(*by, hash_col, key)
-              .withColumn("_cell", F.shiftright(hash_col, _SHIFT))
-              .join(F.broadcast(edges), [*by, "_cell"]))
+    edges = store(join_null_safe(cells, wants, by)
+                  .filter((F.col("want") <= F.col("_upto"))
+                          & (F.col("want") > F.col("_upto") - F.col("_n")))
+                  .select(*by, "_cell", "cut", (F.col("want") - F.col("_upto") + F.col("_n")).alias("_need")), "edges")
+    inside = join_null_safe(df.select(*by, hash_col, key).withColumn("_cell", F.shiftright(hash_col, _SHIFT)),
+                            edges, [*by, "_cell"])
     rank = F.row_number().over(Window.partitionBy(*by, "cut").orderBy(hash_col, key))
     return (inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_need"))
             .select(*by, "cut", F.col(hash_col).alias("cut_hash"), F.col(key).alias("cut_key")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,17 +37,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def store(df: DataFrame, label: str = "table") -> DataFrame:
+def store(df: DataFrame, label: str = "table", partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader of the written table.
 
     The size of a stored table is known to the planner. Small fitted tables
     (cut points, ranges, fences) are therefore stored and joined without a hint:
     Spark broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and
-    joins by shuffle above it.
+    joins by shuffle above it. With ``partition_by`` (columns of few values) readers
+    that ask for one value read its files only.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -144,3 +144,50 @@ def test_quantiles_fall_back_when_an_interval_misses(spark, monkeypatch):
     df = spark.createDataFrame([("g", float(i * i)) for i in range(2000)], "g string, v double")
     got = exact_quantiles(df, ["g"], "v", {"a": 0.3333}, narrow_above_bytes=0, narrow_above_rows=10).first()
     assert got["a"] == pytest.approx(666 ** 2 + (0.3333 * 1999 - 666) * (667 ** 2 - 666 ** 2))
+
+
+def test_paired_t_counts_its_pairs(spark):
+    short = pairs(spark, [0.84, 0.85, 0.83], [0.83, 0.85, 0.82])
+    got = sg.paired_t(short, 5, None).first()
+    assert got["t_stat"] is None and got["p_value"] is None and got["mean_a"] == pytest.approx(0.84)
+
+
+def test_the_caller_chooses_the_signed_rank_method(spark):
+    five = pairs(spark, [0.1, 0, 0, 0, 0.5], [0, 0.2, 0.3, 0.4, 0])
+    exact, normal = (sg.wilcoxon(five, m, digits=None).first() for m in ("exact", "normal"))
+    assert exact["p_value"] == 0.8125 and exact["p_method"] == "exact"
+    z = (6 - 7.5) / math.sqrt(5 * 6 * 11 / 24)
+    assert normal["p_value"] == pytest.approx(math.erfc(abs(z) / math.sqrt(2))) and normal["p_method"] == "normal"
+    tied = pairs(spark, [1, 1, 0], [0, 0, 3])
+    assert sg.wilcoxon(tied, "exact").first()["p_value"] is None
+    assert sg.wilcoxon(tied).first()["p_method"] == "normal"
+
+
+def test_bootstrap_of_any_metric(spark):
+    """Replicates drawn row by row in Python from the same hashes."""
+    import hashlib
+
+    rows = [(i, i % 3 == 0 and 1 or 0, (i * 7 % 10) / 10, int(i * 7 % 10 >= 5)) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, y int, score double, pred int").repartition(3)
+    got = {r["replicate"]: r for r in sg.bootstrap_replicates(df, "id", "y", "pred", 6, metrics=["accuracy"], score="score").collect()}
+    edges, term = [], math.exp(-1)
+    for k in range(13):
+        edges.append((edges[-1] if edges else 0) + term)
+        term /= k + 1
+    for rep in range(1, 7):
+        w = [next((k for k, e in enumerate(edges) if int(hashlib.md5(f"boot:{i}/{rep}".encode()).hexdigest()[:8], 16) / 2 ** 32 < e), 13)
+             for i, *_ in rows]
+        assert got[rep]["accuracy"] == pytest.approx(sum(x for x, r in zip(w, rows) if r[1] == r[3]) / sum(w))
+        pos, neg = [(x, r[2]) for x, r in zip(w, rows) if r[1]], [(x, r[2]) for x, r in zip(w, rows) if not r[1]]
+        wins = sum(a * b * ((s > t) + 0.5 * (s == t)) for a, s in pos for b, t in neg)
+        assert got[rep]["roc_auc"] == pytest.approx(wins / sum(a for a, _ in pos) / sum(b for b, _ in neg))
+
+
+def test_shape_without_a_file_list(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    spark.range(100).repartition(7).write.parquet(path)
+    row = dq.table_shape(spark.read.parquet(path)).first()
+    size = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet"))
+    assert (row["rows"], row["columns"], row["bytes"]) == (100, 1, size)

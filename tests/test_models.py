@@ -168,3 +168,82 @@ def test_multinomial_bootstrap(spark):
     assert ci["lower"] < ci["mean"] < ci["upper"] and ci["n_bootstrap"] == 200
     again = sg.confidence_interval(sg.bootstrap_multinomial(df.repartition(3), "y", "pred", 200)).first()
     assert ci == again
+
+
+def written(spark, text):
+    path = fresh_path(spark, "text")
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.option("lineSep", "\n").text(path)
+    return path
+
+
+def test_types_are_found_after_missing_texts_go(spark):
+    path = written(spark, "n,x,b,s,e\n1,1.5,true,a,NA\nNA,NaN,False,1,\n3,2,,b,null")
+    df = delimited.read_delimited(spark, path)
+    assert dict(df.dtypes) == {"n": "bigint", "x": "double", "b": "boolean", "s": "string", "e": "string"}
+    assert [tuple(r) for r in df.collect()] == [(1, 1.5, True, "a", None), (None, None, False, "1", None), (3, 2.0, None, "b", None)]
+
+
+def test_line_breaks_in_cells(spark):
+    df = spark.createDataFrame([(1, "two\nlines"), (2, 'a "quoted", cell')], "id long, t string")
+    path = fresh_path(spark, "text")
+    delimited.write_delimited(df, path)
+    back = delimited.read_delimited(spark, path, "id long, t string", line_breaks=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, path, "id long, t string").collect()
+
+
+def test_logistic_regression_is_at_its_optimum(parts, fitted):
+    """The gradient of the penalised, balanced loss vanishes."""
+    rows = tr.with_balanced_weights(parts[0]).select("features", "y", "weight").collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    y, w = np.array([r["y"] for r in rows]), np.array([r["weight"] for r in rows])
+    beta = fitted.coefficients.toArray()
+    error = w * (1 / (1 + np.exp(-(x @ beta + fitted.intercept))) - y)
+    assert np.abs(x.T @ error + beta).max() / len(y) < 1e-4 and abs(error.sum()) / len(y) < 1e-4
+
+
+@pytest.mark.parametrize("learner", [tr.tree(), tr.forest(10, 5), tr.boosted(5, depth=3), tr.linear_svm(max_iter=20),
+                                     tr.network((8,), 30)], ids=lambda m: m.name)
+def test_learners_beat_the_base_rate(parts, learner):
+    scored = tr.score(tr.fit(learner, parts[0]), parts[1])
+    right, base = scored.agg(F.avg((F.col("pred") == F.col("y")).cast("double")), F.avg(F.col("y").cast("double"))).first()
+    assert right > max(base, 1 - base) + 0.03
+
+
+def test_counts_of_training_parts(parts):
+    counts = tr.fold_counts(parts[0])
+    for i in (0, 3):
+        assert counts[i] == tr.class_counts(parts[0].filter(F.col("fold") != i))
+
+
+def test_learning_curve_sizes_are_exact(parts):
+    rows = tr.learning_curve(parts[0], tr.tree(3), [0.25, 1.0], folds=2, parallelism=4).orderBy("size").collect()
+    sizes = [parts[0].filter(F.col("fold") != i).count() for i in range(2)]
+    assert rows[0]["train_rows"] == pytest.approx(sum(n // 4 for n in sizes) / 2, abs=0.1)
+    assert rows[1]["train_rows"] == pytest.approx(sum(sizes) / 2, abs=0.1) and rows[0]["train_mean"] > 0.5
+
+
+def test_seed_refits(parts):
+    got = tr.seed_refits(parts[0].filter("id % 4 = 0"), tr.lr(0.1, max_iter=20), [0, 7], folds=2).orderBy("seed").collect()
+    assert [r["seed"] for r in got] == [0, 7] and all(0.5 < r["f1_min"] <= r["f1_max"] < 1 for r in got)
+
+
+def test_study(spark, table, parts):
+    from datetime import datetime
+
+    from riskframe.operators.study import run_study
+
+    learners = [tr.lr(0.1, max_iter=30), tr.tree(4)]
+    log = fresh_path(spark, "study")
+    study = run_study(parts[0], table[1].names, learners, {"LogisticRegression": [{"C": 0.01}, {"C": 1.0}], "DecisionTree": []},
+                      log, datetime(2024, 1, 1), keep=15)
+    places = study.comparison.orderBy("place").collect()
+    assert {r["model"] for r in places} == {"LogisticRegression", "DecisionTree", "Stacking"} and places[0]["best"]
+    assert study.selected.filter("kept").count() == 15
+    if places[0]["model"] == "LogisticRegression" or places[1]["model"] == "LogisticRegression":
+        assert study.tuned.count() in (0, 2)
+    assert {r["conclusion"] for r in study.significance.collect()} <= {"significant difference", "no significant difference"}
+    logged = {r["run_name"]: r for r in runs.read_runs(spark, log).collect()}
+    assert logged["DecisionTree"]["params"] == {"max_depth": "4"} and all(r["train_time_s"] > 0 for r in logged.values())
+    assert {"f1_macro_mean", "roc_auc_std"} <= set(logged["Stacking"]["metrics"])

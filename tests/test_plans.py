@@ -7,8 +7,10 @@ from contextlib import redirect_stdout
 import pytest
 
 import __spark_entry__ as entry
-from riskframe.operators import evaluation as ev, quality as dq, sampling as sm
-from riskframe.plans.bindings import order_survey, scored_orders
+from riskframe.operators import evaluation as ev, features as fe, profile as pr, quality as dq, sampling as sm
+from riskframe.plans.bindings import modelling_table, order_survey, scored_orders
+from riskframe.plans import storage
+from riskframe.plans.pairs import pair_moments
 from riskframe.plans.storage import drop_stored, session_folder, store
 from riskframe.sources.tables import table
 
@@ -53,14 +55,35 @@ def test_samplers_do_not_shuffle_the_rows(spark, sf):
         assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
 
 
-def test_stored_tables_can_be_dropped(spark):
+def test_stored_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     import os
 
-    other = spark.newSession()
-    store(other.range(3), "gone")
-    folder = session_folder(spark)
-    assert os.path.isdir(folder)
-    assert any(name.startswith("gone") for name in os.listdir(folder))
+    monkeypatch.setattr(storage, "shared_folder", lambda _: str(tmp_path))
+    kept = store(spark.range(3), "gone")
+    assert kept.count() == 3 and os.listdir(session_folder(spark))
+    drop_stored(spark)
+    assert not os.path.exists(session_folder(spark))
+
+
+def test_a_part_reads_its_folds_files_only(spark, sf):
+    table, _ = modelling_table(spark, sf)
+    text = plan(table.filter("split = 'train'").filter("fold <> 2"))
+    filters = re.findall(r"PartitionFilters: \[(.*)\]", text)
+    assert filters and all("fold" in f and "train" in f for f in filters)
+
+
+def test_pair_matrices_do_not_multiply_rows(spark, sf):
+    df = order_survey(spark, sf)
+    for report in (pair_moments(df, ["acctbal", "qty_sum", "n_lines"]), fe.covariance_matrix(df, ["acctbal", "qty_sum"])):
+        assert "Generate" not in plan(report) and "MapInPandas" in plan(report)
+    # The correlations list their pairs beside it, a row per pair.
+    assert plan(pr.guarded_corr(df, ["acctbal", "qty_sum"])).count("Generate") <= 2
+
+
+def test_the_survey_is_evaluated_once_for_counts(spark, sf):
+    df = store(order_survey(spark, sf).select("id", "status", "segment"))
+    text = plan(dq.drop_rare(df, ["status", "segment"], 0.1))
+    assert text.count("Location: InMemoryFileIndex") == 3  # the rows and the frequent values of two columns
 
 
 @pytest.mark.parametrize("name", ["entry", "oracle"])
@@ -74,7 +97,3 @@ def test_registry(spark, name):
 
 def test_survey_has_natural_nulls(spark, sf):
     assert order_survey(spark, sf).filter("qty_sum is null").count() > 0
-
-
-def test_drop_stored_is_callable():
-    assert callable(drop_stored)
