@@ -2,26 +2,13 @@
 
 from __future__ import annotations
 
-import os
-
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
 
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def ready(spark: SparkSession) -> SparkSession:
-    """Let the workers of a local session import the package from the driver's checkout.
+from riskframe.plans.workers import ready
 
-    On a cluster the package is shipped with the job (``--py-files`` or an installed wheel); nothing is set there.
-    """
-    context = spark.sparkContext
-    if context.master.startswith("local[") or context.master == "local":
-        paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
-        if _ROOT not in paths:
-            context.environment["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
-    return spark
+__all__ = ["batch", "ready", "shuffle_width", "task_number"]
 
 
 def task_number() -> int:
