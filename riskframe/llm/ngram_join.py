@@ -6,9 +6,12 @@ alone. Where the prefix reaches into the frequent class, it is extended by one a
 indexed: two similar sets that share no rare shingle there share two frequent ones. Sets so long that the pairs would
 outnumber ``most_pairs`` index frequent shingles alone; sizes within the ratio of the border do both, so no pair is lost.
 
-Equal sets are folded first. Every key's sets are verified against the smallest of them, connected, and what is still
-apart within a key is verified pair by pair; sets already connected need no more comparisons, so a large group of near
-copies costs as many comparisons as it has members.
+Equal sets are folded first. Keys of few sets give their pairs, and a pair goes on only if it shares as many keys as
+two similar sets of these sizes must. Keys of many sets give none: each set is verified against the smallest of them,
+the key's head, and connected; what a head has met and is still apart is then compared in blocks of bounded size,
+without the pairs that are connected already. A block counts common shingles through an inverted index and gives a
+forest of the links it finds, so no pair of a large group is written or shuffled, and a group of near copies costs
+little more than its members.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskframe.llm.components import connected_components
+from riskframe.llm.components import connected_components, forest
 from riskframe.llm.shingles import mix, shingle_sets
 from riskframe.llm.tokens import slices, text_array
 from riskframe.llm.workers import batch, ready
@@ -30,8 +33,12 @@ _SEGMENTS = 64
 _SLICE = 3_000_000
 _SEEN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
                    ("segment", pa.int32()), ("counts", pa.binary())])
-_KEYS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("frequent", pa.bool_())])
+_KEYS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int32()), ("frequent", pa.bool_()),
+                   ("pure", pa.bool_())])
 _SET = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+_LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Sets in a block, and sets of a key that still gives its pairs.
+_BLOCK, _FEW = 1_024, 16
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -81,7 +88,10 @@ def _sketch(survey: DataFrame, sketch_bits: int) -> np.ndarray:
 
 def prefix_keys(shingles: np.ndarray, counts: np.ndarray, frequent_above: int, num: int, den: int,
                 most_pairs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, is frequent) of one set; ``counts`` are the sketch's counts of its shingles."""
+    """(keys, is frequent) of one set; ``counts`` are the sketch's counts of its shingles.
+
+    Without a frequent key the whole prefix is indexed by single shingles.
+    """
     n = len(shingles)
     need = -(-num * n // den)  # a similar set shares at least so many
     prefix = n - need + 1
@@ -111,7 +121,10 @@ def prefix_keys(shingles: np.ndarray, counts: np.ndarray, frequent_above: int, n
 
 
 def _index(docs: DataFrame, sketch: np.ndarray, words: int, num: int, den: int, most_pairs: int) -> DataFrame:
-    """(key, doc_id, size) for keys that at least two documents have (frequent keys: all)."""
+    """(key, doc_id, size, pure) for keys that at least two documents have (frequent keys: all).
+
+    ``pure``: the document has no frequent key, so it shares a key with a set for every shingle their prefixes share.
+    """
     spark = docs.sparkSession
     bits = len(sketch).bit_length() - 1
     frequent_above = int(4 * sketch.mean()) + 64
@@ -127,7 +140,7 @@ def _index(docs: DataFrame, sketch: np.ndarray, words: int, num: int, den: int,
                 sizes = [len(f[2]) for f in found]
                 yield batch(_KEYS, _signed(np.concatenate([f[2] for f in found])),
                             np.repeat([f[0] for f in found], sizes), np.repeat([f[1] for f in found], sizes),
-                            np.concatenate([f[3] for f in found]))
+                            np.concatenate([f[3] for f in found]), np.repeat([not f[3].any() for f in found], sizes))
 
     def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None  # the last row so far: it may be the first of a run
@@ -148,11 +161,36 @@ def _index(docs: DataFrame, sketch: np.ndarray, words: int, num: int, den: int,
         if held is not None and (joined or held.column(3)[0].as_py()):
             yield held
 
-    kind = "key long, doc_id long, size int, frequent boolean"
+    kind = "key long, doc_id long, size int, frequent boolean, pure boolean"
     # Frequent keys are dealt over the cluster; they are told apart only after equal sets are folded.
     salt = F.when(F.col("frequent"), F.pmod("doc_id", F.lit(4_096))).otherwise(F.lit(0))
     return (docs.mapInArrow(keys, kind).repartition("key", salt).sortWithinPartitions("key")
-            .mapInArrow(shared_keys, kind).select("key", "doc_id", "size"))
+            .mapInArrow(shared_keys, kind).select("key", "doc_id", "size", "pure"))
+
+
+def _likely_pairs(led: DataFrame, num: int, den: int) -> DataFrame:
+    """(head, rep) pairs of the keys of few sets that share as many keys as two similar sets of their sizes must.
+
+    Of ``o`` common shingles (in the order of the prefixes), the k-th lies in the prefix of a set of n if
+    k <= o - ceil(num * n / den) + 1. Where one of the two is pure, every one in both prefixes is a shared key.
+    """
+    def up(a: str, b: int) -> str:
+        return f"(({a} + {b} - 1) div {b})"
+    lists = led.filter(F.col("n") <= _FEW).groupBy("key").agg(
+        F.array_sort(F.collect_list(F.struct("rep", "size", "pure"))).alias("l"))  # at most _FEW
+    pairs = lists.select(F.explode(F.expr(
+        "flatten(transform(l, (x, i) -> transform(slice(l, i + 2, size(l)), y -> struct(x, y))))")).alias("p"))
+    counted = (pairs.filter(f"p.x.rep < p.y.rep and {_sized('p.x.size', 'p.y.size', num, den)}")
+               .groupBy(F.col("p.x.rep").alias("head"), F.col("p.y.rep").alias("rep"), F.col("p.x.size").alias("nx"),
+                        F.col("p.y.size").alias("ny"), F.expr("p.x.pure or p.y.pure").alias("pure")).agg(F.count("*").alias("shared")))
+    overlap = up(f"{num}L * (nx + ny)", num + den)
+    least = f"{overlap} - {up(f'{num}L * greatest(nx, ny)', den)} + 1"
+    return counted.filter(f"not pure or shared >= {least}").select("head", "rep").distinct()
+
+
+def _sized(x: str, y: str, num: int, den: int) -> str:
+    """Can sets of these sizes be similar."""
+    return f"{den}L * least({x}, {y}) >= {num}L * greatest({x}, {y})"
 
 
 def _small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
@@ -160,32 +198,116 @@ def _small(df: DataFrame, rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _verify(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets reach the similarity."""
-    wanted = store(pairs.select(F.col("a").alias("wanted")).union(pairs.select("b")).distinct(), "wanted")
-
+def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(doc_id, shingles) of the documents named in ``wanted``, stored."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _slices(batches, words):
             yield batch(_SET, ids, [s.tobytes() for s in sets])
 
-    sets = store(docs.join(_small(wanted), F.col("doc_id") == F.col("wanted"), "left_semi")
+    return store(docs.join(_small(wanted), F.col("doc_id") == F.col("wanted"), "left_semi")
                  .mapInArrow(build, "doc_id long, shingles binary"), "sets")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            keep, last, x = [], None, None
-            for left, right in zip(rows.column(2), rows.column(3)):
-                if (data := left.as_py()) != last:
-                    last, x = data, np.frombuffer(data, np.uint64)
-                y = np.frombuffer(right.as_py(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield rows.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return store(both.mapInArrow(compare, "a long, b long"), "verified")
+def _unpack(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles one after another, and the number of each set."""
+    sets = [np.frombuffer(s, np.uint64) for s in column.to_pylist()]
+    return np.concatenate(sets), np.array([len(s) for s in sets])
+
+
+def _links_to_head(table: pa.Table, num: int, den: int) -> pa.Table:
+    """The members of one block that are similar to their head."""
+    member = np.array(table["member"].to_pylist(), bool)
+    head, ids = table["head"][0].as_py(), table["rep"].to_numpy()
+    found: set[int] = set()
+    if member.any() and not member.all():
+        flat, sizes = _unpack(table.filter(pa.array(member))["shingles"])
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        for own in table.filter(pa.array(~member))["shingles"].to_pylist():
+            mine = np.frombuffer(own, np.uint64)
+            at = np.minimum(np.searchsorted(mine, flat), max(0, len(mine) - 1))
+            hit = mine[at] == flat if len(mine) else np.zeros(len(flat), bool)
+            both = np.bincount(owner[hit], minlength=len(sizes))
+            found.update(ids[member][den * both >= num * (len(mine) + sizes - both)].tolist())
+    return pa.Table.from_batches([batch(_LINK, [head] * len(found), sorted(found))])
+
+
+def links_in_block(ids: np.ndarray, own: np.ndarray, side: np.ndarray, flat: np.ndarray, sizes: np.ndarray, num: int,
+                   den: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the similar pairs among sets of different components; if there are two sides, of pairs across."""
+    _, token = np.unique(flat, return_inverse=True)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    postings = owner[np.argsort(token, kind="stable")]
+    many = np.bincount(token)
+    begins = np.cumsum(many) - many
+    ends = np.cumsum(sizes)
+    two_sides = side.min() != side.max()
+    a, b = [], []
+    for i in range(len(sizes)):
+        if two_sides and side[i] != side[0]:
+            continue
+        mine = token[ends[i] - sizes[i]:ends[i]]
+        count = many[mine]
+        at = np.repeat(begins[mine] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        both = np.bincount(postings[at], minlength=len(sizes))
+        near = (den * both >= num * (sizes[i] + sizes - both)) & (own != own[i])
+        if two_sides:
+            near &= side != side[i]
+        near[:i + 1] &= two_sides
+        for j in np.flatnonzero(near).tolist():
+            a.append(ids[i])
+            b.append(ids[j])
+    return forest(np.array(a, np.int64), np.array(b, np.int64))
+
+
+def _links_in_block(table: pa.Table, num: int, den: int) -> pa.Table:
+    flat, sizes = _unpack(table["shingles"])
+    a, b = links_in_block(table["rep"].to_numpy(), table["own"].to_numpy(), table["side"].to_numpy(), flat, sizes, num, den)
+    return pa.Table.from_batches([batch(_LINK, a, b)])
+
+
+def _to_heads(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): those of the pairs (head, rep) that are similar."""
+    blocks = (F.floor((F.col("n") - 1) / _BLOCK) + 1).cast("int")
+    heads = pairs.groupBy("head").agg(F.count("*").alias("n")).withColumn("blocks", blocks)
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    members = (pairs.join(heads, "head").join(sets, F.col("rep") == F.col("doc_id"))
+               .select("head", block.alias("block"), "rep", F.lit(True).alias("member"), "shingles"))
+    own = (heads.join(sets, F.col("head") == F.col("doc_id"))
+           .select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("head").alias("rep"),
+                   F.lit(False).alias("member"), "shingles"))
+    return members.union(own).groupBy("head", "block").applyInArrow(
+        lambda t: _links_to_head(t, num, den), "a long, b long")
+
+
+def _within_heads(met: DataFrame, tied: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links among the sets (head, rep) that a head has met, as far as ``tied`` (node, component) leaves them apart.
+
+    Sets of the head's own component need no comparison with each other: they are dealt to the blocks of the rest only.
+    """
+    at_head = tied.select(F.col("node").alias("head"), F.col("component").alias("head_own"))
+    placed = (met.join(tied, F.col("rep") == F.col("node"), "left").drop("node").join(at_head, "head", "left")
+              .select("head", "rep", F.coalesce("component", "rep").alias("own"), F.coalesce("head_own", "head").alias("head_own"))
+              .withColumn("rest", F.col("own") != F.col("head_own")))
+    rest, main = F.count(F.when(F.col("rest"), 1)), F.count(F.when(~F.col("rest"), 1))
+    # Apart are sets of the rest, if there are several components of them, and the rest from the head's own.
+    sides = (placed.groupBy("head").agg(rest.alias("n_rest"), main.alias("n_main"), F.min("own").alias("low"), F.max("own").alias("high"))
+             .filter("n_rest > 0 and low < high")
+             .select("head", F.expr(f"cast((n_rest - 1) div {_BLOCK} + 1 as int)").alias("rests"),
+                     F.expr(f"cast((n_main + {_BLOCK - 1}) div {_BLOCK} as int)").alias("mains")))
+    rows = store(placed.join(sides, "head")
+                 .withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int"))
+                 .select("head", "rep", "own", "rest", "block", "rests", "mains"), "apart")
+    rests, mains = F.sequence(F.lit(0), F.col("rests") - 1), F.sequence(F.lit(0), F.col("mains") - 1)
+    among = F.transform(rests, lambda o: F.struct(F.lit(0).alias("kind"), F.least(o, "block").alias("i"), F.greatest(o, "block").alias("j")))
+    across = F.when(F.col("mains") > 0, F.transform(mains, lambda o: F.struct(
+        F.lit(1).alias("kind"), F.col("block").alias("i"), o.alias("j")))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
+    facing = F.transform(rests, lambda o: F.struct(F.lit(1).alias("kind"), o.alias("i"), F.col("block").alias("j")))
+    dealt = rows.withColumn("p", F.explode(F.when(F.col("rest"), F.concat(among, across)).otherwise(facing)))
+    # Inside one block (kind 0, i = j) all pairs count; else those across: of two blocks, or of the rest and the main part.
+    side = F.when(F.col("p.kind") == 1, F.col("rest").cast("int")).otherwise((F.col("block") == F.col("p.i")).cast("int"))
+    return (dealt.select("head", "p.kind", "p.i", "p.j", "rep", "own", side.alias("side"))
+            .join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")
+            .groupBy("head", "kind", "i", "j").applyInArrow(lambda t: _links_in_block(t, num, den), "a long, b long"))
 
 
 def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, sketch_bits: int = 20,
@@ -210,30 +332,20 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
 
     index = _index(rows, _sketch(survey, sketch_bits), words, num, den, most_pairs)
     by_set = members.select("doc_id", F.col("n").cast("int").alias("size"), "rep").distinct()
-    held = store(index.join(by_set, ["doc_id", "size"]).select("key", "rep", "size").distinct(), "index")
-
-    def sized(x: str, y: str) -> str:
-        return f"{den} * least({x}, {y}) >= {num} * greatest({x}, {y})"
-    heads = (held.groupBy("key").agg(F.min(F.struct("rep", "size")).alias("head"), F.max("rep").alias("last"),
-                                     F.count("*").alias("sets"))
-             .filter("head.rep < last").select("key", F.col("head.rep").alias("head"),
-                                               F.col("head.size").alias("head_size"), "sets"))
-    led = store(held.join(heads, "key"), "led")
-    first = store(led.filter(f"rep <> head and {sized('size', 'head_size')}")
-                  .select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
-    links = _verify(rows, first, words, num, den).union(same_id)
+    held = store(index.join(by_set, ["doc_id", "size"]).select("key", "rep", "size", "pure").distinct(), "index")
+    heads = held.groupBy("key").agg(F.min(F.struct("rep", "size")).alias("h"), F.count("*").alias("n")).filter("n > 1")
+    led = store(held.join(heads.select("key", F.col("h.rep").alias("head"), F.col("h.size").alias("head_size"), "n"), "key"), "led")
+    likely = store(_likely_pairs(led, num, den), "pairs")
+    met = store(led.filter((F.col("n") > _FEW) & (F.col("rep") != F.col("head")))
+                .select("head", "rep", "size", "head_size").distinct(), "met")
+    wanted = store(likely.unionByName(met.select("head", "rep")).select(F.explode(F.array("head", "rep")).alias("wanted"))
+                   .distinct(), "wanted")
+    sets = _sets(rows, wanted, words)
+    first = met.filter(_sized("size", "head_size", num, den)).select("head", "rep").union(likely).distinct()
+    links = store(_to_heads(first, sets, num, den), "links").union(same_id)
     tied = store(connected_components(links), "tied")
-
-    placed = (led.join(tied, F.col("rep") == F.col("node"), "left")
-              .select("key", "rep", "size", "head", F.coalesce("component", "rep").alias("own")))
-    apart = (placed.filter("rep <> head").groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high"))
-             .filter("low < high").select("key"))
-    loose = store(placed.filter("rep <> head").join(apart, "key", "left_semi").select("key", "rep", "size", "own"), "loose")
-    x, y = loose.alias("x"), loose.alias("y")
-    second = store(x.join(y, F.expr(f"x.key = y.key and x.rep < y.rep and x.own <> y.own and {sized('x.size', 'y.size')}"))
-                   .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct(), "pairs")
-    links = links.union(_verify(rows, second, words, num, den)).union(
-        tied.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    further = store(_within_heads(met.select("head", "rep").distinct(), tied, sets, num, den), "links")
+    links = further.union(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))
     whole = connected_components(links)
 
     placed = (members.select("doc_id", F.col("n").alias("n_shingles"), "rep")
