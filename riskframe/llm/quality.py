@@ -31,10 +31,10 @@ def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, int]:
     if size <= 1 << 26:
         there = np.zeros(size, bool)
         there[codes] = True
-        number = np.cumsum(there, dtype=np.int64) - 1
+        number = np.cumsum(there, dtype=np.int32) - 1
         return number[codes], int(there.sum())
     distinct, numbered = np.unique(codes, return_inverse=True)
-    return numbered, len(distinct)
+    return numbered.astype(np.int32), len(distinct)
 
 
 class Grams:
@@ -57,7 +57,8 @@ class Grams:
         for k in range(1, order + 1):
             if k > 1:
                 joined = np.zeros(len(chars), np.int64)
-                joined[1:] = before[:-1] * alphabet + chars[1:]
+                np.multiply(before[:-1], alphabet, out=joined[1:], dtype=np.int64)
+                joined[1:] += chars[1:]
                 before, n = _dense(joined, max(1, n * alphabet))
             self.codes.append(before)
             self.sizes.append(n)
@@ -73,14 +74,30 @@ class Grams:
         return [text[max(0, p + 1 - k):p + 1] for p in self.places(k).tolist()]
 
 
+    def terms(self, order: int) -> list[str]:
+        """The n-grams of all orders, by order and code."""
+        return [s for k in range(1, order + 1) for s in self.strings(k)]
+
+
+def _parts(texts: pa.Array, size: int = 1_500_000) -> list[tuple[int, int]]:
+    """Rows (from, to) with about ``size`` bytes of text each: what arrays are laid out for at a time."""
+    held = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // size
+    ends = (np.flatnonzero(np.diff(held, append=-1)) + 1).tolist()
+    return list(zip([0, *ends], ends))
+
+
 def _build(order: int, rows: pa.Table) -> tuple[pa.Table, pa.Array, pa.Array]:
-    texts = text_array(rows["text"].combine_chunks())
-    grams = Grams(texts.to_pylist(), order)
-    trains = np.repeat(pc.equal(rows["role"], 1).to_numpy(), grams.lengths)
-    counts = np.bincount(grams.codes[-1][grams.at[trains]], minlength=grams.sizes[-1])
-    terms = [s for k in range(1, order + 1) for s in grams.strings(k)]
-    counted = np.concatenate([np.zeros(len(terms) - len(counts), np.int64), counts])
-    return rows, pa.array(terms, pa.string()), pa.array(counted, pa.int64())
+    texts, trains = text_array(rows["text"].combine_chunks()), pc.equal(rows["role"], 1).to_numpy()
+    listed, counted = [], []
+    for start, end in _parts(texts):
+        grams = Grams(texts.slice(start, end - start).to_pylist(), order)
+        used = grams.codes[-1][grams.at[np.repeat(trains[start:end], grams.lengths)]]
+        counts = np.bincount(used, minlength=grams.sizes[-1])
+        listed.append(pa.array(grams.terms(order), pa.string()))
+        counted.append(np.concatenate([np.zeros(len(listed[-1]) - len(counts), np.int64), counts]))
+    coded = pa.concat_arrays(listed).dictionary_encode()
+    total = np.bincount(coded.indices.to_numpy(), weights=np.concatenate(counted), minlength=len(coded.dictionary))
+    return rows, coded.dictionary, pa.array(total.astype(np.int64))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -159,7 +176,7 @@ def trusted_roles(labels: DataFrame, held_out: int = 5) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, roles: DataFrame, order: int = 4, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang", chunk_bytes: int = 24_000_000, small: int = 2_000_000) -> DataFrame:
+                    lang_col: str = "lang", chunk_bytes: int = 10_000_000, small: int = 2_000_000) -> DataFrame:
     """(doc_id, text_key, lang, role, n_chars, bits): bits per character of every row under the trusted text's model.
 
     ``bits`` is null for a null or empty text. Every trusted document trains the model (role 1), whatever their number.
@@ -184,16 +201,20 @@ def score_documents(docs: DataFrame, roles: DataFrame, order: int = 4, id_col: s
            .mapInArrow(listed, "chunk long, pos array<int>, logp array<double>, weight array<double>"))
 
     def score(payload: pa.Table, terms: pa.Array, found: dict[str, pa.Array]) -> pa.Table:
-        grams = Grams(text_array(payload["text"].combine_chunks()).to_pylist(), order)
-        numbers = {n: v.to_numpy(zero_copy_only=False).astype(float) for n, v in found.items()}
-        each = score_grams(grams, order, numbers["logp"], numbers["weight"], unknown)[grams.codes[-1][grams.at]]
-        total = np.concatenate([[0.0], np.cumsum(each)])
-        ends = np.cumsum(grams.lengths)
-        sums = total[ends] - total[ends - grams.lengths]
-        bits = -sums / np.maximum(grams.lengths, 1)
+        texts = text_array(payload["text"].combine_chunks())
+        logp, weight = (found[n].to_numpy(zero_copy_only=False).astype(float) for n in ("logp", "weight"))
+        lengths, sums = [np.empty(0, np.int64)], [np.empty(0)]
+        for start, end in _parts(texts):
+            grams = Grams(texts.slice(start, end - start).to_pylist(), order)
+            place = pc.index_in(pa.array(grams.terms(order), pa.string()), terms).to_numpy()
+            each = score_grams(grams, order, logp[place], weight[place], unknown)[grams.codes[-1][grams.at]]
+            total, ends = np.concatenate([[0.0], np.cumsum(each)]), np.cumsum(grams.lengths)
+            lengths.append(grams.lengths)
+            sums.append(total[ends] - total[ends - grams.lengths])
+        n, total = np.concatenate(lengths), np.concatenate(sums)
         return pa.table({"doc_id": payload["doc_id"], "text_key": payload["text_key"], "lang": payload["lang"],
-                         "role": payload["role"], "n_chars": pa.array(grams.lengths),
-                         "bits": pa.array(bits, mask=grams.lengths == 0)})
+                         "role": payload["role"], "n_chars": pa.array(n),
+                         "bits": pa.array(-total / np.maximum(n, 1), mask=n == 0)})
 
     return finish(chunks, met, score, "doc_id long, text_key long, lang string, role int, n_chars long, bits double")
 
