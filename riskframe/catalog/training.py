@@ -125,6 +125,11 @@ def model_grid_search(spark, sf):
     return tr.search(train, "LogisticRegression", tr.grid("LogisticRegression"))
 
 
+def model_radial_search(spark, sf):
+    train, _, _ = _parts(spark, sf)
+    return tr.radial_search(train, tr.GRIDS["LinearSVM"]["C"], ["scale", "auto"], parallelism=8)
+
+
 def model_log_uniform_search(spark, sf):
     train, _, _ = _parts(spark, sf)
     return tr.search(train, "LogisticRegression", tr.log_uniform(30), parallelism=8)
@@ -195,7 +200,7 @@ QUERIES = {f.__name__: f for f in (
     model_class_weights, cv_fold_metrics, model_comparison, model_comparison_long, cv_seed_sensitivity,
     cv_seed_refits, score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_svm,
     model_network, model_study, model_study_log, sig_trained_models, model_capped_cv, score_profile_linear,
-    model_cross_validated, model_grid_search, model_log_uniform_search, model_stacking,
+    model_cross_validated, model_grid_search, model_radial_search, model_log_uniform_search, model_stacking,
     sample_learning_curve, sample_progressive_fit, sample_strategies)}
 
 _R = rates()

@@ -71,16 +71,16 @@ def roc_auc_from_counts(counts: DataFrame, score: str, by: Sequence[str] = (),
 
 
 def grouped_metrics(df: DataFrame, by: Sequence[str], names: Sequence[str], y: str = "y", pred: str = "pred",
-                    score: str | None = None, digits: int | None = 6) -> DataFrame:
+                    score: str | None = None, digits: int | None = 6, weight: str | None = None) -> DataFrame:
     """Metrics per group, with AUC if there is a score, from one reading of ``df``.
 
-    With a score the confusion counts are kept per distinct score and stored;
+    ``weight`` names a column of counts if rows stand for several. With a score the confusion counts are kept per distinct score and stored;
     the rates are sums of that table and the AUC a running total over it.
     """
-    by = list(by)
+    by, counts = list(by), confusion_counts(y, pred, F.col(weight) if weight else None)
     if not score:
-        return with_metrics(df.groupBy(*by).agg(*confusion_counts(y, pred)), list(names), digits).drop(*CELLS)
-    cells = store(df.groupBy(*by, score).agg(*confusion_counts(y, pred)), "cells")
+        return with_metrics(df.groupBy(*by).agg(*counts), list(names), digits).drop(*CELLS)
+    cells = store(df.groupBy(*by, score).agg(*counts), "cells")
     sums = cells.groupBy(*by).agg(*[F.sum(c).alias(c) for c in CELLS])
     rates = with_metrics(sums, list(names), digits).drop(*CELLS)
     classes = cells.filter(F.col(score).isNotNull()).select(

@@ -27,10 +27,17 @@ def subgroup_metrics(df: DataFrame, dimensions: dict[str, Column], y: str = "y",
     The counting aggregate combines map-side, so a dimension value holding most
     of the rows is no hot spot. With ``score`` the counts are kept per distinct
     score and stored; rates and AUC both come from that table, so the input is
-    read once.
+    read once. Without a score the rows are first folded to counts of all
+    dimensions together, and only those are dealt to the dimensions.
     """
-    members = _in_groups(df, dimensions, [y, pred] + ([score] if score else []))
-    return (grouped_metrics(members, ["subgroup", "group"], METRICS, y, pred, score, digits)
+    weight = None
+    if not score:
+        weight, named = "_w", {name: f"_d{i}" for i, name in enumerate(dimensions)}
+        df = (df.select(y, pred, *[col.cast("string").alias(named[name]) for name, col in dimensions.items()])
+              .groupBy(y, pred, *named.values()).agg(F.count(F.lit(1)).alias(weight)))
+        dimensions = {name: F.col(inner) for name, inner in named.items()}
+    members = _in_groups(df, dimensions, [y, pred, *filter(None, (score, weight))])
+    return (grouped_metrics(members, ["subgroup", "group"], METRICS, y, pred, score, digits, weight)
             .filter(F.col("n") >= min_n))
 
 

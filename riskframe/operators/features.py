@@ -66,7 +66,7 @@ def levels_of(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
 
     levels: dict[str, list[str]] = {c: [] for c in columns}
     if columns:
-        for row in value_counts(df, columns).select("column", "value").toLocalIterator():
+        for row in value_counts(df, columns).select("column", "value").collect():
             levels[row["column"]].append(row["value"])
     return {c: sorted(values) for c, values in levels.items()}
 

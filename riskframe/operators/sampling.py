@@ -29,11 +29,13 @@ def largest_remainder(sizes: DataFrame, by: Sequence[str], fraction: float) -> D
     """
     # Rounding guards against 0.2 * n landing a hair above a whole number.
     exact = F.round(F.col("n_class") * F.lit(fraction), 6)
-    sizes = store(sizes.withColumn("_base", F.floor(exact)).withColumn("_rest", exact - F.floor(exact)), "sizes")
+    sizes = sizes.withColumn("_base", F.floor(exact)).withColumn("_rest", exact - F.floor(exact))
     sums = sizes.agg(F.ceil(F.round(F.sum("n_class") * F.lit(fraction), 6)).alias("total"), F.sum("_base").alias("base")).first()
     left = (sums["total"] or 0) - (sums["base"] or 0)
+    if not left:
+        return sizes.withColumn("want", F.col("_base")).drop("_base", "_rest")
     more = sizes.orderBy(F.col("_rest").desc(), *by).limit(left).select(*by, F.lit(1).alias("_more"))
-    return (join_null_safe(sizes, store(more, "more"), by, "left")
+    return (join_null_safe(sizes, more, by, "left")
             .withColumn("want", F.col("_base") + F.coalesce("_more", F.lit(0))).drop("_base", "_rest", "_more"))
 
 

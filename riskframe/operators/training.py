@@ -17,6 +17,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
@@ -102,7 +103,7 @@ def forest(trees: int = 200, depth: int = 30, min_rows: int = 1, name: str = "Ra
     """Random forest (F4). 30 levels is the deepest MLlib grows; it stands for unlimited."""
     return Learner(name, lambda t, f, y, w, n: RandomForestClassifier(
         featuresCol=f, labelCol=y, weightCol=w, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows,
-        featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=1024),
+        featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=2048, cacheNodeIds=True),
         params={"n_estimators": trees, "max_depth": depth, "min_rows": min_rows})
 
 
@@ -278,6 +279,33 @@ def search(table: DataFrame, family: str, candidates: Sequence[dict], folds: int
             .select("family", "params", "f1_macro_mean", "f1_macro_std", "place"))
 
 
+def radial_width(table: DataFrame, kind: str | float, vector: str = "features") -> float:
+    """Kernel width: a number, "auto" (1 / slots) or "scale" (1 / (slots * variance of all cells))."""
+    if kind not in ("auto", "scale"):
+        return float(kind)
+    mean, var, n = table.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(vector)).alias("s")).select(
+        "s.mean", "s.variance", "s.count").first()
+    mean, var = mean.toArray(), var.toArray() * (n - 1) / n
+    spread = float((var + mean ** 2).mean() - mean.mean() ** 2)
+    return 1.0 / len(mean) if kind == "auto" else 1.0 / (len(mean) * spread)
+
+
+def radial_search(table: DataFrame, Cs: Sequence[float], gammas: Sequence[str | float], folds: int = 5, parallelism: int = 4,
+                  features: str = "features", target: str = "y", fold: str = "fold", key: str = "id") -> DataFrame:
+    """Cross-validated F1 of max-margin classifiers over strength and kernel width, best first."""
+    scored = None
+    for gamma in gammas:
+        waves = fourier_features(table, radial_width(table, gamma, features), vector=features)
+        rows = store(waves.select(key, target, "fourier", fold), "fourier", [fold])
+        learners = [linear_svm(C, name=json.dumps({"C": C, "gamma": gamma})) for C in Cs]
+        part = out_of_fold(rows, learners, key, "fourier", target, fold, folds, parallelism)
+        scored = part if scored is None else scored.unionByName(part)
+    means = summarise_folds(fold_metrics(scored, with_auc=False, target=target, fold=fold), metrics=["f1_macro"], digits=None)
+    place = F.row_number().over(Window.orderBy(F.col("f1_macro_mean").desc(), "params"))
+    return (means.withColumnRenamed("model", "params").withColumn("place", place)
+            .select("params", "f1_macro_mean", "f1_macro_std", "place"))
+
+
 def refit_best(table: DataFrame, results: DataFrame, features: str = "features", target: str = "y") -> Model:
     """The best candidate of ``search`` fitted on the whole table."""
     best = results.filter("place = 1").first()

@@ -247,3 +247,11 @@ def test_study(spark, table, parts):
     logged = {r["run_name"]: r for r in runs.read_runs(spark, log).collect()}
     assert logged["DecisionTree"]["params"] == {"max_depth": "4"} and all(r["train_time_s"] > 0 for r in logged.values())
     assert {"f1_macro_mean", "roc_auc_std"} <= set(logged["Stacking"]["metrics"])
+
+
+def test_radial_search(parts):
+    x = np.array([r[0].toArray() for r in parts[0].select("features").collect()])
+    assert tr.radial_width(parts[0], "scale") == pytest.approx(1 / (x.shape[1] * x.var()))
+    assert tr.radial_width(parts[0], "auto") == 1 / x.shape[1] and tr.radial_width(parts[0], 0.5) == 0.5
+    got = tr.radial_search(parts[0].filter("id % 4 = 0"), [1.0], ["scale", "auto"], folds=2).collect()
+    assert sorted(r["place"] for r in got) == [1, 2] and all(0.5 < r["f1_macro_mean"] < 1 for r in got)
