@@ -17,8 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from riskframe.llm.tokens import slices
-from riskframe.llm.workers import ready, shuffle_width, task_number
+from riskframe.llm.tokens import forget, slices
+from riskframe.llm.workers import ready, release, short_batches, shuffle_width, task_number
 from riskframe.plans.storage import fresh_path
 
 _CHUNK = pa.schema([("chunk", pa.int64()), ("payload", pa.binary()), ("terms", pa.list_(pa.string())),
@@ -47,6 +47,7 @@ def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple], labe
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, weight = task_number() << 24, [], 0
+        forget()
 
         def close() -> pa.RecordBatch:
             payload, terms, *counts = build(pa.Table.from_batches(held).combine_chunks())
@@ -60,13 +61,17 @@ def chunked(docs: DataFrame, text: int, build: Callable[[pa.Table], tuple], labe
             if weight >= size:
                 yield close()
                 number, held, weight = number + 1, [], 0
+                release()
         if held:
             yield close()
+        held = []
+        release()
 
     name = f"{label}_{uuid.uuid4().hex}"
-    (docs.mapInArrow(gather, "chunk long, payload binary, terms array<string>, counts array<bigint>")
-     .write.option("path", fresh_path(spark, label)).option("compression", "zstd")
-     .bucketBy(shuffle_width(spark), "chunk").saveAsTable(name))
+    with short_batches(spark):
+        (docs.mapInArrow(gather, "chunk long, payload binary, terms array<string>, counts array<bigint>")
+         .write.option("path", fresh_path(spark, label)).option("compression", "zstd")
+         .bucketBy(shuffle_width(spark), "chunk").saveAsTable(name))
     return spark.table(name)
 
 
@@ -99,6 +104,8 @@ def by_distinct_term(terms: DataFrame, values: Callable[[list[str]], list], kind
                 held, rows_held = [], 0
         if rows_held:
             yield close()
+        held = []
+        release()
 
     return (terms.repartition("term").sortWithinPartitions("term")
             .mapInArrow(look_up, f"chunk long, pos array<int>, values array<{sql_kind}>"))
@@ -131,7 +138,9 @@ def finish(chunks: DataFrame, found: DataFrame, make: Callable[[pa.Table, pa.Arr
         pick = pa.array(place, mask=place < 0)
         lists = {name: right[name].combine_chunks().flatten().take(pick)
                  for name in right.column_names if name not in ("chunk", "pos")}
-        return make(from_bytes(left["payload"][0].as_py()), terms, lists)
+        made = make(from_bytes(left["payload"][0].as_py()), terms, lists)
+        release()
+        return made
 
     return chunks.select("chunk", "payload", "terms").groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(one, kind)
 

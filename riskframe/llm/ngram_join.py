@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.llm.components import connected_components, forest
 from riskframe.llm.shingles import mix, shingle_sets
-from riskframe.llm.tokens import slices, text_array
+from riskframe.llm.tokens import forget, slices, text_array
 from riskframe.llm.workers import batch, ready
 from riskframe.plans.storage import store
 
@@ -46,6 +46,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
+    forget()
     for rows in slices(batches, 1, _SLICE):
         yield rows.column(0).to_pylist(), shingle_sets(text_array(rows.column(1)), words)
 
@@ -325,7 +326,8 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     survey = _survey(rows, words, sketch_bits)
     seen = survey.filter("segment is null").select("doc_id", "n", "h1", "h2")
     real = seen.filter("n > 0 and doc_id is not null")
-    reps = real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"))
+    # Stored, so that the join below is of two plain shuffles, which Spark can split where a set has very many copies.
+    reps = store(real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
     members = store(real.join(reps, ["n", "h1", "h2"]).select("doc_id", "n", "h1", "h2", "rep"), "members")
     home = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
     same_id = home.filter("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))

@@ -28,7 +28,7 @@ _FOUND = pa.schema([("chunk", pa.int64()), ("pos", pa.list_(pa.int32())), ("logp
 
 def _dense(codes: np.ndarray, size: int) -> tuple[np.ndarray, int]:
     """Codes below ``size`` renumbered without gaps, in ascending order, and how many there are."""
-    if size <= 1 << 26:
+    if size <= 1 << 23:
         there = np.zeros(size, bool)
         there[codes] = True
         number = np.cumsum(there, dtype=np.int32) - 1
@@ -79,7 +79,7 @@ class Grams:
         return [s for k in range(1, order + 1) for s in self.strings(k)]
 
 
-def _parts(texts: pa.Array, size: int = 1_500_000) -> list[tuple[int, int]]:
+def _parts(texts: pa.Array, size: int = 600_000) -> list[tuple[int, int]]:
     """Rows (from, to) with about ``size`` bytes of text each: what arrays are laid out for at a time."""
     held = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // size
     ends = (np.flatnonzero(np.diff(held, append=-1)) + 1).tolist()

@@ -34,6 +34,13 @@ def kept(key: tuple, make: Callable[[], object]) -> object:
     return _KEPT[key]
 
 
+def forget() -> None:
+    """Empty the stretch caches: a worker may go on with another operator's task."""
+    for one in _KEPT.values():
+        if isinstance(one, StretchEncoder):
+            one.heads, one.tails = {}, {}
+
+
 def load_tokenizer(path: str):
     """The tokenizer of a ``tokenizers`` file, once per worker."""
     def make():

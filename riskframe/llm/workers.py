@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
 
 from riskframe.plans.workers import ready
 
-__all__ = ["batch", "ready", "shuffle_width", "task_number"]
+__all__ = ["batch", "ready", "release", "short_batches", "shuffle_width", "task_number"]
 
 
 def task_number() -> int:
@@ -27,3 +31,26 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) for c, f in zip(columns, schema)],
         schema=schema)
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+@contextlib.contextmanager
+def short_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
+    """Within it, jobs send at most ``rows`` rows to Python at a time: long texts make large batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if int(before) > 0:
+        rows = min(rows, int(before))
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
