@@ -3,7 +3,8 @@
 The n-grams of every chunk of documents are listed once (see ``chunks``), with their counts in trusted documents. The
 counts are summed, and continuation counts, discounts, context weights and interpolated probabilities are joins and
 aggregates keyed by n-gram. The probabilities are joined to the chunks' n-grams, and a chunk scores its documents. A
-document whose perplexity is above its language's quantile of held-out trusted documents is rejected.
+document whose perplexity is above its language's quantile of held-out trusted documents is rejected; where those are
+few, the quantile of all languages, shifted to the language's median, counts too.
 """
 
 from __future__ import annotations
@@ -225,25 +226,32 @@ def classify(docs: DataFrame, labels: DataFrame, order: int = 4, quantile: float
 
     The mean of a few characters scatters, so a row is judged by its bits per character less ``slack`` over the root of
     its length. It is rejected above its language's ``quantile`` of held-out trusted documents plus ``margin``
-    (``threshold`` has the slack added again, to compare with ``bits``). A language with fewer than ``fewest`` held-out
-    documents (a null one is a language) uses the quantile of all. Null and empty texts and, without trusted text, all rows are kept. Null and repeated ids are kept as they
-    are, rows are judged one by one, texts of any length whole; an empty table gives no rows.
+    (``threshold`` has the slack added again, to compare with ``bits``). The model has hardly seen a language with little
+    trusted text, and few held-out documents say little about its quantile. So every language (a null one is a language)
+    also has a shifted quantile: that of all languages, moved to the median of all documents of the language, labelled or
+    not, where that is higher. As far as it is above the language's own quantile, it counts with the weight of ``fewest``
+    documents against the held-out ones; without any it stands alone. Null and empty texts and, without held-out trusted
+    text, all rows are kept. Null and repeated ids are kept as they are, rows are judged one by one, texts of any length
+    whole; an empty table gives no rows.
     """
     scored = store(score_documents(docs, trusted_roles(labels), order, **columns), "scored")
     allowed = F.lit(slack) / F.sqrt(F.greatest("n_chars", F.lit(1)))
     # Bins of a fixed width, at most a few ten thousand a language.
-    held = (scored.filter("role = 2 and bits is not null")
-            .groupBy("lang", F.ceil((F.col("bits") - allowed) * _BINS).alias("bin")).agg(F.count("*").alias("n")))
-    held = store(held, "bins")
-
-    def cut() -> Column:
-        return F.expr(f"percentile(bin, {quantile}, n) / {_BINS} + {margin}")
-    whole = held.agg(cut().alias("common"))
-    own = held.groupBy("lang").agg(cut().alias("own"), F.sum("n").alias("n")).filter(F.col("n") >= fewest)
-    own = own.select(F.col("lang").alias("l"), "own")
-    common = whole.first()["common"]
-    return (scored.join(own, F.col("lang").eqNullSafe(F.col("l")), "left")
-            .withColumn("threshold", F.coalesce("own", F.lit(common).cast("double")) + allowed)
+    bins = store(scored.filter("bits is not null")
+                 .groupBy("lang", F.ceil((F.col("bits") - allowed) * _BINS).alias("bin"))
+                 .agg(F.count("*").alias("n"), F.count(F.when(F.col("role") == 2, 1)).alias("n_held")), "bins")
+
+    def cut(share: float, count: str) -> Column:
+        return F.expr(f"percentile(bin, {share}, {count}) / {_BINS}")
+    common = bins.agg(cut(quantile, "n_held").alias("high"), cut(0.5, "n_held").alias("middle")).first()
+    high = F.lit(common["high"]).cast("double")
+    shifted = F.greatest(high, F.col("middle") + high - F.lit(common["middle"]).cast("double"))
+    raised = F.greatest(shifted - F.col("own"), F.lit(0.0)) * fewest / (F.col("n_held") + fewest)
+    limits = (bins.groupBy("lang").agg(cut(quantile, "n_held").alias("own"), cut(0.5, "n").alias("middle"),
+                                       F.sum("n_held").alias("n_held"))
+              .select(F.col("lang").alias("l"), F.coalesce(F.col("own") + raised, shifted).alias("limit")))
+    return (scored.join(limits, F.col("lang").eqNullSafe(F.col("l")), "left")
+            .withColumn("threshold", F.coalesce("limit", high) + margin + allowed)
             .withColumn("kept", F.coalesce(F.col("bits") <= F.col("threshold"), F.lit(True)))
             .select("doc_id", "text_key", "lang", "n_chars", "bits", F.pow(F.lit(2.0), F.col("bits")).alias("perplexity"),
                     "threshold", "kept"))

@@ -86,6 +86,20 @@ def test_quality_on_held_out_labels(spark):
     assert sum(not r["kept"] for r in bad) / len(bad) >= 0.7
 
 
+@pytest.mark.parametrize("trusted", [0, 3, 10])
+def test_quality_of_a_language_with_little_trusted_text(spark, trusted):
+    """All labels of other languages train, and so many of French; the other French documents are judged."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    french = [r for r in labels.join(docs, "doc_id").filter("lang = 'fr'").orderBy("doc_id").collect()]
+    good = [r["doc_id"] for r in french if r["quality"] == 1 and not r["toxic"]]
+    bad = [r["doc_id"] for r in french if r["quality"] == 0]
+    hidden = [r["doc_id"] for r in french if r["doc_id"] not in good[:trusted]]
+    kept = {r["doc_id"]: r["kept"] for r in quality.classify(docs, labels.filter(~F.col("doc_id").isin(hidden))).collect()}
+    assert sum(kept[i] for i in good[trusted:]) >= 0.95 * len(good[trusted:]) > 9
+    assert sum(not kept[i] for i in bad) >= 0.5 * len(bad) > 0
+
+
 def test_quality_edges(spark):
     clean = "the cat sat on the mat and the dog ran to the cat. "
     rows = [(i, clean * (1 + i % 3), "en" if i % 2 else None, "s", 1, "b", "k") for i in range(200)]
