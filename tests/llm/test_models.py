@@ -198,6 +198,21 @@ def test_network_on_held_out_findings(spark):
     assert [s[0] for s in found[2]] == ["assign", "hex"] and not found[1]
 
 
+def test_network_finds_planted_secrets(spark):
+    """Without key words, without digits, of 12 to 15 characters; ordinary words of such a length stay."""
+    net = secret_scan.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 2000"), 4_000, 2_000)
+    rng, letters = np.random.default_rng(4), secret_scan._LETTERS
+    for kinds, least, most, share in ((62, 20, 40, 0.9), (62, 12, 16, 0.6), (52, 16, 32, 0.8), (52, 12, 16, 0.5)):
+        planted = ["".join(letters[i] for i in rng.integers(0, kinds, rng.integers(least, most))) for _ in range(200)]
+        found = secret_scan.find_spans([f"we went there and {s} was found by the others" for s in planted], net)
+        assert np.mean([[x[:3] for x in f] == [("learned", 18, 18 + len(s))] for f, s in zip(found, planted)]) >= share
+    texts = [r[0] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    words = sum(len(secret_scan.candidates(t, secret_scan.pattern_spans(t))) for t in texts)
+    found = [s for f in secret_scan.find_spans(texts, net) for s in f]
+    assert words > 1_000 and sum(s[0] == "learned" for s in found) <= 0.005 * words
+    assert all(0 <= s[3] <= 1 for s in found) and any(s[0] == "assign" for s in found)
+
+
 def test_registered_scan(spark, sf):
     texts = {r[0]: r[1] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     got = {r["doc_id"]: r for r in queries.op2_secret_scan(spark, sf).collect()}
