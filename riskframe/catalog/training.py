@@ -22,6 +22,11 @@ FOREST = tr.forest(trees=100, depth=10)
 BOOSTED = tr.boosted(rounds=100, rate=0.1, depth=4, subsample=0.8)
 
 
+def learners(C: float = 1.0) -> list[tr.Learner]:
+    """Every learner of the operators; ``C`` is the logistic regression's."""
+    return [tr.lr(C), tr.tree(), FOREST, BOOSTED, tr.linear_svm(), tr.network()]
+
+
 DEFAULTS = {"segment": "BUILDING", "status": "O", "priority": "3-MEDIUM", "region_name": "ASIA",
             "acctbal": 4500.0, "totalprice": 150000.0, "n_lines": 4, "qty_sum": 100, "disc_sum": 20}
 
@@ -118,7 +123,7 @@ def model_network(spark, sf):
 
 def model_cross_validated(spark, sf):
     train, _, _ = _parts(spark, sf)
-    scored_rows = tr.out_of_fold(train, [tr.lr(), tr.tree(), tr.linear_svm()])
+    scored_rows = tr.out_of_fold(train, learners())
     return tr.compare_models(tr.summarise_folds(tr.fold_metrics(scored_rows)))
 
 
@@ -144,9 +149,8 @@ def model_stacking(spark, sf):
 
 def _study(spark, sf):
     train, _, fitted = _parts(spark, sf)
-    learners = [tr.lr(0.1), tr.tree(), tr.linear_svm()]  # the network has a query of its own
     grids = {"LogisticRegression": tr.grid("LogisticRegression"), "LinearSVM": tr.grid("LinearSVM")}
-    return run_study(train, fitted.names, learners, grids, fresh_path(spark, "study"),
+    return run_study(train, fitted.names, learners(0.1), grids, fresh_path(spark, "study"),
                      datetime(2024, 1, 1, tzinfo=timezone.utc), parallelism=8)
 
 

@@ -255,3 +255,21 @@ def test_radial_search(parts):
     assert tr.radial_width(parts[0], "auto") == 1 / x.shape[1] and tr.radial_width(parts[0], 0.5) == 0.5
     got = tr.radial_search(parts[0].filter("id % 4 = 0"), [1.0], ["scale", "auto"], folds=2).collect()
     assert sorted(r["place"] for r in got) == [1, 2] and all(0.5 < r["f1_macro_mean"] < 1 for r in got)
+
+
+def test_registered_study_has_every_learner(monkeypatch):
+    from types import SimpleNamespace
+
+    from riskframe.catalog import training as catalog
+
+    seen = []
+    monkeypatch.setattr(catalog, "_parts", lambda *a, **b: (None, None, SimpleNamespace(names=["x"])))
+    monkeypatch.setattr(catalog, "fresh_path", lambda *a: "log")
+    monkeypatch.setattr(catalog, "run_study", lambda table, names, learners, *a, **b: seen.append(learners))
+    monkeypatch.setattr(catalog.tr, "out_of_fold", lambda table, learners: seen.append(learners))
+    for name in ("fold_metrics", "summarise_folds", "compare_models"):
+        monkeypatch.setattr(catalog.tr, name, lambda rows: rows)
+    catalog._study(None, None)
+    catalog.model_cross_validated(None, None)
+    every = {"LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting", "LinearSVM", "NeuralNetwork"}
+    assert [{m.name for m in learners} for learners in seen] == [every, every]
