@@ -213,6 +213,20 @@ def test_network_finds_planted_secrets(spark):
     assert all(0 <= s[3] <= 1 for s in found) and any(s[0] == "assign" for s in found)
 
 
+def test_runs_partly_under_a_pattern():
+    """They are scored and blanked whole; a run inside a pattern's span is not found twice."""
+    run = "sk-live-0123456789abcdef01-Zq8xT2mKw4"
+    text = f"it is {run} here, token=0123456789abcdef0"
+    assert secret_scan.candidates(text, secret_scan.pattern_spans(text)) == [(6, 6 + len(run))]
+    assert not any(label == 0 and run[:8].encode() in codes.tobytes()[char_cnn.BEFORE:char_cnn.BEFORE + 8]
+                   for label, codes in secret_scan._examples(text) if bytes(codes[:1]) == b"\x81")
+    size, filters = 4, 2
+    sure = char_cnn.CharCnn(np.zeros((130, size)), np.zeros((5 * size, filters)), np.zeros(filters), np.zeros(2 * filters), 3.0)
+    found = secret_scan.find_spans([text], sure)[0]
+    assert [s[0] for s in found] == ["learned", "hex", "assign", "hex"]
+    assert secret_scan.blank(text, found, "#") == "it is # here, #"
+
+
 def test_registered_scan(spark, sf):
     texts = {r[0]: r[1] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
     got = {r["doc_id"]: r for r in queries.op2_secret_scan(spark, sf).collect()}
