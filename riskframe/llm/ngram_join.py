@@ -329,8 +329,9 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     # Stored, so that the join below is of two plain shuffles, which Spark can split where a set has very many copies.
     reps = store(real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
     members = store(real.join(reps, ["n", "h1", "h2"]).select("doc_id", "n", "h1", "h2", "rep"), "members")
-    home = members.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    same_id = home.filter("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
+    home = members.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least <> most")
+    same_id = (members.join(home, "doc_id").filter("rep <> least")
+               .select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
 
     index = _index(rows, _sketch(survey, sketch_bits), words, num, den, most_pairs)
     by_set = members.select("doc_id", F.col("n").cast("int").alias("size"), "rep").distinct()

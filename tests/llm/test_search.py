@@ -179,6 +179,14 @@ def test_ngram_join_of_nothing(spark):
     assert [tuple(r) for r in ngram_join.ngram_jaccard(one).collect()] == [(1, 0, 1)]
 
 
+def test_ngram_join_ties_every_text_of_an_id(spark):
+    texts = {3: "one two three four", 5: "five six seven eight", 7: "nine ten eleven twelve"}
+    rows = [*texts.items(), *((9, t) for t in texts.values()), (11, "thirteen fourteen fifteen")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in ngram_join.ngram_jaccard(df, words=3).collect()}
+    assert got == {(3, 3), (5, 3), (7, 3), (9, 3), (11, 11)}
+
+
 def test_frequent_class_is_met():
     """The prefix of a small set of frequent shingles is indexed in pairs, of a long one by single shingles."""
     counts = np.full(60, 1_000)
