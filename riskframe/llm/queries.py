@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskframe.llm import byte_bpe, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
+from riskframe.llm import byte_bpe, fill_middle, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
 from riskframe.llm.url_rules import GlobRule, HostRule
 from riskframe.plans.storage import fresh_path
 from riskframe.sources.tables import table
@@ -171,6 +171,32 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(encoded, ranks)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into prefix, middle and suffix, rearranged, and rebuilt from that."""
+    made = fill_middle.restore(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
+OP11_SQL = """
+with hashed as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) as h from documents),
+numbers as (
+  select doc_id, t, length(t)::BIGINT as n, ('0x' || h[1:8])::BIGINT as h1, ('0x' || h[9:16])::BIGINT as h2,
+    ('0x' || h[17:24])::BIGINT as h3, ('0x' || h[25:32])::BIGINT as h4 from hashed),
+cuts as (
+  select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as lo, greatest(h1 % (n + 1), h2 % (n + 1)) as hi,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+         when h4 % 100 < 20 then 'spm' else 'psm' end as form from numbers),
+pieces as (
+  select *, substring(t, 1, lo) as a, substring(t, lo + 1, hi - lo) as b, substring(t, hi + 1, n - hi) as c from cuts)
+select doc_id, n, form, case when form <> 'plain' then lo end as prefix_chars,
+  case when form <> 'plain' then hi - lo end as middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || a || '<S>' || c || '<M>' || b
+         else '<S>' || c || '<P>' || a || '<M>' || b end) as output_sha256, sha256(t) as restored_sha256
+from pieces"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -182,5 +208,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_fill_middle": op11_fill_middle,
 }
-ORACLE = {"op3_url_rules": OP3_SQL, "op5_top_k": OP5_SQL, "op7_vector_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL}
+ORACLE = {"op3_url_rules": OP3_SQL, "op5_top_k": OP5_SQL, "op7_vector_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL,
+          "op11_fill_middle": OP11_SQL}
