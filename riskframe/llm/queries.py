@@ -5,13 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskframe.llm import byte_bpe, fill_middle, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
+from riskframe.llm import byte_bpe, cross_align, fill_middle, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
 from riskframe.llm.url_rules import GlobRule, HostRule
 from riskframe.plans.storage import fresh_path
 from riskframe.sources.tables import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 MULTI_BPE = "byte_bpe_multi_50k.tiktoken"
 
 # The rules of the contract.
@@ -197,6 +198,12 @@ select doc_id, n, form, case when form <> 'plain' then lo end as prefix_chars,
 from pieces"""
 
 
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens, groups and links of every document under two tokenizers, with the corpus' counts of its pairs."""
+    return cross_align.align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
+                                        public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_secret_scan": op2_secret_scan,
@@ -209,6 +216,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_fill_middle": op11_fill_middle,
+    "op13_cross_align": op13_cross_align,
 }
 ORACLE = {"op3_url_rules": OP3_SQL, "op5_top_k": OP5_SQL, "op7_vector_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL,
           "op11_fill_middle": OP11_SQL}
