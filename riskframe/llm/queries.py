@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riskframe.llm import byte_bpe, cross_align, fill_middle, ngram_join, packing, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
+from riskframe.llm import byte_bpe, cross_align, fill_middle, ngram_join, packing, page_text, quality, secret_scan, token_counts, token_files, top_k, url_rules, vector_dedup
 from riskframe.llm.url_rules import GlobRule, HostRule
 from riskframe.plans.storage import fresh_path
 from riskframe.sources.tables import table
@@ -198,6 +198,11 @@ select doc_id, n, form, case when form <> 'plain' then lo end as prefix_chars,
 from pieces"""
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_text.page_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens, groups and links of every document under two tokenizers, with the corpus' counts of its pairs."""
     return cross_align.align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE),
@@ -216,6 +221,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_fill_middle": op11_fill_middle,
+    "op12_page_text": op12_page_text,
     "op13_cross_align": op13_cross_align,
 }
 ORACLE = {"op3_url_rules": OP3_SQL, "op5_top_k": OP5_SQL, "op7_vector_dedup": OP7_SQL, "op9_ngram_join": OP9_SQL,
