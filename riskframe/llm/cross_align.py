@@ -37,7 +37,9 @@ _FOUND = pa.schema([("chunk", pa.int64()), ("pairs", pa.list_(pa.int64())), ("co
 _DOC = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")),
                   ("groups_sha256", pa.string())])
 _BIG_GROUP = 100_000
-_BLOCK = 4_000_000
+_BLOCK = 1_000_000
+_PARTS = 20_000
+_TOGETHER = 64
 
 
 class Tokenizers:
@@ -60,6 +62,7 @@ class Tokenizers:
             self.a_bytes[number] = bytes(shown[c] for c in token) if all(c in shown for c in token) else token.encode()
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(self.b.id_to_piece(list(range(self.b.get_piece_size()))))]
+        self.a_sizes, self.b_sizes = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
 
     @property
     def width(self) -> int:
@@ -70,6 +73,48 @@ class Tokenizers:
         a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
         return a, self.b.encode(parts, num_threads=1)
 
+    def spell(self, a: list[int], b: list[int], wanted: bytes) -> bool:
+        """Whether both lists of ids spell these bytes."""
+        return (b"".join(map(self.a_bytes.__getitem__, a)) == wanted
+                and b"".join(map(self.b_bytes.__getitem__, b)) == wanted)
+
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(whether both spell the part, ids by the first, how many of them, ids by the second, how many of them).
+
+        Parts that neither start nor end with white space are encoded many in a text, since a new match starts at each;
+        how many ids are a part's own follows from their bytes. The others are encoded one by one.
+        """
+        whole = np.ones(len(parts), bool)
+        sizes = np.fromiter((len(p.encode()) + 1 for p in parts), np.int64, len(parts))
+        held: list[tuple[int, int, list[int], list[int]]] = []  # first part, parts, ids by both
+        run: list[int] = []
+        alone: list[int] = []
+        for start in range(0, len(parts), _TOGETHER):
+            some = parts[start:start + _TOGETHER]
+            if all(p and p.strip() == p for p in some):
+                run.append(start)
+            else:
+                alone += range(start, start + len(some))
+        texts = [" ".join(parts[at:at + _TOGETHER]) for at in run]
+        for at, text, a, b in zip(run, texts, *self.ids(texts)):
+            if self.spell(a, b, (" " + text).encode()):
+                held.append((at, min(_TOGETHER, len(parts) - at), a, b))
+            else:
+                alone += range(at, min(at + _TOGETHER, len(parts)))
+        alone.sort()
+        texts = [parts[at] for at in alone]
+        for at, text, a, b in zip(alone, texts, *self.ids(texts)):
+            whole[at] = bool(text) and self.spell(a, b, (" " + text).encode())
+            held.append((at, 1, a, b) if whole[at] else (at, 1, [], []))
+        held.sort(key=lambda h: h[0])
+        ends = np.cumsum(sizes * whole)
+        found: list[np.ndarray] = []
+        for side, spelled in ((2, self.a_sizes), (3, self.b_sizes)):
+            ids = np.fromiter((i for h in held for i in h[side]), np.int64, sum(len(h[side]) for h in held))
+            until = np.searchsorted(np.cumsum(spelled[ids]), ends, "right")
+            found += [ids, np.diff(until, prepend=0)]
+        return whole, *found
+
 
 def tokenizers(byte_level: str, pieces: str) -> Tokenizers:
     return kept(("aligned", byte_level, pieces), lambda: Tokenizers(byte_level, pieces))
@@ -85,31 +130,38 @@ class Aligned:
     n_b: np.ndarray
     n_groups: np.ndarray
     n_links: np.ndarray
-    written: list[str]
+    written: pa.Array
     starts: np.ndarray
     pairs: np.ndarray
     times: np.ndarray
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for one in lists for i in one), np.int64, int(sizes.sum())), sizes
-
-
-def align_parts(parts: list[str], both: Tokenizers) -> Aligned:
-    """Align every part (with a space before it) by itself."""
-    a_lists, b_lists = both.ids(parts)
-    wanted = [(" " + p).encode() for p in parts]
-    whole = np.array([b"".join(map(both.a_bytes.__getitem__, a)) == w and b"".join(map(both.b_bytes.__getitem__, b)) == w
-                      for a, b, w in zip(a_lists, b_lists, wanted)], bool)
-    a_lists = [a if ok else [] for a, ok in zip(a_lists, whole)]
-    b_lists = [b if ok else [] for b, ok in zip(b_lists, whole)]
-    a, n_a = _flat(a_lists)
-    b, n_b = _flat(b_lists)
-    size_a = np.fromiter(map(len, both.a_bytes), np.int64, len(both.a_bytes))
-    size_b = np.fromiter(map(len, both.b_bytes), np.int64, len(both.b_bytes))
-    ends_a, ends_b = np.cumsum(size_a[a]), np.cumsum(size_b[b])
-    common = np.intersect1d(ends_a, ends_b)
+_STRINGS = pa.array([], pa.string())
+
+
+def _joined(texts: pa.Array, sizes: np.ndarray, mark: str) -> pa.Array:
+    """The texts, so many at a time, joined by the mark."""
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), texts), mark)
+
+
+def align_parts(parts: list[str], both: Tokenizers, write: bool = True) -> Aligned:
+    """Align every part (with a space before it) by itself, so many at a time; ``written`` is empty unless ``write``."""
+    made = [_align_some(parts[i:i + _PARTS], both, write) for i in range(0, len(parts), _PARTS)] or [_align_some([], both, write)]
+    if len(made) == 1:
+        return made[0]
+    before = np.cumsum([0, *(len(m.pairs) for m in made)])
+    starts = np.concatenate([[0], *(m.starts[1:] + b for m, b in zip(made, before))])
+    arrays = {n: np.concatenate([getattr(m, n) for m in made])
+              for n in ("whole", "n_a", "n_b", "n_groups", "n_links", "pairs", "times")}
+    return Aligned(written=pa.concat_arrays([m.written for m in made]), starts=starts, **arrays)
+
+
+def _align_some(parts: list[str], both: Tokenizers, write: bool) -> Aligned:
+    whole, a, n_a, b, n_b = both.encode(parts)
+    ends_a, ends_b = np.cumsum(both.a_sizes[a]), np.cumsum(both.b_sizes[b])
+    common = ends_a[ends_b[np.searchsorted(ends_b, ends_a)] == ends_a] if len(ends_a) else ends_a
     group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
     groups = len(common)
     in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
@@ -118,16 +170,13 @@ def align_parts(parts: list[str], both: Tokenizers) -> Aligned:
     links = in_a * in_b
 
     def counts(weights: np.ndarray | None = None) -> np.ndarray:
-        made = np.bincount(part_of, weights, minlength=len(parts))
-        return made.astype(np.int64)
-
-    texts_a, texts_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-    each = [",".join(texts_a[i:i + m]) + "|" + ",".join(texts_b[j:j + n])
-            for i, m, j, n in zip(first_a.tolist(), in_a.tolist(), first_b.tolist(), in_b.tolist())]
-    n_groups = counts()
-    cuts = [0, *np.cumsum(n_groups).tolist()]
-    written = [";".join(each[s:e]) for s, e in zip(cuts[:-1], cuts[1:])]
+        return np.bincount(part_of, weights, minlength=len(parts)).astype(np.int64)
 
+    n_groups, written = counts(), _STRINGS
+    if write:
+        each = pc.binary_join_element_wise(_joined(pa.array(a).cast(pa.string()), in_a, ","),
+                                           _joined(pa.array(b).cast(pa.string()), in_b, ","), "|")
+        written = _joined(each, n_groups, ";")
     keys, times = [np.empty(0, np.int64)], [np.empty(0, np.int64)]  # part and pair in one number
     usual = np.flatnonzero(links <= _BIG_GROUP)
     reach = np.cumsum(links[usual])
@@ -153,14 +202,14 @@ def align_parts(parts: list[str], both: Tokenizers) -> Aligned:
 class Chunk:
     """The aligned documents of a chunk: distinct parts, and for every document the numbers of its parts."""
 
-    def __init__(self, texts: pa.Array, both: Tokenizers):
+    def __init__(self, texts: pa.Array, both: Tokenizers, write: bool = True):
         collecting = gc.isenabled()
         gc.disable()  # many short lists, no cycles
         try:
             flat, self.offsets = stretches(texts)
             coded = flat.dictionary_encode()
             self.codes = coded.indices.to_numpy().astype(np.int64)
-            self.aligned = align_parts(coded.dictionary.to_pylist(), both)
+            self.aligned = align_parts(coded.dictionary.to_pylist(), both, write)
         finally:
             if collecting:
                 gc.enable()
@@ -175,24 +224,33 @@ class Chunk:
 
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """(distinct pairs, how many documents hold each linked)."""
-        docs = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
-        parts = max(1, len(self.aligned.whole))
-        held = np.unique((docs * parts + self.codes)[self.used[docs]])
-        doc, part = held // parts, held % parts
-        sizes = (self.aligned.starts[1:] - self.aligned.starts[:-1])[part]
-        ends = np.cumsum(sizes)
-        keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        docs = len(self.offsets) - 1
+        pairs, place = np.unique(self.aligned.pairs, return_inverse=True)
+        counts = np.zeros(len(pairs), np.int64)
+        sizes = np.diff(self.aligned.starts)[self.codes]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[self.offsets]  # entries up to every document
+        wide = max(1, len(pairs))
         start = 0
-        while start < len(held):  # whole documents at a time
-            stop = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + _BLOCK, "right"))
-            stop = int(np.searchsorted(doc, doc[min(max(stop, start + 1), len(doc)) - 1], "right"))
-            size = sizes[start:stop]
-            at = np.repeat(self.aligned.starts[part[start:stop]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            once = np.unique((np.repeat(doc[start:stop], size) << 31) | self.aligned.pairs[at])
-            more, times = np.unique(once & ((1 << 31) - 1), return_counts=True)
-            keys, counts = add_counts(keys, counts, more, times)
+        while start < docs:  # whole documents: up to _BLOCK entries, and a table of marks of bounded size
+            stop = int(np.searchsorted(ends, ends[start] + _BLOCK, "right")) - 1
+            stop = min(max(stop, start + 1), start + max(1, 32 * _BLOCK // wide), docs)
+            tokens = slice(self.offsets[start], self.offsets[stop])
+            size, codes = sizes[tokens], self.codes[tokens]
+            doc = np.repeat(np.arange(stop - start), np.diff(self.offsets[start:stop + 1]))
+            at = np.repeat(self.aligned.starts[codes] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            key = np.repeat(doc * wide, size) + place[at]
+            if (stop - start) * wide <= 64 * len(key):
+                marks = np.zeros((stop - start) * wide, bool)
+                marks[key] = True
+                marks = marks.reshape(stop - start, wide) & self.used[start:stop, None]
+                counts += marks.sum(axis=0)[:len(counts)]
+            else:
+                key = np.unique(key)
+                key = key[self.used[start + key // wide]]
+                counts += np.bincount(key % wide, minlength=len(counts))[:len(counts)]
             start = stop
-        return keys, counts
+        held = counts > 0
+        return pairs[held], counts[held]
 
     def rows(self, doc_ids: pa.Array, pairs: np.ndarray, counts: np.ndarray, best_of_a: np.ndarray, width: int) -> pa.Table:
         """The documents' rows; ``pairs`` ascend and hold every pair of the chunk."""
@@ -208,21 +266,13 @@ class Chunk:
             return total[a.starts[1:]] - total[a.starts[:-1]]
 
         columns = [a.n_a, a.n_b, a.n_groups, a.n_links, by_part(a.times * best), by_part(a.times * known)]
-        written, codes = a.written, self.codes.tolist()
-        digests = [hashlib.sha256(";".join(map(written.__getitem__, codes[s:e])).encode()).hexdigest() if used else ""
-                   for s, e, used in zip(self.offsets[:-1].tolist(), self.offsets[1:].tolist(), self.used.tolist())]
+        lists = pa.ListArray.from_arrays(pa.array(self.offsets.astype(np.int32)), a.written.take(pa.array(self.codes)))
+        digests = [hashlib.sha256(text.as_buffer()).hexdigest() if used else ""
+                   for text, used in zip(pc.binary_join(lists, ";"), self.used.tolist())]
         return pa.Table.from_arrays([doc_ids, *(pa.array(self.sums(c) * self.used) for c in columns), pa.array(digests, pa.string())],
                                     schema=_DOC)
 
 
-def add_counts(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Add counts of distinct keys to others; keys ascend."""
-    both, at = np.unique(np.concatenate([keys, more]), return_inverse=True)
-    total = np.zeros(len(both), np.int64)
-    np.add.at(total, at, np.concatenate([counts, times]))
-    return both, total
-
-
 def _lists(schema: pa.Schema, plain: list, lists: list[list[np.ndarray]]) -> pa.RecordBatch:
     made = []
     for arrays in lists:
@@ -258,7 +308,7 @@ def _only(table: pa.Table, column: str) -> bytes:
 
 
 def align_tokenizers(docs: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id", text_col: str = "text",
-                     chunk_bytes: int = 16_000_000, shard_pairs: int = 400_000, fan_in: int = 16) -> DataFrame:
+                     chunk_bytes: int = 8_000_000, shard_pairs: int = 400_000, fan_in: int = 16) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of every row.
 
     ``byte_level`` is a byte-level file of ``tokenizers`` that encodes a space and the text, ``pieces`` a model of
@@ -281,7 +331,7 @@ def align_tokenizers(docs: DataFrame, byte_level: str, pieces: str, id_col: str
         def close() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
             texts = text_array(table["text"].combine_chunks())
-            pairs, counts = Chunk(texts, tokenizers(byte_level, pieces)).pair_counts()
+            pairs, counts = Chunk(texts, tokenizers(byte_level, pieces), write=False).pair_counts()
             return _lists(_CHUNK, [[number], [to_bytes(table)]], [[pairs], [counts]])
         for rows in slices(batches, 1, max(1, chunk_bytes // 4)):
             held.append(rows)

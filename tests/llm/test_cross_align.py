@@ -103,7 +103,7 @@ def test_groups_of_many_tokens_are_counted(monkeypatch):
     monkeypatch.setattr(cross_align, "_BIG_GROUP", 1)
     monkeypatch.setattr(cross_align, "_BLOCK", 2)
     other = cross_align.align_parts(["漢字かな한글العربية", "plain"], both)
-    assert usual.pairs.tolist() == other.pairs.tolist() and usual.times.tolist() == other.times.tolist()
+    assert usual.pairs.tolist() == other.pairs.tolist() and usual.written.to_pylist() == other.written.to_pylist() and usual.times.tolist() == other.times.tolist()
 
 
 @settings(max_examples=150, deadline=None)
@@ -116,7 +116,22 @@ def test_any_text_by_stretches(text):
     assert bool(chunk.used[0]) == bool(groups)
     if groups:
         written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
-        assert ";".join(chunk.aligned.written[c] for c in chunk.codes) == written
+        assert ";".join(chunk.aligned.written[c].as_py() for c in chunk.codes) == written
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab .é \n漢▁", max_size=12), max_size=8), st.sampled_from([1, 30, 1_000_000]))
+def test_pair_counts_in_blocks(texts, block):
+    import pyarrow as pa
+    before, cross_align._BLOCK = cross_align._BLOCK, block
+    try:
+        pairs, counts = cross_align.Chunk(pa.array(texts, pa.string()), cross_align.tokenizers(A, B)).pair_counts()
+    finally:
+        cross_align._BLOCK = before
+    plain = test_any_text_by_stretches.__dict__.setdefault("plain", Plain())
+    width = cross_align.tokenizers(A, B).width
+    wanted = Counter(p for t in texts for p in {a * width + b for x, y in plain.groups(t) for a in x for b in y})
+    assert dict(zip(pairs.tolist(), counts.tolist())) == dict(wanted)
 
 
 @settings(max_examples=100, deadline=None)
