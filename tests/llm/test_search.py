@@ -118,12 +118,32 @@ def test_vector_dedup(spark):
               and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98]
     least = closure([r[0] for r in rows if r[0] is not None], linked)
     want = sorted(((i, sum(i in e for e in linked), least.get(i), least.get(i) == i and i is not None) for i, *_ in rows), key=repr)
-    for block in (3, 2_048):
+    for block, small in ((3, 48), (2_048, 48), (2_048, 2)):
+        vector_dedup._SMALL = small
         got = vector_dedup.dedup_vectors(df, block_rows=block).select("vec_id", "n_links", "component_id", "kept").collect()
         assert sorted(map(tuple, got), key=repr) == want
+    vector_dedup._SMALL = 48
     assert len(linked) > 40 and vector_dedup.dedup_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [10, 17])
+def test_vectors_at_the_limit_are_found(spark, bits):
+    rng = np.random.default_rng(bits)
+    base = rng.standard_normal((400, 24))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    other = rng.standard_normal((400, 24))
+    other -= (other * base).sum(axis=1)[:, None] * base
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    angle = np.arccos(rng.uniform(0.98001, 0.985, 400))[:, None]
+    both = np.concatenate([base, np.cos(angle) * base + np.sin(angle) * other])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(both)], "vec_id long, embedding array<double>, label int")
+    near = both @ both.T >= 0.98
+    wanted = (near.sum() - len(both)) // 2
+    got = vector_dedup.dedup_vectors(df, bits=bits).agg({"n_links": "sum"}).first()[0] // 2
+    assert wanted >= 400 and got >= 0.999 * wanted
+    assert vector_dedup.tables_for(12, 0.98, 1e-6) == 23 and vector_dedup.tables_for(20, 0.98, 1e-6) == 45
+
+
 def shingle_set(text, n):
     words = [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if len(words) >= n else ({tuple(words)} if words else set())
