@@ -160,6 +160,56 @@ def progressive_samples(df: DataFrame, key: str, fractions: Sequence[float],
             .select(*df.columns, "fraction"))
 
 
+def fold_arrays(df: DataFrame, key: str, by: str, classes: Sequence, folds: int, salts: Sequence, column: str = "folds") -> DataFrame:
+    """Add an array with the row's fold under every salt, each as ``stratified_folds`` draws it.
+
+    ``classes`` are the values of ``by``. The cut points of all salts come from one pass (salts x classes x folds rows,
+    collected), and rows are assigned in place.
+    """
+    drawn = df.select(key, by, F.explode(F.array(*[F.lit(str(s)) for s in salts])).alias("_salt"))
+    hashed = drawn.withColumn("_h", keyed_hash(F.col("_salt"), F.col(key)))
+    cells, sizes = class_sizes(hashed, ["_salt", by], "_h")
+    wants = (sizes.withColumn("cut", F.explode(F.sequence(F.lit(1), F.lit(folds - 1))))
+             .select("_salt", by, "cut", F.ceil(F.col("cut") * F.col("n_class") / F.lit(float(folds))).alias("want")).filter("want > 0"))
+    cuts: dict = {}
+    for r in rank_cutoffs(hashed, ["_salt", by], "_h", key, cells, wants).collect():
+        cuts.setdefault((r["_salt"], r[by]), []).append((r["cut_hash"], r["cut_key"]))
+
+    def fold(salt: str) -> Column:
+        own = keyed_hash(salt, F.col(key))
+        out = F.lit(0)
+        for value in classes:
+            past = [(~at_or_before(own, F.col(key), F.lit(h), F.lit(k))).cast("int") for h, k in cuts.get((salt, value), [])]
+            out = F.when(F.col(by) == value, sum(past[1:], past[0]) if past else F.lit(0)).otherwise(out)
+        return out
+    return df.withColumn(column, F.array(*[fold(str(s)) for s in salts]))
+
+
+def nested_levels(df: DataFrame, key: str, fold: str, folds: int, fractions: Sequence[float], salt: str) -> DataFrame:
+    """Add ``levels``: for every fold the place (from 1) of the first fraction whose sample of the other folds' rows
+    holds the row, 0 if the row lies in the fold (E6).
+
+    A sample is the first floor(f * n) of them in hash order, as in ``progressive_samples``; rows beyond the largest have
+    a place after the last. ``fractions`` ascend; folds x fractions cut points are all that is collected.
+    """
+    hashed = _hashed(df, key, salt)
+    others = hashed.withColumn("_fold", F.explode(F.array(*map(F.lit, range(folds))))).filter(F.col("_fold") != F.col(fold))
+    cells, sizes = class_sizes(others, ["_fold"], "_h")
+    steps = F.array(*[F.struct(F.lit(i).alias("cut"), F.lit(float(f)).alias("f")) for i, f in enumerate(fractions)])
+    wants = sizes.withColumn("_s", F.explode(steps)).select(
+        "_fold", F.col("_s.cut").alias("cut"), F.floor(F.round(F.col("n_class") * F.col("_s.f"), 6)).alias("want")).filter("want > 0")
+    found = {(r["_fold"], r["cut"]): r for r in rank_cutoffs(others, ["_fold"], "_h", key, cells, wants).collect()}
+
+    def level(i: int) -> Column:
+        before = F.lit(1)
+        for cut in range(len(fractions)):
+            row = found.get((i, cut))
+            past = F.lit(True) if row is None else ~at_or_before(F.col("_h"), F.col(key), F.lit(row["cut_hash"]), F.lit(row["cut_key"]))
+            before = before + past.cast("int")
+        return F.when(F.col(fold) == i, 0).otherwise(before)
+    return hashed.withColumn("levels", F.array(*[level(i) for i in range(folds)])).select(*df.columns, "levels")
+
+
 def fixed_sample(df: DataFrame, key: str, size: int, salt: str = "fixed") -> DataFrame:
     """Exactly ``size`` rows without replacement, the first in hash order.
 

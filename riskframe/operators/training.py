@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
-from riskframe.operators import sampling
+from riskframe.operators import linear, sampling
 from riskframe.operators.evaluation import grouped_metrics
+from riskframe.plans.blocks import Blocks
 from riskframe.plans.storage import store
 
 FOLD_METRICS = ["f1_macro", "accuracy", "precision_macro", "recall_macro"]
@@ -86,11 +87,13 @@ class Learner:
     build: Callable[[DataFrame, str, str, str | None, int], Estimator]
     weighted: bool = True
     params: Mapping[str, object] | None = None
+    #: Loss and inverse strength of a linear model: many of those are fitted from one scan.
+    linear: tuple[str, float] | None = None
 
 
 def lr(C: float = 1.0, max_iter: int = 1000, name: str = "LogisticRegression") -> Learner:
     return Learner(name, lambda t, f, y, w, n: logistic_regression(t, C, f, y, w, max_iter, n),
-                   params={"C": C, "max_iter": max_iter, "class_weight": "balanced"})
+                   params={"C": C, "max_iter": max_iter, "class_weight": "balanced"}, linear=("logistic", C))
 
 
 def tree(depth: int = 5, name: str = "DecisionTree") -> Learner:
@@ -117,11 +120,14 @@ def boosted(rounds: int = 200, rate: float = 0.1, depth: int = 6, subsample: flo
 
 
 def linear_svm(C: float = 1.0, max_iter: int = 200, name: str = "LinearSVM") -> Learner:
-    """Max-margin classifier (F6); on Fourier features it approximates the radial kernel."""
+    """Max-margin classifier (F6); on Fourier features it approximates the radial kernel.
+
+    Cross-validation and searches fit it by ``linear`` with the hinge's corner rounded, a single fit by MLlib.
+    """
     def build(t: DataFrame, f: str, y: str, w: str | None, n: int) -> Estimator:
         return LinearSVC(featuresCol=f, labelCol=y, weightCol=w, regParam=1.0 / (C * n),
                          maxIter=max_iter, standardization=False)
-    return Learner(name, build, params={"C": C})
+    return Learner(name, build, params={"C": C}, linear=("hinge", C))
 
 
 def network(hidden: Sequence[int] = (128, 64, 32), max_iter: int = 300, name: str = "NeuralNetwork") -> Learner:
@@ -195,21 +201,45 @@ def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id",
     ``table`` should be stored, best partitioned by ``fold``: every part then reads its folds' files only. ``cut`` may
     restrict the training rows. Weights are those of each training part, from one count of all of them.
     """
-    counts = fold_counts(table if cut is None else table.filter(cut), target, fold)
+    linear = [m for m in learners if m.linear and cut is None]
+    others = [m for m in learners if m not in linear]
+    out = None
+    if linear:
+        out = linear_out_of_fold(table, linear, key, features, target, fold, folds)
+    if others:
+        counts = fold_counts(table if cut is None else table.filter(cut), target, fold)
+
+        def part(learner: Learner, i: int) -> Callable[[], DataFrame]:
+            def run() -> DataFrame:
+                train = table.filter(F.col(fold) != i)
+                model = fit(learner, train if cut is None else train.filter(cut), features, target, counts.get(i))
+                held = score(model, table.filter(F.col(fold) == i))
+                return held.select(F.lit(learner.name).alias("model"), key, fold, target, "pred", "score")
+            return run
+
+        for more in _in_parallel([part(m, i) for m in others for i in range(folds)], parallelism):
+            out = more if out is None else out.unionByName(more)
+    return store(out, "oof")
 
-    def part(learner: Learner, i: int) -> Callable[[], DataFrame]:
-        def run() -> DataFrame:
-            train = table.filter(F.col(fold) != i)
-            model = fit(learner, train if cut is None else train.filter(cut), features, target, counts.get(i))
-            held = score(model, table.filter(F.col(fold) == i))
-            return held.select(F.lit(learner.name).alias("model"), key, fold, target, "pred", "score")
-        return run
 
-    parts = _in_parallel([part(m, i) for m in learners for i in range(folds)], parallelism)
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return store(out, "oof")
+def fold_fits(table: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
+              fold: str = "fold", folds: int = 5) -> tuple[linear.Fits, list[str], Blocks]:
+    """Linear learners fitted without each fold, all from one scan: (fits, their learners' names, the blocks)."""
+    specs = [linear.Spec(m.linear[1], m.linear[0], 0, "not", i) for m in learners for i in range(folds)]
+    rows = linear.member_blocks(table, F.array(F.col(fold).cast("int")), features, target)
+    return linear.fit_many(rows, specs), [m.name for m in learners for _ in range(folds)], rows
+
+
+def linear_out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id", features: str = "features",
+                       target: str = "y", fold: str = "fold", folds: int = 5) -> DataFrame:
+    """``out_of_fold`` of linear learners."""
+    fits, names, _ = fold_fits(table, learners, features, target, fold, folds)
+    return linear.score_held_out(table, fits, names, key, features, target, fold)
+
+
+def _cells(spark: SparkSession, rows: Sequence[tuple], kind: str) -> DataFrame:
+    """A small table of counts: a row per model."""
+    return spark.createDataFrame(rows, f"{kind}, tp long, fp long, fn long, tn long")
 
 
 def fold_metrics(scored: DataFrame, by: Sequence[str] = ("model",), target: str = "y", fold: str = "fold",
@@ -266,13 +296,25 @@ def log_uniform(count: int = 30, low: float = 0.001, high: float = 100.0, salt:
     return [{"C": low * (high / low) ** u(i)} for i in range(count)]
 
 
+def linear_fold_counts(table: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
+                       fold: str = "fold", folds: int = 5) -> DataFrame:
+    """(model, fold, counts, f1_macro) of linear learners on their held-out folds: no scored row is written."""
+    fits, names, rows = fold_fits(table, learners, features, target, fold, folds)
+    cells = linear.confusion_of(rows, fits)
+    made = [(name, spec.value, *map(int, cells[i, 1])) for i, (name, spec) in enumerate(zip(names, fits.specs))]
+    return with_metrics(_cells(table.sparkSession, made, "model string, fold int"), ["f1_macro"])
+
+
 def search(table: DataFrame, family: str, candidates: Sequence[dict], folds: int = 5, parallelism: int = 4,
            features: str = "features", target: str = "y", fold: str = "fold", key: str = "id") -> DataFrame:
     """Cross-validated F1 of every candidate, best first (F10, F11): (candidate, params, mean, std, place)."""
     learners = [MAKERS[family](**c, name=json.dumps(c, sort_keys=True)) for c in candidates]
-    scored = out_of_fold(table, learners, key, features, target, fold, folds, parallelism)
-    means = summarise_folds(fold_metrics(scored, with_auc=False, target=target, fold=fold),
-                            metrics=["f1_macro"], digits=None)
+    if all(m.linear for m in learners):
+        per_fold = linear_fold_counts(table, learners, features, target, fold, folds)
+    else:
+        per_fold = fold_metrics(out_of_fold(table, learners, key, features, target, fold, folds, parallelism),
+                                with_auc=False, target=target, fold=fold)
+    means = summarise_folds(per_fold, metrics=["f1_macro"], digits=None)
     place = F.row_number().over(Window.orderBy(F.col("f1_macro_mean").desc(), "params"))
     return (means.withColumnRenamed("model", "params").withColumn("family", F.lit(family))
             .withColumn("place", place)
@@ -293,14 +335,13 @@ def radial_width(table: DataFrame, kind: str | float, vector: str = "features")
 def radial_search(table: DataFrame, Cs: Sequence[float], gammas: Sequence[str | float], folds: int = 5, parallelism: int = 4,
                   features: str = "features", target: str = "y", fold: str = "fold", key: str = "id") -> DataFrame:
     """Cross-validated F1 of max-margin classifiers over strength and kernel width, best first."""
-    scored = None
+    counts = None
     for gamma in gammas:
         waves = fourier_features(table, radial_width(table, gamma, features), vector=features)
-        rows = store(waves.select(key, target, "fourier", fold), "fourier", [fold])
         learners = [linear_svm(C, name=json.dumps({"C": C, "gamma": gamma})) for C in Cs]
-        part = out_of_fold(rows, learners, key, "fourier", target, fold, folds, parallelism)
-        scored = part if scored is None else scored.unionByName(part)
-    means = summarise_folds(fold_metrics(scored, with_auc=False, target=target, fold=fold), metrics=["f1_macro"], digits=None)
+        part = linear_fold_counts(waves.select(key, target, "fourier", fold), learners, "fourier", target, fold, folds)
+        counts = part if counts is None else counts.unionByName(part)
+    means = summarise_folds(counts, metrics=["f1_macro"], digits=None)
     place = F.row_number().over(Window.orderBy(F.col("f1_macro_mean").desc(), "params"))
     return (means.withColumnRenamed("model", "params").withColumn("place", place)
             .select("params", "f1_macro_mean", "f1_macro_std", "place"))
@@ -364,6 +405,36 @@ def learning_curve(table: DataFrame, learner: Learner, sizes: Sequence[float], k
 
     Each training part is cut to exactly floor(size * n) rows in hash order, so smaller samples nest in larger ones.
     """
+    if learner.linear:
+        counts = _linear_curve(table, learner, sizes, key, features, target, fold, folds)
+    else:
+        counts = _curve(table, learner, sizes, key, features, target, fold, folds, parallelism)
+    rows = with_metrics(counts, ["f1_macro", "n"])
+    side = {p: F.when(F.col("part") == p, F.col("f1_macro")) for p in ("train", "validation")}
+    return rows.groupBy("size").agg(
+        F.round(F.avg(F.when(F.col("part") == "train", F.col("n"))), 1).alias("train_rows"),
+        *[a for p, c in side.items() for a in (F.avg(c).alias(f"{p}_mean"), F.stddev_pop(c).alias(f"{p}_std"))],
+        (F.avg(side["train"]) - F.avg(side["validation"])).alias("gap"))
+
+
+def _linear_curve(table: DataFrame, learner: Learner, sizes: Sequence[float], key: str, features: str, target: str,
+                  fold: str, folds: int) -> DataFrame:
+    """Counts by size, fold and part; every row bears, per fold, the first size whose sample holds it (0: held out)."""
+    ordered = sorted(set(map(float, sizes)))
+    levels = sampling.nested_levels(table.filter(F.col(target).isin(0, 1)), key, fold, folds, ordered, "curve")
+    specs = [linear.Spec(learner.linear[1], learner.linear[0], i, "upto", k + 1) for k in range(len(ordered)) for i in range(folds)]
+    rows = linear.member_blocks(levels, F.col("levels"), features, target)
+    fits = linear.fit_many(rows, specs)
+    trained = linear.confusion_of(rows, fits)[:, 0]
+    held = linear.confusion_of(rows, linear.Fits([linear.Spec(s.C, s.loss, s.group, "not", 0) for s in specs], fits.coefficients,
+                                                 fits.intercepts, fits.class_rows, 0))[:, 1]
+    made = [(ordered[s.value - 1], s.group, part, *map(int, cells[i]))
+            for part, cells in (("train", trained), ("validation", held)) for i, s in enumerate(specs)]
+    return _cells(table.sparkSession, made, "size double, fold int, part string")
+
+
+def _curve(table: DataFrame, learner: Learner, sizes: Sequence[float], key: str, features: str, target: str, fold: str,
+           folds: int, parallelism: int) -> DataFrame:
     places = store(table.select(key, fold, target, features), "curve", [fold])
     nested = {i: store(sampling.progressive_samples(places.filter(F.col(fold) != i).select(key, target, features), key,
                                                     sizes, salt=f"curve-{i}"), "curve", ["fraction"]) for i in range(folds)}
@@ -382,12 +453,7 @@ def learning_curve(table: DataFrame, learner: Learner, sizes: Sequence[float], k
     counts = parts[0]
     for more in parts[1:]:
         counts = counts.unionByName(more)
-    rows = with_metrics(counts, ["f1_macro", "n"])
-    side = {p: F.when(F.col("part") == p, F.col("f1_macro")) for p in ("train", "validation")}
-    return rows.groupBy("size").agg(
-        F.round(F.avg(F.when(F.col("part") == "train", F.col("n"))), 1).alias("train_rows"),
-        *[a for p, c in side.items() for a in (F.avg(c).alias(f"{p}_mean"), F.stddev_pop(c).alias(f"{p}_std"))],
-        (F.avg(side["train"]) - F.avg(side["validation"])).alias("gap"))
+    return counts
 
 
 def progressive_fit(train: DataFrame, test: DataFrame, learner: Learner, fractions: Sequence[float],
@@ -453,6 +519,8 @@ def seed_sensitivity(scored: DataFrame, seeds: Sequence[int], key: str = "id", t
 def seed_refits(table: DataFrame, learner: Learner, seeds: Sequence[int], key: str = "id", features: str = "features",
                 target: str = "y", folds: int = 5, parallelism: int = 4, digits: int = 6) -> DataFrame:
     """Fold F1 of a learner fitted anew for every seed and fold (F13): per seed and over all."""
+    if learner.linear:
+        return _linear_refits(table, learner, seeds, key, features, target, folds, digits)
     cuts = store(_seeded(table.select(key, target, features), seeds, key, target, folds), "seeds", ["seed", "fold"])
     rows = cuts.groupBy("seed", "fold", target).count().collect()  # a row per seed, fold and class
 
@@ -472,6 +540,19 @@ def seed_refits(table: DataFrame, learner: Learner, seeds: Sequence[int], key: s
     return seed_summary(with_metrics(counts, ["f1_macro"]), digits)
 
 
+def _linear_refits(table: DataFrame, learner: Learner, seeds: Sequence[int], key: str, features: str, target: str,
+                   folds: int, digits: int) -> DataFrame:
+    """All seeds and folds from one scan: every row bears its fold under each seed."""
+    rows = table.filter(F.col(target).isin(0, 1)).select(key, target, features)
+    drawn = sampling.fold_arrays(rows, key, target, [0, 1], folds, [int(s) for s in seeds])
+    blocks = linear.member_blocks(drawn, F.col("folds"), features, target)
+    fits = linear.fit_many(blocks, [linear.Spec(learner.linear[1], learner.linear[0], j, "not", i)
+                                    for j in range(len(seeds)) for i in range(folds)])
+    cells = linear.confusion_of(blocks, fits)[:, 1]
+    made = [(int(seeds[s.group]), s.value, *map(int, c)) for s, c in zip(fits.specs, cells)]
+    return seed_summary(with_metrics(_cells(table.sparkSession, made, "seed int, fold int"), ["f1_macro"]), digits)
+
+
 # --- batch scoring -----------------------------------------------------------------------------------
 
 def fill_profile(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
