@@ -16,15 +16,12 @@ from riskframe.sources import runs
 
 # The fold seeds of the sensitivity check.
 SEEDS = [0, 7, 21, 42, 99, 123, 256, 512, 1337, 2024]
-# Settings from the tuning grids: the operators' defaults (200 trees of 30 levels, 200 rounds) take minutes a fit even on
-# 15,000 rows, and the stack fits each learner six times.
-FOREST = tr.forest(trees=100, depth=10)
-BOOSTED = tr.boosted(rounds=100, rate=0.1, depth=4, subsample=0.8)
+FOREST, BOOSTED, LEAFWISE = tr.forest(), tr.boosted(), tr.leafwise()
 
 
 def learners(C: float = 1.0) -> list[tr.Learner]:
     """Every learner of the operators; ``C`` is the logistic regression's."""
-    return [tr.lr(C), tr.tree(), FOREST, BOOSTED, tr.linear_svm(), tr.network()]
+    return [tr.lr(C), tr.tree(), FOREST, BOOSTED, LEAFWISE, tr.linear_svm(), tr.network()]
 
 
 DEFAULTS = {"segment": "BUILDING", "status": "O", "priority": "3-MEDIUM", "region_name": "ASIA",
@@ -109,6 +106,10 @@ def model_boosted(spark, sf):
     return _held(spark, sf, BOOSTED)
 
 
+def model_leafwise(spark, sf):
+    return _held(spark, sf, LEAFWISE)
+
+
 def model_svm(spark, sf):
     train, test, fitted = _parts(spark, sf, folds=False)
     gamma = 1.0 / len(fitted.names)
@@ -144,7 +145,7 @@ def model_log_uniform_search(spark, sf):
 
 def model_stacking(spark, sf):
     train, test, _ = _parts(spark, sf)
-    return tr.stack(train, test, [tr.lr(0.1), FOREST, BOOSTED])
+    return tr.stack(train, test, [tr.lr(0.1), FOREST, BOOSTED, LEAFWISE])
 
 
 def _study(spark, sf):
@@ -204,7 +205,7 @@ def sample_strategies(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     model_class_weights, cv_fold_metrics, model_comparison, model_comparison_long, cv_seed_sensitivity,
-    cv_seed_refits, score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_svm,
+    cv_seed_refits, score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_leafwise, model_svm,
     model_network, model_study, model_study_log, sig_trained_models, model_capped_cv, score_profile_linear,
     model_cross_validated, model_grid_search, model_radial_search, model_log_uniform_search, model_stacking,
     sample_learning_curve, sample_progressive_fit, sample_strategies)}

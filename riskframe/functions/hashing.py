@@ -21,3 +21,14 @@ def keyed_hash(salt: str | Column, key: Column) -> Column:
 def keyed_uniform(salt: str | Column, key: Column) -> Column:
     """Uniform double in [0, 1)."""
     return keyed_hash(salt, key) / F.lit(float(HASH_RANGE))
+
+
+def mixed(numbers, seed: int):
+    """NumPy: well-mixed unsigned 64-bit hashes of 64-bit numbers (the finalizer of splitmix64)."""
+    import numpy as np
+
+    with np.errstate(over="ignore"):
+        x = numbers.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * np.uint64(seed + 1)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))

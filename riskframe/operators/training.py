@@ -6,15 +6,15 @@ import hashlib
 import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier, RandomForestClassifier)
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
+                                       MultilayerPerceptronClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
-from riskframe.operators import linear, sampling
+from riskframe.operators import linear, sampling, trees
 from riskframe.operators.evaluation import grouped_metrics
 from riskframe.plans.blocks import Blocks
 from riskframe.plans.storage import store
@@ -84,11 +84,13 @@ class Learner:
     """
 
     name: str
-    build: Callable[[DataFrame, str, str, str | None, int], Estimator]
+    build: Callable[[DataFrame, str, str, str | None, int], Estimator] | None = None
     weighted: bool = True
     params: Mapping[str, object] | None = None
     #: Loss and inverse strength of a linear model: many of those are fitted from one scan.
     linear: tuple[str, float] | None = None
+    #: A forest or boosted model; those of several folds grow together.
+    trees: trees.Spec | None = None
 
 
 def lr(C: float = 1.0, max_iter: int = 1000, name: str = "LogisticRegression") -> Learner:
@@ -102,21 +104,26 @@ def tree(depth: int = 5, name: str = "DecisionTree") -> Learner:
         featuresCol=f, labelCol=y, weightCol=w, maxDepth=depth, seed=SEED), params={"max_depth": depth})
 
 
-def forest(trees: int = 200, depth: int = 30, min_rows: int = 1, name: str = "RandomForest") -> Learner:
-    """Random forest (F4). 30 levels is the deepest MLlib grows; it stands for unlimited."""
-    return Learner(name, lambda t, f, y, w, n: RandomForestClassifier(
-        featuresCol=f, labelCol=y, weightCol=w, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_rows,
-        featureSubsetStrategy="sqrt", seed=SEED, maxMemoryInMB=2048, cacheNodeIds=True),
-        params={"n_estimators": trees, "max_depth": depth, "min_rows": min_rows})
+def forest(n_trees: int = 200, depth: int | None = None, min_split: int = 2, name: str = "RandomForest") -> Learner:
+    """Random forest (F4); without a depth it grows until leaves are pure or can't be split."""
+    return Learner(name, trees=trees.Spec("forest", n_trees, depth or 0, min_split=min_split, seed=SEED),
+                   params={"n_estimators": n_trees, "max_depth": depth, "min_samples_split": min_split})
 
 
-def boosted(rounds: int = 200, rate: float = 0.1, depth: int = 6, subsample: float = 1.0,
+def boosted(rounds: int = 200, rate: float = 0.3, depth: int = 6, subsample: float = 1.0,
             name: str = "GradientBoosting") -> Learner:
-    """Boosted trees."""
-    return Learner(name, lambda t, f, y, w, n: GBTClassifier(
-        featuresCol=f, labelCol=y, weightCol=w, maxIter=rounds, stepSize=rate, maxDepth=depth,
-        subsamplingRate=subsample, seed=SEED),
-        params={"n_estimators": rounds, "learning_rate": rate, "max_depth": depth, "subsample": subsample})
+    """Second-order boosted trees that grow level by level."""
+    return Learner(name, trees=trees.Spec("boosted", rounds, depth, rate=rate, subsample=subsample, seed=SEED),
+                   params={"n_estimators": rounds, "learning_rate": rate, "max_depth": depth, "subsample": subsample})
+
+
+def leafwise(rounds: int = 200, rate: float = 0.1, depth: int | None = None, subsample: float = 1.0, leaves: int = 31,
+             name: str = "LeafwiseBoosting") -> Learner:
+    """Second-order boosted trees that grow the leaf with the highest gain first."""
+    return Learner(name, trees=trees.Spec("boosted", rounds, depth or 0, leaves, 20, rate=rate, subsample=subsample, l2=0.0,
+                                          min_weight=1e-3, seed=SEED),
+                   params={"n_estimators": rounds, "learning_rate": rate, "max_depth": depth, "subsample": subsample,
+                           "num_leaves": leaves})
 
 
 def linear_svm(C: float = 1.0, max_iter: int = 200, name: str = "LinearSVM") -> Learner:
@@ -160,15 +167,29 @@ def fourier_features(df: DataFrame, gamma: float, size: int = 128, vector: str =
 
 
 def fit(learner: Learner, train: DataFrame, features: str = "features", target: str = "y",
-        counts: Mapping[int, int] | None = None) -> Model:
+        counts: Mapping[int, int] | None = None) -> Model | trees.Ensemble:
     """Fit on these rows; balanced weights come from them too. ``counts`` of their classes save a pass."""
+    if learner.trees:
+        return fit_ensembles(train, [learner], features, target)[0]
     counts = class_counts(train, target) if counts is None else counts
     rows = with_balanced_weights(train, target, counts=counts) if learner.weighted else train
     return learner.build(rows, features, target, "weight" if learner.weighted else None, sum(counts.values())).fit(rows)
 
 
-def score(model: Model, df: DataFrame) -> DataFrame:
+def fit_ensembles(train: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
+                  fold: str | None = None, folds: int = 1, key: str | None = "id") -> list[trees.Ensemble]:
+    """Forests and boosted models on one binned matrix; with ``fold``, every learner without each fold in turn."""
+    edges = trees.bin_edges(train, features)
+    member = F.array(F.col(fold).cast("int") if fold else F.lit(0))
+    rows = trees.binned_blocks(train, edges, member, features, target, key)
+    held = range(folds) if fold else [-1]
+    return trees.fit_many(rows, [replace(m.trees, value=i) for m in learners for i in held], edges)
+
+
+def score(model: Model | trees.Ensemble, df: DataFrame, features: str = "features") -> DataFrame:
     """Add ``pred`` (0/1) and ``score``: the positive probability, or the margin if there is none."""
+    if isinstance(model, trees.Ensemble):
+        return model.score_rows(df, features).select(*df.columns, "pred", "score")
     out = model.transform(df)
     column = "probability" if "probability" in out.columns else "rawPrediction"
     positive = F.get(vector_to_array(column), F.lit(1))
@@ -201,11 +222,16 @@ def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id",
     ``table`` should be stored, best partitioned by ``fold``: every part then reads its folds' files only. ``cut`` may
     restrict the training rows. Weights are those of each training part, from one count of all of them.
     """
-    linear = [m for m in learners if m.linear and cut is None]
-    others = [m for m in learners if m not in linear]
+    lines = [m for m in learners if m.linear and cut is None]
+    grown = [m for m in learners if m.trees and cut is None]
+    others = [m for m in learners if m not in lines and m not in grown]
     out = None
-    if linear:
-        out = linear_out_of_fold(table, linear, key, features, target, fold, folds)
+    if lines:
+        out = linear_out_of_fold(table, lines, key, features, target, fold, folds)
+    if grown:
+        models = fit_ensembles(table, grown, features, target, fold, folds, key)
+        more = trees.score_held_out(table, models, [m.name for m in grown for _ in range(folds)], key, features, target, fold)
+        out = more if out is None else out.unionByName(more)
     if others:
         counts = fold_counts(table if cut is None else table.filter(cut), target, fold)
 
@@ -274,14 +300,16 @@ def melt_comparison(summary: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 # --- tuning ------------------------------------------------------------------------------------------
 
-# The tuning grids; 30 levels stand for unlimited depth, and "min_rows" is this library's own parameter.
+# The tuning grids.
 GRIDS = {
     "LogisticRegression": {"C": [0.01, 0.1, 1.0, 10.0]},
-    "RandomForest": {"trees": [100, 200], "depth": [30, 10, 20], "min_rows": [1, 2]},
+    "RandomForest": {"n_trees": [100, 200], "depth": [None, 10, 20], "min_split": [2, 5]},
     "GradientBoosting": {"rate": [0.05, 0.1], "depth": [4, 6], "rounds": [100, 200], "subsample": [0.8, 1.0]},
+    "LeafwiseBoosting": {"rate": [0.05, 0.1], "depth": [4, 6], "rounds": [100, 200], "subsample": [0.8, 1.0]},
     "LinearSVM": {"C": [0.1, 1.0, 10.0]},
 }
-MAKERS = {"LogisticRegression": lr, "RandomForest": forest, "GradientBoosting": boosted, "LinearSVM": linear_svm}
+MAKERS = {"LogisticRegression": lr, "RandomForest": forest, "GradientBoosting": boosted, "LeafwiseBoosting": leafwise,
+          "LinearSVM": linear_svm}
 
 
 def grid(family: str, space: Mapping[str, Sequence] | None = None) -> list[dict]:
