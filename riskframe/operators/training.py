@@ -13,8 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
-                                       MultilayerPerceptronClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
-from riskframe.operators import linear, sampling, trees
+from riskframe.operators import linear, network as nets, sampling, trees
 from riskframe.operators.evaluation import grouped_metrics
 from riskframe.plans.blocks import Blocks
 from riskframe.plans.storage import store
@@ -91,6 +90,8 @@ class Learner:
     linear: tuple[str, float] | None = None
     #: A forest or boosted model; those of several folds grow together.
     trees: trees.Spec | None = None
+    #: A network; those of several folds are trained together.
+    net: nets.Spec | None = None
 
 
 def lr(C: float = 1.0, max_iter: int = 1000, name: str = "LogisticRegression") -> Learner:
@@ -138,12 +139,9 @@ def linear_svm(C: float = 1.0, max_iter: int = 200, name: str = "LinearSVM") ->
 
 
 def network(hidden: Sequence[int] = (128, 64, 32), max_iter: int = 300, name: str = "NeuralNetwork") -> Learner:
-    """Feed-forward net (F7), unweighted."""
-    def build(t: DataFrame, f: str, y: str, w: str | None, n: int) -> Estimator:
-        size = len(t.select(f).first()[0])
-        return MultilayerPerceptronClassifier(featuresCol=f, labelCol=y, layers=[size, *hidden, 2],
-                                              maxIter=max_iter, blockSize=256, seed=SEED)
-    return Learner(name, build, weighted=False, params={"hidden": list(hidden)})
+    """Feed-forward net in mini-batches with early stopping (F7), unweighted."""
+    return Learner(name, weighted=False, net=nets.Spec(tuple(hidden), max_iter, seed=SEED),
+                   params={"hidden": list(hidden), "max_iter": max_iter, "early_stopping": True})
 
 
 def fourier_features(df: DataFrame, gamma: float, size: int = 128, vector: str = "features",
@@ -167,10 +165,12 @@ def fourier_features(df: DataFrame, gamma: float, size: int = 128, vector: str =
 
 
 def fit(learner: Learner, train: DataFrame, features: str = "features", target: str = "y",
-        counts: Mapping[int, int] | None = None) -> Model | trees.Ensemble:
+        counts: Mapping[int, int] | None = None) -> Model | trees.Ensemble | nets.Network:
     """Fit on these rows; balanced weights come from them too. ``counts`` of their classes save a pass."""
     if learner.trees:
         return fit_ensembles(train, [learner], features, target)[0]
+    if learner.net:
+        return fit_networks(train, [learner], features, target)[0]
     counts = class_counts(train, target) if counts is None else counts
     rows = with_balanced_weights(train, target, counts=counts) if learner.weighted else train
     return learner.build(rows, features, target, "weight" if learner.weighted else None, sum(counts.values())).fit(rows)
@@ -186,9 +186,17 @@ def fit_ensembles(train: DataFrame, learners: Sequence[Learner], features: str =
     return trees.fit_many(rows, [replace(m.trees, value=i) for m in learners for i in held], edges)
 
 
-def score(model: Model | trees.Ensemble, df: DataFrame, features: str = "features") -> DataFrame:
+def fit_networks(train: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
+                 fold: str | None = None, folds: int = 1, key: str | None = "id") -> list[nets.Network]:
+    """Networks on the same blocks; with ``fold``, every learner without each fold in turn."""
+    rows = nets.network_blocks(train, F.array(F.col(fold).cast("int") if fold else F.lit(0)), features, target, key)
+    held = range(folds) if fold else [-1]
+    return nets.fit_many(rows, [replace(m.net, value=i) for m in learners for i in held])
+
+
+def score(model: Model | trees.Ensemble | nets.Network, df: DataFrame, features: str = "features") -> DataFrame:
     """Add ``pred`` (0/1) and ``score``: the positive probability, or the margin if there is none."""
-    if isinstance(model, trees.Ensemble):
+    if isinstance(model, (trees.Ensemble, nets.Network)):
         return model.score_rows(df, features).select(*df.columns, "pred", "score")
     out = model.transform(df)
     column = "probability" if "probability" in out.columns else "rawPrediction"
@@ -223,15 +231,14 @@ def out_of_fold(table: DataFrame, learners: Sequence[Learner], key: str = "id",
     restrict the training rows. Weights are those of each training part, from one count of all of them.
     """
     lines = [m for m in learners if m.linear and cut is None]
-    grown = [m for m in learners if m.trees and cut is None]
+    grown = [m for m in learners if (m.trees or m.net) and cut is None]
     others = [m for m in learners if m not in lines and m not in grown]
-    out = None
-    if lines:
-        out = linear_out_of_fold(table, lines, key, features, target, fold, folds)
-    if grown:
-        models = fit_ensembles(table, grown, features, target, fold, folds, key)
-        more = trees.score_held_out(table, models, [m.name for m in grown for _ in range(folds)], key, features, target, fold)
-        out = more if out is None else out.unionByName(more)
+    out = linear_out_of_fold(table, lines, key, features, target, fold, folds) if lines else None
+    for fits, own in ((fit_ensembles, [m for m in grown if m.trees]), (fit_networks, [m for m in grown if m.net])):
+        if own:
+            models = fits(table, own, features, target, fold, folds, key)
+            more = trees.score_held_out(table, models, [m.name for m in own for _ in range(folds)], key, features, target, fold)
+            out = more if out is None else out.unionByName(more)
     if others:
         counts = fold_counts(table if cut is None else table.filter(cut), target, fold)
 

@@ -120,21 +120,25 @@ class Ensemble:
 
     def score_rows(self, df: DataFrame, vector: str = "features") -> DataFrame:
         """``df`` with ``pred`` and ``score``."""
-        ready(df.sparkSession)
+        return scored_rows(self, df, vector)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for rows in batches:
-                x = rows.column(1).flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
-                score = self.probabilities(self.binned(x)) if rows.num_rows else np.empty(0)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array((score > 0.5).astype(np.int32)), pa.array(score)],
-                                                 names=["_row", "pred", "score"])
 
-        packed = df.select(F.struct(*[F.col(f"`{c}`") if c != vector else vector_to_array(vector).alias(vector) for c in df.columns]).alias("_row"),
-                           vector_to_array(vector).alias("_x"))
-        kind = packed.schema["_row"].dataType.simpleString()
-        made = packed.mapInArrow(run, f"_row {kind}, pred int, score double")
-        back = [array_to_vector(F.col(f"_row.`{c}`")).alias(c) if c == vector else F.col(f"_row.`{c}`") for c in df.columns]
-        return made.select(*back, "pred", "score")
+def scored_rows(model, df: DataFrame, vector: str = "features") -> DataFrame:
+    """``df`` with ``pred`` and ``score`` by a model that has ``binned`` and ``probabilities``."""
+    ready(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            x = rows.column(1).flatten().to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1)
+            score = model.probabilities(model.binned(x)) if rows.num_rows else np.empty(0)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array((score > 0.5).astype(np.int32)), pa.array(score)],
+                                             names=["_row", "pred", "score"])
+
+    whole = [vector_to_array(vector).alias(vector) if c == vector else F.col(f"`{c}`") for c in df.columns]
+    packed = df.select(F.struct(*whole).alias("_row"), vector_to_array(vector).alias("_x"))
+    made = packed.mapInArrow(run, f"_row {packed.schema['_row'].dataType.simpleString()}, pred int, score double")
+    back = [array_to_vector(F.col(f"_row.`{c}`")).alias(c) if c == vector else F.col(f"_row.`{c}`") for c in df.columns]
+    return made.select(*back, "pred", "score")
 
 
 # --- bins -------------------------------------------------------------------------------------------
@@ -453,8 +457,9 @@ def grow_pure(x: np.ndarray, y: np.ndarray, weight: np.ndarray, spec: Spec, tree
         x, g, h = x[rows], g[rows], h[rows]
         at = child[own] + (x[np.arange(len(x)), slot[own]] > cut[own])
         before, count = before + count, 2 * int(split.sum())
-    return Tree(*(np.concatenate([getattr(level, name) for level in levels])
-                  for name in ("feature", "cut", "left", "value", "gain", "cover")))
+    return Tree(*(np.concatenate([getattr(level, name).astype(kind, copy=False) for level in levels])
+                  for name, kind in (("feature", np.int16), ("cut", np.int16), ("left", np.int32), ("value", np.float64),
+                                     ("gain", np.float32), ("cover", np.float32))))
 
 
 def attach(top: Tree, leaf: int, below: Tree) -> Tree:
@@ -689,30 +694,32 @@ def forest_by_passes(blocks: Blocks, spec: Spec, rows: np.ndarray, width: int, b
     return trees
 
 
-def score_held_out(table: DataFrame, models: Sequence[Ensemble], names: Sequence[str], key: str = "id",
+def score_held_out(table: DataFrame, models: Sequence, names: Sequence[str], key: str = "id",
                    vector: str = "features", target: str = "y", fold: str = "fold") -> DataFrame:
     """(model, key, fold, target, pred, score): every row by the models that held its fold out."""
     ready(table.sparkSession)
-    by_fold: dict[int, list[int]] = {}
-    for i, model in enumerate(models):
-        by_fold.setdefault(model.spec.value, []).append(i)
+    kinds = {c: table.schema[c].dataType.simpleString() for c in (key, fold, target)}
+    kind = f"model string, `{key}` {kinds[key]}, `{fold}` {kinds[fold]}, `{target}` {kinds[target]}, pred int, score double"
+    rows = table.select(key, fold, target, vector_to_array(vector).alias("_x"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            fold_of = rows.column(1).to_numpy(zero_copy_only=False)
-            for value, own in by_fold.items():
-                at = np.flatnonzero(fold_of == value)
-                if not len(at):
+    def scored(own: list[int]) -> Callable:
+        held = [(names[m], models[m]) for m in own]  # a task gets the models of its fold only
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                if not part.num_rows:
                     continue
-                part = rows.take(pa.array(at))
-                x = part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
-                codes = models[own[0]].binned(x)
-                for m in own:
-                    score = models[m].probabilities(codes)
+                x = part.column(3).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                for name, model in held:
+                    score = model.probabilities(model.binned(x))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([names[m]] * len(at), pa.string()), part.column(0), part.column(1), part.column(2),
+                        [pa.array([name] * len(x), pa.string()), part.column(0), part.column(1), part.column(2),
                          pa.array((score > 0.5).astype(np.int32)), pa.array(score)], names=["model", key, fold, target, "pred", "score"])
+        return run
 
-    kinds = {c: table.schema[c].dataType.simpleString() for c in (key, fold, target)}
-    return (table.select(key, fold, target, vector_to_array(vector).alias("_x")).mapInArrow(
-        run, f"model string, `{key}` {kinds[key]}, `{fold}` {kinds[fold]}, `{target}` {kinds[target]}, pred int, score double"))
+    out = None
+    for value in sorted({m.spec.value for m in models}):
+        own = [i for i, m in enumerate(models) if m.spec.value == value]
+        part = rows.filter(F.col(fold) == value).mapInArrow(scored(own), kind)
+        out = part if out is None else out.unionByName(part)
+    return out

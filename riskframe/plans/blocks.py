@@ -92,15 +92,13 @@ def add(a: Sums | None, b: Sums) -> Sums:
     return {name: a[name] + b[name] if name in a and name in b else a.get(name, b.get(name)) for name in {*a, *b}}
 
 
-def sum_blocks(blocks: Blocks, work: Callable[[Block], Sums]) -> Sums:
-    """``work`` of every block, added up: one job, and a few sets of arrays for the driver."""
+def sum_tasks(blocks: Blocks, work: Callable[[Iterator[Block]], Sums | None]) -> Sums:
+    """What ``work`` makes of the blocks of every task, added up: one job, and a few sets of arrays for the driver."""
     kinds = blocks.kinds
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
-        for block in blocks_of(batches, kinds):
-            total = add(total, work(block))
-        if total is not None:
+        total = work(blocks_of(batches, kinds))
+        if total:
             slot = TaskContext.get().partitionId() % FAN_IN
             yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([pickle.dumps(total)], pa.binary())],
                                              names=["slot", "sums"])
@@ -118,3 +116,13 @@ def sum_blocks(blocks: Blocks, work: Callable[[Block], Sums]) -> Sums:
     for row in parts.collect():  # at most FAN_IN rows
         total = add(total, pickle.loads(bytes(row["sums"])))
     return total or {}
+
+
+def sum_blocks(blocks: Blocks, work: Callable[[Block], Sums]) -> Sums:
+    """``work`` of every block, added up."""
+    def every(own: Iterator[Block]) -> Sums | None:
+        total = None
+        for block in own:
+            total = add(total, work(block))
+        return total
+    return sum_tasks(blocks, every)
