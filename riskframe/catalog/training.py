@@ -143,16 +143,21 @@ def model_log_uniform_search(spark, sf):
     return tr.search(train, "LogisticRegression", tr.log_uniform(30), parallelism=8)
 
 
+def bases() -> list[tr.Learner]:
+    """The learners that are stacked."""
+    return [tr.lr(0.1), FOREST, BOOSTED, LEAFWISE]
+
+
 def model_stacking(spark, sf):
     train, test, _ = _parts(spark, sf)
-    return tr.stack(train, test, [tr.lr(0.1), FOREST, BOOSTED, LEAFWISE])
+    return tr.stack(train, test, bases())
 
 
 def _study(spark, sf):
     train, _, fitted = _parts(spark, sf)
-    grids = {"LogisticRegression": tr.grid("LogisticRegression"), "LinearSVM": tr.grid("LinearSVM")}
+    grids = {family: tr.grid(family) for family in tr.GRIDS}
     return run_study(train, fitted.names, learners(0.1), grids, fresh_path(spark, "study"),
-                     datetime(2024, 1, 1, tzinfo=timezone.utc), parallelism=8)
+                     datetime(2024, 1, 1, tzinfo=timezone.utc), parallelism=8, bases=bases())
 
 
 def model_study(spark, sf):

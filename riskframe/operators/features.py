@@ -303,17 +303,20 @@ def recursive_elimination(train: DataFrame, names: Sequence[str], keep: int, tar
                           vector: str = "features", weight: str | None = None) -> DataFrame:
     """Drop the weakest coefficient of a logistic regression until ``keep`` features are left.
 
-    Returns (feature, rank, kept): rank 1 for survivors, 2 for the last dropped, and so on.
-    ``train`` should be a stored table: every round reads it again.
+    Returns (feature, rank, kept): rank 1 for survivors, 2 for the last dropped, and so on. The rows are stored as blocks
+    once; a round starts from the coefficients of the last one, so it takes a few passes over them.
     """
-    from riskframe.operators.training import logistic_regression
+    from riskframe.operators import linear
 
     left, dropped = list(range(len(names))), []
+    blocks = linear.member_blocks(train, F.array(F.lit(0)), vector, target, weight)
+    start = None
     while len(left) > keep:
-        sliced = VectorSlicer(inputCol=vector, outputCol="_slice", indices=left).transform(train)
-        model = logistic_regression(sliced, features="_slice", target=target, weight=weight).fit(sliced)
-        weakest = min(range(len(left)), key=lambda i: (model.coefficients[i] ** 2, i))
+        fits = linear.fit_many(blocks, [linear.Spec(1.0)], balanced=False, slots=left, start=start)
+        own = fits.coefficients[0]
+        weakest = min(range(len(left)), key=lambda i: (own[i] ** 2, i))
         dropped.append(left.pop(weakest))
+        start = np.append(np.delete(own, weakest), fits.intercepts[0])[None, :]
     rows = [(names[i], 1, True) for i in left]
     rows += [(names[i], place + 2, False) for place, i in enumerate(reversed(dropped))]
     return train.sparkSession.createDataFrame(rows, "feature string, rank int, kept boolean")

@@ -28,18 +28,18 @@ _CELLS = 4_000_000
 class Spec:
     """One model: ``loss`` is "logistic" or "hinge", ``C`` the inverse strength of the penalty.
 
-    ``group`` picks a number of the row's ``member`` array. The model trains on rows where it is not ``value`` if
-    ``rule`` is "not", or from 1 to ``value`` if it is "upto". Other rows are held out.
+    ``group`` picks a number of the row's ``member`` array. The model trains on rows where it is not ``value`` (or none of
+    several) if ``rule`` is "not", one of several if it is "in", from 1 to ``value`` if it is "upto". Others are held out.
     """
 
     C: float = 1.0
     loss: str = "logistic"
     group: int = 0
     rule: str = "not"
-    value: int = -1
+    value: int | tuple[int, ...] = -1
 
     @property
-    def rows(self) -> tuple[int, str, int]:
+    def rows(self) -> tuple:
         return self.group, self.rule, self.value
 
 
@@ -54,10 +54,21 @@ class Fits:
     passes: int
 
 
-def member_blocks(df: DataFrame, member, vector: str = "features", target: str = "y") -> Blocks:
-    """Rows of class 0 or 1 as blocks with their ``member`` array (an expression)."""
+def member_blocks(df: DataFrame, member, vector: str = "features", target: str = "y", weight: str | None = None) -> Blocks:
+    """Rows of class 0 or 1 as blocks with their ``member`` array (an expression) and, if named, a weight."""
     rows = df.filter(F.col(target).isin(0, 1))
-    return make_blocks(rows, vector, {"y": (F.col(target).cast("int"), "<i1"), "member": (member, "<i2")})
+    columns = {"y": (F.col(target).cast("int"), "<i1"), "member": (member, "<i2")}
+    if weight:
+        columns["w"] = (F.col(weight).cast("double"), "<f8")
+    return make_blocks(rows, vector, columns)
+
+
+def total_weights(blocks: Blocks, specs: Sequence[Spec]) -> np.ndarray:
+    """The weight of every model's training rows, from one pass."""
+    def count(block: Block) -> dict:
+        masks, kind = _masks(block, specs)
+        return {"w": (masks * block.arrays["w"]).sum(axis=0)[kind]}
+    return sum_blocks(blocks, count).get("w", np.zeros(len(specs)))
 
 
 def _masks(block: Block, specs: Sequence[Spec]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,7 +78,10 @@ def _masks(block: Block, specs: Sequence[Spec]) -> tuple[np.ndarray, np.ndarray]
     masks = np.empty((block.n, len(kinds)), bool)
     for i, (group, rule, value) in enumerate(kinds):
         own = member[:, group]
-        masks[:, i] = own != value if rule == "not" else (own >= 1) & (own <= value)
+        if rule == "upto":
+            masks[:, i] = (own >= 1) & (own <= value)
+        else:
+            masks[:, i] = np.isin(own, value, invert=rule == "not")
     place = {k: i for i, k in enumerate(kinds)}
     return masks, np.array([place[s.rows] for s in specs])
 
@@ -121,6 +135,8 @@ def _pass(blocks: Blocks, specs: Sequence[Spec], weights: np.ndarray, slots: np.
             wide = np.column_stack([x[part], np.ones(len(x[part]))])
             loss, slope, curve = _losses(wide @ at.T, y[part], hinge)
             own = masks[part][:, kind] * weights[:, y[part].astype(np.int64)].T
+            if "w" in block.arrays:
+                own *= block.arrays["w"][part]
             out["loss"] += (own * loss).sum(axis=0)
             out["grad"] += (own * slope).T @ wide
             if second:
@@ -134,7 +150,8 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], balanced: bool = True, slots
              start: np.ndarray | None = None, tolerance: float = 1e-7, most: int = 100, memory: int = 8) -> Fits:
     """Fit every model; each minimises its weighted mean loss plus |w|^2 / (2 C n), the intercept unpenalised.
 
-    Balanced weights are those of the model's own training rows. ``slots`` cuts the vectors, ``start`` (models x slots +
+    Balanced weights are those of the model's own training rows; rows that bear a weight have that instead, and n is its
+    sum. ``slots`` cuts the vectors, ``start`` (models x slots +
     1) begins elsewhere than at zero. A model stops when no part of its gradient exceeds ``tolerance``; models of which
     one class is missing stay at zero. ``most`` bounds the passes.
     """
@@ -146,7 +163,9 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], balanced: bool = True, slots
     size = (full if chosen is None else len(chosen)) + 1
     n = rows.sum(axis=1).astype(float)
     weights = np.ones((len(specs), 2))
-    if balanced:
+    if "w" in blocks.kinds:
+        n = total_weights(blocks, specs)
+    elif balanced:
         weights = n[:, None] / (2.0 * np.maximum(rows, 1))
     penalty = 1.0 / (np.array([s.C for s in specs]) * np.maximum(n, 1))
     x = np.zeros((len(specs), size)) if start is None else np.array(start, float)

@@ -35,10 +35,10 @@ class Spec:
     seed: int = 42
     group: int = 0
     rule: str = "not"
-    value: int = -1
+    value: int | tuple[int, ...] = -1
 
     @property
-    def rows(self) -> tuple[int, str, int]:
+    def rows(self) -> tuple:
         return self.group, self.rule, self.value
 
 

@@ -177,26 +177,28 @@ def fit(learner: Learner, train: DataFrame, features: str = "features", target:
 
 
 def fit_ensembles(train: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
-                  fold: str | None = None, folds: int = 1, key: str | None = "id") -> list[trees.Ensemble]:
-    """Forests and boosted models on one binned matrix; with ``fold``, every learner without each fold in turn."""
+                  fold: str | None = None, folds: int = 1, key: str | None = "id",
+                  held: Sequence[tuple[int, ...]] | None = None) -> list[trees.Ensemble]:
+    """Forests and boosted models on one binned matrix; with ``fold``, every learner without each fold (or set) in turn."""
     edges = trees.bin_edges(train, features)
     member = F.array(F.col(fold).cast("int") if fold else F.lit(0))
     rows = trees.binned_blocks(train, edges, member, features, target, key)
-    held = range(folds) if fold else [-1]
+    held = held or (range(folds) if fold else [-1])
     return trees.fit_many(rows, [replace(m.trees, value=i) for m in learners for i in held], edges)
 
 
 def fit_networks(train: DataFrame, learners: Sequence[Learner], features: str = "features", target: str = "y",
-                 fold: str | None = None, folds: int = 1, key: str | None = "id") -> list[nets.Network]:
-    """Networks on the same blocks; with ``fold``, every learner without each fold in turn."""
+                 fold: str | None = None, folds: int = 1, key: str | None = "id",
+                 held: Sequence[tuple[int, ...]] | None = None) -> list[nets.Network]:
+    """Networks on the same blocks; with ``fold``, every learner without each fold (or set) in turn."""
     rows = nets.network_blocks(train, F.array(F.col(fold).cast("int") if fold else F.lit(0)), features, target, key)
-    held = range(folds) if fold else [-1]
+    held = held or (range(folds) if fold else [-1])
     return nets.fit_many(rows, [replace(m.net, value=i) for m in learners for i in held])
 
 
 def score(model: Model | trees.Ensemble | nets.Network, df: DataFrame, features: str = "features") -> DataFrame:
     """Add ``pred`` (0/1) and ``score``: the positive probability, or the margin if there is none."""
-    if isinstance(model, (trees.Ensemble, nets.Network)):
+    if isinstance(model, (trees.Ensemble, nets.Network, LinearModel)):
         return model.score_rows(df, features).select(*df.columns, "pred", "score")
     out = model.transform(df)
     column = "probability" if "probability" in out.columns else "rawPrediction"
@@ -400,6 +402,90 @@ def held_out(models: Mapping[str, Model], test: DataFrame, target: str = "y") ->
                            "score", digits=None)
 
 
+def scores_without(table: DataFrame, learners: Sequence[Learner], held: Sequence[tuple[int, ...]], key: str = "id",
+                   features: str = "features", target: str = "y", fold: str = "fold") -> DataFrame:
+    """(model, key, fold, outer, target, pred, score): every learner fitted without each set of folds, all together.
+
+    A row of a held-out fold is scored once per set; ``outer`` is the set's other fold, or the fold itself where the set
+    has one. Learners must be linear, trees or networks.
+    """
+    sets = [tuple(sorted(h)) for h in held]
+    out = None
+
+    def both(rows: DataFrame, hold: tuple[int, ...], models: list, names: list[str]) -> DataFrame:
+        parts = None
+        for i in hold:
+            outer = next((j for j in hold if j != i), i)
+            own = rows.filter(F.col(fold) == i).select(key, fold, target, features)
+            for name, model in zip(names, models):
+                one = score(model, own, features).select(F.lit(name).alias("model"), key, fold, F.lit(outer).alias("outer"), target, "pred", "score")
+                parts = one if parts is None else parts.unionByName(one)
+        return parts
+
+    lines = [m for m in learners if m.linear]
+    if lines:
+        rows = linear.member_blocks(table, F.array(F.col(fold).cast("int")), features, target)
+        fits = linear.fit_many(rows, [linear.Spec(m.linear[1], m.linear[0], 0, "not", h) for m in lines for h in sets])
+        for k, hold in enumerate(sets):
+            own = [LinearModel(fits.coefficients[j * len(sets) + k], fits.intercepts[j * len(sets) + k], m.linear[0])
+                   for j, m in enumerate(lines)]
+            part = both(table, hold, own, [m.name for m in lines])
+            out = part if out is None else out.unionByName(part)
+    grown = [m for m in learners if m.trees or m.net]
+    for own in ([m for m in grown if m.trees], [m for m in grown if m.net]):
+        if not own:
+            continue
+        fits = fit_ensembles if own[0].trees else fit_networks
+        models = fits(table, own, features, target, fold, key=key, held=sets)
+        for k, hold in enumerate(sets):
+            part = both(table, hold, [models[j * len(sets) + k] for j in range(len(own))], [m.name for m in own])
+            out = part if out is None else out.unionByName(part)
+    return store(out, "without")
+
+
+@dataclass(frozen=True)
+class LinearModel:
+    """One model of ``linear.fit_many`` that scores rows."""
+
+    coefficients: np.ndarray
+    intercept: float
+    loss: str = "logistic"
+
+    def score_rows(self, df: DataFrame, vector: str = "features") -> DataFrame:
+        products = F.zip_with(vector_to_array(vector), F.array(*[F.lit(float(c)) for c in self.coefficients]), lambda a, b: a * b)
+        margin = F.aggregate(products, F.lit(float(self.intercept)), lambda a, b: a + b)
+        shown = margin if self.loss == "hinge" else 1 / (1 + F.exp(-margin))
+        return df.withColumn("pred", (margin > 0).cast("int")).withColumn("score", shown)
+
+
+def _stacked_rows(table: DataFrame, scores: DataFrame, names: Sequence[str], on: Sequence[str], features: str,
+                  keep: Sequence[str]) -> DataFrame:
+    """(keep..., _stacked): base scores beside the original features."""
+    inner = {n: f"_s{i}" for i, n in enumerate(names)}
+    wide = scores.groupBy(*on).pivot("model", list(names)).agg(F.max("score")).withColumnsRenamed(inner)
+    joined = table.join(wide, [c for c in on if c in table.columns])
+    return VectorAssembler(inputCols=[*inner.values(), features], outputCol="_stacked").transform(joined).select(*keep, "_stacked")
+
+
+def nested_stack(table: DataFrame, learners: Sequence[Learner], key: str = "id", features: str = "features",
+                 target: str = "y", fold: str = "fold", folds: int = 5, name: str = "Stacking") -> DataFrame:
+    """Out-of-fold rows of the whole stack (F8): nothing that scores a fold has seen its labels.
+
+    For an outer fold, the final model's inputs on another fold come from base learners fitted without both, and on the
+    outer fold from those fitted without it. A pair of folds serves both of its outer folds.
+    """
+    pairs = [(i, j) for i in range(folds) for j in range(i + 1, folds)]
+    scores = scores_without(table, learners, [*pairs, *((i,) for i in range(folds))], key, features, target, fold)
+    rows = store(_stacked_rows(table.select(key, target, fold, features), scores.drop(fold, target), [m.name for m in learners],
+                               [key, "outer"], features, [key, target, fold, "outer"]), "stacked")
+    code = (F.col("outer") * folds + F.col(fold)).cast("int")
+    blocks = linear.member_blocks(rows, F.array(code), "_stacked", target)
+    fits = linear.fit_many(blocks, [linear.Spec(1.0, "logistic", 0, "in", tuple(i * folds + j for j in range(folds) if j != i))
+                                    for i in range(folds)])
+    by_fold = linear.Fits([linear.Spec(1.0, value=i) for i in range(folds)], fits.coefficients, fits.intercepts, fits.class_rows, fits.passes)
+    return store(linear.score_held_out(rows.filter(F.col(fold) == F.col("outer")), by_fold, [name] * folds, key, "_stacked", target, fold), "oof")
+
+
 def stack(table: DataFrame, test: DataFrame, learners: Sequence[Learner], key: str = "id",
           features: str = "features", target: str = "y", fold: str = "fold", folds: int = 5,
           parallelism: int = 4) -> DataFrame:

@@ -55,10 +55,10 @@ class Spec:
     seed: int = 42
     group: int = 0
     rule: str = "not"
-    value: int = -1
+    value: int | tuple[int, ...] = -1
 
     @property
-    def rows(self) -> tuple[int, str, int]:
+    def rows(self) -> tuple:
         return self.group, self.rule, self.value
 
 
@@ -512,14 +512,14 @@ def _in_groups(blocks: Blocks, specs: Sequence[Spec], works: Sequence[tuple], wi
         return pa.table({"work": pa.array([number], pa.int64()), "made": pa.array([pickle.dumps(made)], pa.binary())})
 
     spark = blocks.table.sparkSession
-    partitions = max(1, min(len(works), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    partitions = max(1, min(2 * len(works), 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))))  # small, so that few meet
     parts = (blocks.table.mapInArrow(deal, "work long, x binary, y binary, h binary").repartition(partitions, "work")
              .groupBy("work").applyInArrow(run, "work long, made binary"))
-    return {r["work"]: pickle.loads(bytes(r["made"])) for r in parts.toLocalIterator()}
+    return {r["work"]: pickle.loads(bytes(r["made"])) for r in parts.collect()}  # the trees: the model itself
 
 
 def fit_many(blocks: Blocks, specs: Sequence[Spec], edges: list[np.ndarray], whole_rows: int = WHOLE_ROWS,
-             batches: int = 8) -> list[Ensemble]:
+             batches: int = 20) -> list[Ensemble]:
     """Fit every model; models of which one class is missing have no trees.
 
     Models of up to ``whole_rows`` training rows grow in groups: a boosted one in its own, a forest in ``batches`` groups

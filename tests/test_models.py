@@ -271,5 +271,5 @@ def test_registered_study_has_every_learner(monkeypatch):
         monkeypatch.setattr(catalog.tr, name, lambda rows: rows)
     catalog._study(None, None)
     catalog.model_cross_validated(None, None)
-    every = {"LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting", "LinearSVM", "NeuralNetwork"}
+    every = {"LogisticRegression", "DecisionTree", "RandomForest", "GradientBoosting", "LeafwiseBoosting", "LinearSVM", "NeuralNetwork"}
     assert [{m.name for m in learners} for learners in seen] == [every, every]
