@@ -163,24 +163,47 @@ def test_the_caller_chooses_the_signed_rank_method(spark):
     assert sg.wilcoxon(tied).first()["p_method"] == "normal"
 
 
-def test_bootstrap_of_any_metric(spark):
-    """Replicates drawn row by row in Python from the same hashes."""
+def plain_weight(key, n, rep):
+    """Weight of a combination of n rows, with Python's own whole numbers."""
     import hashlib
 
-    rows = [(i, i % 3 == 0 and 1 or 0, (i * 7 % 10) / 10, int(i * 7 % 10 >= 5)) for i in range(80)]
-    df = spark.createDataFrame(rows, "id long, y int, score double, pred int").repartition(3)
-    got = {r["replicate"]: r for r in sg.bootstrap_replicates(df, "id", "y", "pred", 6, metrics=["accuracy"], score="score").collect()}
-    edges, term = [], math.exp(-1)
-    for k in range(13):
-        edges.append((edges[-1] if edges else 0) + term)
-        term /= k + 1
+    def uniform(unit):
+        mask = 2 ** 64 - 1
+        x = ((int(hashlib.md5(f"boot:{key}".encode()).hexdigest()[:8], 16) << 32) + rep * sg.FEW + unit + 0x9E3779B97F4A7C15) & mask
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & mask
+        return ((x ^ x >> 31) >> 11) / 2 ** 53
+    if n < sg.FEW:
+        return sum(next((k for k, e in enumerate(sg.POISSON_ENDS) if uniform(j) < e), 13) for j in range(n))
+    z = math.sqrt(-2 * math.log(1 - uniform(0))) * math.cos(2 * math.pi * uniform(1))
+    return max(0, math.floor(n + z * math.sqrt(n) + (z * z - 1) / 6 + 0.5))
+
+
+def test_bootstrap_of_any_metric(spark):
+    """Replicates drawn combination by combination in Python from the same hashes; ranges of scores join up."""
+    from collections import Counter
+
+    rows = [(i % 3 == 0 and 1 or 0, (i * 7 % 10) / 10, int(i * 7 % 10 >= 5)) for i in range(800)]
+    df = spark.createDataFrame(rows + [(1, None, 1)], "y int, score double, pred int").repartition(3)
+    got = {r["replicate"]: r for r in sg.bootstrap_replicates(df, "y", "pred", 6, metrics=["accuracy"], score="score").collect()}
+    cells, scores = Counter((y, p) for y, _, p in rows + [(1, None, 1)]), Counter((y, s) for y, s, _ in rows)
     for rep in range(1, 7):
-        w = [next((k for k, e in enumerate(edges) if int(hashlib.md5(f"boot:{i}/{rep}".encode()).hexdigest()[:8], 16) / 2 ** 32 < e), 13)
-             for i, *_ in rows]
-        assert got[rep]["accuracy"] == pytest.approx(sum(x for x, r in zip(w, rows) if r[1] == r[3]) / sum(w))
-        pos, neg = [(x, r[2]) for x, r in zip(w, rows) if r[1]], [(x, r[2]) for x, r in zip(w, rows) if not r[1]]
-        wins = sum(a * b * ((s > t) + 0.5 * (s == t)) for a, s in pos for b, t in neg)
-        assert got[rep]["roc_auc"] == pytest.approx(wins / sum(a for a, _ in pos) / sum(b for b, _ in neg))
+        w = {c: plain_weight(f"{c[0]}/{c[1]}", n, rep) for c, n in cells.items()}
+        assert got[rep]["accuracy"] == pytest.approx(sum(x for (y, p), x in w.items() if y == p) / sum(w.values()))
+        v = {c: plain_weight(f"{c[0]}/{round(c[1] * 1e9)}", n, rep) for c, n in scores.items()}
+        wins = sum(a * b * ((s > t) + 0.5 * (s == t)) for (y, s), a in v.items() if y for (x, t), b in v.items() if not x)
+        whole = [sum(a for (y, _), a in v.items() if y == side) for side in (1, 0)]
+        assert got[rep]["roc_auc"] == pytest.approx(wins / whole[0] / whole[1])
+
+
+def test_resampled_weights_follow_the_poisson_law():
+    base = np.arange(4_000)
+    for n in (1, 5, 63, 64, 1_000):
+        w = sg.resampled(base, np.full(len(base), n), 50).ravel()
+        assert w.mean() == pytest.approx(n, abs=5 * math.sqrt(n / len(w))) and w.var() == pytest.approx(n, rel=0.03)
+        tail = sum(math.exp(-n + k * math.log(n) - math.lgamma(k + 1)) for k in range(int(n - math.sqrt(n)) + 1))
+        assert (w <= int(n - math.sqrt(n))).mean() == pytest.approx(tail, abs=0.01)
+    assert not sg.resampled(base[:3], np.zeros(3, int), 5).any()
 
 
 def test_shape_without_a_file_list(spark, tmp_path):
