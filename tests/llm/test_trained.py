@@ -186,12 +186,43 @@ def test_gradients():
     assert ((trained.logits(codes) > 0) == labels).all()
 
 
+def every_example(text):
+    return secret_scan._examples(text, {(k, p) for k, p, _ in secret_scan._labelled(text)})
+
+
+def test_examples_cover_all_rows_and_values_are_apart(spark):
+    """One finding among many rows, some without an id; what calibrates stems from other values."""
+    plain = "we went there by the riverside-path and found nothing at all in version-1.2.3 of it"
+    rows = [(None if i % 3 else i, f"{plain} {i}word{i} x{i}morewords") for i in range(20_000)]
+    rows[17_123] = (None, "here password = Zq8xT2mKw4Lp9Rv7 ends")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = secret_scan.sample_examples(docs, 5, 50)
+    assert {p for k, p, _ in found if k == 0} == {secret_scan._place("Zq8xT2mKw4Lp9Rv7")}
+    words = sorted({secret_scan._place(w) for _, t in rows for k, p, (a, b) in secret_scan._labelled(t) if k == 1 for w in [t[a:b]]})
+    assert {p for k, p, _ in found if k == 1} == set(words[:50])
+    net = secret_scan.learn(docs, 5, 200)
+    assert net is not None and net.threshold < 1
+    many = [(k, p, bytes([k, p, w])) for k in (0, 1, 2) for p in range(40) for w in range(3)]
+    train, held = secret_scan.split_examples(many, 6_000)
+    assert {c[:2] for _, c in train}.isdisjoint({c[:2] for _, c in held}) and len(train) + len(held) == len(many)
+    assert {l for l, _ in train} == {l for l, _ in held} == {0, 1}
+
+
+def test_cover_answers_like_all_spans():
+    rng = np.random.default_rng(2)
+    spans = sorted((int(a), int(a + b), "hex") for a, b in zip(rng.integers(0, 200, 40), rng.integers(1, 30, 40)))
+    cover = secret_scan.Cover(spans)
+    for a, b in zip(rng.integers(0, 230, 300).tolist(), rng.integers(1, 12, 300).tolist()):
+        assert cover.free(a, a + b) == all(a + b <= s or e <= a for s, e, _ in spans)
+        assert cover.holds(a, a + b) == any(s <= a and a + b <= e for s, e, _ in spans)
+
+
 def test_network_on_held_out_findings(spark):
     """Learned on sf0.1; findings and words of sf0.01's documents that it hasn't seen."""
-    net = secret_scan.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 2000"), 4_000, 2_000)
+    net = secret_scan.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 2000"))
     seen = [e for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
-            for e in secret_scan._examples(r[0] or "")]
-    codes, labels = np.array([c for _, c in seen]), np.array([l for l, _ in seen])
+            for e in every_example(r[0] or "")]
+    codes, labels = np.array([c for _, _, c in seen]), np.array([k == 0 for k, _, _ in seen])
     p = net.probabilities(codes)
     assert (p[labels == 1] >= net.threshold).mean() >= 0.95 and (p[labels == 0] >= net.threshold).mean() <= 0.01
     found = secret_scan.find_spans(["the key 7f3a9Bc2Qx81LmZ04pTvR6uYw2Ks9 stays", "version-1.2.3 of 2024", "token=0123456789abcdef0"], net)
@@ -200,7 +231,7 @@ def test_network_on_held_out_findings(spark):
 
 def test_network_finds_planted_secrets(spark):
     """Without key words, without digits, of 12 to 15 characters; ordinary words of such a length stay."""
-    net = secret_scan.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 2000"), 4_000, 2_000)
+    net = secret_scan.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id >= 2000"))
     rng, letters = np.random.default_rng(4), secret_scan._LETTERS
     for kinds, least, most, share in ((62, 20, 40, 0.9), (62, 12, 16, 0.6), (52, 16, 32, 0.8), (52, 12, 16, 0.5)):
         planted = ["".join(letters[i] for i in rng.integers(0, kinds, rng.integers(least, most))) for _ in range(200)]
@@ -218,8 +249,7 @@ def test_runs_partly_under_a_pattern():
     run = "sk-live-0123456789abcdef01-Zq8xT2mKw4"
     text = f"it is {run} here, token=0123456789abcdef0"
     assert secret_scan.candidates(text, secret_scan.pattern_spans(text)) == [(6, 6 + len(run))]
-    assert not any(label == 0 and run[:8].encode() in codes.tobytes()[char_cnn.BEFORE:char_cnn.BEFORE + 8]
-                   for label, codes in secret_scan._examples(text) if bytes(codes[:1]) == b"\x81")
+    assert [text[a:b] for kind, _, (a, b) in secret_scan._labelled(text) if kind == 2] == []
     size, filters = 4, 2
     sure = char_cnn.CharCnn(np.zeros((130, size)), np.zeros((5 * size, filters)), np.zeros(filters), np.zeros(2 * filters), 3.0)
     found = secret_scan.find_spans([text], sure)[0]
