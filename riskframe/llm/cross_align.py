@@ -409,7 +409,7 @@ def align_tokenizers(docs: DataFrame, byte_level: str, pieces: str, id_col: str
 
     tops = model.select("hash", "vector").mapInArrow(best, "a long, top long").groupBy("a").agg(F.max("top").alias("top"))
     best_of_a = np.zeros(len(tokenizers(byte_level, pieces).a_bytes), np.int64)
-    for a, top in tops.toLocalIterator():
+    for a, top in tops.collect():
         best_of_a[a] = top
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskframe.llm.components import connected_components, forest
 from riskframe.llm.shingles import mix, shingle_sets
@@ -37,8 +37,15 @@ _KEYS = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int3
                    ("pure", pa.bool_())])
 _SET = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
 _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-#: Sets in a block, and sets of a key that still gives its pairs.
-_BLOCK, _FEW = 1_024, 16
+#: Sets and shingles in a block, and sets of a key that still gives its pairs.
+_BLOCK, _BLOCK_SHINGLES, _FEW = 1_024, 2_000_000, 16
+#: Rows of two numbers that may be broadcast, once they are counted.
+_SMALL = 2_000_000
+
+
+def _blocks(sets: Column, shingles: Column) -> Column:
+    """Into how many blocks so many sets with so many shingles are cut."""
+    return F.greatest(F.ceil(sets / F.lit(float(_BLOCK))), F.ceil(shingles / F.lit(float(_BLOCK_SHINGLES)))).cast("int")
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -170,7 +177,7 @@ def _index(docs: DataFrame, sketch: np.ndarray, words: int, num: int, den: int,
 
 
 def _likely_pairs(led: DataFrame, num: int, den: int) -> DataFrame:
-    """(head, rep) pairs of the keys of few sets that share as many keys as two similar sets of their sizes must.
+    """(head, rep, size of the rep's set) of pairs of the keys of few sets that share as many keys as two similar sets of their sizes must.
 
     Of ``o`` common shingles (in the order of the prefixes), the k-th lies in the prefix of a set of n if
     k <= o - ceil(num * n / den) + 1. Where one of the two is pure, every one in both prefixes is a shared key.
@@ -186,7 +193,7 @@ def _likely_pairs(led: DataFrame, num: int, den: int) -> DataFrame:
                         F.col("p.y.size").alias("ny"), F.expr("p.x.pure or p.y.pure").alias("pure")).agg(F.count("*").alias("shared")))
     overlap = up(f"{num}L * (nx + ny)", num + den)
     least = f"{overlap} - {up(f'{num}L * greatest(nx, ny)', den)} + 1"
-    return counted.filter(f"not pure or shared >= {least}").select("head", "rep").distinct()
+    return counted.filter(f"not pure or shared >= {least}").select("head", "rep", F.col("ny").alias("size")).distinct()
 
 
 def _sized(x: str, y: str, num: int, den: int) -> str:
@@ -267,9 +274,8 @@ def _links_in_block(table: pa.Table, num: int, den: int) -> pa.Table:
 
 
 def _to_heads(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): those of the pairs (head, rep) that are similar."""
-    blocks = (F.floor((F.col("n") - 1) / _BLOCK) + 1).cast("int")
-    heads = pairs.groupBy("head").agg(F.count("*").alias("n")).withColumn("blocks", blocks)
+    """(a, b): those of the pairs (head, rep) that are similar; ``size`` is that of the rep's set."""
+    heads = pairs.groupBy("head").agg(F.count("*").alias("n"), F.sum("size").alias("z")).withColumn("blocks", _blocks(F.col("n"), F.col("z")))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     members = (pairs.join(heads, "head").join(sets, F.col("rep") == F.col("doc_id"))
                .select("head", block.alias("block"), "rep", F.lit(True).alias("member"), "shingles"))
@@ -287,14 +293,14 @@ def _within_heads(met: DataFrame, tied: DataFrame, sets: DataFrame, num: int, de
     """
     at_head = tied.select(F.col("node").alias("head"), F.col("component").alias("head_own"))
     placed = (met.join(tied, F.col("rep") == F.col("node"), "left").drop("node").join(at_head, "head", "left")
-              .select("head", "rep", F.coalesce("component", "rep").alias("own"), F.coalesce("head_own", "head").alias("head_own"))
+              .select("head", "rep", "size", F.coalesce("component", "rep").alias("own"), F.coalesce("head_own", "head").alias("head_own"))
               .withColumn("rest", F.col("own") != F.col("head_own")))
     rest, main = F.count(F.when(F.col("rest"), 1)), F.count(F.when(~F.col("rest"), 1))
+    rest_z, main_z = (F.coalesce(F.sum(F.when(c, F.col("size"))), F.lit(0)) for c in (F.col("rest"), ~F.col("rest")))
     # Apart are sets of the rest, if there are several components of them, and the rest from the head's own.
-    sides = (placed.groupBy("head").agg(rest.alias("n_rest"), main.alias("n_main"), F.min("own").alias("low"), F.max("own").alias("high"))
+    sides = (placed.groupBy("head").agg(rest.alias("n_rest"), main.alias("n_main"), rest_z.alias("z_rest"), main_z.alias("z_main"), F.min("own").alias("low"), F.max("own").alias("high"))
              .filter("n_rest > 0 and low < high")
-             .select("head", F.expr(f"cast((n_rest - 1) div {_BLOCK} + 1 as int)").alias("rests"),
-                     F.expr(f"cast((n_main + {_BLOCK - 1}) div {_BLOCK} as int)").alias("mains")))
+             .select("head", _blocks(F.col("n_rest"), F.col("z_rest")).alias("rests"), _blocks(F.col("n_main"), F.col("z_main")).alias("mains")))
     rows = store(placed.join(sides, "head")
                  .withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int"))
                  .select("head", "rep", "own", "rest", "block", "rests", "mains"), "apart")
@@ -341,15 +347,17 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     likely = store(_likely_pairs(led, num, den), "pairs")
     met = store(led.filter((F.col("n") > _FEW) & (F.col("rep") != F.col("head")))
                 .select("head", "rep", "size", "head_size").distinct(), "met")
-    wanted = store(likely.unionByName(met.select("head", "rep")).select(F.explode(F.array("head", "rep")).alias("wanted"))
+    wanted = store(likely.select("head", "rep").unionByName(met.select("head", "rep")).select(F.explode(F.array("head", "rep")).alias("wanted"))
                    .distinct(), "wanted")
     sets = _sets(rows, wanted, words)
-    first = met.filter(_sized("size", "head_size", num, den)).select("head", "rep").union(likely).distinct()
+    first = met.filter(_sized("size", "head_size", num, den)).select("head", "rep", "size").unionByName(likely).distinct()
     links = store(_to_heads(first, sets, num, den), "links").union(same_id)
     tied = store(connected_components(links), "tied")
-    further = store(_within_heads(met.select("head", "rep").distinct(), tied, sets, num, den), "links")
+    further = store(_within_heads(met.select("head", "rep", "size").distinct(), tied, sets, num, den), "links")
     links = further.union(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    whole = connected_components(links)
+    whole = store(connected_components(links), "components")
+    if whole.count() <= _SMALL:
+        whole = F.broadcast(whole)
 
     placed = (members.select("doc_id", F.col("n").alias("n_shingles"), "rep")
               .join(whole, F.col("rep") == F.col("node"), "left")

@@ -273,6 +273,27 @@ def words(text):
     return [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
 
 
+def five_words(text):
+    own = words(text)
+    return {tuple(own[i:i + 5]) for i in range(len(own) - 4)} if len(own) >= 5 else ({tuple(own)} if own else set())
+
+
+def plain_groups(keys, by_text):
+    """The smallest key that links reach, for every (without id, id, text)."""
+    least = {k: k for k in keys}
+    links = [(k, l) for n, k in enumerate(keys) for l in keys[n + 1:]
+             if 10 * len(by_text[k[2]] & by_text[l[2]]) >= 8 * len(by_text[k[2]] | by_text[l[2]])]
+    changed = True
+    while changed:
+        changed = False
+        for k, l in links:
+            low = min(least[k], least[l])
+            if (least[k], least[l]) != (low, low):
+                least[k] = least[l] = low
+                changed = True
+    return least
+
+
 def test_pipeline_stage_by_stage(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     more = docs.limit(2).union(docs.limit(1).withColumn("doc_id", F.lit(None).cast("long")))
@@ -294,20 +315,12 @@ def test_pipeline_stage_by_stage(spark, sf):
     single = stages["near_duplicates"](spark, good, sf).cache()
     after = single.collect()
     assert single.columns == docs.columns and len(after) < len(before)
-    sets = {}
-    for r in before:
-        own = words(r["text"])
-        one = {tuple(own[i:i + 5]) for i in range(len(own) - 4)} if len(own) >= 5 else ({tuple(own)} if own else set())
-        sets[r["doc_id"]] = one
-    ids = sorted(i for i in sets if i is not None)
-    least = {i: i for i in ids}
-    for _ in range(3):
-        for n, i in enumerate(ids):
-            for j in ids[n + 1:]:
-                if sets[i] and sets[j] and 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
-                    least[i] = least[j] = min(least[i], least[j])
-    assert sorted(r["doc_id"] for r in after if r["doc_id"] is not None) == [i for i in ids if least[i] == i]
-    assert sum(r["doc_id"] is None for r in after) == sum(r["doc_id"] is None for r in before)
+    by_text = {r["text"]: five_words(r["text"]) for r in before}
+    keys = sorted({(r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in before if by_text[r["text"]]})
+    least = plain_groups(keys, by_text)
+    texts = [r for r in after if by_text[r["text"]]]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in texts) == sorted(k for k in keys if least[k] == k)
+    assert len(after) - len(texts) == sum(not by_text[r["text"]] for r in before)
 
     blanked = {r["doc_id"]: r for r in stages["secrets"](spark, single, sf).collect()}
     assert len(blanked) == len(after)
@@ -323,6 +336,21 @@ def test_pipeline_stage_by_stage(spark, sf):
     assert {r["doc_id"] for r in after if r["doc_id"] is not None} == set(packed["doc_id"].dropna().astype(int))
 
 
+def test_near_duplicates_by_row(spark, sf):
+    """Clashing ids, rows without an id, repeated rows, nulls and a column named like an inner one."""
+    long = [f"word{i} of text {i} goes on" for i in range(40)]
+    a, b, c = " ".join(long[:20]), " ".join(long[20:]), " ".join(f"other{i} thing{i}" for i in range(60))
+    rows = [(1, a, 1), (1, b, 2), (1, c, 3), (2, a + " more", 4), (None, b, 5), (None, "a text that nothing resembles at all here", 6),
+            (3, c, 7), (4, None, 8), (4, None, 9), (5, "", 10), (6, "own text of this very row alone", 11),
+            (6, "own text of this very row alone", 12), (None, "a text that nothing resembles at all here", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, docs, sf)
+    assert kept.columns == ["doc_id", "text", "_row"]
+    got = kept.collect()
+    assert {r["_row"] for r in got} >= {1, 2, 3, 8, 9, 10} and len(got) == 8
+    assert sorted((r["doc_id"] or 0, r["text"][:5]) for r in got if r["_row"] in (6, 11, 12, 13)) == [(0, "a tex"), (6, "own t")]
+
+
 def test_pipeline_runs(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0
     none = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
