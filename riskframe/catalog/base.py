@@ -34,12 +34,16 @@ scored as (select *, cast(case when score_a>=0.5::DOUBLE then 1 else 0 end as in
          cast(case when score_b>=0.5::DOUBLE then 1 else 0 end as int) as pred_b from sc0)"""
 
 SAMPLED = SCORED + f""",
+classes as (select y, count(*) as n_class, floor(round(0.2::DOUBLE*count(*),6)) as whole,
+         round(0.2::DOUBLE*count(*),6) - floor(round(0.2::DOUBLE*count(*),6)) as rest from scored group by y),
+tests as (select y as y_class, whole + case when row_number() over (order by rest desc, y)
+         <= (select ceil(round(0.2::DOUBLE*sum(n_class),6)) - sum(whole) from classes) then 1 else 0 end as n_test from classes),
 sampled as (select *,
          cast(floor((row_number() over (partition by y order by {hash_sql('fold')}, id)-1)*5.0::DOUBLE
               / count(*) over (partition by y)) as int) as fold,
          case when row_number() over (partition by y order by {hash_sql('split')}, id)
-              <= round(0.2::DOUBLE*count(*) over (partition by y)) then 'test' else 'train' end as split
-       from scored)"""
+              <= n_test then 'test' else 'train' end as split
+       from scored join tests on y=y_class)"""
 
 
 def with_tables(ctes: str, sql: str) -> str:

@@ -473,6 +473,62 @@ def attach(top: Tree, leaf: int, below: Tree) -> Tree:
     return Tree(*joined)
 
 
+# --- contributions ----------------------------------------------------------------------------------
+
+def leaf_paths(tree: Tree) -> Iterator[tuple[int, dict[int, tuple[float, int, int]]]]:
+    """(leaf, what its path asks of each slot: the share of rows that follow it by chance, lowest and highest bin)."""
+    waiting: list[tuple[int, dict]] = [(0, {})]
+    while waiting:
+        node, path = waiting.pop()
+        if tree.feature[node] < 0:
+            yield node, path
+            continue
+        slot, cut, left = int(tree.feature[node]), int(tree.cut[node]), int(tree.left[node])
+        for child, low, high in ((left, 0, cut), (left + 1, cut + 1, 2 ** 15)):
+            share, least, most = path.get(slot, (1.0, 0, 2 ** 15))
+            share *= float(tree.cover[child]) / float(tree.cover[node])
+            waiting.append((child, {**path, slot: (share, max(least, low), min(most, high))}))
+
+
+def contributions(tree: Tree, x: np.ndarray) -> tuple[float, np.ndarray]:
+    """(mean of the leaves by cover, rows x slots): exact Shapley values of the path-dependent game of one tree.
+
+    A slot that is left out follows both branches by their cover. Only the slots of a leaf's path matter for it; the
+    coalitions of the others are summed by size as the coefficients of a polynomial, for all rows at once.
+    """
+    out, base = np.zeros(x.shape), 0.0
+    for leaf, path in leaf_paths(tree):
+        value = float(tree.value[leaf])
+        slots, asked = list(path), list(path.values())
+        many = len(slots)
+        base += value * math.prod(a[0] for a in asked)
+        if not many:
+            continue
+        follows = np.stack([(x[:, s] >= low) & (x[:, s] <= high) for s, (_, low, high) in zip(slots, asked)], axis=1).astype(float)
+        share = np.array([a[0] for a in asked])
+        weight = np.array([math.factorial(k) * math.factorial(many - k - 1) / math.factorial(many) for k in range(many)])
+        for j, slot in enumerate(slots):
+            sums = np.zeros((len(x), many))  # coefficient k: coalitions of k of the other slots
+            sums[:, 0] = 1.0
+            for i in range(many):
+                if i != j:
+                    sums[:, 1:] = share[i] * sums[:, 1:] + follows[:, i:i + 1] * sums[:, :-1]
+                    sums[:, 0] *= share[i]
+            out[:, slot] += value * (follows[:, j] - share[j]) * (sums @ weight)
+    return base, out
+
+
+def ensemble_contributions(model: Ensemble, x: np.ndarray) -> tuple[float, np.ndarray]:
+    """(base, rows x slots) of binned rows; base and a row's values add up to the model's margin."""
+    base, total = 0.0, np.zeros(x.shape)
+    for tree in model.trees:
+        b, c = contributions(tree, x)
+        base += b
+        total += c
+    many = max(1, len(model.trees)) if model.spec.kind == "forest" else 1
+    return base / many, total / many
+
+
 # --- the jobs ---------------------------------------------------------------------------------------
 
 def _class_weights(rows: np.ndarray) -> tuple[float, float]:

@@ -185,3 +185,47 @@ def test_bins_keep_few_values_apart(spark):
     edges = trees.bin_edges(df, bins=16)
     assert edges[0].tolist() == [0.5, 1.5] and len(edges[1]) == 15
     assert trees.binned(np.array([[-5.0, 1e9], [1.0, 0.0]]), edges).tolist() == [[0, 15], [1, 0]]
+
+
+def expectation(tree, row, known, node=0):
+    """Value of the tree where only the slots in ``known`` are given."""
+    if tree.feature[node] < 0:
+        return tree.value[node]
+    slot, left = tree.feature[node], tree.left[node]
+    if slot in known:
+        return expectation(tree, row, known, left + (row[slot] > tree.cut[node]))
+    return sum(expectation(tree, row, known, c) * tree.cover[c] for c in (left, left + 1)) / tree.cover[node]
+
+
+def test_contributions_equal_enumeration_over_subsets():
+    from itertools import combinations
+    from math import factorial
+
+    x, y = small_data(500, 5, 8, seed=4)
+    grown = [trees.boost_whole(x, y, np.arange(500), trees.Spec("boosted", 2, 4, rate=0.3), 8, 1.0)[1],
+             trees.grow_pure(x, y, np.ones(500), trees.Spec(depth=4), 0, 8)]
+    for tree in grown:
+        base, phi = trees.contributions(tree, x[:12])
+        assert base == pytest.approx(expectation(tree, x[0], ()))
+        for row in range(12):
+            for j in range(5):
+                others = [i for i in range(5) if i != j]
+                plain = sum(factorial(k) * factorial(4 - k) / factorial(5) * (expectation(tree, x[row], {*s, j}) - expectation(tree, x[row], s))
+                            for k in range(5) for s in combinations(others, k))
+                assert phi[row, j] == pytest.approx(plain, abs=1e-6)
+
+
+def test_contributions_add_up_to_the_margin(train):
+    from riskframe.operators import explanation as ex
+
+    names = [f"x{i}" for i in range(20)]
+    for learner in (tr.tree(3), tr.forest(3, 6), tr.boosted(5, depth=4)):
+        model = tr.fit(learner, train)
+        if not isinstance(model, trees.Ensemble):
+            continue
+        rows = ex.tree_contributions(train, model, names)
+        assert rows.count() == 20 * train.count()
+        sums = rows.groupBy("id").agg((F.sum("phi") + F.first("base")).alias("margin"))
+        shown = F.col("margin") if learner.trees.kind == "forest" else 1 / (1 + F.exp(-F.col("margin")))
+        gap = tr.score(model, train).join(sums, "id").agg(F.max(F.abs(F.col("score") - shown))).first()[0]
+        assert gap < 1e-5
