@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riskframe.llm.components import connected_components, forest
 from riskframe.llm.shingles import mix, shingle_sets
 from riskframe.llm.tokens import forget, slices, text_array
-from riskframe.llm.workers import batch, ready
+from riskframe.llm.workers import batch, ready, release
 from riskframe.plans.storage import store
 
 _SEGMENTS = 64
@@ -56,6 +56,7 @@ def _slices(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[lis
     forget()
     for rows in slices(batches, 1, _SLICE):
         yield rows.column(0).to_pylist(), shingle_sets(text_array(rows.column(1)), words)
+    release()
 
 
 def _survey(docs: DataFrame, words: int, sketch_bits: int) -> DataFrame:

@@ -116,7 +116,8 @@ def _rows(windows: list[tuple[int, list[Piece]]], part: int, still_open: bool, w
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2_048, open_windows: int = 64,
-                   shortest: int = 16, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                   shortest: int = 16, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text",
+                   slice_bytes: int = 16_000_000) -> DataFrame:
     """Pieces of documents in windows: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids).
 
     ``ids`` (little-endian unsigned 32-bit) is given only ``with_ids``. Null texts are empty and have the end id alone;
@@ -129,7 +130,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part = library_encoder(tokenizer), task_number()
         packer, count = Packer(window, open_windows, shortest), 0
-        for rows in slices(batches, 1):
+        for rows in slices(batches, 1, slice_bytes):
             ids, offsets = encode(text_array(rows.column(1)), end_id)
             closed = []
             for doc, a, b in zip(rows.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
