@@ -43,7 +43,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     keyed = docs.select(_row_key(docs).alias("doc_id"), docs["doc_id"].cast("long").alias("shown_id"), docs["text"])
     found = ngram_join.ngram_jaccard(keyed, words=5, num=8, den=10).filter("n_shingles > 0")
     found = store(found.groupBy("doc_id", "component_id").agg(F.count("*").alias("times")), "near-duplicates")
-    ids = keyed.select(F.col("doc_id").alias("key"), "shown_id").distinct()
+    ids = store(keyed.select(F.col("doc_id").alias("key"), "shown_id").distinct(), "ids")
     # Only groups of several rows have anything to lose.
     several = found.groupBy("component_id").agg(F.sum("times").alias("n")).filter("n > 1").select("component_id")
     grouped = store(found.join(several, "component_id").join(ids, F.col("doc_id") == F.col("key"))
@@ -74,7 +74,7 @@ def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Null and empty texts have their end id alone; rows without an id and repeated rows are packed like any other.
     """
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1).drop("ids")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, slice_bytes=4_000_000).drop("ids")
 
 
 STAGES = [
