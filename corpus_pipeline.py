@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskframe.llm import ngram_join, packing, quality, secret_scan
+from riskframe.llm.workers import short_batches
 from riskframe.plans.storage import fresh_path, store
 from riskframe.sources.tables import table
 
@@ -91,8 +92,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``; every stage's rows are written and read again."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = fresh_path(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    with short_batches(spark):
+        for name, stage in STAGES:
+            path = fresh_path(spark, f"stage-{name}")
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
     return docs
