@@ -143,6 +143,12 @@ def model_log_uniform_search(spark, sf):
     return tr.search(train, "LogisticRegression", tr.log_uniform(30), parallelism=8)
 
 
+def model_sequential_search(spark, sf):
+    """30 strengths, each round proposed from what the rounds before have shown."""
+    train, _, _ = _parts(spark, sf)
+    return tr.sequential_search(train)
+
+
 def bases() -> list[tr.Learner]:
     """The learners that are stacked."""
     return [tr.lr(0.1), FOREST, BOOSTED, LEAFWISE]
@@ -212,7 +218,7 @@ QUERIES = {f.__name__: f for f in (
     model_class_weights, cv_fold_metrics, model_comparison, model_comparison_long, cv_seed_sensitivity,
     cv_seed_refits, score_risk_bands, score_profile_batch, model_logistic, model_tree, model_forest, model_boosted, model_leafwise, model_svm,
     model_network, model_study, model_study_log, sig_trained_models, model_capped_cv, score_profile_linear,
-    model_cross_validated, model_grid_search, model_radial_search, model_log_uniform_search, model_stacking,
+    model_cross_validated, model_grid_search, model_radial_search, model_log_uniform_search, model_sequential_search, model_stacking,
     sample_learning_curve, sample_progressive_fit, sample_strategies)}
 
 _R = rates()

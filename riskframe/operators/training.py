@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskframe.functions.bands import risk_band
 from riskframe.functions.rates import CELLS, confusion_counts, with_metrics
-from riskframe.operators import linear, network as nets, sampling, trees
+from riskframe.operators import linear, network as nets, sampling, surrogate, trees
 from riskframe.operators.evaluation import grouped_metrics
 from riskframe.plans.blocks import Blocks
 from riskframe.plans.storage import store
@@ -358,6 +358,54 @@ def search(table: DataFrame, family: str, candidates: Sequence[dict], folds: int
             .select("family", "params", "f1_macro_mean", "f1_macro_std", "place"))
 
 
+def sequential_search(table: DataFrame, family: str = "LogisticRegression", count: int = 30, low: float = 0.001,
+                      high: float = 100.0, first: int = 6, batch: int = 4, folds: int = 5, features: str = "features",
+                      target: str = "y", fold: str = "fold") -> DataFrame:
+    """Cross-validated F1 of ``count`` strengths of a linear learner, each round proposed from the ones before.
+
+    The axis is the logarithm of the strength. The rows are stored as blocks once; a round's strengths and folds are fitted
+    together, each from the coefficients of the nearest strength measured, and only counts reach the driver.
+    Returns (family, params, round, f1_macro_mean, f1_macro_std, place), best first; ``refit_best`` takes it. Rows of a
+    class other than 0 or 1 play no part; a table without rows of both classes gives every strength the same value.
+    """
+    maker = MAKERS[family]
+    if not maker(1.0).linear:
+        raise ValueError("the sequential search is over the strength of a linear learner")
+    rows = linear.member_blocks(table, F.array(F.col(fold).cast("int")), features, target)
+    names: dict[float, str] = {}
+    cells: list[tuple] = []
+    known: dict[float, np.ndarray] = {}
+
+    def measure(points: list[float]) -> list[float]:
+        made = {p: maker(low * (high / low) ** p).linear for p in points}
+        specs = [linear.Spec(C, loss, 0, "not", i) for loss, C in made.values() for i in range(folds)]
+        start = None
+        if known:
+            start = np.concatenate([known[min(known, key=lambda k: (abs(k - p), k))] for p in points])
+        fits = linear.fit_many(rows, specs, start=start)
+        held = linear.confusion_of(rows, fits)[:, 1]
+        whole = np.column_stack([fits.coefficients, fits.intercepts])
+        for j, p in enumerate(points):
+            own = slice(j * folds, (j + 1) * folds)
+            known[p] = whole[own]
+            names[p] = json.dumps({"C": made[p][1]}, sort_keys=True)
+            cells.extend((names[p], i, *map(int, c)) for i, c in enumerate(held[own]))
+        wanted = [names[p] for p in points]
+        got = per_strength([c for c in cells if c[0] in set(wanted)])
+        value = {r["params"]: r["f1_macro_mean"] for r in got.select("params", "f1_macro_mean").collect()}
+        return [value[name] for name in wanted]
+
+    def per_strength(counts: list[tuple]) -> DataFrame:
+        per_fold = with_metrics(_cells(table.sparkSession, counts, "params string, fold int"), ["f1_macro"])
+        return summarise_folds(per_fold, ["params"], ["f1_macro"], None)
+
+    found = surrogate.maximise(measure, count, first, batch)
+    rounds = table.sparkSession.createDataFrame([(names[p], n) for p, _, n in found], "params string, round int")
+    place = F.row_number().over(Window.orderBy(F.col("f1_macro_mean").desc(), "params"))  # a row per strength
+    return (per_strength(cells).join(rounds, "params").withColumn("family", F.lit(family)).withColumn("place", place)
+            .select("family", "params", "round", "f1_macro_mean", "f1_macro_std", "place"))
+
+
 def radial_width(table: DataFrame, kind: str | float, vector: str = "features") -> float:
     """Kernel width: a number, "auto" (1 / slots) or "scale" (1 / (slots * variance of all cells))."""
     if kind not in ("auto", "scale"):
@@ -451,6 +499,13 @@ class LinearModel:
     intercept: float
     loss: str = "logistic"
 
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        margin = x @ self.coefficients + self.intercept
+        return margin if self.loss == "hinge" else 1.0 / (1.0 + np.exp(-margin))
+
+    def binned(self, x: np.ndarray) -> np.ndarray:  # as tree ensembles are scored
+        return x
+
     def score_rows(self, df: DataFrame, vector: str = "features") -> DataFrame:
         products = F.zip_with(vector_to_array(vector), F.array(*[F.lit(float(c)) for c in self.coefficients]), lambda a, b: a * b)
         margin = F.aggregate(products, F.lit(float(self.intercept)), lambda a, b: a + b)
