@@ -37,13 +37,13 @@ def sig_wilcoxon(spark, sf):
 
 
 def sig_bootstrap(spark, sf):
-    return sg.confidence_interval(sg.bootstrap_replicates(scored_orders(spark, sf), "y", "pred_a", REPLICATES))
+    return sg.confidence_interval(sg.bootstrap_replicates(scored_orders(spark, sf), "y", "pred_a", REPLICATES, key="id"))
 
 
 def sig_bootstrap_auc(spark, sf):
     """Interval of the ranking metric, tie-exact in every replicate."""
-    df = stored_survey(spark, sf, "y", "pred_a", "score_a")
-    drawn = sg.bootstrap_replicates(df, "y", "pred_a", REPLICATES, metrics=["accuracy"], score="score_a")
+    df = stored_survey(spark, sf, "id", "y", "pred_a", "score_a")
+    drawn = sg.bootstrap_replicates(df, "y", "pred_a", REPLICATES, metrics=["accuracy"], score="score_a", key="id")
     return sg.confidence_interval(drawn, "roc_auc")
 
 
@@ -65,29 +65,15 @@ pairs as (select name_a, o.model as name_b, o.fold, b.f1_macro as a, o.f1_macro
   from top join fm b on b.model=name_a join fm o on o.fold=b.fold and o.model<>name_a)"""
 
 
-_WORD = "18446744073709551616::UHUGEINT"
+def _poisson(u: str) -> str:
+    import math
 
-
-def _times(x: str, by: int, factor: int) -> str:
-    """A step of the finalizer of splitmix64: x xor its high bits, times a constant, modulo 2^64."""
-    return f"(xor({x}, {x} >> {by})::UHUGEINT * {factor}::UHUGEINT % {_WORD})::UBIGINT"
-
-
-def _draws(table: str, keys: str, more: str = "") -> str:
-    """Named tables: ``units`` with a uniform per (combination, replicate, row), ``drawn`` with the weights ``w``."""
-    arms = " ".join(f"when u < {end!r}::DOUBLE then {k}" for k, end in enumerate(sg.POISSON_ENDS))
-    start = f"((base::UHUGEINT * 4294967296 + i::UHUGEINT * {sg.FEW} + j::UHUGEINT + 11400714819323198485::UHUGEINT) % {_WORD})::UBIGINT"
-    return f"""
-        runs as (select {keys}, n, i, j, {start} as x0 from (select c.*, i, unnest(range(0, case when n < {sg.FEW} then n else 2 end)) as j
-          from {table} c, range(1,{REPLICATES + 1}) r(i))),
-        once as (select {keys}, n, i, j, {_times('x0', 30, 0xBF58476D1CE4E5B9)} as x1 from runs),
-        mixes as (select {keys}, n, i, j, {_times('x1', 27, 0x94D049BB133111EB)} as x2 from once),
-        units as (select {keys}, n, i, j, (xor(x2, x2 >> 31) >> 11)::DOUBLE / 9007199254740992 as u from mixes),
-        few as (select {keys}, i, sum(case {arms} else 13 end) as w from units where n < {sg.FEW} group by {keys}, i),
-        normals as (select {keys}, n, i, sqrt(-2.0::DOUBLE*ln(1.0::DOUBLE-max(u) filter (where j=0)))*cos(2.0::DOUBLE*pi()*max(u) filter (where j=1)) as z
-          from units where n >= {sg.FEW} group by {keys}, n, i),
-        drawn as (select {keys}, i, w from few union all
-          select {keys}, i, greatest(0, floor(n + z*sqrt(n::DOUBLE) + (z*z-1)/6.0::DOUBLE + 0.5::DOUBLE)) from normals)"""
+    below, term, arms = 0.0, math.exp(-1.0), []
+    for k in range(13):
+        below += term
+        arms.append(f"when {u}<{below!r}::DOUBLE then {k}")
+        term /= k + 1
+    return "case " + " ".join(arms) + " else 13 end"
 
 
 def _weighted(y: int, p: int) -> str:
@@ -122,16 +108,15 @@ ORACLE = {
           'exact' as p_method
         from ws join signs on signs.name_a=ws.name_a and signs.name_b=ws.name_b group by ws.name_a, ws.name_b, w, n"""),
     "sig_bootstrap": chain(SCORED, f"""
-        cells as (select y, pred_a, count(*) as n, ('0x'||substr(md5(concat('boot:',y,'/',pred_a)),1,8))::BIGINT as base from scored group by y, pred_a),
-        {_draws('cells', 'y, pred_a')},
+        drawn as (select i, y, pred_a, {_poisson("('0x'||substr(md5(concat('boot:',id,'/',i)),1,8))::BIGINT/4294967296.0::DOUBLE")} as w
+          from scored, range(1,{REPLICATES + 1}) r(i)),
         bc as (select i, {_weighted(1, 1)} as tp, {_weighted(0, 1)} as fp, {_weighted(1, 0)} as fn, {_weighted(0, 0)} as tn from drawn group by i),
         bm as (select i, {rates()['f1_macro']} as f from bc)""", """
         select round(avg(f),6) as "mean", round(quantile_cont(f,0.025),6) as lower, round(quantile_cont(f,0.975),6) as upper,
           count(*) as n_bootstrap from bm"""),
     "sig_bootstrap_auc": chain(SCORED, f"""
-        pairs as (select y, score_a as s, count(*) as n, ('0x'||substr(md5(concat('boot:',y,'/',round(score_a*1e9)::DECIMAL(38,0))),1,8))::BIGINT as base
-          from scored group by y, score_a),
-        {_draws('pairs', 'y, s')},
+        drawn as (select i, y, score_a as s, {_poisson("('0x'||substr(md5(concat('boot:',id,'/',i)),1,8))::BIGINT/4294967296.0::DOUBLE")} as w
+          from scored, range(1,{REPLICATES + 1}) r(i)),
         sides as (select i, s, coalesce(sum(w) filter (where y=1),0) as pos, coalesce(sum(w) filter (where y=0),0) as neg from drawn group by i, s),
         run as (select *, sum(neg) over (partition by i order by s) - neg*0.5::DOUBLE as below from sides),
         auc as (select i, sum(pos*below)/(sum(pos)::DOUBLE*sum(neg)) as f from run group by i)""", """
