@@ -109,19 +109,15 @@ def slots_of(wrapper: Node, form: Node, size: int) -> list[int]:
     return found
 
 
-def wrapper_text(wrapper: Node, most: int = 20_000) -> str:
-    """A wrapper as text; beyond ``most`` nodes, those that fewer than one page in a thousand has are left out."""
+def wrapper_text(wrapper: Node) -> str:
+    """A wrapper as text, with all its nodes."""
     lines: list[str] = []
 
-    def walk(node: Node, depth: int, least: float) -> None:
+    def walk(node: Node, depth: int) -> None:
         lines.append(f"{depth} {node.pages} {node.sign}")
         for child in node.children:
-            if child.pages >= least:
-                walk(child, depth + 1, least)
-    walk(wrapper, 0, 0)
-    if len(lines) > most:
-        lines.clear()
-        walk(wrapper, 0, wrapper.pages / 1_000)
+            walk(child, depth + 1)
+    walk(wrapper, 0)
     return "\n".join(lines)
 
 
@@ -248,15 +244,24 @@ def induce(forms: DataFrame, fan_in: int = 256) -> DataFrame:
         trees = trees.withColumn("part", F.pmod("part", F.lit(parts)))
 
 
-def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    host, wrapper = None, None
-    for rows in batches:
-        found = []
-        for one, form, tree in zip(rows["host"], rows["form"], rows["wrapper"]):
-            if wrapper is None or one != host:
-                host, wrapper = one, wrapper_tree(tree)
-            found.append(slots_of(wrapper, form_tree(form), form.count("\n") + 1))
-        yield pd.DataFrame({"form_id": rows["form_id"], "host": rows["host"], "form": rows["form"], "slots": found})
+def align(forms: DataFrame, wrappers: DataFrame, together: int = 1_000) -> DataFrame:
+    """(form_id, host, form, slots): every form aligned with its host's wrapper.
+
+    About ``together`` forms of a host meet one copy of its wrapper, however large that is.
+    """
+    def run(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or own.empty:
+            return pd.DataFrame({"form_id": [], "host": [], "form": [], "slots": []})
+        wrapper = wrapper_tree(own["wrapper"].iloc[0])
+        found = [slots_of(wrapper, form_tree(form), form.count("\n") + 1) for form in rows["form"]]
+        return pd.DataFrame({"form_id": rows["form_id"], "host": rows["host"], "form": rows["form"], "slots": found})
+
+    parts = store(forms.groupBy("host").agg(F.ceil(F.count("*") / together).cast("int").alias("parts")), "parts")
+    dealt = (forms.select("form_id", "host", "form").join(parts, "host")
+             .select("form_id", "host", "form", F.pmod("form_id", "parts").cast("int").alias("part")))
+    copies = wrappers.join(parts, "host").select("host", "wrapper", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return (dealt.groupBy("host", "part").cogroup(copies.groupBy("host", "part"))
+            .applyInPandas(run, "form_id long, host string, form string, slots array<int>"))
 
 
 def _choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -282,8 +287,7 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     parsed = store(parse_pages(pages, id_col, url_col, html_col).withColumn("form_id", F.xxhash64("host", "form")), "pages")
     forms = store(parsed.groupBy("form_id", "host", "form").agg(F.count("*").alias("pages")), "forms")
     wrappers = store(induce(forms, fan_in), "wrappers")
-    aligned = store(forms.join(wrappers, "host").select("form_id", "host", "form", "wrapper")
-                    .mapInPandas(_align, "form_id long, host string, form string, slots array<int>"), "slots")
+    aligned = store(align(forms, wrappers), "slots")
 
     block = F.explode(F.arrays_zip("nodes", F.transform("texts", F.length).alias("chars"), "linked")).alias("b")
     sizes = (parsed.select("form_id", block).groupBy("form_id", F.col("b.nodes").alias("node"))

@@ -119,3 +119,16 @@ def test_query_finds_the_articles(spark, sf):
         article = re.search("<article>(.*?)</article>", source[r["page_id"]], re.S)[1]
         blocks = [" ".join(entities.unescape(re.sub("<[^>]+>", " ", b)).split()) for b in re.split("</?p>|</?h1>", article)]
         assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+
+
+def test_large_wrappers_keep_rare_nodes(spark):
+    """Nodes that one page in thousands has stay in a wrapper of any size, and forms are aligned with them."""
+    rare = [Node(f"div r{i}", 1) for i in range(20_001)]
+    wrapper = Node("#page", 5_000, [Node("html", 5_000, rare)])
+    text = page_text.wrapper_text(wrapper)
+    assert text.count("\n") == 20_002
+    form = "0 #page\n1 html\n2 div r7\n2 div r20000"
+    forms = spark.createDataFrame([(k, "h", form) for k in range(5)] + [(9, "other", "0 #page")], "form_id long, host string, form string")
+    wrappers = spark.createDataFrame([("h", text), ("other", "0 1 #page")], "host string, wrapper string")
+    got = {r["form_id"]: r["slots"] for r in page_text.align(forms, wrappers, together=2).collect()}
+    assert got == {**{k: [0, 1, 9, 20_002] for k in range(5)}, 9: [0]}
