@@ -289,11 +289,15 @@ class Grower:
 def histograms(x: np.ndarray, node: np.ndarray, count: int, bins: int, columns: Sequence[np.ndarray]) -> list[np.ndarray]:
     """Sums of every column by (node, slot, bin); rows whose node is negative are left out."""
     rows = np.flatnonzero(node >= 0)
-    slots = x.shape[1]
-    at = ((node[rows, None] * slots + np.arange(slots)) * bins + x[rows]).ravel()
-    size = count * slots * bins
-    return [np.bincount(at, None if c is None else np.repeat(c[rows], slots), size).astype(float).reshape(count, slots, bins)
-            for c in columns]
+    if len(rows) < len(node):
+        x, node, columns = x[rows], node[rows], [c if c is None else c[rows] for c in columns]
+    start = node * bins
+    out = [np.empty((count, x.shape[1], bins)) for _ in columns]
+    for j, slot in enumerate(np.ascontiguousarray(x.T)):
+        at = start + slot
+        for sums, c in zip(out, columns):
+            sums[:, j] = np.bincount(at, c, count * bins).reshape(count, bins)
+    return out
 
 
 def slopes(margin: np.ndarray, y: np.ndarray, positive_weight: float) -> tuple[np.ndarray, np.ndarray]:
