@@ -229,3 +229,45 @@ def test_contributions_add_up_to_the_margin(train):
         shown = F.col("margin") if learner.trees.kind == "forest" else 1 / (1 + F.exp(-F.col("margin")))
         gap = tr.score(model, train).join(sums, "id").agg(F.max(F.abs(F.col("score") - shown))).first()[0]
         assert gap < 1e-5
+
+
+def test_forests_stay_stored_and_score_as_in_memory(train, blocks):
+    """Neither fitting nor scoring brings the trees to the driver; tops grown by passes count too."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows, edges = blocks
+    models = {"whole": trees.fit_many(rows, [trees.Spec("forest", 5)], edges)[0],
+              "passes": trees.fit_many(rows, [trees.Spec("forest", 3)], edges, whole_rows=200)[0]}
+    for model in models.values():
+        for together in (1_000_000, 100):
+            got = trees.forest_scores(train, {0: model}, F.lit(0), together=together)
+            assert got.columns == [*train.columns, "pred", "score"] and model._trees is None
+            found = {r["id"]: (r["pred"], r["score"]) for r in got.collect()}
+            assert len(found) == train.count() and model._trees is None
+            mine = model.in_memory()
+            model._trees = None
+            data = train.select("id", vector_to_array("features").alias("x")).collect()
+            plain = mine.probabilities(mine.binned(np.array([r["x"] for r in data])))
+            for r, p in zip(data, plain):
+                assert found[r["id"]] == (int(p > 0.5), pytest.approx(p, abs=1e-9))
+    some = train.withColumn("which", F.when(F.col("id") % 2 == 0, 0).otherwise(7))
+    assert trees.forest_scores(some, {0: models["whole"]}, F.col("which")).count() == some.filter("which = 0").count()
+
+
+def test_contributions_by_patterns_are_those_by_rows():
+    """Leaves of few slots by tables of their patterns, others row by row: both as tree by tree."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (400, 14)).astype(np.uint8)
+    y = ((x[:, 0] > 5) ^ (x[:, 1] > 3) ^ (rng.random(400) < 0.2)).astype(float)
+    for spec in (trees.Spec("boosted", 6, 4), trees.Spec("forest", 3)):
+        if spec.kind == "boosted":
+            grown = trees.boost_whole(x, y, np.arange(400), spec, 12, 1.0)
+        else:
+            grown = [trees.grow_pure(x, y, trees.bootstrap_counts(np.arange(400), spec, t).astype(float), spec, t, 12) for t in range(3)]
+        model = trees.Ensemble(spec, grown, [np.arange(11) + 0.5] * 14, 14)
+        made = trees.prepared_contributions(model)
+        assert any(len(leaf.slots) > trees.PATTERNS for leaf in made.leaves) == (spec.kind == "forest")
+        base, phi = made.of(x)
+        plain = [trees.contributions(t, x) for t in grown]
+        many = 3 if spec.kind == "forest" else 1
+        assert base == pytest.approx(sum(b for b, _ in plain) / many) and phi == pytest.approx(sum(c for _, c in plain) / many, abs=1e-12)
