@@ -1,5 +1,7 @@
 """Many linear models from one scan against single fits and plain versions."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -125,3 +127,32 @@ def test_blocks_and_sums(spark):
     assert linear.fit_many(linear.member_blocks(df.limit(0).withColumn("y", F.lit(1)), F.array(F.lit(0)), "v"), [linear.Spec()]).passes == 0
     with pytest.raises(Exception):
         bl.make_blocks(spark.createDataFrame([([1.0],), ([1.0, 2.0],)], "v array<double>").coalesce(1), "v", {})
+
+
+@pytest.mark.parametrize("loss", ["logistic", "hinge"])
+@pytest.mark.parametrize("size", [7, 129])
+def test_curvatures_need_no_array_of_all_products(size, loss):
+    """Sums of products of slots, in little more memory than the rows themselves take."""
+    draw = np.random.default_rng(3)
+    wide, at, y = draw.normal(size=(1_500, size)), draw.normal(size=(4, size)), draw.integers(0, 2, 1_500)
+    curve = linear._losses(wide @ at.T, y, np.full(4, loss == "hinge"))[2]
+    assert (curve == 0).any() == (loss == "hinge")
+    tracemalloc.start()
+    got = linear._curvatures(wide, curve).reshape(4, size, size)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * wide.nbytes + 2 * got.nbytes
+    for m in range(4):
+        assert np.allclose(got[m], (wide * curve[:, m, None]).T @ wide, rtol=1e-12, atol=1e-9)
+
+
+def test_losses_of_mixed_models_equal_those_of_each_kind():
+    draw = np.random.default_rng(4)
+    z, y = np.concatenate([draw.normal(size=(50, 4)) * 3, [[-800.0, 800.0, -800.0, 800.0]]]), draw.integers(0, 2, 51)
+    hinge = np.array([True, False, False, True])
+    whole = linear._losses(z, y, hinge)
+    for kind in (True, False):
+        for all_, own in zip(whole, linear._losses(z[:, hinge == kind], y, np.full(2, kind))):
+            assert np.array_equal(all_[:, hinge == kind], own) and np.isfinite(own).all()
+    m = (2.0 * y - 1.0)[:, None] * z[:, 1:3]
+    assert np.allclose(whole[0][:, 1:3], np.logaddexp(0.0, -m), rtol=1e-14, atol=0)
