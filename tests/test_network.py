@@ -1,5 +1,7 @@
 """The network: gradients against differences, early stopping, the same weights again."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,16 @@ def test_held_out_fold_plays_no_part(train):
     scores = [{r["id"]: r["score"] for r in tr.out_of_fold(t, [learner]).filter("fold = 3").collect()} for t in (train, flipped)]
     assert scores[0] and scores[0].keys() == scores[1].keys()
     assert all(scores[0][i] == pytest.approx(scores[1][i], abs=1e-9) for i in scores[0])
+
+
+def test_scores_hold_the_activations_of_few_rows_at_once():
+    spec = nets.Spec()
+    net = nets.Network(spec, nets.first_weights(spec, 19), 19, 1, 0.5)
+    x = np.random.default_rng(2).normal(size=(20_500, 19))
+    tracemalloc.start()
+    got = net.probabilities(x)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # all at once: 20,500 rows of 128 numbers are 21 MB
+    assert np.allclose(got, 1 / (1 + np.exp(-nets.forward(x, nets.layers_of(net.weights, spec, 19))[-1][:, 0])), rtol=1e-12, atol=0)
+    assert net.probabilities(x[:0]).shape == (0,)
