@@ -1,12 +1,14 @@
 """A small character convolutional network in numpy.
 
 Characters are embedded, one convolution reads the window, and its strongest answers inside the candidate and around it
-feed a logistic output. It is trained with Adam on a bounded set of windows; a second, held-out set calibrates the
-output (Platt scaling) and sets the threshold that keeps a wanted recall.
+feed a logistic output. It is trained with Adam; a second, held-out set of windows calibrates the output (Platt scaling)
+and sets the threshold that keeps a wanted recall. ``train`` and ``calibrate`` work on arrays; the parts they are made of
+also serve tasks that hold a share of the windows each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +16,8 @@ import numpy as np
 BEFORE, INSIDE, AFTER = 32, 48, 12
 LENGTH = BEFORE + INSIDE + AFTER
 _ALPHABET = 130  # ASCII, any other character, none
+#: Windows whose answers are held at once: few enough to stay in a core's cache.
+_AT_ONCE = 128
 
 
 def encode_window(text: str, start: int, end: int) -> np.ndarray:
@@ -47,69 +51,135 @@ class CharCnn(NamedTuple):
     offset: float = 0.0
     threshold: float = 0.5
 
-    def _hidden(self, codes: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _answers(self, codes: np.ndarray) -> np.ndarray:
+        """Every filter's answer at every step, without its bias: windows x steps x filters."""
         width, d = self.kernel.shape[0] // self.embed.shape[1], self.embed.shape[1]
-        seen = self.embed[codes]
-        read = np.lib.stride_tricks.sliding_window_view(seen, width, axis=1)  # n, steps, d, width
-        read = read.transpose(0, 1, 3, 2).reshape(len(codes), -1, width * d)
-        answers = read @ self.kernel + self.bias
-        steps = answers.shape[1]
-        inside = np.zeros(steps, bool)
-        inside[BEFORE:BEFORE + INSIDE] = True
-        place_in = np.where(inside[None, :, None], answers, -np.inf).argmax(axis=1)
-        place_out = np.where(inside[None, :, None], -np.inf, answers).argmax(axis=1)
-        strongest = np.concatenate([np.take_along_axis(answers, p[:, None, :], axis=1)[:, 0] for p in (place_in, place_out)],
-                                   axis=1)
-        return read, np.concatenate([place_in, place_out], axis=1), np.maximum(strongest, 0.0)
+        seen = self.embed[codes].reshape(len(codes), -1)
+        read = np.lib.stride_tricks.sliding_window_view(seen, width * d, axis=1)[:, ::d]  # n, steps, width * d
+        read = np.ascontiguousarray(read).reshape(-1, width * d)
+        return (read @ self.kernel).reshape(len(codes), -1, self.kernel.shape[1])
 
     def logits(self, codes: np.ndarray) -> np.ndarray:
-        if not len(codes):
-            return np.empty(0)
-        parts = [codes[at:at + 2_048] for at in range(0, len(codes), 2_048)]
-        return np.concatenate([self._hidden(p)[2] @ self.out + self.shift for p in parts])
+        out = np.empty(len(codes))
+        for at in range(0, len(codes), _AT_ONCE):
+            answers = self._answers(codes[at:at + _AT_ONCE])
+            inside, before, after = answers[:, BEFORE:BEFORE + INSIDE], answers[:, :BEFORE], answers[:, BEFORE + INSIDE:]
+            strongest = np.concatenate([inside.max(axis=1), np.maximum(before.max(axis=1), after.max(axis=1))], axis=1)
+            strongest += np.concatenate([self.bias, self.bias])
+            out[at:at + _AT_ONCE] = np.maximum(strongest, 0.0) @ self.out + self.shift
+        return out
 
     def probabilities(self, codes: np.ndarray) -> np.ndarray:
         """Calibrated probabilities of being a secret."""
         return 1.0 / (1.0 + np.exp(-np.clip(self.slope * self.logits(codes) + self.offset, -60, 60)))
 
 
+Weights = dict[str, np.ndarray]
+
+
+class State(NamedTuple):
+    """Weights under training, Adam's two moments of each and the steps taken."""
+
+    weights: Weights
+    first: Weights
+    second: Weights
+    steps: float = 0.0
+
+    def net(self) -> CharCnn:
+        w = self.weights
+        return CharCnn(w["embed"], w["kernel"], w["bias"], w["out"], float(w["shift"][0]))
+
+
+def first_state(filters: int = 24, width: int = 5, d: int = 8, seed: int = 5) -> State:
+    rng = np.random.default_rng(seed)
+    weights = {"embed": rng.normal(0, 0.3, (_ALPHABET, d)), "kernel": rng.normal(0, 0.2, (width * d, filters)),
+               "bias": np.zeros(filters), "out": rng.normal(0, 0.2, 2 * filters), "shift": np.zeros(1)}
+    weights = {k: v.astype(np.float32) for k, v in weights.items()}
+    return State(weights, {k: np.zeros_like(v) for k, v in weights.items()}, {k: np.zeros_like(v) for k, v in weights.items()})
+
+
+def _gradient(net: CharCnn, codes: np.ndarray, labels: np.ndarray, weight_of: np.ndarray) -> Weights:
+    """Of the weighted mean cross entropy of some windows."""
+    n, filters, (alphabet, d) = len(codes), len(net.bias), net.embed.shape
+    answers = net._answers(codes)
+    inside = answers[:, BEFORE:BEFORE + INSIDE].argmax(axis=1) + BEFORE
+    ends = [answers[:, :BEFORE], answers[:, BEFORE + INSIDE:]]
+    before, after = (e.argmax(axis=1) for e in ends)
+    line, place = np.arange(n)[:, None], np.arange(filters)[None, :]
+    outside = np.where(ends[0][line, before, place] >= ends[1][line, after, place], before, after + BEFORE + INSIDE)
+    places = np.concatenate([inside, outside], axis=1)  # n, 2 * filters
+    both = np.concatenate([place, place], axis=1)
+    strongest = np.maximum(answers[line, places, both] + net.bias[both], 0.0)
+    p = 1.0 / (1.0 + np.exp(-np.clip(strongest @ net.out + np.float32(net.shift), -60, 60)))
+    error = ((p - labels) * weight_of / n).astype(np.float32)
+    passed = error[:, None] * net.out[None, :] * (strongest > 0)
+    width = net.kernel.shape[0] // d
+    reached = codes[line[:, :, None], places[:, :, None] + np.arange(width)]  # characters read: n, 2 * filters, width
+    cells = (reached * np.intp(width) + np.arange(width)) * filters + both[:, :, None]
+    reads = np.bincount(cells.ravel(), np.repeat(passed.ravel(), width), alphabet * width * filters).astype(np.float32)
+    reads = reads.reshape(alphabet, width, filters)  # by character, its place in the window read, and filter
+    embed = np.tensordot(reads, net.kernel.reshape(width, d, filters), ((1, 2), (0, 2)))
+    kernel = np.tensordot(reads, net.embed, (0, 0)).transpose(0, 2, 1).reshape(width * d, filters)
+    return {"embed": embed, "kernel": kernel,
+            "bias": (passed[:, :filters] + passed[:, filters:]).sum(axis=0), "out": strongest.T @ error,
+            "shift": error.sum(keepdims=True)}
+
+
+def step(state: State, codes: np.ndarray, labels: np.ndarray, weight_of: np.ndarray, rate: float) -> State:
+    """One step of Adam on some windows; the state given is left as it is."""
+    grads = _gradient(state.net(), codes, labels, weight_of)
+    t = state.steps + 1
+    first = {k: v + np.float32(0.1) * (grads[k] - v) for k, v in state.first.items()}
+    second = {k: v + np.float32(0.001) * (grads[k] ** 2 - v) for k, v in state.second.items()}
+    by, root = np.float32(rate / (1 - 0.9 ** t)), np.float32(1 / np.sqrt(1 - 0.999 ** t))
+    return State({k: v - by * first[k] / (np.sqrt(second[k]) * root + np.float32(1e-8)) for k, v in state.weights.items()},
+                 first, second, t)
+
+
+def class_weights(windows: tuple[float, float]) -> np.ndarray:
+    """Weight of a window of each label, from the numbers of windows of each."""
+    share = np.array(windows, float) / max(1, sum(windows))
+    return (0.5 / np.maximum(share, 1e-6)).astype(np.float32)
+
+
 def train(codes: np.ndarray, labels: np.ndarray, filters: int = 24, width: int = 5, d: int = 8, epochs: int = 8,
           rate: float = 0.01, seed: int = 5) -> CharCnn:
     """Weights fitted by Adam on class-balanced cross entropy."""
     rng = np.random.default_rng(seed)
-    weights = {"embed": rng.normal(0, 0.3, (_ALPHABET, d)), "kernel": rng.normal(0, 0.2, (width * d, filters)),
-               "bias": np.zeros(filters), "out": rng.normal(0, 0.2, 2 * filters), "shift": np.zeros(1)}
-    first = {k: np.zeros_like(v) for k, v in weights.items()}
-    second = {k: np.zeros_like(v) for k, v in weights.items()}
-    share = max(labels.mean(), 1e-6) if len(labels) else 0.5
-    weight_of = np.where(labels == 1, 0.5 / share, 0.5 / max(1 - share, 1e-6))
-    step = 0
+    state = first_state(filters, width, d, seed)
+    weight_of = class_weights((int((labels != 1).sum()), int((labels == 1).sum())))[(labels == 1).astype(int)]
     for _ in range(epochs):
         order = rng.permutation(len(codes))
         for at in range(0, len(order), 128):
             rows = order[at:at + 128]
-            net = CharCnn(weights["embed"], weights["kernel"], weights["bias"], weights["out"], float(weights["shift"][0]))
-            read, places, strongest = net._hidden(codes[rows])
-            p = 1.0 / (1.0 + np.exp(-np.clip(strongest @ net.out + net.shift, -60, 60)))
-            error = (p - labels[rows]) * weight_of[rows] / len(rows)
-            passed = error[:, None] * net.out[None, :] * (strongest > 0)
-            grads = {k: np.zeros_like(v) for k, v in weights.items()}
-            grads["out"], grads["shift"][0] = strongest.T @ error, error.sum()
-            line = np.arange(len(rows))[:, None]
-            picked = read[line, places]  # n, 2 * filters, width * d
-            by_filter = passed[:, :, None] * picked
-            grads["kernel"] = (by_filter[:, :filters].sum(axis=0) + by_filter[:, filters:].sum(axis=0)).T
-            grads["bias"] = passed[:, :filters].sum(axis=0) + passed[:, filters:].sum(axis=0)
-            back = passed[:, :, None] * np.concatenate([net.kernel.T, net.kernel.T])[None]  # into width * d inputs
-            back = back.reshape(len(rows), 2 * filters, width, d)
-            reached = codes[rows][line[:, :, None], places[:, :, None] + np.arange(width)[None, None, :]]
-            np.add.at(grads["embed"], reached, back)
-            step += 1
-            for k in weights:
-                first[k] += 0.1 * (grads[k] - first[k])
-                second[k] += 0.001 * (grads[k] ** 2 - second[k])
-                weights[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
-    return CharCnn(weights["embed"], weights["kernel"], weights["bias"], weights["out"], float(weights["shift"][0]))
+            state = step(state, codes[rows], labels[rows], weight_of[rows], rate)
+    return state.net()
+
+
+def fit_scale(sums: Callable[[float, float], np.ndarray]) -> tuple[float, float]:
+    """Platt's slope and offset by Newton steps; ``sums`` are ``scale_sums`` of all windows."""
+    a, b = 1.0, 0.0
+    for _ in range(200):
+        s = sums(a, b)
+        g = np.array([s[0] + 1e-6 * a, s[1]])
+        h = np.array([[s[2] + 1e-6, s[3]], [s[3], s[4]]])
+        move = np.linalg.solve(h + 1e-9 * np.eye(2), g)
+        a, b = a - np.clip(move[0], -2, 2), b - np.clip(move[1], -2, 2)
+        if np.abs(move).max() < 1e-8:
+            break
+    return float(a), float(b)
+
+
+def scale_sums(x: np.ndarray, target: np.ndarray, a: float, b: float) -> np.ndarray:
+    """The gradient and the curvature of the cross entropy in slope and offset."""
+    p = 1 / (1 + np.exp(-np.clip(a * x + b, -60, 60)))
+    w = p * (1 - p) + 1e-9
+    return np.array([((p - target) * x).sum(), (p - target).sum(), (w * x * x).sum(), (w * x).sum(), w.sum()])
+
+
+def scale_targets(negatives: int, positives: int) -> np.ndarray:
+    """Platt's targets of the two labels."""
+    return np.array([1 / (negatives + 2), (positives + 1) / (positives + 2)])
 
 
 def calibrate(net: CharCnn, codes: np.ndarray, labels: np.ndarray, recall: float, false: float = 0.0005) -> CharCnn:
@@ -120,20 +190,10 @@ def calibrate(net: CharCnn, codes: np.ndarray, labels: np.ndarray, recall: float
     z = net.logits(codes)
     slope, offset = 1.0, 0.0
     if len(z) and 0 < labels.sum() < len(labels):
-        positives, negatives = labels.sum(), len(labels) - labels.sum()
-        target = np.where(labels == 1, (positives + 1) / (positives + 2), 1 / (negatives + 2))
+        target = scale_targets(int((labels != 1).sum()), int(labels.sum()))[(labels == 1).astype(int)]
         spread = max(float(np.abs(z).max()), 1e-9)
-        x, a, b = z / spread, 1.0, 0.0
-        for _ in range(200):  # Newton steps on two numbers
-            p = 1 / (1 + np.exp(-np.clip(a * x + b, -60, 60)))
-            w = p * (1 - p) + 1e-9
-            g = np.array([((p - target) * x).sum() + 1e-6 * a, (p - target).sum()])
-            h = np.array([[(w * x * x).sum() + 1e-6, (w * x).sum()], [(w * x).sum(), w.sum()]])
-            move = np.linalg.solve(h + 1e-9 * np.eye(2), g)
-            a, b = a - np.clip(move[0], -2, 2), b - np.clip(move[1], -2, 2)
-            if np.abs(move).max() < 1e-8:
-                break
-        slope, offset = float(a / spread), float(b)
+        slope, offset = fit_scale(lambda a, b: scale_sums(z / spread, target, a, b))
+        slope /= spread
     net = net._replace(slope=slope, offset=offset)
     found = np.sort(net.probabilities(codes[labels == 1]))
     threshold = float(found[int(np.floor((1 - recall) * len(found)))]) if len(found) else 1.1

@@ -208,6 +208,40 @@ def test_examples_cover_all_rows_and_values_are_apart(spark):
     assert {l for l, _ in train} == {l for l, _ in held} == {0, 1}
 
 
+def test_all_values_train_or_calibrate(spark, monkeypatch):
+    """More findings, words and runs than the bounded sample takes: none is left out, none is on both sides."""
+    rng, letters = np.random.default_rng(8), secret_scan._LETTERS
+    drawn = ["".join(letters[i] for i in rng.integers(0, 62, 20)) for _ in range(900)]
+    rows = [(i, f"here secret={v} and plainword{'abcdefghij'[i % 10]} word-{i}-of-many é {'run_' * 20}{i}") for i, v in enumerate(drawn)]
+    docs = spark.createDataFrame([*rows, (None, None), (3, rows[3][1])], "doc_id long, text string").repartition(3)
+    values = secret_scan.store_values(docs)
+    kept = [(r["part"], r["kind"], bytes(r["codes"])) for r in values.collect()]
+    size, at = char_cnn.LENGTH, char_cnn.BEFORE
+    shown = {bytes(c[at:at + 20]).decode() for _, k, c in kept if k == 0}
+    assert shown == set(drawn) and {p == secret_scan._HELD for p, k, _ in kept if k == 0} == {True, False}
+    want = {w[2].tobytes() for _, t in rows for w in every_example(t) if w[0] == 2}
+    parts = [secret_scan._windows(b) for b in values.select("kind", "codes").toArrow().to_batches()]
+    codes, labels = (np.concatenate(x) for x in zip(*parts))
+    assert want <= {c.tobytes() for c in codes[labels == 0]} and len(codes) == sum(len(c) // size * (3 if k == 2 else 1) for _, k, c in kept)
+    sides = {}
+    for part, kind, c in kept:
+        if kind == 0:
+            sides.setdefault(bytes(c[at:at + 20]), set()).add(part == secret_scan._HELD)
+    assert all(len(s) == 1 for s in sides.values())
+    monkeypatch.setattr(secret_scan, "sample_examples", None)
+    assert secret_scan.learn(docs).threshold < 1
+
+
+def test_calibration_of_tasks_is_that_of_arrays(spark):
+    rng = np.random.default_rng(6)
+    net = char_cnn.first_state(seed=3).net()
+    kinds = rng.integers(0, 2, 6_000)
+    codes = rng.integers(33, 127, (len(kinds), char_cnn.LENGTH)).astype(np.uint8)
+    held = spark.createDataFrame([(int(k), c.tobytes()) for k, c in zip(kinds, codes)], "kind int, codes binary").repartition(4)
+    got, want = secret_scan.calibrate_tasks(net, held, 0.9, 0.01), char_cnn.calibrate(net, codes, 1 - kinds, 0.9, 0.01)
+    assert np.allclose([got.slope, got.offset, got.threshold], [want.slope, want.offset, want.threshold], rtol=1e-5, atol=1e-8)
+
+
 def test_cover_answers_like_all_spans():
     rng = np.random.default_rng(2)
     spans = sorted((int(a), int(a + b), "hex") for a, b in zip(rng.integers(0, 200, 40), rng.integers(1, 30, 40)))
