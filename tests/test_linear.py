@@ -156,3 +156,12 @@ def test_losses_of_mixed_models_equal_those_of_each_kind():
             assert np.array_equal(all_[:, hinge == kind], own) and np.isfinite(own).all()
     m = (2.0 * y - 1.0)[:, None] * z[:, 1:3]
     assert np.allclose(whole[0][:, 1:3], np.logaddexp(0.0, -m), rtol=1e-14, atol=0)
+
+
+def test_tasks_share_one_file_of_blocks(spark):
+    """One writer's file is one row group by default: a single task of every pass would read all of it."""
+    rows = spark.range(16 * 4_096, numPartitions=1).select(F.array(*[F.rand(i) for i in range(64)]).alias("v"))
+    blocks = bl.make_blocks(rows, "v", {})
+    assert len(blocks.table.inputFiles()) == 1
+    shares = [r["n"] for r in blocks.table.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
+    assert sum(shares) == 16 * 4_096 and len(shares) >= 4 and max(shares) <= 0.4 * sum(shares)
