@@ -3,19 +3,21 @@
 Models that differ in their training rows (folds, seeds, sample sizes), strength or slots are fitted together: a pass
 over the table carries the losses, gradients and curvatures of all of them as matrices, so a hundred fits cost the
 passes of one. Steps are Newton's with halving; beyond ``WIDE`` slots, limited-memory quasi-Newton steps without curvatures.
+Over many rows the steps start where the same models of some blocks end; they go on over all rows to the same tolerance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from riskframe.plans.blocks import Block, Blocks, make_blocks, sum_blocks
+from riskframe.plans.blocks import ROW_GROUP, Block, Blocks, make_blocks, sum_blocks
+from riskframe.plans.storage import store
 from riskframe.plans.workers import ready
 
 WIDE = 400
@@ -24,6 +26,9 @@ NARROW = 48
 #: Half the width of the rounded corner of the hinge.
 CORNER = 0.1
 _CELLS = 4_000_000
+#: About the rows that give models of many more rows (``_MANY`` times) the point from which they start.
+_FEW = 131_072
+_MANY = 4
 
 
 @dataclass(frozen=True)
@@ -184,7 +189,7 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], balanced: bool = True, slots
 
     Balanced weights are those of the model's own training rows; rows that bear a weight have that instead, and n is its
     sum. ``slots`` cuts the vectors, ``start`` (models x slots +
-    1) begins elsewhere than at zero. A model stops when no part of its gradient exceeds ``tolerance``; models of which
+    1) begins elsewhere than at zero or, with many rows, at ``_start``. A model stops when no part of its gradient exceeds ``tolerance``; models of which
     one class is missing stay at zero. ``most`` bounds the passes.
     """
     specs = list(specs)
@@ -200,6 +205,8 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], balanced: bool = True, slots
     elif balanced:
         weights = n[:, None] / (2.0 * np.maximum(rows, 1))
     penalty = 1.0 / (np.array([s.C for s in specs]) * np.maximum(n, 1))
+    if start is None:
+        start = _start(blocks, specs, balanced, slots, tolerance, most, memory)
     x = np.zeros((len(specs), size)) if start is None else np.array(start, float)
     second = size <= WIDE
     live = np.flatnonzero((rows > 0).all(axis=1))
@@ -275,6 +282,23 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], balanced: bool = True, slots
     return Fits(specs, x[:, :-1], x[:, -1], rows, passes)
 
 
+def _start(blocks: Blocks, specs: Sequence[Spec], balanced: bool, slots: Sequence[int] | None, tolerance: float, most: int,
+           memory: int) -> np.ndarray | None:
+    """Where models of some blocks end, under the penalty that all rows have; None unless there are many rows.
+
+    It only saves passes: whatever it is, the steps over all rows end at the same tolerance.
+    """
+    whole = blocks.table.agg(F.sum("n")).first()[0] or 0
+    if whole < _MANY * _FEW:
+        return None
+    some = Blocks(store(blocks.table.sample(_FEW / whole, seed=1), "start", row_group=ROW_GROUP), blocks.kinds)
+    seen = some.table.agg(F.sum("n")).first()[0] or 0
+    if not seen:
+        return None
+    fits = fit_many(some, [replace(s, C=s.C * whole / seen) for s in specs], balanced, slots, None, max(tolerance, 1e-5), most, memory)
+    return np.column_stack([fits.coefficients, fits.intercepts])
+
+
 def _two_loops(slope: np.ndarray, past: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """The slope times the inverse curvature that the past steps show."""
     q, shares = slope.copy(), []

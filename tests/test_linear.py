@@ -165,3 +165,18 @@ def test_tasks_share_one_file_of_blocks(spark):
     assert len(blocks.table.inputFiles()) == 1
     shares = [r["n"] for r in blocks.table.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
     assert sum(shares) == 16 * 4_096 and len(shares) >= 4 and max(shares) <= 0.4 * sum(shares)
+
+
+@pytest.mark.parametrize("loss", ["logistic", "hinge"])
+def test_many_rows_start_where_some_blocks_end(spark, monkeypatch, loss):
+    """Fewer passes over all rows, to the same optimum."""
+    rows = spark.range(40_000, numPartitions=4).select("id", F.array(*[F.randn(i) for i in range(6)]).alias("v"), (F.col("id") % 5).alias("fold"))
+    rows = rows.withColumn("y", (F.rand(9) < 1 / (1 + F.exp(1.5 * F.col("v")[0] - 2 * F.col("v")[1] + 1))).cast("int"))
+    blocks = linear.member_blocks(rows, F.array(F.col("fold").cast("int")), "v")
+    specs = [linear.Spec(C, loss, value=i) for C in (0.001, 1.0) for i in range(2)]
+    plain = linear.fit_many(blocks, specs)
+    monkeypatch.setattr(linear, "_FEW", 10_000)
+    quick = linear.fit_many(blocks, specs)
+    assert quick.passes < plain.passes
+    assert (quick.class_rows == plain.class_rows).all()
+    assert np.allclose(quick.coefficients, plain.coefficients, atol=1e-5) and np.allclose(quick.intercepts, plain.intercepts, atol=1e-5)
