@@ -271,3 +271,26 @@ def test_contributions_by_patterns_are_those_by_rows():
         plain = [trees.contributions(t, x) for t in grown]
         many = 3 if spec.kind == "forest" else 1
         assert base == pytest.approx(sum(b for b, _ in plain) / many) and phi == pytest.approx(sum(c for _, c in plain) / many, abs=1e-12)
+
+
+@pytest.mark.parametrize("many", [1, 300, 70_000, 3 * 2 ** 32])
+def test_order_by_counting_is_the_stable_one(many):
+    key = np.random.default_rng(6).integers(0, many, 5_000)
+    assert np.array_equal(trees.stable_order(key, many), np.argsort(key, kind="stable"))
+
+
+def test_boosted_models_have_a_wider_bound_than_forests(blocks, monkeypatch):
+    """Passes of all rounds and levels are for tables that no group can hold."""
+    rows, edges = blocks
+    monkeypatch.setattr(trees, "WHOLE_ROWS", 200)
+    monkeypatch.setattr(trees, "boost_by_passes", None)
+    boosted, forest = trees.fit_many(rows, [trees.Spec("boosted", 2, 3), trees.Spec("forest", 2)], edges)
+    assert len(boosted.trees) == 2 and forest.tops is not None
+
+
+def test_all_tasks_work_on_the_blocks_of_one_writer(spark):
+    rows = spark.range(64 * 1_000, numPartitions=1).select(
+        "id", (F.col("id") % 2).cast("int").alias("y"), F.array(*[F.rand(i) for i in range(20)]).alias("v"))
+    blocks = trees.binned_blocks(rows, [np.linspace(0, 1, 60)] * 20, F.array(F.lit(0)), "v")
+    shares = [r["n"] for r in blocks.table.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
+    assert sum(shares) == 64_000 and len(shares) >= 3 and max(shares) <= 0.5 * sum(shares)
