@@ -75,7 +75,8 @@ def packed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Null and empty texts have their end id alone; rows without an id and repeated rows are packed like any other.
     """
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, slice_bytes=1_000_000).drop("ids")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=1, slice_bytes=1_000_000,
+                                  stretches=150_000).drop("ids")
 
 
 STAGES = [

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.llm.tokens import library_encoder, slices, text_array
-from riskframe.llm.workers import batch, ready, task_number
+from riskframe.llm.workers import batch, ready, release, task_number
 from riskframe.plans.storage import store
 
 #: Long, so that the number of a window says whether it was closed in a partition or in the merge.
@@ -117,18 +117,20 @@ def _rows(windows: list[tuple[int, list[Piece]]], part: int, still_open: bool, w
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2_048, open_windows: int = 64,
                    shortest: int = 16, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text",
-                   slice_bytes: int = 16_000_000) -> DataFrame:
+                   slice_bytes: int = 16_000_000, stretches: int = 800_000) -> DataFrame:
     """Pieces of documents in windows: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids).
 
     ``ids`` (little-endian unsigned 32-bit) is given only ``with_ids``. Null texts are empty and have the end id alone;
     null and repeated ids are kept as they are, every row is a document of its own; a text of any length is cut into as
     many windows as it fills; an empty table gives no pieces. Nothing but the open windows is held, and only the pieces
-    left open at a partition's end (at most ``open_windows`` windows of it) are shuffled.
+    left open at a partition's end (at most ``open_windows`` windows of it) are shuffled. A worker keeps the ids of at most
+    ``stretches`` stretches of text.
     """
     spark = ready(docs.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = library_encoder(tokenizer), task_number()
+        release()  # what an earlier stage has left in this worker
+        encode, part = library_encoder(tokenizer, stretches), task_number()
         packer, count = Packer(window, open_windows, shortest), 0
         for rows in slices(batches, 1, slice_bytes):
             ids, offsets = encode(text_array(rows.column(1)), end_id)
@@ -141,6 +143,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, window: int = 2
                 for p in pieces:
                     p.ids = p.ids.copy()
         yield _rows([(part << 32 | count + i, w) for i, w in enumerate(packer.left())], part, True, with_ids)
+        release()
 
     placed = store(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                    .mapInArrow(pack, _KIND), "packed")

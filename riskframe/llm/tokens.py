@@ -161,12 +161,12 @@ def lay_out(words: list[bytes], codes: np.ndarray, offsets: np.ndarray) -> tuple
     return flat[at], ends[offsets]
 
 
-def library_encoder(path: str) -> StretchEncoder:
-    """The encoder of a ``tokenizers`` file, without begin, end or other added special tokens."""
+def library_encoder(path: str, most: int = 800_000) -> StretchEncoder:
+    """The encoder of a ``tokenizers`` file, without begin, end or other added special tokens; ``most`` as in ``StretchEncoder``."""
     def make() -> StretchEncoder:
         tokenizer = load_tokenizer(path)
         # A special string must not be cut; one that starts with a letter could be.
         added = tokenizer.get_added_tokens_decoder().values()
-        return StretchEncoder(lambda many: (e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)),
+        return StretchEncoder(lambda many: (e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)), most,
                               with_tails=not any(t.content[:1].isalnum() for t in added))
-    return kept(("stretches", path), make)
+    return kept(("stretches", path, most), make)

@@ -198,3 +198,18 @@ def test_registered_queries_agree_with_the_libraries(spark, sf):
         start += len(ids)
     packed = queries.op1_packing(spark, sf).toPandas()
     assert packed["length"].sum() == start and packed["sequence_id"].nunique() <= start / 2_048 + 2
+
+
+def test_packing_in_the_pipeline_bounds_what_a_worker_keeps(docs, monkeypatch):
+    """A bound on kept stretches changes no id, and the pipeline asks for a lower one than the operator's default."""
+    import corpus_pipeline
+
+    small = library_encoder(BYTE, 5)
+    texts = pa.array([t or "" for t in TEXTS])
+    for got, plain in zip(small(texts), library_encoder(BYTE)(texts)):
+        assert np.array_equal(got, plain)
+    assert small is not library_encoder(BYTE) and small.most == 5 and library_encoder(BYTE).most == 800_000
+    asked = {}
+    monkeypatch.setattr(packing, "pack_documents", lambda docs, *a, **more: asked.update(more) or docs.withColumn("ids", docs[docs.columns[0]]))
+    corpus_pipeline.packed_documents(docs.sparkSession, docs, "")
+    assert asked["stretches"] < 800_000
