@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskframe.llm.workers import ready
-from riskframe.plans.storage import store
+from riskframe.plans.storage import drop, store
 
 _EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -86,7 +86,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         before = state
         if not state[0]:
             break
-        now = store(_small_star(_large_star(now)), "stars")
+        last, now = now, store(_small_star(_large_star(now)), "stars")
+        drop(last)
     tied = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = now.select(F.col("b").alias("node")).distinct().withColumn("component", F.col("node"))
     alone = loops.select(F.col("a").alias("node")).withColumn("component", F.col("node"))

@@ -17,7 +17,8 @@ little more than its members.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +27,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riskframe.llm.components import connected_components, forest
 from riskframe.llm.shingles import mix, shingle_sets
 from riskframe.llm.tokens import forget, slices, text_array
-from riskframe.llm.workers import batch, ready, release
-from riskframe.plans.storage import store
+from riskframe.llm.workers import batch, brief_shuffles, ready, release
+from riskframe.plans.storage import drop, store
 
 _SEGMENTS = 64
 _SLICE = 3_000_000
@@ -41,6 +42,8 @@ _LINK = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _BLOCK, _BLOCK_SHINGLES, _FEW = 1_024, 2_000_000, 16
 #: Rows of two numbers that may be broadcast, once they are counted.
 _SMALL = 2_000_000
+#: Rows of two numbers that one round of comparisons takes.
+_ROUND = 1_000_000
 
 
 def _blocks(sets: Column, shingles: Column) -> Column:
@@ -278,16 +281,28 @@ def _to_heads(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     """(a, b): those of the pairs (head, rep) that are similar; ``size`` is that of the rep's set."""
     heads = pairs.groupBy("head").agg(F.count("*").alias("n"), F.sum("size").alias("z")).withColumn("blocks", _blocks(F.col("n"), F.col("z")))
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = (pairs.join(heads, "head").join(sets, F.col("rep") == F.col("doc_id"))
+    members = (sets.join(_small(pairs.join(heads, "head")), F.col("rep") == F.col("doc_id"))
                .select("head", block.alias("block"), "rep", F.lit(True).alias("member"), "shingles"))
-    own = (heads.join(sets, F.col("head") == F.col("doc_id"))
+    own = (sets.join(_small(heads), F.col("head") == F.col("doc_id"))
            .select("head", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("head").alias("rep"),
                    F.lit(False).alias("member"), "shingles"))
     return members.union(own).groupBy("head", "block").applyInArrow(
         lambda t: _links_to_head(t, num, den), "a long, b long")
 
 
-def _within_heads(met: DataFrame, tied: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _in_rounds(rows: DataFrame, sets: DataFrame, links: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
+    """What ``links`` finds among the ``rows`` (head, ..., size), stored by rounds: every head is in one of them.
+
+    Every row takes a copy of its set along. A round copies about half as much as all sets hold, and what it has shuffled
+    goes before the next, so the disks hold no more than that however many rows there are.
+    """
+    many, copied = rows.agg(F.count("*"), F.sum("size")).first()
+    held = sets.agg(F.sum(F.octet_length("shingles").cast("long"))).first()[0] or 0
+    rounds = max(1, -(-many // _ROUND), -(-2 * 8 * (copied or 0) // max(1, held)))
+    return [store(links(rows.filter(F.pmod(F.xxhash64(F.lit(1), "head"), F.lit(rounds)) == i)), "links") for i in range(rounds)]
+
+
+def _within_heads(met: DataFrame, tied: DataFrame, sets: DataFrame, num: int, den: int) -> list[DataFrame]:
     """(a, b): links among the sets (head, rep) that a head has met, as far as ``tied`` (node, component) leaves them apart.
 
     Sets of the head's own component need no comparison with each other: they are dealt to the blocks of the rest only.
@@ -304,18 +319,25 @@ def _within_heads(met: DataFrame, tied: DataFrame, sets: DataFrame, num: int, de
              .select("head", _blocks(F.col("n_rest"), F.col("z_rest")).alias("rests"), _blocks(F.col("n_main"), F.col("z_main")).alias("mains")))
     rows = store(placed.join(sides, "head")
                  .withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("rest"), F.col("rests")).otherwise(F.col("mains"))).cast("int"))
-                 .select("head", "rep", "own", "rest", "block", "rests", "mains"), "apart")
+                 .withColumn("size", F.col("size") * F.when(F.col("rest"), F.col("rests") + F.col("mains")).otherwise(F.col("rests")))
+                 .select("head", "rep", "own", "rest", "block", "rests", "mains", "size"), "apart")
     rests, mains = F.sequence(F.lit(0), F.col("rests") - 1), F.sequence(F.lit(0), F.col("mains") - 1)
     among = F.transform(rests, lambda o: F.struct(F.lit(0).alias("kind"), F.least(o, "block").alias("i"), F.greatest(o, "block").alias("j")))
     across = F.when(F.col("mains") > 0, F.transform(mains, lambda o: F.struct(
         F.lit(1).alias("kind"), F.col("block").alias("i"), o.alias("j")))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
     facing = F.transform(rests, lambda o: F.struct(F.lit(1).alias("kind"), o.alias("i"), F.col("block").alias("j")))
-    dealt = rows.withColumn("p", F.explode(F.when(F.col("rest"), F.concat(among, across)).otherwise(facing)))
+    copies = F.explode(F.when(F.col("rest"), F.concat(among, across)).otherwise(facing))
     # Inside one block (kind 0, i = j) all pairs count; else those across: of two blocks, or of the rest and the main part.
     side = F.when(F.col("p.kind") == 1, F.col("rest").cast("int")).otherwise((F.col("block") == F.col("p.i")).cast("int"))
-    return (dealt.select("head", "p.kind", "p.i", "p.j", "rep", "own", side.alias("side"))
-            .join(sets, F.col("rep") == F.col("doc_id")).drop("doc_id")
-            .groupBy("head", "kind", "i", "j").applyInArrow(lambda t: _links_in_block(t, num, den), "a long, b long"))
+
+    def links(some: DataFrame) -> DataFrame:
+        dealt = some.withColumn("p", copies).select("head", "p.kind", "p.i", "p.j", "rep", "own", side.alias("side"))
+        return (sets.join(_small(dealt), F.col("rep") == F.col("doc_id")).select("head", "kind", "i", "j", "rep", "own", "side", "shingles")
+                .groupBy("head", "kind", "i", "j").applyInArrow(lambda t: _links_in_block(t, num, den), "a long, b long"))
+
+    found = _in_rounds(rows, sets, links)
+    drop(rows)
+    return found
 
 
 def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10, sketch_bits: int = 20,
@@ -328,14 +350,20 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     null component and links with nothing. Texts of any length are used whole; an empty table gives no rows.
     ``component_id`` is the smallest id that links reach.
     """
-    spark: SparkSession = ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    with brief_shuffles(ready(docs.sparkSession)):
+        return _joined(rows, words, num, den, sketch_bits, most_pairs)
+
+
+def _joined(rows: DataFrame, words: int, num: int, den: int, sketch_bits: int, most_pairs: int) -> DataFrame:
+    """The work of ``ngram_jaccard``. A stored table goes when its last reader has ended, since the next may be as large."""
     survey = _survey(rows, words, sketch_bits)
     seen = survey.filter("segment is null").select("doc_id", "n", "h1", "h2")
     real = seen.filter("n > 0 and doc_id is not null")
     # Stored, so that the join below is of two plain shuffles, which Spark can split where a set has very many copies.
     reps = store(real.groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep")), "reps")
     members = store(real.join(reps, ["n", "h1", "h2"]).select("doc_id", "n", "h1", "h2", "rep"), "members")
+    drop(reps)
     home = members.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least <> most")
     same_id = (members.join(home, "doc_id").filter("rep <> least")
                .select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct())
@@ -345,18 +373,26 @@ def ngram_jaccard(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10,
     held = store(index.join(by_set, ["doc_id", "size"]).select("key", "rep", "size", "pure").distinct(), "index")
     heads = held.groupBy("key").agg(F.min(F.struct("rep", "size")).alias("h"), F.count("*").alias("n")).filter("n > 1")
     led = store(held.join(heads.select("key", F.col("h.rep").alias("head"), F.col("h.size").alias("head_size"), "n"), "key"), "led")
+    drop(held)
     likely = store(_likely_pairs(led, num, den), "pairs")
     met = store(led.filter((F.col("n") > _FEW) & (F.col("rep") != F.col("head")))
                 .select("head", "rep", "size", "head_size").distinct(), "met")
+    drop(led)
     wanted = store(likely.select("head", "rep").unionByName(met.select("head", "rep")).select(F.explode(F.array("head", "rep")).alias("wanted"))
                    .distinct(), "wanted")
     sets = _sets(rows, wanted, words)
-    first = met.filter(_sized("size", "head_size", num, den)).select("head", "rep", "size").unionByName(likely).distinct()
-    links = store(_to_heads(first, sets, num, den), "links").union(same_id)
-    tied = store(connected_components(links), "tied")
-    further = store(_within_heads(met.select("head", "rep", "size").distinct(), tied, sets, num, den), "links")
-    links = further.union(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    drop(wanted)
+    first = store(met.filter(_sized("size", "head_size", num, den)).select("head", "rep", "size").unionByName(likely).distinct(), "first")
+    drop(likely)
+    near = _in_rounds(first, sets, lambda some: _to_heads(some, sets, num, den))
+    drop(first)
+    tied = store(connected_components(reduce(DataFrame.union, [*near, same_id])), "tied")
+    drop(*near)
+    further = _within_heads(met.select("head", "rep", "size").distinct(), tied, sets, num, den)
+    drop(met, sets)
+    links = reduce(DataFrame.union, further).union(tied.select(F.col("node").alias("a"), F.col("component").alias("b")))
     whole = store(connected_components(links), "components")
+    drop(*further, tied)
     if whole.count() <= _SMALL:
         whole = F.broadcast(whole)
 

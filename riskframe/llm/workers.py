@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from riskframe.plans.workers import ready
 
-__all__ = ["batch", "ready", "release", "short_batches", "shuffle_width", "task_number"]
+__all__ = ["batch", "brief_shuffles", "ready", "release", "short_batches", "shuffle_width", "task_number"]
 
 
 def task_number() -> int:
@@ -54,3 +54,15 @@ def short_batches(spark: SparkSession, rows: int = 1_000) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextlib.contextmanager
+def brief_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it, what a query has shuffled leaves the disks when the query ends, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -217,3 +217,29 @@ def test_frequent_class_is_met():
     assert often.all() and len(keys) == 13
     keys, often = ngram_join.prefix_keys(tokens, counts // 100, 100, 8, 10, 10)
     assert not often.any() and len(keys) == 13
+
+
+def test_ngram_join_in_rounds_leaves_little_behind(spark, monkeypatch):
+    """Sets are compared by rounds of heads with the same result; only the tables that the result reads stay on the disks."""
+    from pathlib import Path
+
+    rng = np.random.default_rng(8)
+    texts = near_texts(rng, 12, 5, 60, 4) + near_texts(rng, 2, 40, 9, 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    stored, labels = ngram_join.store, []
+
+    def store(rows, label="table", *a, **k):
+        labels.append((label, stored(rows, label, *a, **k)))
+        return labels[-1][1]
+
+    monkeypatch.setattr(ngram_join, "store", store)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, found = spark.conf.get(name, "false"), []
+    for most in (ngram_join._ROUND, 8):
+        monkeypatch.setattr(ngram_join, "_ROUND", most)
+        labels.clear()
+        made = ngram_join.ngram_jaccard(df, words=3, num=7)
+        left = {label for label, t in labels if Path(t.stored_at.removeprefix("file:")).exists()}
+        assert left == {"survey", "members", "components"} and spark.conf.get(name, "false") == before
+        found.append((sum(label == "links" for label, _ in labels), sorted(map(tuple, made.collect()))))
+    assert found[1][0] > found[0][0] and found[0][1] == found[1][1]
