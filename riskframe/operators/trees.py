@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskframe.functions.hashing import mixed
 from riskframe.operators.linear import _masks, class_rows
-from riskframe.plans.blocks import ROW_GROUP, Block, Blocks, blocks_of, make_blocks, sum_blocks
-from riskframe.plans.storage import store
+from riskframe.plans.blocks import ROW_GROUP, Block, Blocks, blocks_of, hold, make_blocks, sum_blocks
+from riskframe.plans.storage import drop, store
 from riskframe.plans.workers import ready
 
 WHOLE_ROWS = 200_000
@@ -31,6 +31,10 @@ WHOLE_ROWS = 200_000
 BOOSTED_ROWS = 1_000_000
 #: Numbers that the histograms of one pass may hold.
 _CELLS = 8_000_000
+#: Nodes of a tree through which all rows go together; through larger ones only those that are not at a leaf.
+_SHALLOW = 512
+#: Cells of slots whose bins are counted together.
+_TOGETHER = 256
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 
 
@@ -76,6 +80,8 @@ class Tree:
     cover: np.ndarray
 
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
+        if len(self.feature) <= _SHALLOW and x.flags.c_contiguous:
+            return self._steps(x)
         at = np.zeros(len(x), np.int64)
         rows = np.arange(len(x))
         while len(rows):
@@ -85,6 +91,20 @@ class Tree:
             at[rows] = self.left[own] + (x[rows, self.feature[own]] > self.cut[own])
         return at
 
+    def _steps(self, x: np.ndarray) -> np.ndarray:
+        """All rows take a step at a time; at a leaf, which no bin exceeds, they stay."""
+        inner = self.feature >= 0
+        slot, cut = np.where(inner, self.feature, 0).astype(np.intp), np.where(inner, self.cut, 2 ** 14).astype(np.int16)
+        left = np.where(inner, self.left, np.arange(len(inner))).astype(np.intp)
+        at, first, cells = np.zeros(len(x), np.intp), np.arange(len(x)) * x.shape[1], x.ravel()
+        level = np.zeros(1, np.intp)
+        while len(level := level[inner[level]]):  # the inner nodes of a level, from the root
+            above = cells.take(slot.take(at) + first) > cut.take(at)
+            at = left.take(at)
+            at += above
+            level = np.concatenate([left[level], left[level] + 1])
+        return at
+
 
 @dataclass
 class Ensemble:
@@ -397,20 +417,66 @@ class Grower:
                     np.array([self.gain[i] if i in chosen else 0.0 for i in order]), h)
 
 
-def histograms(x: np.ndarray, node: np.ndarray, count: int, bins: int, columns: Sequence[np.ndarray]) -> list[np.ndarray]:
-    """Sums of every column by (node, slot, bin); rows whose node is negative are left out."""
+def histograms(x: np.ndarray, node: np.ndarray, count: int, bins: int, columns: Sequence[np.ndarray],
+               slots: np.ndarray | None = None) -> list[np.ndarray]:
+    """Sums of every column by (node, slot, bin); rows whose node is negative are left out. ``slots``: x by slots, if it is known."""
     rows = np.flatnonzero(node >= 0)
-    if len(rows) < len(node):
-        x, node, columns = x[rows], node[rows], [c if c is None else c[rows] for c in columns]
+    some = len(rows) < len(node)
+    if some:
+        node, columns = node[rows], [c if c is None else c[rows] for c in columns]
     start = node * bins
     out = [np.empty((count, x.shape[1], bins)) for _ in columns]
-    for j, slot in enumerate(np.ascontiguousarray(x.T)):
-        at = start + slot
+    for j, slot in enumerate(np.ascontiguousarray(x.T) if slots is None else slots):
+        at = start + (slot[rows] if some else slot)
         for sums, c in zip(out, columns):
             sums[:, j] = np.bincount(at, c, count * bins).reshape(count, bins)
     return out
 
 
+def bundles(sizes: Sequence[int]) -> list[list[int]]:
+    """Slots by their numbers of bins, in bundles whose joint bins are no more than ``_TOGETHER``, or of one slot."""
+    out: list[list[int]] = []
+    cells = 0
+    for slot in sorted(range(len(sizes)), key=lambda j: (sizes[j], j)):
+        if out and cells * sizes[slot] <= _TOGETHER:
+            out[-1].append(slot)
+            cells *= sizes[slot]
+        else:
+            out.append([slot])
+            cells = sizes[slot]
+    return out
+
+
+def bundled_histograms(x: np.ndarray, node: np.ndarray, count: int, sizes: Sequence[int], columns: Sequence[np.ndarray]) -> np.ndarray:
+    """(columns x nodes x joint bins of all bundles) sums, which ``unbundled`` makes histograms of slots."""
+    rows = np.flatnonzero(node >= 0)
+    if len(rows) < len(node):
+        x, node, columns = x[rows], node[rows], [c if c is None else c[rows] for c in columns]
+    slots, out = np.ascontiguousarray(x.T), [[] for _ in columns]
+    for own in bundles(sizes):
+        code, cells = slots[own[0]].astype(np.uint16), sizes[own[0]]
+        for j in own[1:]:
+            code *= np.uint16(sizes[j])
+            code += slots[j]
+            cells *= sizes[j]
+        code = node * cells + code
+        for sums, c in zip(out, columns):
+            sums.append(np.bincount(code, c, count * cells).reshape(count, cells))
+    return np.array([np.concatenate(sums, axis=1) for sums in out], float)
+
+
+def unbundled(sums: np.ndarray, sizes: Sequence[int], bins: int) -> np.ndarray:
+    """(columns x nodes x slots x bins) from ``bundled_histograms``."""
+    out, at = np.zeros((*sums.shape[:2], len(sizes), bins)), 0
+    for own in bundles(sizes):
+        shape = [sizes[j] for j in own]
+        joint = sums[:, :, at:at + math.prod(shape)].reshape(*sums.shape[:2], *shape)
+        for k, j in enumerate(own):
+            out[:, :, j, :sizes[j]] = joint.sum(axis=tuple(2 + i for i in range(len(own)) if i != k))
+        at += math.prod(shape)
+    return out
+
+
 def slopes(margin: np.ndarray, y: np.ndarray, positive_weight: float) -> tuple[np.ndarray, np.ndarray]:
     """Negative gradient and curvature of the logistic loss."""
     p = 1.0 / (1.0 + np.exp(-margin))
@@ -428,6 +494,7 @@ def in_round(h: np.ndarray, spec: Spec, number: int) -> np.ndarray:
 def boost_whole(x: np.ndarray, y: np.ndarray, h: np.ndarray, spec: Spec, bins: int, positive_weight: float) -> list[Tree]:
     """All rounds over rows in memory."""
     margin, trees = np.zeros(len(y)), []
+    x, slots = np.ascontiguousarray(x), np.ascontiguousarray(x.T)
     for number in range(spec.trees):
         g, c = slopes(margin, y, positive_weight)
         drawn = in_round(h, spec, number)
@@ -436,7 +503,7 @@ def boost_whole(x: np.ndarray, y: np.ndarray, h: np.ndarray, spec: Spec, bins: i
         while asked := grower.asked():
             place = np.full(len(grower.feature), -1)
             place[asked] = np.arange(len(asked))
-            grower.feed(asked, *histograms(x, np.where(drawn, place[at], -1), len(asked), bins, (g, c, None)))
+            grower.feed(asked, *histograms(x, np.where(drawn, place[at], -1), len(asked), bins, (g, c, None), slots))
             known = grower.expanded()
             rows = np.flatnonzero((known.feature[at] >= 0) & (known.left[at] >= 0))
             own = at[rows]
@@ -814,7 +881,8 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], edges: list[np.ndarray], who
     large = [i for i in both if i not in set(small)]
     boosted = [i for i in large if specs[i].kind == "boosted"]
     if boosted:
-        for i, trees in zip(boosted, boost_by_passes(blocks, [specs[i] for i in boosted], rows[boosted], width, bins)):
+        for i, trees in zip(boosted, boost_by_passes(blocks, [specs[i] for i in boosted], rows[boosted], width, bins,
+                                                     sizes=[len(e) + 1 for e in edges])):
             out[i].trees = trees
     for i in large:
         if specs[i].kind == "forest":
@@ -822,11 +890,18 @@ def fit_many(blocks: Blocks, specs: Sequence[Spec], edges: list[np.ndarray], who
     return out
 
 
-def boost_by_passes(blocks: Blocks, specs: Sequence[Spec], rows: np.ndarray, width: int, bins: int, keep: int = 16) -> list[list[Tree]]:
-    """Boosted models that grow together, one pass a level. Margins are stored anew every ``keep`` rounds."""
+def boost_by_passes(blocks: Blocks, specs: Sequence[Spec], rows: np.ndarray, width: int, bins: int, keep: int = 2,
+                    sizes: Sequence[int] | None = None, links: int = 16) -> list[list[Tree]]:
+    """Boosted models that grow together, one pass a level over blocks that the executors hold.
+
+    Margins are held anew every ``keep`` rounds, each from those before, and stored anew after ``links`` times that, so that
+    a lost executor costs that much at most; what is replaced goes. ``sizes`` are the slots' numbers of bins, if they are
+    known to be fewer than ``bins``.
+    """
+    sizes = [bins] * width if sizes is None else list(sizes)
     weights = [r[0] / r[1] for r in rows]
     trees: list[list[Tree]] = [[] for _ in specs]
-    state, stored = blocks, 0
+    state, held, stored, kept = blocks, hold(blocks), 0, 0
 
     def margins(block: Block, since: list[list[Tree]]) -> np.ndarray:
         if "margin" in block.arrays:
@@ -843,10 +918,17 @@ def boost_by_passes(blocks: Blocks, specs: Sequence[Spec], rows: np.ndarray, wid
         live = {m for m in live if number < specs[m].trees}
         if not live:
             break
-        since = [own[stored:] for own in trees]
-        if number - stored >= keep:
-            state, since = _stored_margins(state, since, len(specs), margins), [[] for _ in specs]
-            stored = number
+        before = None
+        if number - stored >= keep * links:
+            held.release()
+            last, state = state, _stored_margins(state, [own[stored:] for own in trees], len(specs), margins)
+            if last is not blocks:
+                drop(last.table)
+            held, stored, kept = hold(state), number, number
+        elif number - kept >= keep:
+            before, held = held, held.with_array("margin", "<f8", lambda block, new=[own[kept:] for own in trees]: margins(block, new))
+            kept = number
+        since = [own[kept:] for own in trees]
 
         # The root's sums come with its histogram: any slot's bins add up to them.
         growers = {m: Grower(specs[m], 0.0, 0.0, 0.0) for m in live}
@@ -863,11 +945,17 @@ def boost_by_passes(blocks: Blocks, specs: Sequence[Spec], rows: np.ndarray, wid
                     place[asked] = np.arange(len(asked))
                     node = np.where(own, place[known[m].leaf_of(block.x)], -1)
                     g, h = slopes(total[:, m], block["y"], weights[m])
-                    out[f"{m}"] = np.stack(histograms(block.x, node, len(asked), bins, (g, h, None)))
+                    # Rows are only counted where the count decides more than whether there are any.
+                    columns = (g, h) if specs[m].min_rows <= 1 and specs[m].min_weight > 0 else (g, h, None)
+                    out[f"{m}"] = bundled_histograms(block.x, node, len(asked), sizes, columns)
                 return out
-            sums = sum_blocks(state, level)
+            sums = held.sum(level)
+            if before is not None:  # its successor is held now
+                before.release()
+                before = None
             for m, asked in wanted.items():
-                g, h, n = sums[f"{m}"]
+                g, h, *n = unbundled(sums[f"{m}"], sizes, bins)
+                n = n[0] if n else (h > 0).astype(float)
                 if growers[m].gain[0] is None:
                     growers[m].sums[0] = tuple(float(a[0, 0].sum()) for a in (g, h, n))
                 growers[m].feed(asked, g, h, n)
@@ -875,6 +963,9 @@ def boost_by_passes(blocks: Blocks, specs: Sequence[Spec], rows: np.ndarray, wid
             trees[m].append(growers[m].tree())
             if len(trees[m][-1].feature) == 1 and specs[m].subsample >= 1:
                 live.discard(m)
+    held.release()
+    if state is not blocks:
+        drop(state.table)
     return trees
 
 

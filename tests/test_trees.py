@@ -294,3 +294,32 @@ def test_all_tasks_work_on_the_blocks_of_one_writer(spark):
     blocks = trees.binned_blocks(rows, [np.linspace(0, 1, 60)] * 20, F.array(F.lit(0)), "v")
     shares = [r["n"] for r in blocks.table.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).collect()]
     assert sum(shares) == 64_000 and len(shares) >= 3 and max(shares) <= 0.5 * sum(shares)
+
+
+def test_joint_bins_are_the_bins_of_slots():
+    rng = np.random.default_rng(7)
+    sizes = [40, 2, 2, 3, 60, 2, 5]
+    x = np.stack([rng.integers(0, n, 900) for n in sizes], axis=1).astype(np.uint8)
+    node, g = rng.integers(-1, 5, 900), rng.normal(size=900)
+    joint = trees.bundled_histograms(x, node, 5, sizes, (g, None))
+    assert sorted(j for own in trees.bundles(sizes) for j in own) == list(range(7)) and len(trees.bundles(sizes)) < 5
+    assert joint.shape[2] < 7 * 60
+    plain = np.array(trees.histograms(x, node, 5, 60, (g, None)))
+    assert trees.unbundled(joint, sizes, 60) == pytest.approx(plain, abs=1e-9)
+
+
+def test_passes_hold_their_blocks_and_leave_none(blocks, monkeypatch):
+    """Passes of a boosted model read its table once between two stored margins; margins held or stored in between don't change it."""
+    rows, edges = blocks
+    monkeypatch.setattr(trees, "sum_blocks", None)
+    spark = rows.table.sparkSession
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    spec = trees.Spec("boosted", 6, 3, rate=0.3, value=1)
+    counts = np.array([[500, 400]])
+    stored, kept = [], trees._stored_margins
+    monkeypatch.setattr(trees, "_stored_margins", lambda *a: stored.append(kept(*a)) or stored[-1])
+    found = [trees.boost_by_passes(rows, [spec], counts, len(edges), 16, keep, [len(e) + 1 for e in edges], links)[0]
+             for keep, links in ((1, 2), (10, 10))]
+    assert len(stored) == 2 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    for a, b in zip(*found):
+        assert a.feature.tolist() == b.feature.tolist() and a.cut.tolist() == b.cut.tolist() and a.value == pytest.approx(b.value, abs=1e-9)
