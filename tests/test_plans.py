@@ -4,7 +4,9 @@ import io
 import re
 from contextlib import redirect_stdout
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from riskframe.operators import evaluation as ev, features as fe, profile as pr, quality as dq, sampling as sm
@@ -97,3 +99,12 @@ def test_registry(spark, name):
 
 def test_survey_has_natural_nulls(spark, sf):
     assert order_survey(spark, sf).filter("qty_sum is null").count() > 0
+
+
+def test_passes_send_few_bytes_to_python_at_a_time(spark):
+    from riskframe.plans import blocks
+
+    rows = spark.range(0, 16, 1, 1).select(F.expr("repeat(cast(id % 10 as string), 4000000)").cast("binary").alias("x"))
+    found = blocks.sum_batches(store(rows, "wide"), lambda batches: {"most": np.array([max(b.nbytes for b in batches)])})
+    assert found["most"][0] < 17_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "67108864b"
