@@ -323,3 +323,14 @@ def test_passes_hold_their_blocks_and_leave_none(blocks, monkeypatch):
     assert len(stored) == 2 and spark.sparkContext._jsc.getPersistentRDDs().size() == before
     for a, b in zip(*found):
         assert a.feature.tolist() == b.feature.tolist() and a.cut.tolist() == b.cut.tolist() and a.value == pytest.approx(b.value, abs=1e-9)
+
+
+def test_small_blocks_are_dealt_together():
+    from riskframe.plans.blocks import Block, joined
+
+    kinds = {"x": "u1", "y": "<i1"}
+    parts = [Block.plain(n, (bytes(range(2 * n)), bytes([n] * n)), kinds) for n in (3, 1, 2, 4, 1)]
+    made = list(joined(parts, 4))
+    assert [b.n for b in made] == [4, 6, 1] and all(b.x.shape == (b.n, 2) for b in made)
+    assert np.array_equal(np.concatenate([b["y"] for b in made]), np.concatenate([b["y"] for b in parts]))
+    assert np.array_equal(np.concatenate([b.x for b in made]), np.concatenate([b.x for b in parts]))
